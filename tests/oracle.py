@@ -1,0 +1,45 @@
+"""Compares registered queries with their SQL in DuckDB."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value
+    return value
+
+
+def _rows(names: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+def difference(df: DataFrame, sql: str, connection: duckdb.DuckDBPyConnection) -> str | None:
+    """What differs, or None. Doubles must be equal to the last bit."""
+    expected = connection.execute(sql)
+    names = [column[0] for column in expected.description]
+    wanted = _rows(names, expected.fetchall())
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} instead of {sorted(names)}"
+    got = _rows(df.columns, df.collect())
+    if len(got) != len(wanted):
+        return f"{len(got)} rows instead of {len(wanted)}"
+    wrong = [(g, w) for g, w in zip(got, wanted) if g != w]
+    return f"{len(wrong)} of {len(got)} rows differ, e.g. {wrong[0]}" if wrong else None
