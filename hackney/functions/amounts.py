@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 def cents(amount: str | Column) -> Column:
     column = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(column * 100).try_cast("bigint")
+    return F.rint(column * 100).try_cast("bigint")
 
 
 def total(amount: str, exact: bool = False) -> Column:

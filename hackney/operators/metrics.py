@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ def error_rate(
 ) -> DataFrame:
     """Share of records, per interval of the broker's time, that lack one of ``fields``."""
     parsed = parse(records, fields, keep=("timestamp",))
-    bad = F.greatest(*[F.col(name).isNull() for name in fields])
+    bad = reduce(or_, [F.col(name).isNull() for name in fields])
     return (
         parsed.groupBy(F.window("timestamp", interval))
         .agg(F.count("*").alias("records"), F.count_if(bad).alias("malformed"))
@@ -52,6 +54,9 @@ def input_health(records: DataFrame, by: Sequence[str], event_time: str = EVENT_
 
 
 LONG = T.LongType()
+# Name of the counts that ``observed`` adds.
+INPUT = "input"
+
 # The parts of a progress record that the reports use.
 PROGRESS = schema_of(
     id=TEXT,
@@ -63,12 +68,20 @@ PROGRESS = schema_of(
     inputRowsPerSecond=DOUBLE,
     processedRowsPerSecond=DOUBLE,
     durationMs=T.MapType(TEXT, LONG),
+    observedMetrics=T.MapType(TEXT, schema_of(records=LONG, valid=LONG)),
+    sink=schema_of(numOutputRows=LONG),
     stateOperators=T.ArrayType(
         schema_of(numRowsTotal=LONG, memoryUsedBytes=LONG, numRowsDroppedByWatermark=LONG)
     ),
 )
 
 
+def observed(trips: DataFrame, event_time: str = EVENT_TIME) -> DataFrame:
+    """Let the progress of a stream tell how many records came in and how many were usable."""
+    counts = (F.count(F.lit(1)).alias("records"), F.count(event_time).alias("valid"))
+    return trips.observe(INPUT, *counts)
+
+
 def progress_rows(progress: DataFrame) -> DataFrame:
     """Progress records (JSON text ``progress``) as columns, one row per batch and query."""
     flat = parse(progress, PROGRESS, value="progress", keep=())
@@ -87,6 +100,9 @@ def progress_rows(progress: DataFrame) -> DataFrame:
         F.col("processedRowsPerSecond").alias("process_rate"),
         F.col("durationMs.triggerExecution").alias("batch_ms"),
         F.col("durationMs").alias("operation_ms"),
+        F.col("observedMetrics")[INPUT]["records"].alias("records"),
+        F.col("observedMetrics")[INPUT]["valid"].alias("valid"),
+        F.nullif(F.col("sink.numOutputRows"), F.lit(-1)).alias("output_rows"),
         F.coalesce(over_operators("numRowsTotal"), F.lit(0)).alias("state_rows"),
         F.coalesce(over_operators("memoryUsedBytes"), F.lit(0)).alias("state_bytes"),
         F.coalesce(over_operators("numRowsDroppedByWatermark"), F.lit(0)).alias("late_rows"),
@@ -108,6 +124,14 @@ def query_progress(rows: DataFrame, interval: str = "1 hour") -> DataFrame:
     return flat_window(summary)
 
 
+def batch_health(rows: DataFrame) -> DataFrame:
+    """Micro-batches of ``observed`` streams: records in, usable, late, out; ``silent`` if none was usable."""
+    batches = rows.filter(F.col("records") > 0)
+    return batches.select(
+        "query_name", "batch_id", "records", "valid", "late_rows", "output_rows", _silent().alias("silent")
+    )
+
+
 def operation_times(rows: DataFrame) -> DataFrame:
     """Time per query and kind of operation."""
     operations = rows.select("query_name", F.explode("operation_ms").alias("operation", "ms"))

@@ -7,8 +7,6 @@ trips of a long history.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +14,6 @@ from hackney.operators.ingest import to_wire
 from hackney.schemas import TRIP_FILE_COLUMNS, TRIP_TIME_FORMAT
 from hackney.streaming.sinks import write_records
 
-MONEY = "decimal(18,2)"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,16 +40,22 @@ def _location() -> Column:
     return F.when(F.col("event_type") != "error", point)
 
 
+def _share(amount: Column, percent: Column) -> tuple[Column, Column]:
+    """Share of an amount and their sum; the share is rounded half up to cents."""
+    in_cents = F.rint(amount * 100)
+    share = F.floor((in_cents * F.rint(percent) + 50) / 100)
+    return share / F.lit(100.0), (in_cents + share) / F.lit(100.0)
+
+
 def event_trips(events: DataFrame) -> DataFrame:
-    fare = F.col("value").cast(MONEY)
-    tips = F.round(fare * F.lit(Decimal("0.10")), 2)
+    tips, total = _share(F.col("value"), F.lit(10))
     return events.select(
         F.col("event_id").cast("string").alias("trip_id"),
         F.col("user_id").cast("string").alias("taxi_id"),
         _area().alias("pickup_community_area"),
-        fare.cast("double").alias("fare"),
-        tips.cast("double").alias("tips"),
-        (fare + tips).cast("double").alias("trip_total"),
+        F.col("value").alias("fare"),
+        tips.alias("tips"),
+        total.alias("trip_total"),
         F.col("event_type").alias("payment_type"),
         _location().alias("pickup_centroid_location"),
         F.col("ts").alias("event_timestamp"),
@@ -84,12 +86,11 @@ def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_trips(lineitem: DataFrame) -> DataFrame:
-    fare, rate = F.col("l_extendedprice").cast(MONEY), F.col("l_discount").cast("decimal(4,2)")
-    tips = F.round(fare * rate, 2)
+    tips, total = _share(F.col("l_extendedprice"), F.col("l_discount") * 100)
     return lineitem.select(
-        fare.cast("double").alias("fare"),
-        tips.cast("double").alias("tips"),
-        (fare + tips).cast("double").alias("trip_total"),
+        F.col("l_extendedprice").alias("fare"),
+        tips.alias("tips"),
+        total.alias("trip_total"),
         F.col("l_suppkey").cast("int").alias("pickup_community_area"),
         F.concat("l_returnflag", "l_linestatus").alias("pickup_centroid_location"),
         F.col("l_shipdate").alias("event_timestamp"),
@@ -113,11 +114,10 @@ def history_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_trips(orders: DataFrame) -> DataFrame:
-    total = F.col("o_totalprice").cast(MONEY).cast("double")
     return orders.select(
-        total.alias("fare"),
+        F.col("o_totalprice").alias("fare"),
         F.lit(0.0).alias("tips"),
-        total.alias("trip_total"),
+        F.col("o_totalprice").alias("trip_total"),
         F.col("o_orderdate").alias("event_timestamp"),
     )
 

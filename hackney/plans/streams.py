@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from hackney.functions.clock import flat_window
 from hackney.functions.records import parse
 from hackney.operators.daily import day_totals
-from hackney.operators.metrics import progress_rows
+from hackney.operators.metrics import batch_health, observed, progress_rows
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
     event_wire,
+    faulty_wire,
     file_topic,
     sql_sliding,
     stream_trips,
     table,
+    table_stream,
 )
 from hackney.plans.registry import plan
 from hackney.plans.windows import DAY, sql_fares
@@ -80,12 +82,19 @@ def stream_day_totals_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(spark.read.parquet(path), [])
 
 
-def _sql_closed(sliding: str) -> str:
-    """Windows the watermark has passed; it is 10 seconds behind the last event, in whole milliseconds."""
+# The watermark is 10 seconds behind the last trip, in whole milliseconds. Trips without an area are
+# filtered out below the watermark (the optimizer moves the filter there if it is written above), so
+# they do not move it.
+PASSED = "date_trunc('milliseconds', max(event_timestamp)) - INTERVAL '10 seconds'"
+HAS_AREA = "pickup_community_area IS NOT NULL"
+
+
+def _sql_closed(place: str, condition: str = "TRUE") -> str:
+    """Windows that the watermark has passed."""
     return f"""
-WITH trips AS ({TRIPS}), spots AS ({sliding})
+WITH trips AS ({TRIPS}), spots AS ({sql_sliding(place, condition)})
 SELECT * FROM spots
-WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 seconds' FROM events)
+WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {condition})
 """
 
 
@@ -97,12 +106,12 @@ def _emitted(spark: SparkSession, spots: DataFrame, name: str) -> DataFrame:
     return flat_window(spark.read.parquet(path))
 
 
-@plan(_sql_closed(sql_sliding("pickup_community_area", "pickup_community_area IS NOT NULL")))
+@plan(_sql_closed("pickup_community_area", HAS_AREA))
 def stream_hot_spots_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _emitted(spark, community_hot_spots(stream_trips(spark, sf_dir)), "hot_spots_community")
 
 
-@plan(_sql_closed(sql_sliding("pickup_centroid_location")))
+@plan(_sql_closed("pickup_centroid_location"))
 def stream_hot_spots_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _emitted(spark, location_hot_spots(stream_trips(spark, sf_dir)), "hot_spots_location")
 
@@ -111,8 +120,7 @@ def stream_hot_spots_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH trips AS ({TRIPS}),
      mark AS (
-       SELECT date_trunc('milliseconds', max(event_timestamp)) - INTERVAL '10 seconds' AS passed
-       FROM trips WHERE payment_type <> 'error'),
+       SELECT {PASSED} AS passed FROM trips WHERE payment_type <> 'error'),
      counted AS (
        SELECT trips.* FROM trips, mark
        WHERE payment_type <> 'error' OR time_bucket(INTERVAL '1 hour', event_timestamp) + INTERVAL '1 hour' > passed)
@@ -155,12 +163,12 @@ def stream_null_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan(
     f"""
 WITH trips AS ({TRIPS}), fares AS ({sql_fares()}),
-     community AS ({sql_sliding('pickup_community_area', 'pickup_community_area IS NOT NULL')}),
-     places AS ({sql_sliding('pickup_centroid_location')}),
-     mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 seconds' AS passed FROM events)
+     community AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
+     places AS ({sql_sliding('pickup_centroid_location')})
 SELECT 'sum_fare_window' AS query, count(*) AS results FROM fares
-UNION ALL SELECT 'hot_spot_community_pickup_window', count(*) FROM community, mark WHERE window_end <= passed
-UNION ALL SELECT 'hot_spot_window', count(*) FROM places, mark WHERE window_end <= passed
+UNION ALL SELECT 'hot_spot_community_pickup_window', count(*) FROM community
+  WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA})
+UNION ALL SELECT 'hot_spot_window', count(*) FROM places WHERE window_end <= (SELECT {PASSED} FROM trips)
 UNION ALL SELECT 'trips_total', 1
 """
 )
@@ -207,3 +215,30 @@ def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.sum("batch_ms") > 0).alias("timed"),
         F.max("state_rows").alias("state_rows"),
     )
+
+
+@plan(
+    """
+SELECT 'all_records' AS query_name, count(*) AS records,
+       count(*) FILTER (event_type NOT IN ('view', 'error')) AS valid, 0 AS late_rows, FALSE AS silent
+FROM events
+UNION ALL
+SELECT 'bad_records', count(*), 0, 0, TRUE FROM events WHERE event_type IN ('view', 'error')
+"""
+)
+def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query over records of which none is usable ends well, and only its health shows it."""
+    records = faulty_wire(table_stream(spark, sf_dir, "events"))
+    inputs = {"all_records": records, "bad_records": records.filter(F.col("topic").isin("view", "error"))}
+    queries = [
+        run_to_end(
+            fare_totals(observed(parse(wire, MONEY, keep=()))),
+            name=name,
+            mode="update",
+            sink=versioned_sink(scratch(spark, name)),
+            checkpoints=scratch(spark, "checkpoints"),
+        )
+        for name, wire in inputs.items()
+    ]
+    health = batch_health(progress_rows(progress_table(spark, queries)))
+    return health.select("query_name", "records", "valid", "late_rows", "silent")

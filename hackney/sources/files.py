@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.schemas import TRIP_FILE_COLUMNS
 
 RAW_TRIP = T.StructType([T.StructField(name, T.StringType()) for name in TRIP_FILE_COLUMNS])
-# A tenant's name is the folder above "in".
-TENANT = r"([^/]+)/in/[^/]+$"
+
+
+def _tenant(path: str) -> Column:
+    """The folder above ``in`` in ``…/<tenant>/in/<file>``."""
+    return F.split_part(F.col(path), F.lit("/"), F.lit(-3))
 
 
 def read_trip_files(spark: SparkSession, path: str | list[str], stream: bool = False, files_per_trigger: int | None = None, **options) -> DataFrame:
@@ -28,14 +31,14 @@ def read_trip_files(spark: SparkSession, path: str | list[str], stream: bool = F
 def read_landing(spark: SparkSession, root: str, stream: bool = False, **options) -> DataFrame:
     """Trip files below ``root/<tenant>/in`` with the ``tenant_id`` they belong to."""
     raw = read_trip_files(spark, f"{root}/*/in", stream=stream, **options)
-    return raw.withColumn("tenant_id", F.regexp_extract("_metadata.file_path", TENANT, 1))
+    return raw.withColumn("tenant_id", _tenant("_metadata.file_path"))
 
 
 def list_landing(spark: SparkSession, root: str, tenant: str = "*") -> DataFrame:
     """Files of one tenant or of all of them; their content is not read."""
     found = spark.read.format("binaryFile").load(f"{root}/{tenant}/in")
     return found.select(
-        F.regexp_extract("path", TENANT, 1).alias("tenant_id"),
+        _tenant("path").alias("tenant_id"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),

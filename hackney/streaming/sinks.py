@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -35,20 +35,24 @@ def file_sink(path: str, format: str = "parquet", partition_by: Sequence[str] =
     return complete
 
 
-def versioned_sink(path: str, prepare: Callable[[DataFrame, int], DataFrame] | None = None) -> Sink:
+def versioned_sink(
+    path: str, prepare: Callable[[DataFrame, int], DataFrame] | None = None, files: int | None = None
+) -> Sink:
     """Keep what each micro-batch emits in a folder of its own; for every output mode.
 
     A batch that is repeated after a failure overwrites its folder, so nothing counts twice.
+    Every state partition writes a file of its own unless ``files`` sets how many there are.
     """
 
     def write(emitted: DataFrame, batch_id: int) -> None:
         rows = prepare(emitted, batch_id) if prepare else emitted
+        rows = rows.repartition(files) if files else rows
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return lambda writer: writer.foreachBatch(write)
 
 
-def table_sink(path: str, table: Table) -> Sink:
+def table_sink(path: str, table: Table, files: int | None = None) -> Sink:
     """Append result rows to a declared table.
 
     Every emission is a row with an ``id`` of its own, made of the row and its batch: a window
@@ -59,7 +63,7 @@ def table_sink(path: str, table: Table) -> Sink:
         numbered = emitted.withColumn(BATCH, F.lit(batch_id))
         return mapped(numbered, table, identity=row_identity(*numbered.columns))
 
-    return versioned_sink(path, prepare)
+    return versioned_sink(path, prepare, files)
 
 
 def latest(versions: DataFrame, key: Sequence[str], version: str = BATCH) -> DataFrame:
@@ -72,13 +76,22 @@ def latest(versions: DataFrame, key: Sequence[str], version: str = BATCH) -> Dat
     return versions.groupBy(*key).agg(*[F.max_by(name, version).alias(name) for name in values])
 
 
+def fold_versions(spark: SparkSession, path: str, target: str, key: Sequence[str], last: int) -> None:
+    """Store the last emissions up to batch ``last`` as one version in ``target``.
+
+    A reader then needs ``target`` and the batches after ``last`` only.
+    """
+    versions = spark.read.parquet(path).filter(F.col(BATCH) <= last)
+    latest(versions, key).hint("rebalance").write.mode("overwrite").parquet(f"{target}/{BATCH}={last}")
+
+
 def write_store(df: DataFrame, path: str, partition_by: Sequence[str] = ("day",), mode: str = "overwrite") -> None:
     """Store rows by day (or other columns).
 
     The rebalance hint brings rows of a day together, so that a small day does not leave a file
     per task, and lets AQE split a day with a third of all rows over many tasks.
     """
-    spread = df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
+    spread = df.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = spread.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
