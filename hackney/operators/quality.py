@@ -21,15 +21,18 @@ def _as_text(schema: T.StructType) -> T.StructType:
 
 
 def _check(records: DataFrame, schema: T.StructType, keep: Sequence[str]) -> DataFrame:
-    """Parsed fields plus, for the few records Spark calls corrupt, the text of every field."""
+    """Parsed fields plus, for the records Spark calls corrupt, the text ``_raw`` of every field.
+
+    Sound records are parsed once. ``inline`` keeps filters from pulling copies of the parses down.
+    """
     checked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = records.select(
         *keep,
         F.col("value").cast("string").alias("_text"),
         F.inline(F.array(F.from_json(F.col("value").cast("string"), checked, {"columnNameOfCorruptRecord": CORRUPT}))),
     )
-    corrupt = F.col(CORRUPT).isNotNull()
-    return parsed.withColumn("_raw", F.when(corrupt, F.from_json("_text", _as_text(schema))))
+    raw = F.when(F.col(CORRUPT).isNotNull(), F.from_json("_text", _as_text(schema)))
+    return parsed.select("*", F.inline(F.array(F.struct(raw.alias("_raw")))))
 
 
 def _reason(condition: Column, text: str) -> Column:
@@ -62,7 +65,7 @@ def validate(
             found.append(_reason(wrong, f"wrong type:{name}"))
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             found.append(_reason(F.isnan(value), f"not a number:{name}"))
-    reasons = F.array_compact(F.array(*found)).alias("reasons")
+    reasons = F.array_except(F.array(*found), F.array(F.lit(None).cast("string"))).alias("reasons")
     return checked.select(*schema.names, *keep, F.col("_text").alias("value"), reasons)
 
 
@@ -83,8 +86,11 @@ def drift_report(records: DataFrame, schema: T.StructType = TRIP) -> DataFrame:
     """
     checked = _check(records, schema, ())
     unusable = {f.name: F.col(f.name).isNull() & F.col(f"_raw.{f.name}").isNotNull() for f in schema}
+    # json_object_keys knows no NaN; for such records a parse as a map does.
+    as_map = F.from_json("_text", T.MapType(T.StringType(), T.StringType()))
+    names = F.coalesce(F.json_object_keys("_text"), F.map_keys(as_map))
     by_shape = (
-        checked.withColumn("names", F.array_sort(F.json_object_keys("_text")))
+        checked.withColumn("names", F.array_sort(names))
         .groupBy("names")
         .agg(
             F.count("*").alias("records"),
