@@ -2,8 +2,9 @@
 
 The trip fields are doubles, so a plain sum depends on the order of the rows. With ``exact=True``
 amounts are added as whole cents in a BIGINT: the same result whatever the partitioning or the
-retries, and still a fixed-width buffer that hash aggregation keeps in place. Amounts that are
-no number or too large for cents become NULL there; a plain sum lets them through.
+retries, and still a fixed-width buffer that hash aggregation keeps in place. Amounts that are no
+number or do not fit become NULL there, and so does a sum that does not fit: a garbled amount must
+not end a stream. A plain sum lets them through.
 """
 
 from __future__ import annotations
@@ -17,13 +18,17 @@ def cents(amount: str | Column) -> Column:
     return F.rint(column * 100).try_cast("bigint")
 
 
+def cents_sum(amount: str) -> Column:
+    return F.try_sum(cents(amount))
+
+
 def total(amount: str, exact: bool = False) -> Column:
-    return F.sum(cents(amount)) / F.lit(100.0) if exact else F.sum(amount)
+    return cents_sum(amount) / F.lit(100.0) if exact else F.sum(amount)
 
 
 def mean(amount: str, exact: bool = False) -> Column:
     if exact:
-        return F.sum(cents(amount)) / F.lit(100.0) / F.count(cents(amount))
+        return cents_sum(amount) / F.lit(100.0) / F.count(cents(amount))
     return F.avg(amount)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.functions.amounts import cents, mean, rounded, total
+from hackney.functions.amounts import cents_sum, mean, rounded, total
 from hackney.functions.clock import EVENT_TIME, within_day
 
 
@@ -54,10 +54,10 @@ def totals_by_day(
         .groupBy(*by, F.to_date(event_time).alias("day"))
         .agg(
             F.count("*").alias("trips"),
-            F.sum(cents("fare")).alias("fare_cents"),
-            F.sum(cents("tips")).alias("tips_cents"),
+            cents_sum("fare").alias("fare_cents"),
+            cents_sum("tips").alias("tips_cents"),
             F.count("tips").alias("tips_count"),
-            F.sum(cents("trip_total")).alias("trip_total_cents"),
+            cents_sum("trip_total").alias("trip_total_cents"),
             F.count("trip_total").alias("trip_total_count"),
         )
     )

@@ -18,7 +18,7 @@ GRAINS = ("month", "quarter", "year")
 
 def _sums() -> list[Column]:
     names = ("trips", "fare_cents", "tips_cents", "tips_count", "trip_total_cents", "trip_total_count")
-    return [F.sum(name).alias(name) for name in names]
+    return [F.try_sum(name).alias(name) for name in names]
 
 
 def _amount(name: str) -> Column:

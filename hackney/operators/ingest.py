@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from hackney.schemas import NULL_TOKENS, TRIP, TRIP_FILE_COLUMNS
 
 
 def blank_to_null(raw: DataFrame, columns: Sequence[str] = TRIP_FILE_COLUMNS) -> DataFrame:
-    """Blank cells and the usual texts for "no value" become NULL."""
+    """Blank cells and the usual texts for "no value" become NULL, for those who keep such rows."""
     tokens = ["", *NULL_TOKENS]
     return raw.withColumns({name: F.when(~F.col(name).isin(tokens), F.col(name)) for name in columns})
 
@@ -25,7 +27,8 @@ def clean(raw: DataFrame, columns: Sequence[str] = TRIP_FILE_COLUMNS) -> DataFra
     It looks at the text of the file, so a cell that holds garbage is not missing: it stays and
     becomes a NULL field once it is read as a number.
     """
-    return blank_to_null(raw, columns).dropna(how="any", subset=list(columns))
+    tokens = ["", *NULL_TOKENS]
+    return raw.filter(reduce(and_, [~F.col(name).isin(tokens) for name in columns]))
 
 
 def _typed(field: T.StructField) -> Column:

@@ -124,15 +124,24 @@ def dedupe(
     key: Sequence[str] = ("trip_id",),
     delay: str = DELAY,
     event_time: str = EVENT_TIME,
+    salts: int = 32,
 ) -> DataFrame:
     """One row per key.
 
-    A stream drops copies that arrive within the watermark. A batch keeps the earliest copy; ties
-    go by the other columns, so the choice does not depend on the order of the rows. The minimum
-    is taken per task first: a key with very many copies still reaches the shuffle as one row per task.
+    A batch keeps the earliest copy; ties go by the other columns, so the choice does not depend on
+    the order of the rows. The minimum is taken per task first: a key with very many copies still
+    reaches the shuffle as one row per task.
+
+    A stream drops copies that arrive within the watermark. It has no such step before its shuffle,
+    so copies are first dropped per key and random salt, which spreads those of one key over
+    ``salts`` tasks, and then per key. Where keys are known to have few copies, 1 saves the first step.
     """
     if trips.isStreaming:
-        return watermarked(trips, delay, event_time).dropDuplicatesWithinWatermark(list(key))
+        timed, names = watermarked(trips, delay, event_time), list(key)
+        if salts > 1:
+            salted = timed.withColumn("_salt", F.floor(F.rand() * salts))
+            timed = salted.dropDuplicatesWithinWatermark([*names, "_salt"]).drop("_salt")
+        return timed.dropDuplicatesWithinWatermark(names)
     rest = [name for name in trips.columns if name not in key]
     order = sorted(rest, key=lambda name: name != event_time)
     first = F.min(F.struct(*order)).alias("_first")

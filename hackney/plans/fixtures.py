@@ -154,13 +154,21 @@ def faulty_wire(events: DataFrame) -> DataFrame:
     return good.select(key.alias("key"), value.alias("value"), "timestamp", "topic")
 
 
-def file_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
-    """All events as wire records in files; ``files`` sets how many."""
-    records = event_wire(table(spark, sf_dir, "events"))
-    write_records(records.repartition(files) if files else records, path)
+def file_topic(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """All events as wire records in files."""
+    write_records(event_wire(table(spark, sf_dir, "events")), path)
     return path
 
 
+def in_thirds(events: DataFrame) -> list[DataFrame]:
+    """The events of the first, second and last third of the time they cover."""
+    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    step = (bounds["last"] - bounds["first"]) / 3
+    first, second = (F.lit(bounds["first"] + step * n).cast("timestamp_ntz") for n in (1, 2))
+    time = F.col("ts")
+    return [events.filter(time < first), events.filter((time >= first) & (time < second)), events.filter(time >= second)]
+
+
 def trip_file_rows(events: DataFrame) -> DataFrame:
     """Events as the 23 text columns of a trip file; the company is blank or N/A for two event types."""
     kind = F.col("event_type")

@@ -193,12 +193,10 @@ FROM totals WHERE {rule.metric} {sign} {rule.threshold}
 """
 
 
-@plan(
-    f"""
-WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)})
-{' UNION ALL '.join(_sql_rule(rule) for rule in RULES)}
-"""
-)
+SQL_ALERTS = " UNION ALL ".join(_sql_rule(rule) for rule in RULES)
+
+
+@plan(f"WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)}) {SQL_ALERTS}")
 def critical_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = flat_window(fare_totals(batch_trips(spark, sf_dir), size="1 hour", scale=2, exact=True))
     return alerts(totals, RULES, keep=("window_start", "window_end"))

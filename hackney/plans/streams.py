@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hackney.functions.clock import flat_window
 from hackney.functions.records import parse
-from hackney.operators.daily import day_totals
+from hackney.operators.alerts import alerts
+from hackney.operators.daily import day_report, day_totals, totals_by_day
+from hackney.operators.history import persistent_hot_spots
 from hackney.operators.metrics import batch_health, observed, progress_rows
-from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
+from hackney.operators.windows import COMMUNITY, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
     event_wire,
     faulty_wire,
-    file_topic,
+    in_thirds,
     sql_sliding,
     stream_trips,
     table,
     table_stream,
 )
 from hackney.plans.registry import plan
-from hackney.plans.windows import DAY, sql_fares
+from hackney.plans.history import RULES, SQL_ALERTS
+from hackney.plans.windows import DAY, SQL_BY_DAY, sql_fares
 from hackney.session import scratch
+from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
 from hackney.streaming.progress import progress_table
 from hackney.streaming.run import await_all, run_to_end, start_tenant
@@ -31,30 +37,30 @@ from hackney.streaming.sinks import BATCH, file_sink, latest, versioned_sink, wr
 MONEY = ["event_timestamp", "fare", "tips", "trip_total"]
 
 
-def _in_thirds(events: DataFrame) -> list[DataFrame]:
-    """The events of the first, second and last third of the covered time."""
-    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
-    step = (bounds["last"] - bounds["first"]) / 3
-    cuts = [F.lit(bounds["first"] + step * n).cast("timestamp_ntz") for n in (1, 2)]
-    time = F.col("ts")
-    return [events.filter(time < cuts[0]), events.filter((time >= cuts[0]) & (time < cuts[1])), events.filter(time >= cuts[1])]
+def _deliver(
+    spark: SparkSession, parts: list[DataFrame], query: Callable[[DataFrame], DataFrame], name: str, mode: str
+) -> DataFrame:
+    """Put the parts into a topic one after the other and let the query catch up after each.
+
+    The query ends and starts again from its checkpoint every time. Returns all it has emitted.
+    """
+    topic, path, checkpoints = (scratch(spark, folder) for folder in ("topic", name, "checkpoints"))
+    for part in parts:
+        write_records(event_wire(part), topic)
+        trips = parse(read_wire(spark, "parquet", path=topic), MONEY, keep=())
+        run_to_end(query(trips), name=name, mode=mode, sink=versioned_sink(path), checkpoints=checkpoints)
+    return spark.read.parquet(path)
+
+
+def _hourly(trips: DataFrame) -> DataFrame:
+    return fare_totals(trips, size="1 hour", scale=2, exact=True)
 
 
 @plan(f"WITH trips AS ({TRIPS}) {sql_fares('1 hour', 2)}")
 def stream_fare_totals_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three deliveries, and a restart from the checkpoint after each of them."""
-    topic, path, checkpoints = (scratch(spark, name) for name in ("topic", "fares", "checkpoints"))
-    for part in _in_thirds(table(spark, sf_dir, "events")):
-        write_records(event_wire(part), topic)
-        trips = parse(read_wire(spark, "parquet", path=topic), MONEY, keep=())
-        run_to_end(
-            fare_totals(trips, size="1 hour", scale=2, exact=True),
-            name="fare_totals",
-            mode="update",
-            sink=versioned_sink(path),
-            checkpoints=checkpoints,
-        )
-    return flat_window(latest(spark.read.parquet(path), ["window"]))
+    """Every third of the time arrives on its own; windows across a border are emitted twice."""
+    parts = in_thirds(table(spark, sf_dir, "events"))
+    return flat_window(latest(_deliver(spark, parts, _hourly, "fare_totals", "update"), ["window"]))
 
 
 @plan(
@@ -69,17 +75,24 @@ WHERE event_timestamp > TIMESTAMP '{DAY} 00:00:00' AND event_timestamp < TIMESTA
 """
 )
 def stream_day_totals_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = file_topic(spark, sf_dir, scratch(spark, "topic"), files=8)
-    records = read_wire(spark, "parquet", path=topic, maxFilesPerTrigger=4)
-    path = scratch(spark, "totals")
-    run_to_end(
-        day_totals(parse(records, MONEY, keep=()), as_of=DAY, exact=True),
-        name="day_totals",
-        mode="complete",
-        sink=versioned_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
-    )
-    return latest(spark.read.parquet(path), [])
+    """Each micro-batch writes the whole result again; the last one counts."""
+
+    def totals(trips: DataFrame) -> DataFrame:
+        return day_totals(trips, as_of=DAY, exact=True)
+
+    parts = in_thirds(table(spark, sf_dir, "events"))
+    return latest(_deliver(spark, parts, totals, "day_totals", "complete"), [])
+
+
+@plan(SQL_BY_DAY)
+def result_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of events arrive one after the other, so every day changes each time.
+
+    The table keeps all versions; its reader takes the last one of each day.
+    """
+    events = table(spark, sf_dir, "events")
+    parts = [events.filter("event_type < 'purchase'"), events.filter("event_type >= 'purchase'")]
+    return day_report(latest(_deliver(spark, parts, totals_by_day, "days", "update"), ["day"]), scale=None)
 
 
 # The watermark is 10 seconds behind the last trip, in whole milliseconds. Trips without an area are
@@ -129,19 +142,67 @@ WITH trips AS ({TRIPS}),
 )
 def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of type error arrive after all others: only those of windows still open count."""
-    topic, path, checkpoints = (scratch(spark, name) for name in ("topic", "fares", "checkpoints"))
     events = table(spark, sf_dir, "events")
-    for part in (events.filter("event_type <> 'error'"), events.filter("event_type = 'error'")):
-        write_records(event_wire(part), topic)
-        trips = parse(read_wire(spark, "parquet", path=topic), MONEY, keep=())
-        run_to_end(
-            fare_totals(trips, size="1 hour", scale=2, exact=True),
-            name="late",
-            mode="update",
-            sink=versioned_sink(path),
-            checkpoints=checkpoints,
-        )
-    return flat_window(latest(spark.read.parquet(path), ["window"]))
+    parts = [events.filter("event_type <> 'error'"), events.filter("event_type = 'error'")]
+    return flat_window(latest(_deliver(spark, parts, _hourly, "late", "update"), ["window"]))
+
+
+@plan(f"WITH trips AS ({TRIPS}) {sql_fares('1 hour', 2, 'payment_type AS tenant_id')}")
+def stream_tenants_in_one_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenants (here: types of event) share one query; the tenant leads the key of its state."""
+    trips = stream_trips(spark, sf_dir).withColumnRenamed("payment_type", "tenant_id")
+    path = scratch(spark, "fares")
+    run_to_end(
+        fare_totals(trips, size="1 hour", scale=2, by=["tenant_id"], exact=True),
+        name="all_tenants",
+        mode="update",
+        sink=versioned_sink(path),
+        checkpoints=scratch(spark, "checkpoints"),
+    )
+    return flat_window(latest(spark.read.parquet(path), ["tenant_id", "window"]))
+
+
+@plan(
+    f"""
+WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)}), alerts AS ({SQL_ALERTS})
+SELECT * FROM alerts WHERE window_end <= (SELECT {PASSED} FROM trips)
+"""
+)
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of closed windows, each raised once."""
+    path = scratch(spark, "alerts")
+    run_to_end(
+        alerts(_hourly(stream_trips(spark, sf_dir)), RULES, keep=["window"]),
+        name="alerts",
+        mode="append",
+        sink=file_sink(path),
+        checkpoints=scratch(spark, "checkpoints"),
+    )
+    return flat_window(spark.read.parquet(path))
+
+
+@plan(
+    f"""
+WITH trips AS ({TRIPS}), spots AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
+     closed AS (SELECT * FROM spots WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA}))
+SELECT pickup_community_area, count(*) AS windows, cast(sum("count") AS bigint) AS window_pickups,
+       max("count") AS peak, cast(sum("count") AS double) / count(*) AS mean_per_window
+FROM closed
+GROUP BY pickup_community_area
+"""
+)
+def persistent_hot_spots_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot-spot windows that a stream has stored by day, analysed as a batch."""
+    path = scratch(spark, "spots")
+    spots = community_hot_spots(stream_trips(spark, sf_dir)).withColumn("day", F.to_date("window.start"))
+    run_to_end(
+        spots,
+        name="stored_spots",
+        mode="append",
+        sink=file_sink(path, partition_by=["day"]),
+        checkpoints=scratch(spark, "checkpoints"),
+    )
+    return persistent_hot_spots(read_store(spark, path), COMMUNITY)
 
 
 @plan(f"WITH trips AS (SELECT * FROM ({TRIPS}) WHERE payment_type <> 'error') {sql_fares('1 hour', 2)}")
@@ -151,7 +212,7 @@ def stream_null_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = stream_trips(spark, sf_dir).withColumn("event_timestamp", time)
     path = scratch(spark, "fares")
     run_to_end(
-        fare_totals(trips, size="1 hour", scale=2, exact=True),
+        _hourly(trips),
         name="null_time",
         mode="update",
         sink=versioned_sink(path),

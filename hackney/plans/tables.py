@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hackney.functions.records import parse, serialise
 from hackney.operators.conform import conform, mapped
-from hackney.operators.daily import day_report, totals_by_day
+from hackney.operators.daily import day_totals
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
-from hackney.plans.fixtures import TRIPS, event_trips, file_topic, stream_trips, table, with_time_zone
+from hackney.plans.fixtures import TRIPS, batch_trips, event_trips, sql_sliding, stream_trips, table, with_time_zone
 from hackney.plans.registry import plan
-from hackney.plans.windows import SQL_BY_DAY, sql_fares, sql_sliding
-from hackney.functions.records import parse
-from hackney.schemas import ANALYTICS, HOTSPOT_COMMUNITY_WINDOW, HOTSPOT_WINDOW, SUM_FARE_WINDOW
+from hackney.plans.windows import DAY, sql_fares
+from hackney.schemas import (
+    ANALYTICS,
+    DOUBLE,
+    HOTSPOT_COMMUNITY_WINDOW,
+    HOTSPOT_WINDOW,
+    SUM_FARE_WINDOW,
+    TRIPS_TOTAL,
+    schema_of,
+)
 from hackney.session import scratch
-from hackney.sources.wire import read_wire
 from hackney.streaming.run import run_to_end
-from hackney.streaming.sinks import BATCH, latest, table_sink, versioned_sink
+from hackney.streaming.sinks import BATCH, table_sink
 
 
 @plan(
@@ -105,18 +113,19 @@ def hot_spot_location_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(spots, HOTSPOT_WINDOW).drop("id")
 
 
-@plan(SQL_BY_DAY)
-def result_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day totals change with every micro-batch; the table keeps all versions, the reader the last."""
-    topic = file_topic(spark, sf_dir, scratch(spark, "topic"), files=8)
-    records = read_wire(spark, "parquet", path=topic, maxFilesPerTrigger=2)
-    trips = parse(records, ["event_timestamp", "fare", "tips", "trip_total"], keep=())
-    path = scratch(spark, "days")
-    run_to_end(
-        totals_by_day(trips),
-        name="day_versions",
-        mode="update",
-        sink=versioned_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
-    )
-    return day_report(latest(spark.read.parquet(path), ["day"]), scale=None)
+@plan(
+    f"""
+WITH trips AS ({TRIPS})
+SELECT cast(count(*) AS int) AS trips_total,
+       cast(round(cast(sum(fare) AS double), 0) AS float) AS fare_total,
+       cast(round(cast(sum(tips) AS double) / count(tips), 0) AS float) AS tips_avg,
+       cast(round(cast(sum(trip_total) AS double) / count(trip_total), 0) AS float) AS trip_total_avg
+FROM trips
+WHERE event_timestamp > TIMESTAMP '{DAY} 00:00:00' AND event_timestamp < TIMESTAMP '{DAY} 00:00:00' + INTERVAL '1 day'
+"""
+)
+def trips_total_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result records of a topic, read back and mapped into their table."""
+    records = serialise(day_totals(batch_trips(spark, sf_dir), as_of=DAY, exact=True))
+    fields = schema_of(trips_total=T.LongType(), fare_total=DOUBLE, tips_avg=DOUBLE, trip_total_avg=DOUBLE)
+    return mapped(parse(records, fields, keep=()), TRIPS_TOTAL).drop("id")

@@ -23,11 +23,14 @@ def start(
     sink: Sink,
     checkpoints: str,
     trigger: dict | None = None,
+    pool: str | None = None,
 ) -> StreamingQuery:
     """Start a named query with a checkpoint folder of its own.
 
-    Without ``trigger`` a micro-batch starts as soon as the last one is done.
+    Without ``trigger`` a micro-batch starts as soon as the last one is done. Queries of one
+    ``pool`` get an equal share of the cores with those of any other.
     """
+    df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoints}/{name}")
     if trigger:
         writer = writer.trigger(**trigger)
@@ -57,6 +60,7 @@ def start_tenant(trips: DataFrame, tenant: str, sinks: dict[str, Sink], checkpoi
             sink=sinks[name],
             checkpoints=f"{checkpoints}/{tenant}",
             trigger=trigger,
+            pool=tenant,
         )
         for name, (df, mode) in standing.items()
     ]

@@ -22,7 +22,6 @@ def spark() -> SparkSession:
         **{
             "spark.driver.memory": "4g",
             "spark.sql.maxMetadataStringLength": "1000",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"),
         },
     )

@@ -155,9 +155,23 @@ def test_broker_settings():
     assert writer["format"] == "kafka" and writer["topic"] == "t" and writer["kafka.sasl.mechanism"] == "PLAIN"
 
 
-def test_scratch_is_new_each_time_and_in_the_named_folder(spark):
-    one, two = scratch(spark, "x"), scratch(spark, "x")
-    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+class Settings:
+    """Stands in for a session; only its settings are read."""
+
+    def __init__(self, **settings):
+        self.conf = {name.replace("_", "."): value for name, value in settings.items()}
+
+
+def test_scratch_is_new_each_time_and_in_the_named_folder():
+    cluster = Settings(spark_checkpoint_dir="hdfs://shared/", spark_master="yarn")
+    one, two = scratch(cluster, "x"), scratch(cluster, "x")
+    assert one != two and one.startswith("hdfs://shared/x-")
+
+
+def test_scratch_on_a_cluster_is_never_a_local_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Settings(spark_master="yarn"), "x")
+    assert scratch(Settings(spark_master="local[2]"), "x")
 
 
 def test_session_settings(spark):
@@ -166,6 +180,11 @@ def test_session_settings(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
 
 
+def test_broker_connector_is_named_when_it_is_missing(spark):
+    with pytest.raises(Exception, match="kafka"):
+        read_wire(spark, **broker_options("localhost:1", "t"))
+
+
 @pytest.mark.parametrize("tenant", ["a", "tenant-b"])
 def test_topics_carry_the_tenant(tenant):
     assert topic_name(tenant, "sumFareWindowStream") == f"{tenant}_sumFareWindowStream"
