@@ -155,6 +155,21 @@ def test_broker_settings():
     assert writer["format"] == "kafka" and writer["topic"] == "t" and writer["kafka.sasl.mechanism"] == "PLAIN"
 
 
+def test_a_day_with_most_of_the_rows_is_written_by_many_tasks(spark, folder):
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.expr("date_add(DATE'2024-01-01', IF(id % 10 = 0, CAST(id % 30 AS INT), 3))").alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        write_store(rows, str(folder / "store"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert read_store(spark, str(folder / "store")).count() == 400_000
+    files = {day.name: len(list(day.glob("*.parquet"))) for day in (folder / "store").glob("day=*")}
+    assert files["day=2024-01-04"] > 4 and files["day=2024-01-01"] == 1
+
+
 class Settings:
     """Stands in for a session; only its settings are read."""
 

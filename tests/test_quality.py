@@ -11,7 +11,17 @@ from pyspark.sql import functions as F
 from hackney.operators import scoring
 from hackney.operators.alerts import Rule, alerts
 from hackney.operators.metrics import error_rate, input_health, throughput
-from hackney.operators.quality import compatible, dedupe, drift_report, preprocess, quarantined, readable, valid, validate
+from hackney.operators.quality import (
+    _combine_copies,
+    compatible,
+    dedupe,
+    drift_report,
+    preprocess,
+    quarantined,
+    readable,
+    valid,
+    validate,
+)
 from hackney.operators.scoring import LinearModel, score, score_batches
 from hackney.schemas import DOUBLE, INT, TEXT, narrow, schema_of
 
@@ -105,6 +115,18 @@ def test_dedupe_combines_copies_before_the_shuffle(spark):
     assert "partial_min" in plan
 
 
+@pytest.mark.parametrize("zone", ["TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_copies_in_a_task_are_combined_and_the_latest_stays(spark, zone):
+    day = [dt.datetime(2024, 1, n) for n in range(1, 5)]
+    rows = [("a", day[0], 1, [1.0]), ("a", day[2], 3, None), ("a", day[1], 2, []), ("b", None, 9, None), (None, day[3], 4, None)]
+    schema = f"trip_id STRING, event_timestamp {zone}, n INT, more ARRAY<DOUBLE>"
+    trips = spark.createDataFrame(rows * 50, schema).coalesce(1)
+    combined = _combine_copies(trips, ["trip_id"], "event_timestamp")
+    assert combined.schema == trips.schema
+    assert {(r["trip_id"], r["n"]) for r in combined.collect()} == {("a", 3), ("b", 9), (None, 4)}
+    assert combined.count() == 3
+
+
 def test_preprocess(spark):
     time = dt.datetime(2024, 1, 1)
     rows = [

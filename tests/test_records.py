@@ -73,6 +73,15 @@ def test_trip_times_in_the_format_of_the_file(spark, text):
     assert parsed(spark, '{"trip_start_timestamp": "soon"}', trip_times=True)["trip_start_timestamp"] is None
 
 
+def test_a_record_is_parsed_once_whatever_is_filtered(spark, folder):
+    to_wire(trips(spark)).write.parquet(str(folder / "w"))
+    wire = spark.read.parquet(str(folder / "w"))
+    spots = community_hot_spots(parse(wire, ["event_timestamp", "pickup_community_area"], keep=()))
+    plan = spots._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert "ReadSchema: struct<value:binary>" in plan
+
+
 def test_all_24_fields_in_order(spark):
     assert len(TRIP) == 24
     records = spark.createDataFrame([], "value STRING, timestamp TIMESTAMP")
