@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # A commit then uploads what has changed instead of the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Queries of several tenants share the cores instead of queueing one behind the other.
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",

@@ -135,8 +135,8 @@ def test_store_opens_only_the_days_asked_for(spark, folder):
 
 def test_broker_settings():
     login = sasl("user", "secret")
-    options = broker_options("host:9092", topic_name("tenantstreamapp", "ingestData"), login)
-    assert options["subscribe"] == "tenantstreamapp_ingestData"
+    options = broker_options("host:9092", topic_name("acme", "ingestData"), login)
+    assert options["subscribe"] == "acme_ingestData"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("latest", "false")
     assert options["kafka.security.protocol"] == "SASL_PLAINTEXT"
     assert options["kafka.sasl.mechanism"] == "PLAIN"
