@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from hackney.operators.ingest import to_wire
 from hackney.schemas import TRIP_FILE_COLUMNS, TRIP_TIME_FORMAT
-from hackney.streaming.sinks import write_records
+from hackney.session import scratch
+from hackney.streaming.run import run_to_end
+from hackney.streaming.sinks import Sink, write_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -160,6 +163,23 @@ def file_topic(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def finish(df: DataFrame, name: str, mode: str, sink: Sink, checkpoints: str | None = None) -> StreamingQuery:
+    """Run a stream over all there is, with a state partition per core of the cluster."""
+    spark = df.sparkSession
+    return run_to_end(
+        df,
+        name=name,
+        mode=mode,
+        sink=sink,
+        checkpoints=checkpoints or scratch(spark, "checkpoints"),
+        state_partitions=cores(spark),
+    )
+
+
 def in_thirds(events: DataFrame) -> list[DataFrame]:
     """The events of the first, second and last third of the time they cover."""
     bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()

@@ -16,6 +16,7 @@ from hackney.plans.fixtures import (
     batch_trips,
     faulty_wire,
     file_topic,
+    finish,
     stream_trips,
     table,
     trip_file_rows,
@@ -26,7 +27,6 @@ from hackney.schemas import DOUBLE, TIME, TRIP, schema_of
 from hackney.session import scratch
 from hackney.sources.files import list_landing, read_landing, read_trip_files
 from hackney.sources.wire import read_wire
-from hackney.streaming.run import run_to_end
 from hackney.streaming.sinks import file_sink, write_records
 
 STAMP = "2024-02-01 12:00:00.123456"
@@ -161,12 +161,11 @@ def stream_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _trip_files(spark, sf_dir, scratch(spark, "trip-files"))
     topic = scratch(spark, "topic")
     raw = read_trip_files(spark, files, stream=True)
-    run_to_end(
+    finish(
         _ingested(raw),
         name="csv_ingest",
         mode="append",
         sink=file_sink(topic),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     parsed = parse(spark.read.parquet(topic), TRIP, keep=())
     return _zone_less(parsed.select(*INGESTED, "event_timestamp"))
@@ -180,12 +179,11 @@ SELECT trip_id, cast(fare AS double) AS fare, event_timestamp FROM trips
 )
 def stream_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = scratch(spark, "topic")
-    run_to_end(
+    finish(
         to_wire(stream_trips(spark, sf_dir), key="trip_id"),
         name="to_topic",
         mode="append",
         sink=file_sink(topic),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return _zone_less(parse(spark.read.parquet(topic), ["trip_id", "fare", "event_timestamp"], keep=()))
 

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from hackney.functions.clock import flat_window
 from hackney.operators.metrics import error_rate, input_health, throughput
 from hackney.operators.quality import dedupe, drift_report, preprocess, quarantined, valid, validate
-from hackney.plans.fixtures import TRIPS, batch_trips, faulty_wire, stream_trips, table, table_stream
+from hackney.plans.fixtures import TRIPS, batch_trips, faulty_wire, finish, stream_trips, table, table_stream
 from hackney.plans.registry import plan
 from hackney.schemas import narrow
 from hackney.session import scratch
-from hackney.streaming.run import run_to_end
 from hackney.streaming.sinks import file_sink
 
 FIELDS = narrow(["trip_id", "fare", "pickup_community_area", "event_timestamp"])
@@ -113,12 +112,11 @@ def dedupe_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan(SQL_TRIPS)
 def stream_dedupe_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "unique")
-    run_to_end(
+    finish(
         dedupe(_redelivered(stream_trips(spark, sf_dir))),
         name="dedupe",
         mode="append",
         sink=file_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     unique = spark.read.parquet(path).select(*UNIQUE)
     return unique.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
@@ -210,12 +208,11 @@ def stream_valid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "checked")
     records = faulty_wire(table_stream(spark, sf_dir, "events"))
     checked = validate(records, FIELDS, keep=("topic",)).withColumn("is_valid", F.size("reasons") == 0)
-    run_to_end(
+    finish(
         checked.withColumn("usable", F.col("event_timestamp").isNotNull()),
         name="valid_split",
         mode="append",
         sink=file_sink(path, partition_by=["is_valid"]),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     stored = spark.read.parquet(path)
     return stored.groupBy("topic").agg(F.count("*").alias("records"), F.count_if("usable").alias("valid"))

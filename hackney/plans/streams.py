@@ -16,8 +16,10 @@ from hackney.operators.metrics import batch_health, observed, progress_rows
 from hackney.operators.windows import COMMUNITY, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
+    cores,
     event_wire,
     faulty_wire,
+    finish,
     in_thirds,
     sql_sliding,
     stream_trips,
@@ -31,7 +33,7 @@ from hackney.session import scratch
 from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
 from hackney.streaming.progress import progress_table
-from hackney.streaming.run import await_all, run_to_end, start_tenant
+from hackney.streaming.run import ALL_AVAILABLE, await_all, start_tenant
 from hackney.streaming.sinks import BATCH, file_sink, latest, versioned_sink, write_records
 
 MONEY = ["event_timestamp", "fare", "tips", "trip_total"]
@@ -48,7 +50,7 @@ def _deliver(
     for part in parts:
         write_records(event_wire(part), topic)
         trips = parse(read_wire(spark, "parquet", path=topic), MONEY, keep=())
-        run_to_end(query(trips), name=name, mode=mode, sink=versioned_sink(path), checkpoints=checkpoints)
+        finish(query(trips), name=name, mode=mode, sink=versioned_sink(path), checkpoints=checkpoints)
     return spark.read.parquet(path)
 
 
@@ -113,9 +115,7 @@ WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {condition})
 
 def _emitted(spark: SparkSession, spots: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
-    run_to_end(
-        spots, name=name, mode="append", sink=file_sink(path), checkpoints=scratch(spark, "checkpoints")
-    )
+    finish(spots, name=name, mode="append", sink=file_sink(path))
     return flat_window(spark.read.parquet(path))
 
 
@@ -152,12 +152,11 @@ def stream_tenants_in_one_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenants (here: types of event) share one query; the tenant leads the key of its state."""
     trips = stream_trips(spark, sf_dir).withColumnRenamed("payment_type", "tenant_id")
     path = scratch(spark, "fares")
-    run_to_end(
+    finish(
         fare_totals(trips, size="1 hour", scale=2, by=["tenant_id"], exact=True),
         name="all_tenants",
         mode="update",
         sink=versioned_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return flat_window(latest(spark.read.parquet(path), ["tenant_id", "window"]))
 
@@ -171,12 +170,11 @@ SELECT * FROM alerts WHERE window_end <= (SELECT {PASSED} FROM trips)
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of closed windows, each raised once."""
     path = scratch(spark, "alerts")
-    run_to_end(
+    finish(
         alerts(_hourly(stream_trips(spark, sf_dir)), RULES, keep=["window"]),
         name="alerts",
         mode="append",
         sink=file_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return flat_window(spark.read.parquet(path))
 
@@ -195,12 +193,11 @@ def persistent_hot_spots_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot-spot windows that a stream has stored by day, analysed as a batch."""
     path = scratch(spark, "spots")
     spots = community_hot_spots(stream_trips(spark, sf_dir)).withColumn("day", F.to_date("window.start"))
-    run_to_end(
+    finish(
         spots,
         name="stored_spots",
         mode="append",
         sink=file_sink(path, partition_by=["day"]),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return persistent_hot_spots(read_store(spark, path), COMMUNITY)
 
@@ -211,12 +208,11 @@ def stream_null_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     time = F.when(F.col("payment_type") != "error", F.col("event_timestamp"))
     trips = stream_trips(spark, sf_dir).withColumn("event_timestamp", time)
     path = scratch(spark, "fares")
-    run_to_end(
+    finish(
         _hourly(trips),
         name="null_time",
         mode="update",
         sink=versioned_sink(path),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return flat_window(spark.read.parquet(path).drop(BATCH))
 
@@ -243,7 +239,8 @@ def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hot_spot_window": file_sink(f"{root}/hot_spot_window"),
     }
     trips = stream_trips(spark, sf_dir)
-    await_all(start_tenant(trips, "tenant", sinks, scratch(spark, "checkpoints"), trigger={"availableNow": True}))
+    checkpoints = scratch(spark, "checkpoints")
+    await_all(start_tenant(trips, "tenant", sinks, checkpoints, trigger=ALL_AVAILABLE, state_partitions=cores(spark)))
     keys = {"sum_fare_window": ["window"], "trips_total": []}
     counts = []
     for name in sinks:
@@ -262,12 +259,11 @@ FROM events
 )
 def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = fare_totals(stream_trips(spark, sf_dir), size="1 hour", exact=True)
-    query = run_to_end(
+    query = finish(
         totals,
         name="progress_fares",
         mode="update",
         sink=versioned_sink(scratch(spark, "fares")),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     rows = progress_rows(progress_table(spark, [query]))
     return rows.groupBy("query_name").agg(
@@ -292,12 +288,11 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = faulty_wire(table_stream(spark, sf_dir, "events"))
     inputs = {"all_records": records, "bad_records": records.filter(F.col("topic").isin("view", "error"))}
     queries = [
-        run_to_end(
+        finish(
             fare_totals(observed(parse(wire, MONEY, keep=()))),
             name=name,
             mode="update",
             sink=versioned_sink(scratch(spark, name)),
-            checkpoints=scratch(spark, "checkpoints"),
         )
         for name, wire in inputs.items()
     ]

@@ -10,7 +10,7 @@ from hackney.functions.records import parse, serialise
 from hackney.operators.conform import conform, mapped
 from hackney.operators.daily import day_totals
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
-from hackney.plans.fixtures import TRIPS, batch_trips, event_trips, sql_sliding, stream_trips, table, with_time_zone
+from hackney.plans.fixtures import TRIPS, batch_trips, event_trips, finish, sql_sliding, stream_trips, table, with_time_zone
 from hackney.plans.registry import plan
 from hackney.plans.windows import DAY, sql_fares
 from hackney.schemas import (
@@ -23,7 +23,6 @@ from hackney.schemas import (
     schema_of,
 )
 from hackney.session import scratch
-from hackney.streaming.run import run_to_end
 from hackney.streaming.sinks import BATCH, table_sink
 
 
@@ -77,12 +76,11 @@ FROM totals
 def result_table_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "sumfarewindow")
     totals = fare_totals(stream_trips(spark, sf_dir), size="1 hour", scale=2, exact=True)
-    run_to_end(
+    finish(
         totals,
         name="sum_fare_table",
         mode="update",
         sink=table_sink(path, SUM_FARE_WINDOW),
-        checkpoints=scratch(spark, "checkpoints"),
     )
     return spark.read.parquet(path).drop("id", BATCH)
 

@@ -13,6 +13,7 @@ from hackney.operators.windows import community_hot_spots, fare_totals, location
 from hackney.streaming.sinks import Sink
 
 ALL_AVAILABLE = {"availableNow": True}
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def start(
@@ -24,17 +25,29 @@ def start(
     checkpoints: str,
     trigger: dict | None = None,
     pool: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a named query with a checkpoint folder of its own.
 
     Without ``trigger`` a micro-batch starts as soon as the last one is done. Queries of one
-    ``pool`` get an equal share of the cores with those of any other.
+    ``pool`` get an equal share of the cores with those of any other. ``state_partitions`` is for the
+    very first start; the checkpoint keeps it. It defaults to the session's shuffle partitions.
     """
-    df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+    spark = df.sparkSession
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoints}/{name}")
     if trigger:
         writer = writer.trigger(**trigger)
-    return sink(writer).start()
+    writer = sink(writer)
+    if state_partitions is None:
+        return writer.start()
+    # A query takes its own copy of the settings when it starts.
+    usual = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, state_partitions)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(PARTITIONS, usual)
 
 
 def run_to_end(df: DataFrame, **options) -> StreamingQuery:
@@ -44,7 +57,14 @@ def run_to_end(df: DataFrame, **options) -> StreamingQuery:
     return query
 
 
-def start_tenant(trips: DataFrame, tenant: str, sinks: dict[str, Sink], checkpoints: str, trigger: dict | None = None) -> list[StreamingQuery]:
+def start_tenant(
+    trips: DataFrame,
+    tenant: str,
+    sinks: dict[str, Sink],
+    checkpoints: str,
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> list[StreamingQuery]:
     """The four standing queries of a tenant; names, checkpoints and sinks are its own."""
     standing = {
         "sum_fare_window": (fare_totals(trips), "update"),
@@ -61,6 +81,7 @@ def start_tenant(trips: DataFrame, tenant: str, sinks: dict[str, Sink], checkpoi
             checkpoints=f"{checkpoints}/{tenant}",
             trigger=trigger,
             pool=tenant,
+            state_partitions=state_partitions,
         )
         for name, (df, mode) in standing.items()
     ]
