@@ -252,7 +252,7 @@ def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     """
-SELECT 'progress_fares' AS query_name, count(*) AS input_rows, 0 AS late_rows, TRUE AS timed,
+SELECT 'progress_fares' AS query_name, count(*) AS input_rows, cast(0 AS bigint) AS late_rows, TRUE AS timed,
        count(DISTINCT time_bucket(INTERVAL '1 hour', ts)) AS state_rows
 FROM events
 """
@@ -277,7 +277,7 @@ def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan(
     """
 SELECT 'all_records' AS query_name, count(*) AS records,
-       count(*) FILTER (event_type NOT IN ('view', 'error')) AS valid, 0 AS late_rows, FALSE AS silent
+       count(*) FILTER (event_type NOT IN ('view', 'error')) AS valid, cast(0 AS bigint) AS late_rows, FALSE AS silent
 FROM events
 UNION ALL
 SELECT 'bad_records', count(*), 0, 0, TRUE FROM events WHERE event_type IN ('view', 'error')

@@ -20,6 +20,19 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# DuckDB's name of a Spark type.
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value
@@ -32,12 +45,13 @@ def _rows(names: list[str], rows) -> list[tuple]:
 
 
 def difference(df: DataFrame, sql: str, connection: duckdb.DuckDBPyConnection) -> str | None:
-    """What differs, or None. Doubles must be equal to the last bit."""
-    expected = connection.execute(sql)
-    names = [column[0] for column in expected.description]
-    wanted = _rows(names, expected.fetchall())
-    if sorted(df.columns) != sorted(names):
-        return f"columns {sorted(df.columns)} instead of {sorted(names)}"
+    """What differs, or None. Names and types must agree and doubles be equal to the last bit."""
+    columns = {name: kind for name, kind, *_ in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    found = {name: TYPES[kind] for name, kind in df.dtypes}
+    if found != columns:
+        return f"columns {found} instead of {columns}"
+    names = list(columns)
+    wanted = _rows(names, connection.execute(sql).fetchall())
     got = _rows(df.columns, df.collect())
     if len(got) != len(wanted):
         return f"{len(got)} rows instead of {len(wanted)}"
