@@ -10,26 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hackney.functions.clock import EVENT_TIME, flat_window
+from hackney.functions.clock import EVENT_TIME, flat_window, watermarked
 from hackney.functions.records import parse
+from hackney.operators.windows import DELAY
 from hackney.schemas import DOUBLE, TEXT, TIME, schema_of
 
 
-def throughput(records: DataFrame, interval: str = "1 hour", topic: str = "topic") -> DataFrame:
+def throughput(
+    records: DataFrame, interval: str = "1 hour", topic: str = "topic", delay: str | None = DELAY
+) -> DataFrame:
     """Messages and bytes per topic and interval of the broker's time."""
-    return records.groupBy(F.window("timestamp", interval), topic).agg(
+    timed = watermarked(records, delay, "timestamp")
+    return timed.groupBy(F.window("timestamp", interval), topic).agg(
         F.count("*").alias("messages"), F.sum(F.octet_length("value")).alias("bytes")
     )
 
 
 def error_rate(
-    records: DataFrame, interval: str = "1 hour", fields: Sequence[str] = ("trip_id", EVENT_TIME)
+    records: DataFrame,
+    interval: str = "1 hour",
+    fields: Sequence[str] = ("trip_id", EVENT_TIME),
+    delay: str | None = DELAY,
 ) -> DataFrame:
     """Share of records, per interval of the broker's time, that lack one of ``fields``."""
     parsed = parse(records, fields, keep=("timestamp",))
     bad = reduce(or_, [F.col(name).isNull() for name in fields])
     return (
-        parsed.groupBy(F.window("timestamp", interval))
+        watermarked(parsed, delay, "timestamp")
+        .groupBy(F.window("timestamp", interval))
         .agg(F.count("*").alias("records"), F.count_if(bad).alias("malformed"))
         .withColumn("error_rate", F.col("malformed") / F.col("records"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.functions.clock import EVENT_TIME, watermarked
-from hackney.functions.records import CORRUPT, parse
+from hackney.functions.records import CORRUPT
 from hackney.operators.windows import DELAY
 from hackney.schemas import TRIP
 
@@ -180,9 +180,3 @@ def preprocess(
         sound = (F.col(name) >= 0) & (F.col(name) < float("inf"))
         numbers = numbers.filter(F.col(name).isNull() | sound)
     return numbers.fillna(dict(fill)) if fill else numbers
-
-
-def readable(records: DataFrame, fields: Sequence[str] = ("event_timestamp",), keep: Sequence[str] = ()) -> DataFrame:
-    """Whether each record can be read and has an event time, with the ``keep`` columns."""
-    parsed = parse(records, fields, keep=keep)
-    return parsed.select(*keep, F.col(fields[0]).isNotNull().alias("readable"))

@@ -78,7 +78,7 @@ GROUP BY 1
 """
 
 
-@plan(_sql_revenue("month"))
+@plan(_sql_revenue("month"), name="accumulated_revenue")
 def accumulated_revenue_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accumulated_revenue(totals_by_day(history_trips(spark, sf_dir)), "month")
 
@@ -99,7 +99,8 @@ SELECT coalesce(cast(year(day) AS varchar), 'all') AS "year",
        cast(sum(fare) AS double) AS revenue
 FROM trips
 GROUP BY ROLLUP (year(day), quarter(day), month(day))
-"""
+""",
+    name="rollup_periods",
 )
 def rollup_of_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = rollup_periods(totals_by_day(order_trips(table(spark, sf_dir, "orders"))))
@@ -118,7 +119,8 @@ SELECT pickup_community_area,
        cast(sum("count") AS double) / count(*) AS mean_per_window
 FROM spots
 GROUP BY pickup_community_area
-"""
+""",
+    name="persistent_hot_spots",
 )
 def persistent_community_hot_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return persistent_hot_spots(community_hot_spots(batch_trips(spark, sf_dir)), COMMUNITY)
@@ -128,7 +130,8 @@ def persistent_community_hot_spots(spark: SparkSession, sf_dir: str) -> DataFram
     f"""
 WITH trips AS ({TRIPS})
 SELECT pickup_centroid_location, count(*) AS pickups FROM trips GROUP BY pickup_centroid_location
-"""
+""",
+    name="location_frequency",
 )
 def pickup_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return location_frequency(batch_trips(spark, sf_dir))
@@ -196,7 +199,7 @@ FROM totals WHERE {rule.metric} {sign} {rule.threshold}
 SQL_ALERTS = " UNION ALL ".join(_sql_rule(rule) for rule in RULES)
 
 
-@plan(f"WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)}) {SQL_ALERTS}")
+@plan(f"WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)}) {SQL_ALERTS}", name="alerts")
 def critical_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = flat_window(fare_totals(batch_trips(spark, sf_dir), size="1 hour", scale=2, exact=True))
     return alerts(totals, RULES, keep=("window_start", "window_end"))

@@ -29,7 +29,8 @@ SELECT cast(event_id AS varchar) AS "key",
                        WHEN 'error' THEN '{"trip_id":"' || cast(event_id AS varchar) || '", fare' END AS value
 FROM events
 WHERE event_type IN ('signup', 'view', 'error')
-"""
+""",
+    name="validate_quarantine",
 )
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = quarantined(validate(_records(spark, sf_dir), FIELDS, keep=("key", "topic")), "key", "topic")
@@ -142,7 +143,8 @@ SELECT trip_id, cast(fare AS double) AS fare,
        event_timestamp
 FROM trips
 WHERE payment_type <> 'purchase' AND (payment_type <> 'error' OR fare <= 0)
-"""
+""",
+    name="preprocess",
 )
 def preprocess_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = preprocess(_noisy(batch_trips(spark, sf_dir)), fill={"tips": 0.0})
@@ -158,7 +160,8 @@ SELECT {SQL_HOUR} AS window_start, {SQL_HOUR} + INTERVAL '1 hour' AS window_end,
        count(*) AS messages, cast(sum(strlen(props)) AS bigint) AS bytes
 FROM events
 GROUP BY ALL
-"""
+""",
+    name="throughput",
 )
 def topic_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -175,7 +178,8 @@ SELECT {SQL_HOUR} AS window_start, {SQL_HOUR} + INTERVAL '1 hour' AS window_end,
        cast(count(*) FILTER (event_type IN ('view', 'error')) AS double) / count(*) AS error_rate
 FROM events
 GROUP BY ALL
-"""
+""",
+    name="error_rate",
 )
 def record_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_window(error_rate(_records(spark, sf_dir)))
@@ -189,7 +193,8 @@ SELECT event_type AS topic, count(*) AS records,
        event_type IN ('view', 'error') AS silent
 FROM events
 GROUP BY event_type
-"""
+""",
+    name="input_health",
 )
 def health_of_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return input_health(_records(spark, sf_dir), by=["topic"])

@@ -19,11 +19,11 @@ class Plan:
 PLANS: dict[str, Plan] = {}
 
 
-def plan(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under the name of its function."""
+def plan(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under ``name``, or else that of its function."""
 
     def register(run: Query) -> Query:
-        PLANS[run.__name__] = Plan(run, sql)
+        PLANS[name or run.__name__] = Plan(run, sql)
         return run
 
     return register

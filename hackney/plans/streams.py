@@ -12,7 +12,7 @@ from hackney.functions.records import parse
 from hackney.operators.alerts import alerts
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.history import persistent_hot_spots
-from hackney.operators.metrics import batch_health, observed, progress_rows
+from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows
 from hackney.operators.windows import COMMUNITY, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
@@ -34,19 +34,33 @@ from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
 from hackney.streaming.progress import progress_table
 from hackney.streaming.run import ALL_AVAILABLE, await_all, start_tenant
-from hackney.streaming.sinks import BATCH, file_sink, latest, versioned_sink, write_records
+from hackney.streaming.sinks import (
+    BATCH,
+    file_sink,
+    fold_versions,
+    latest,
+    read_latest,
+    versioned_sink,
+    write_records,
+)
 
 MONEY = ["event_timestamp", "fare", "tips", "trip_total"]
 
 
 def _deliver(
-    spark: SparkSession, parts: list[DataFrame], query: Callable[[DataFrame], DataFrame], name: str, mode: str
+    spark: SparkSession,
+    parts: list[DataFrame],
+    query: Callable[[DataFrame], DataFrame],
+    name: str,
+    mode: str,
+    path: str | None = None,
 ) -> DataFrame:
     """Put the parts into a topic one after the other and let the query catch up after each.
 
     The query ends and starts again from its checkpoint every time. Returns all it has emitted.
     """
-    topic, path, checkpoints = (scratch(spark, folder) for folder in ("topic", name, "checkpoints"))
+    topic, checkpoints = scratch(spark, "topic"), scratch(spark, "checkpoints")
+    path = path or scratch(spark, name)
     for part in parts:
         write_records(event_wire(part), topic)
         trips = parse(read_wire(spark, "parquet", path=topic), MONEY, keep=())
@@ -97,6 +111,17 @@ def result_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_report(latest(_deliver(spark, parts, totals_by_day, "days", "update"), ["day"]), scale=None)
 
 
+@plan(SQL_BY_DAY)
+def result_table_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table after its first versions have been folded into one."""
+    events = table(spark, sf_dir, "events")
+    path, folded = scratch(spark, "days"), scratch(spark, "folded")
+    versions = _deliver(spark, in_thirds(events), totals_by_day, "days", "update", path)
+    first = versions.agg(F.min(BATCH)).first()[0]
+    fold_versions(spark, path, folded, ["day"], last=first)
+    return day_report(read_latest(spark, path, ["day"], folded), scale=None)
+
+
 # The watermark is 10 seconds behind the last trip, in whole milliseconds. Trips without an area are
 # filtered out below the watermark (the optimizer moves the filter there if it is written above), so
 # they do not move it.
@@ -255,7 +280,8 @@ def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'progress_fares' AS query_name, count(*) AS input_rows, cast(0 AS bigint) AS late_rows, TRUE AS timed,
        count(DISTINCT time_bucket(INTERVAL '1 hour', ts)) AS state_rows
 FROM events
-"""
+""",
+    name="query_progress",
 )
 def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = fare_totals(stream_trips(spark, sf_dir), size="1 hour", exact=True)
@@ -298,3 +324,20 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     health = batch_health(progress_rows(progress_table(spark, queries)))
     return health.select("query_name", "records", "valid", "late_rows", "silent")
+
+
+@plan(
+    """
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       count(*) AS records, count(*) FILTER (event_type IN ('view', 'error')) AS malformed,
+       cast(count(*) FILTER (event_type IN ('view', 'error')) AS double) / count(*) AS error_rate
+FROM events
+GROUP BY ALL
+"""
+)
+def stream_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "errors")
+    records = faulty_wire(table_stream(spark, sf_dir, "events"))
+    finish(error_rate(records), name="errors", mode="update", sink=versioned_sink(path))
+    return flat_window(latest(spark.read.parquet(path), ["window"]))

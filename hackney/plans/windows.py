@@ -51,7 +51,8 @@ SELECT count(*) AS trips_total,
        round(cast(sum(trip_total) AS double) / count(trip_total), 0) AS trip_total_avg
 FROM trips
 WHERE event_timestamp > TIMESTAMP '{DAY} 00:00:00' AND event_timestamp < TIMESTAMP '{DAY} 00:00:00' + INTERVAL '1 day'
-"""
+""",
+    name="day_totals",
 )
 def day_totals_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_totals(batch_trips(spark, sf_dir), as_of=DAY, exact=True)
@@ -87,7 +88,7 @@ GROUP BY ALL
 """
 
 
-@plan(SQL_BY_DAY)
+@plan(SQL_BY_DAY, name="totals_by_day")
 def totals_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_report(totals_by_day(batch_trips(spark, sf_dir)), scale=None)
 

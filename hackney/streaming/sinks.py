@@ -76,13 +76,24 @@ def latest(versions: DataFrame, key: Sequence[str], version: str = BATCH) -> Dat
     return versions.groupBy(*key).agg(*[F.max_by(name, version).alias(name) for name in values])
 
 
-def fold_versions(spark: SparkSession, path: str, target: str, key: Sequence[str], last: int) -> None:
-    """Store the last emissions up to batch ``last`` as one version in ``target``.
+def read_latest(spark: SparkSession, path: str, key: Sequence[str], folded: str | None = None) -> DataFrame:
+    """The last emission per key of a versioned table; with ``folded``, of its last fold and what came after."""
+    versions = spark.read.parquet(path)
+    if folded is None:
+        return latest(versions, key)
+    folds = spark.read.parquet(folded)
+    last = folds.agg(F.max(BATCH)).first()[0]
+    recent = versions.filter(F.col(BATCH) > last)
+    return latest(folds.filter(F.col(BATCH) == last).unionByName(recent), key)
 
-    A reader then needs ``target`` and the batches after ``last`` only.
+
+def fold_versions(spark: SparkSession, path: str, folded: str, key: Sequence[str], last: int) -> None:
+    """Store the last emissions up to batch ``last`` as one version in ``folded``.
+
+    Readers then open that and the batches after ``last`` instead of one folder per micro-batch.
     """
     versions = spark.read.parquet(path).filter(F.col(BATCH) <= last)
-    latest(versions, key).hint("rebalance").write.mode("overwrite").parquet(f"{target}/{BATCH}={last}")
+    latest(versions, key).write.mode("overwrite").parquet(f"{folded}/{BATCH}={last}")
 
 
 def write_store(df: DataFrame, path: str, partition_by: Sequence[str] = ("day",), mode: str = "overwrite") -> None:
@@ -91,7 +102,7 @@ def write_store(df: DataFrame, path: str, partition_by: Sequence[str] = ("day",)
     The rebalance hint brings rows of a day together, so that a small day does not leave a file
     per task, and lets AQE split a day with a third of all rows over many tasks.
     """
-    spread = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    spread = df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
     writer = spread.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -18,7 +18,6 @@ from hackney.operators.quality import (
     drift_report,
     preprocess,
     quarantined,
-    readable,
     valid,
     validate,
 )
@@ -152,7 +151,6 @@ def test_error_rate_health_and_throughput(spark):
     assert (health["records"], health["valid"], health["unusable"], health["silent"]) == (4, 1, 3, False)
     silent = input_health(wire.filter("value = 'bad'"), by=["topic"]).first()
     assert silent["silent"] is True
-    assert readable(wire).filter("readable").count() == 1
     messages = throughput(wire.filter("value = 'bad'")).first()
     assert (messages["messages"], messages["bytes"]) == (1, 3)
 

@@ -6,7 +6,6 @@ import json
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from hackney.functions.records import parse
 from hackney.operators.daily import day_totals, totals_by_day
@@ -16,7 +15,7 @@ from hackney.operators.windows import community_hot_spots, fare_totals
 from hackney.schemas import RESULT_TOPICS, SUM_FARE_WINDOW
 from hackney.streaming.progress import ProgressLog, progress_table
 from hackney.streaming.run import await_all, run_to_end, start, start_tenant, stop_session_queries
-from hackney.streaming.sinks import BATCH, file_sink, fold_versions, latest, table_sink, versioned_sink
+from hackney.streaming.sinks import BATCH, file_sink, fold_versions, latest, read_latest, table_sink, versioned_sink
 
 
 def at(time, fare=1.0, **more):
@@ -176,9 +175,11 @@ def test_folded_versions(spark, folder):
     fold_versions(spark, path, target, ["window"], last=1)
     folded = spark.read.parquet(target)
     assert {(r["window"], r["total"], r[BATCH]) for r in folded.collect()} == {("w", 2, 1), ("only0", 0, 1), ("only1", 0, 1)}
-    rest = spark.read.parquet(path).filter(F.col(BATCH) > 1)
-    now = latest(folded.unionByName(rest), ["window"])
-    assert {(r["window"], r["total"]) for r in now.collect()} == {("w", 3), ("only0", 0), ("only1", 0), ("only2", 0)}
+    now = {("w", 3), ("only0", 0), ("only1", 0), ("only2", 0)}
+    for folds in (target, None):
+        assert {(r["window"], r["total"]) for r in read_latest(spark, path, ["window"], folds).collect()} == now
+    fold_versions(spark, path, target, ["window"], last=2)
+    assert {(r["window"], r["total"]) for r in read_latest(spark, path, ["window"], target).collect()} == now
 
 
 def test_two_tenants_do_not_double_results(spark, batches, folder):
