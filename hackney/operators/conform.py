@@ -38,7 +38,12 @@ def create_table(spark: SparkSession, table: Table, location: str, database: str
     return name
 
 
-def mapped(results: DataFrame, table: Table, mapping: Mapping[str, str] | None = None, identity: Column | None = None) -> DataFrame:
+def mapped(
+    results: DataFrame,
+    table: Table,
+    mapping: Mapping[str, str] | None = None,
+    identity: Column | None = None,
+) -> DataFrame:
     """Result rows as rows of ``table``: ``mapping`` gives the result column of each table column.
 
     Every row gets an ``id`` of its own. By default it is random; pass ``identity`` for one that

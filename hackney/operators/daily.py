@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.functions.amounts import cents_sum, mean, rounded, total
+from hackney.functions.amounts import cents, cents_sum, mean, rounded, total
 from hackney.functions.clock import EVENT_TIME, within_day
 
 
@@ -56,9 +56,9 @@ def totals_by_day(
             F.count("*").alias("trips"),
             cents_sum("fare").alias("fare_cents"),
             cents_sum("tips").alias("tips_cents"),
-            F.count("tips").alias("tips_count"),
+            F.count(cents("tips")).alias("tips_count"),
             cents_sum("trip_total").alias("trip_total_cents"),
-            F.count("trip_total").alias("trip_total_count"),
+            F.count(cents("trip_total")).alias("trip_total_count"),
         )
     )
 

@@ -55,6 +55,7 @@ def to_wire(trips: DataFrame, key: str | None = None, keep: Sequence[str] = ())
     """
     times = [f.name for f in trips.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     record_key = F.col(key).cast("string") if key else F.lit(None)
-    body = [event_text(name).alias(name) if name in times else F.col(name) for name in trips.columns if name not in keep]
+    sent = [name for name in trips.columns if name not in keep]
+    body = [event_text(name).alias(name) if name in times else F.col(name) for name in sent]
     records = serialise(trips.select(record_key.cast("binary").alias("key"), *keep, *body), "key", *keep)
     return records.withColumn("value", F.col("value").cast("binary"))

@@ -103,7 +103,8 @@ def drift_report(records: DataFrame, schema: T.StructType = TRIP) -> DataFrame:
     declared = F.array(*[F.lit(name) for name in schema.names])
     extra = F.array_except(F.coalesce("names", F.array().cast("array<string>")), declared)
     rows = F.concat(
-        "declared", F.transform(extra, lambda name: F.struct(name.alias("field"), F.lit(0).cast("bigint").alias("unusable")))
+        "declared",
+        F.transform(extra, lambda name: F.struct(name.alias("field"), F.lit(0).cast("bigint").alias("unusable"))),
     )
     spread = by_shape.select("names", "records", F.inline(rows))
     has = F.coalesce(F.array_contains("names", F.col("field")), F.lit(False))

@@ -186,7 +186,8 @@ def in_thirds(events: DataFrame) -> list[DataFrame]:
     step = (bounds["last"] - bounds["first"]) / 3
     first, second = (F.lit(bounds["first"] + step * n).cast("timestamp_ntz") for n in (1, 2))
     time = F.col("ts")
-    return [events.filter(time < first), events.filter((time >= first) & (time < second)), events.filter(time >= second)]
+    spans = (time < first, (time >= first) & (time < second), time >= second)
+    return [events.filter(span) for span in spans]
 
 
 def trip_file_rows(events: DataFrame) -> DataFrame:

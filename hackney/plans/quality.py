@@ -124,7 +124,7 @@ def stream_dedupe_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _noisy(trips: DataFrame) -> DataFrame:
-    """Fares of errors are negative, tips of signups are missing, those of views are NaN, and purchases have no time."""
+    """Errors have negative fares, signups no tips, views NaN for tips, and purchases no time."""
     kind = F.col("payment_type")
     return trips.withColumns(
         {

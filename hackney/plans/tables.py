@@ -10,7 +10,16 @@ from hackney.functions.records import parse, serialise
 from hackney.operators.conform import conform, mapped
 from hackney.operators.daily import day_totals
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
-from hackney.plans.fixtures import TRIPS, batch_trips, event_trips, finish, sql_sliding, stream_trips, table, with_time_zone
+from hackney.plans.fixtures import (
+    TRIPS,
+    batch_trips,
+    event_trips,
+    finish,
+    sql_sliding,
+    stream_trips,
+    table,
+    with_time_zone,
+)
 from hackney.plans.registry import plan
 from hackney.plans.windows import DAY, sql_fares
 from hackney.schemas import (

@@ -16,7 +16,13 @@ def _tenant(path: str) -> Column:
     return F.split_part(F.col(path), F.lit("/"), F.lit(-3))
 
 
-def read_trip_files(spark: SparkSession, path: str | list[str], stream: bool = False, files_per_trigger: int | None = None, **options) -> DataFrame:
+def read_trip_files(
+    spark: SparkSession,
+    path: str | list[str],
+    stream: bool = False,
+    files_per_trigger: int | None = None,
+    **options,
+) -> DataFrame:
     """Cells of trip files as text. The header row is skipped, columns go by position.
 
     Quoted line breaks are off, so that Spark can split large files. A stream takes new files as

@@ -39,7 +39,13 @@ def sasl(
     }
 
 
-def read_wire(spark: SparkSession, format: str = "kafka", stream: bool = True, path: str | None = None, **options) -> DataFrame:
+def read_wire(
+    spark: SparkSession,
+    format: str = "kafka",
+    stream: bool = True,
+    path: str | None = None,
+    **options,
+) -> DataFrame:
     """Key and value as text, and the time of the record.
 
     ``kafka`` needs the connector on the class path and ``broker_options``. ``parquet`` reads

@@ -47,6 +47,19 @@ def test_nan_spreads_in_plain_sums_and_is_skipped_in_exact_ones(spark):
     assert fare_totals(rows, exact=True).first()["total_fare"] == 2.0
 
 
+def test_amounts_that_do_not_fit_end_nothing(spark):
+    minute = dt.timedelta(minutes=1)
+    rows = frame(spark, [trip(DAY, 1e17), trip(DAY, 2.0), trip(DAY + minute, 9e16), trip(DAY + minute, 9e16)])
+    totals = fare_totals(rows, exact=True).orderBy("window").collect()
+    assert [r["total_fare"] for r in totals] == [2.0, None]
+
+
+def test_means_leave_out_what_the_sums_leave_out(spark):
+    rows = frame(spark, [trip(DAY, 1.0, float("nan")), trip(DAY, 1.0, 3.0), trip(DAY, 1.0, None)])
+    assert day_totals(rows, as_of="2024-01-15", exact=True, inclusive_start=True).first()["tips_avg"] == 3.0
+    assert day_report(totals_by_day(rows)).first()["tips_avg"] == 3.0
+
+
 def test_exact_sum_has_no_rounding_error(spark):
     rows = frame(spark, [trip(DAY, 0.1) for _ in range(10)])
     assert fare_totals(rows, scale=None, exact=True).first()["total_fare"] == 1.0
