@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hackney.app import analyse, store
 from hackney.functions.clock import flat_window
 from hackney.functions.records import parse
 from hackney.operators.alerts import alerts
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.history import persistent_hot_spots
-from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows
+from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows, query_progress
 from hackney.operators.windows import COMMUNITY, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
@@ -29,6 +30,7 @@ from hackney.plans.fixtures import (
 from hackney.plans.registry import plan
 from hackney.plans.history import RULES, SQL_ALERTS
 from hackney.plans.windows import DAY, SQL_BY_DAY, sql_fares
+from hackney.schemas import INGEST_TOPIC, topic_name
 from hackney.session import scratch
 from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
@@ -43,6 +45,7 @@ from hackney.streaming.sinks import (
     versioned_sink,
     write_records,
 )
+from hackney.streaming.topics import Folders
 
 MONEY = ["event_timestamp", "fare", "tips", "trip_total"]
 
@@ -291,8 +294,8 @@ def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode="update",
         sink=versioned_sink(scratch(spark, "fares")),
     )
-    rows = progress_rows(progress_table(spark, [query]))
-    return rows.groupBy("query_name").agg(
+    report = query_progress(progress_rows(progress_table(spark, [query])))
+    return report.groupBy("query_name").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_rows").alias("late_rows"),
         (F.sum("batch_ms") > 0).alias("timed"),
@@ -341,3 +344,33 @@ def stream_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = faulty_wire(table_stream(spark, sf_dir, "events"))
     finish(error_rate(records), name="errors", mode="update", sink=versioned_sink(path))
     return flat_window(latest(spark.read.parquet(path), ["window"]))
+
+
+@plan(
+    f"""
+WITH trips AS ({TRIPS}), fares AS ({sql_fares()}),
+     community AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
+     places AS ({sql_sliding('pickup_centroid_location')})
+SELECT 'sumfarewindow' AS result_table, count(*) AS results, cast(NULL AS bigint) AS pickups FROM fares
+UNION ALL SELECT 'hotspotcommunitywindow', count(*), cast(sum("count") AS bigint) FROM community
+  WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA})
+UNION ALL SELECT 'hotspotwindow', count(*), cast(sum("count") AS bigint) FROM places
+  WHERE window_end <= (SELECT {PASSED} FROM trips)
+"""
+)
+def results_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the records of a topic over the four standing queries and their topics to the result tables."""
+    root, tables = scratch(spark, "topics"), scratch(spark, "tables")
+    topics, trigger = Folders(root), ALL_AVAILABLE
+    topics.send(event_wire(table(spark, sf_dir, "events")), topic_name("acme", INGEST_TOPIC))
+    settings = {"checkpoints": scratch(spark, "checkpoints"), "trigger": trigger, "state_partitions": cores(spark)}
+    await_all(analyse(spark, topics, "acme", **settings))
+    await_all(store(spark, topics, "acme", tables, settings["checkpoints"], trigger))
+
+    def stored(name: str, pickups: Column) -> DataFrame:
+        rows = spark.read.parquet(f"{tables}/acme/{name}")
+        return rows.agg(F.lit(name).alias("result_table"), F.count("*").alias("results"), pickups.alias("pickups"))
+
+    fares = stored("sumfarewindow", F.lit(None).cast("bigint"))
+    areas, places = (stored(name, F.sum("count")) for name in ("hotspotcommunitywindow", "hotspotwindow"))
+    return fares.unionByName(areas).unionByName(places)

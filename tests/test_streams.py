@@ -150,6 +150,41 @@ def test_a_repeated_batch_does_not_count_twice(spark, folder):
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("w", 1, 3)]
 
 
+def test_a_crash_after_the_write_neither_loses_nor_doubles(spark, batches, folder):
+    """The sink has written when the query dies; the restart repeats the batch over what it wrote."""
+    batches.add(at("10:00:01"), at("10:00:01"))
+    path, crashes = str(folder / "out"), [True]
+
+    def sink(writer):
+        writes = []
+
+        class Grab:
+            def foreachBatch(self, write):
+                writes.append(write)
+                return self
+
+        versioned_sink(path)(Grab())
+
+        def write_then_crash(rows, batch):
+            writes[0](rows, batch)
+            if crashes.pop() if crashes else False:
+                raise RuntimeError("executor and driver are gone")
+
+        return writer.foreachBatch(write_then_crash)
+
+    def attempt():
+        totals = fare_totals(parse(batches.stream(spark)))
+        return run_to_end(totals, name="q", mode="update", sink=sink, checkpoints=str(folder / "c"))
+
+    with pytest.raises(Exception, match="are gone"):
+        attempt()
+    attempt()
+    assert emitted(spark, path) == [(0, 2.0)]
+    batches.add(at("10:00:02"))
+    attempt()
+    assert emitted(spark, path) == [(0, 2.0), (1, 3.0)]
+
+
 def test_result_table_has_a_row_and_an_id_per_emission(spark, batches, folder):
     batches.add(at("10:00:01", tips=1, trip_total=2))
     batches.add(at("10:00:02", tips=1, trip_total=2))
