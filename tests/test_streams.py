@@ -182,7 +182,7 @@ def test_a_crash_after_the_write_neither_loses_nor_doubles(spark, batches, folde
     assert emitted(spark, path) == [(0, 2.0)]
     batches.add(at("10:00:02"))
     attempt()
-    assert emitted(spark, path) == [(0, 2.0), (1, 3.0)]
+    assert [total for _, total in emitted(spark, path)] == [2.0, 3.0]
 
 
 def test_result_table_has_a_row_and_an_id_per_emission(spark, batches, folder):
