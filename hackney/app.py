@@ -2,7 +2,7 @@
 
     python -m hackney.app ingest --tenant acme --servers broker:9092 --files 's3a://bucket/acme/in'
     python -m hackney.app analyse --tenant acme --servers broker:9092 --checkpoints s3a://bucket/cp
-    python -m hackney.app store --tenant acme --servers broker:9092 --checkpoints s3a://bucket/cp --tables s3a://bucket/t
+    python -m hackney.app store --tenant acme --servers broker:9092 --checkpoints s3a://b/cp --tables s3a://b/t
 
 ``--topics <folder>`` in place of ``--servers`` uses folders as topics, and ``--once`` ends a job when
 it has caught up.
@@ -11,35 +11,21 @@ it has caught up.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.functions.records import parse, serialise
-from hackney.operators.daily import day_totals
 from hackney.operators.ingest import clean, stamp, to_wire, typed_trips
-from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
 from hackney.schemas import INGEST_TOPIC, RESULT_TOPICS, narrow, topic_name
 from hackney.session import build_session
 from hackney.sources.files import read_trip_files
 from hackney.sources.wire import sasl
-from hackney.streaming.run import ALL_AVAILABLE, await_all, start
+from hackney.streaming.run import ALL_AVAILABLE, await_all, start, start_tenant
 from hackney.streaming.sinks import table_sink
 from hackney.streaming.topics import Broker, Folders, Topics
 
-# Per result topic: the query, its output mode and the trip fields it reads.
-STANDING = {
-    "sumFareWindowStream": (fare_totals, "update", ["event_timestamp", "fare", "tips", "trip_total"]),
-    "tripsTotalStream": (day_totals, "complete", ["event_timestamp", "fare", "tips", "trip_total"]),
-    "hotspotCommunityPickupWindowStream": (
-        community_hot_spots,
-        "append",
-        ["event_timestamp", "pickup_community_area"],
-    ),
-    "hotspotWindowStream": (location_hot_spots, "append", ["event_timestamp", "pickup_centroid_location"]),
-}
-
-
 def ingested(raw: DataFrame) -> DataFrame:
     """Cells of trip files as records, complete rows only, stamped with the present time."""
     return to_wire(stamp(typed_trips(clean(raw))), key="trip_id")
@@ -74,19 +60,12 @@ def analyse(
 ) -> list[StreamingQuery]:
     """The four standing queries: from the tenant's trips to its result topics, as JSON."""
     records = topics.read(spark, topic_name(tenant, INGEST_TOPIC))
-    return [
-        start(
-            serialise(query(parse(records, fields, keep=()))),
-            name=topic_name(tenant, topic),
-            mode=mode,
-            sink=topics.sink(topic_name(tenant, topic)),
-            checkpoints=checkpoints,
-            trigger=trigger,
-            pool=tenant,
-            state_partitions=state_partitions,
-        )
-        for topic, (query, mode, fields) in STANDING.items()
-    ]
+
+    def trips(fields: Sequence[str]) -> DataFrame:
+        return parse(records, fields, keep=())
+
+    options = {"trigger": trigger, "state_partitions": state_partitions}
+    return start_tenant(trips, tenant, topics.sink, checkpoints, prepare=serialise, **options)
 
 
 def store(
@@ -150,7 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     topics, tenant = _topics(arguments), arguments.tenant
     options = {"checkpoints": arguments.checkpoints, "trigger": ALL_AVAILABLE if arguments.once else None}
     if arguments.job == "ingest":
-        queries = ingest(spark, topics, tenant, arguments.files, files_per_trigger=arguments.files_per_trigger, **options)
+        options["files_per_trigger"] = arguments.files_per_trigger
+        queries = ingest(spark, topics, tenant, arguments.files, **options)
     elif arguments.job == "analyse":
         queries = analyse(spark, topics, tenant, **options)
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from hackney.operators.alerts import alerts
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.history import persistent_hot_spots
 from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows, query_progress
-from hackney.operators.windows import COMMUNITY, community_hot_spots, fare_totals, location_hot_spots
+from hackney.operators.windows import COMMUNITY, LOCATION, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
     TRIPS,
     cores,
@@ -35,9 +36,10 @@ from hackney.session import scratch
 from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
 from hackney.streaming.progress import progress_table
-from hackney.streaming.run import ALL_AVAILABLE, await_all, start_tenant
+from hackney.streaming.run import ALL_AVAILABLE, MONEY, STANDING, await_all, start_tenant
 from hackney.streaming.sinks import (
     BATCH,
+    Sink,
     file_sink,
     fold_versions,
     latest,
@@ -47,8 +49,6 @@ from hackney.streaming.sinks import (
 )
 from hackney.streaming.topics import Folders
 
-MONEY = ["event_timestamp", "fare", "tips", "trip_total"]
-
 
 def _deliver(
     spark: SparkSession,
@@ -250,32 +250,29 @@ def stream_null_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH trips AS ({TRIPS}), fares AS ({sql_fares()}),
      community AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
      places AS ({sql_sliding('pickup_centroid_location')})
-SELECT 'sum_fare_window' AS query, count(*) AS results FROM fares
-UNION ALL SELECT 'hot_spot_community_pickup_window', count(*) FROM community
+SELECT 'sumFareWindowStream' AS query, count(*) AS results FROM fares
+UNION ALL SELECT 'hotspotCommunityPickupWindowStream', count(*) FROM community
   WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA})
-UNION ALL SELECT 'hot_spot_window', count(*) FROM places WHERE window_end <= (SELECT {PASSED} FROM trips)
-UNION ALL SELECT 'trips_total', 1
+UNION ALL SELECT 'hotspotWindowStream', count(*) FROM places WHERE window_end <= (SELECT {PASSED} FROM trips)
+UNION ALL SELECT 'tripsTotalStream', 1
 """
 )
 def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four standing queries of a tenant at once; counts of the results each has written."""
-    root = scratch(spark, "tenant")
-    sinks = {
-        "sum_fare_window": versioned_sink(f"{root}/sum_fare_window"),
-        "trips_total": versioned_sink(f"{root}/trips_total"),
-        "hot_spot_community_pickup_window": file_sink(f"{root}/hot_spot_community_pickup_window"),
-        "hot_spot_window": file_sink(f"{root}/hot_spot_window"),
-    }
-    trips = stream_trips(spark, sf_dir)
-    checkpoints = scratch(spark, "checkpoints")
-    await_all(start_tenant(trips, "tenant", sinks, checkpoints, trigger=ALL_AVAILABLE, state_partitions=cores(spark)))
-    keys = {"sum_fare_window": ["window"], "trips_total": []}
-    counts = []
-    for name in sinks:
-        stored = spark.read.parquet(f"{root}/{name}")
-        rows = latest(stored, keys[name]) if name in keys else stored
-        counts.append(rows.agg(F.lit(name).alias("query"), F.count("*").alias("results")))
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    """The standing queries of a tenant at once; counts of the results each has written."""
+    root, trips = scratch(spark, "results"), stream_trips(spark, sf_dir)
+
+    def sink(topic: str) -> Sink:
+        return versioned_sink(f"{root}/{topic}")
+
+    options = {"trigger": ALL_AVAILABLE, "state_partitions": cores(spark)}
+    await_all(start_tenant(lambda fields: trips, "acme", sink, scratch(spark, "checkpoints"), **options))
+
+    def results(topic: str) -> DataFrame:
+        versions = spark.read.parquet(f"{root}/{topic_name('acme', topic)}")
+        key = [name for name in versions.columns if name in ("window", COMMUNITY, LOCATION)]
+        return latest(versions, key).agg(F.lit(topic).alias("query"), F.count("*").alias("results"))
+
+    return reduce(DataFrame.unionByName, [results(topic) for topic in STANDING])
 
 
 @plan(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from hackney.functions.clock import EVENT_TIME
 from hackney.operators.daily import day_totals
-from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
+from hackney.operators.windows import COMMUNITY, LOCATION, community_hot_spots, fare_totals, location_hot_spots
+from hackney.schemas import topic_name
 from hackney.streaming.sinks import Sink
 
 ALL_AVAILABLE = {"availableNow": True}
@@ -57,33 +59,40 @@ def run_to_end(df: DataFrame, **options) -> StreamingQuery:
     return query
 
 
+# The standing queries: result topic, query, output mode and the trip fields it reads.
+MONEY = (EVENT_TIME, "fare", "tips", "trip_total")
+STANDING = {
+    "sumFareWindowStream": (fare_totals, "update", MONEY),
+    "tripsTotalStream": (day_totals, "complete", MONEY),
+    "hotspotCommunityPickupWindowStream": (community_hot_spots, "append", (EVENT_TIME, COMMUNITY)),
+    "hotspotWindowStream": (location_hot_spots, "append", (EVENT_TIME, LOCATION)),
+}
+
+
 def start_tenant(
-    trips: DataFrame,
+    trips: Callable[[Sequence[str]], DataFrame],
     tenant: str,
-    sinks: dict[str, Sink],
+    sink: Callable[[str], Sink],
     checkpoints: str,
-    trigger: dict | None = None,
-    state_partitions: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda results: results,
+    **options,
 ) -> list[StreamingQuery]:
-    """The four standing queries of a tenant; names, checkpoints and sinks are its own."""
-    standing = {
-        "sum_fare_window": (fare_totals(trips), "update"),
-        "trips_total": (day_totals(trips), "complete"),
-        "hot_spot_community_pickup_window": (community_hot_spots(trips), "append"),
-        "hot_spot_window": (location_hot_spots(trips), "append"),
-    }
+    """Start the standing queries of a tenant; names, checkpoints, sinks and pool are its own.
+
+    ``trips`` gives the stream of trips with the fields a query asks for, ``sink`` the sink of a
+    result topic, ``prepare`` turns results into what the sinks take.
+    """
     return [
         start(
-            df,
-            name=f"{tenant}_{name}",
+            prepare(query(trips(fields))),
+            name=topic_name(tenant, topic),
             mode=mode,
-            sink=sinks[name],
-            checkpoints=f"{checkpoints}/{tenant}",
-            trigger=trigger,
+            sink=sink(topic_name(tenant, topic)),
+            checkpoints=checkpoints,
             pool=tenant,
-            state_partitions=state_partitions,
+            **options,
         )
-        for name, (df, mode) in standing.items()
+        for topic, (query, mode, fields) in STANDING.items()
     ]
 
 

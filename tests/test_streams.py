@@ -14,7 +14,7 @@ from hackney.operators.quality import dedupe
 from hackney.operators.windows import community_hot_spots, fare_totals
 from hackney.schemas import RESULT_TOPICS, SUM_FARE_WINDOW
 from hackney.streaming.progress import ProgressLog, progress_table
-from hackney.streaming.run import await_all, run_to_end, start, start_tenant, stop_session_queries
+from hackney.streaming.run import STANDING, await_all, run_to_end, start, start_tenant, stop_session_queries
 from hackney.streaming.sinks import BATCH, file_sink, fold_versions, latest, read_latest, table_sink, versioned_sink
 
 
@@ -221,20 +221,18 @@ def test_two_tenants_do_not_double_results(spark, batches, folder):
     batches.add(at("10:00:01", pickup_community_area=1))
     queries = []
     for tenant in ("one", "two"):
-        names = ("sum_fare_window", "trips_total", "hot_spot_community_pickup_window", "hot_spot_window")
-        sinks = {name: versioned_sink(str(folder / tenant / name)) for name in names}
-        trips = parse(batches.stream(spark))
-        queries += start_tenant(trips, tenant, sinks, str(folder / "checkpoints"), trigger={"availableNow": True})
+        queries += start_tenant(
+            lambda fields: parse(batches.stream(spark), fields),
+            tenant,
+            lambda topic: versioned_sink(str(folder / topic)),
+            str(folder / "checkpoints"),
+            trigger={"availableNow": True},
+        )
     assert len({query.name for query in queries}) == 8
     await_all(queries, poll_seconds=0.1)
     for tenant in ("one", "two"):
-        assert emitted(spark, folder / tenant / "sum_fare_window") == [(0, 1.0)]
-    assert set(RESULT_TOPICS) == {
-        "tripsTotalStream",
-        "sumFareWindowStream",
-        "hotspotWindowStream",
-        "hotspotCommunityPickupWindowStream",
-    }
+        assert emitted(spark, folder / f"{tenant}_sumFareWindowStream") == [(0, 1.0)]
+    assert set(RESULT_TOPICS) == set(STANDING) and len(STANDING) == 4
 
 
 def test_a_failed_query_is_seen_at_once_and_stops_the_others(spark, batches, folder):
