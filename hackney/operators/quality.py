@@ -143,6 +143,7 @@ def dedupe(
     key: Sequence[str] = ("trip_id",),
     delay: str = DELAY,
     event_time: str = EVENT_TIME,
+    hot_keys: bool = True,
 ) -> DataFrame:
     """One row per key.
 
@@ -152,10 +153,11 @@ def dedupe(
 
     A stream drops copies that arrive within the watermark. Spark has no such step before the
     shuffle of a stream, so copies are combined per Arrow batch there: of a key that is a third of
-    all rows one row per some thousand is left, without a second state store.
+    all rows one row per some thousand is left, without a second state store. ``hot_keys=False``
+    spares the way through Arrow where no key can have many copies.
     """
     if trips.isStreaming:
-        few = _combine_copies(trips, key, event_time)
+        few = _combine_copies(trips, key, event_time) if hot_keys else trips
         return watermarked(few, delay, event_time).dropDuplicatesWithinWatermark(list(key))
     rest = [name for name in trips.columns if name not in key]
     order = sorted(rest, key=lambda name: name != event_time)

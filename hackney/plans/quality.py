@@ -106,7 +106,8 @@ QUALIFY row_number() OVER (
 )
 def dedupe_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies that differ: the earliest one stays."""
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_suppkey", "l_partkey")
+    columns = ["l_orderkey", "l_shipdate", "l_linenumber", "l_suppkey", "l_partkey"]
+    items = table(spark, sf_dir, "lineitem").select(*columns)
     return dedupe(items, key=["l_orderkey"], event_time="l_shipdate")
 
 

@@ -115,11 +115,12 @@ def test_bad_records_give_a_zero_row_in_complete_mode_and_nothing_in_update_mode
     assert [(r["records"], r["valid"], r["silent"]) for r in health] == [(2, 0, True)]
 
 
-def test_dedupe_within_watermark(spark, batches, folder):
+@pytest.mark.parametrize("hot_keys", [True, False])
+def test_dedupe_within_watermark(spark, batches, folder, hot_keys):
     first, second = at("10:00:00", trip_id="a"), at("10:00:01", trip_id="b")
     batches.add(first, first)
     batches.add(first, second)
-    unique = dedupe(parse(batches.stream(spark)))
+    unique = dedupe(parse(batches.stream(spark)), hot_keys=hot_keys)
     path = str(folder / "out")
     run_to_end(unique, name="q", mode="append", sink=file_sink(path), checkpoints=str(folder / "c"))
     assert sorted(r["trip_id"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
