@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import simhash
+from hackney.llm import lines, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +17,34 @@ def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_components,)}
-SQL: dict[str, str] = {}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_lines", "n_dropped", kept)
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash_components, op9_line_dedup)}
+SQL: dict[str, str] = {
+    "op9_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, line, pos, lower_ascii AS key
+            FROM (
+                SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+                FROM documents
+            ), LATERAL (
+                SELECT translate(
+                    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+                ) AS lower_ascii
+            )
+        ), holders AS (
+            SELECT key, min(doc_id) AS least FROM lines WHERE length(key) >= 10 GROUP BY key
+        ), marked AS (
+            SELECT l.*, coalesce(l.doc_id <> h.least, false) AS gone FROM lines l LEFT JOIN holders h USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
+}

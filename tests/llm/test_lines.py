@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from hackney.llm import lines
+from tests.llm.helpers import ODD, documents, prose
+
+
+def plain(rows):
+    holders = defaultdict(set)
+    keys = lambda t: [(x, "".join(c.lower() if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r"))) for x in (t or "").split("\n")]
+    number = lambda i: -(2**63) if i is None else i
+    for i, t in rows:
+        for _, k in keys(t):
+            holders[k].add(number(i))
+    out = []
+    for i, t in rows:
+        stay = [x for x, k in keys(t) if len(k) < 10 or min(holders[k]) == number(i)]
+        out.append((i, (t or "").count("\n") + 1, (t or "").count("\n") + 1 - len(stay), "\n".join(stay)))
+    return Counter(out)
+
+
+def check(spark, rows):
+    found = lines.dedupe_lines(documents(spark, rows))
+    assert {"fp", "fingerprint", "hash"} < set(found.columns)
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in found.collect())
+    assert got == plain(rows)
+
+
+def test_repeated_lines(spark):
+    rng = random.Random(3)
+    pool = [prose(n, 8).replace("\n", "") for n in range(60)] + ["short", "ééééé ééé", "éééé ééééé", "The Hot Line of all"]
+    rows = []
+    for n in range(200):
+        some = [rng.choice(pool) for _ in range(rng.randrange(1, 12))]
+        some = [rng.choice([x, "  " + x + "\t", x.upper() if x.isascii() else x, x + "\r"]) for x in some]
+        rows.append((rng.randrange(150), "\n".join(some + ["  the hot line of ALL "] * (n % 3))))
+    check(spark, rows + ODD + [(None, "the hot line of all\nthe hot line of all")])
+
+
+def test_a_line_over_many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 13)
+    try:
+        rows = [(n, f"the very same line\nits own line {n}\nthe very same line") for n in range(500)]
+        check(spark, rows)
+        df = documents(spark, rows)
+        parts = lines.hashed(df).repartitionByRange(13, "high", "low", "doc_id", "row", "position")
+        sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 3 * sum(sizes) / 13
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_no_documents(spark):
+    assert lines.dedupe_lines(documents(spark, [])).count() == 0
