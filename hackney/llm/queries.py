@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import lines, simhash
+from hackney.llm import lines, packing, simhash
+from hackney.llm.common import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +19,21 @@ def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = stored(packing.cut(_table(spark, sf_dir, "documents"), tokenizer), "pieces")
+    # The ids stay where they are; their places are found from what is below.
+    placed = packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     return found.select("doc_id", "n_lines", "n_dropped", kept)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_components, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_components, op7_best_fit_packing, op9_line_dedup)}
 SQL: dict[str, str] = {
     "op9_line_dedup": """
         WITH lines AS (
