@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import lines, packing, simhash
+from hackney.llm import bpe, lines, packing, simhash
 from hackney.llm.common import stored
 
 
@@ -33,7 +33,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", kept)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_components, op7_best_fit_packing, op9_line_dedup)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash_components, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
 SQL: dict[str, str] = {
     "op9_line_dedup": """
         WITH lines AS (
