@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, lines, packing, simhash
+from hackney.llm import bpe, lines, packing, secrets, simhash
 from hackney.llm.common import stored
+from hackney.llm.sql import SQL as SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,24 @@ def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secrets.BASE]
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def many(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(many(kind) for kind in base),
+        F.sha2(told(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     pieces = stored(packing.cut(_table(spark, sf_dir, "documents"), tokenizer), "pieces")
@@ -44,28 +63,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_components, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
-SQL: dict[str, str] = {
-    "op9_line_dedup": """
-        WITH lines AS (
-            SELECT doc_id, line, pos, lower_ascii AS key
-            FROM (
-                SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-                FROM documents
-            ), LATERAL (
-                SELECT translate(
-                    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
-                ) AS lower_ascii
-            )
-        ), holders AS (
-            SELECT key, min(doc_id) AS least FROM lines WHERE length(key) >= 10 GROUP BY key
-        ), marked AS (
-            SELECT l.*, coalesce(l.doc_id <> h.least, false) AS gone FROM lines l LEFT JOIN holders h USING (key)
-        )
-        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-        FROM marked GROUP BY doc_id
-    """,
-}
+QUERIES = {f.__name__: f for f in (op2_simhash_components, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
