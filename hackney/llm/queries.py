@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, lines, packing, secrets, simhash
+from hackney.llm import bpe, fingerprints, lines, packing, secrets, simhash
 from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
@@ -15,6 +15,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_with_edited(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.digits(F.col("packed")).alias("fingerprint"),
+        fingerprints.digits(F.col("edited_packed")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -63,4 +76,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_components, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
