@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, fingerprints, lines, packing, secrets, simhash
+from hackney.llm import bpe, fingerprints, licenses, lines, packing, secrets, simhash
 from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
@@ -33,6 +33,10 @@ def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [r.kind for r in secrets.BASE]
@@ -76,4 +80,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from hackney.llm import secrets
+import re
+
+from hackney.llm import licenses, secrets
 
 
 def _quoted(text: str) -> str:
@@ -22,7 +24,66 @@ def _secret_spans() -> str:
     )
 
 
+def _pattern(template: str) -> str:
+    """A template as a regular expression over words that each end in a space."""
+    out = ""
+    for part in re.split("(<<.*?>>)", template):
+        if part == "<<beginOptional>>":
+            out += "(?:"
+        elif part == "<<endOptional>>":
+            out += ")?"
+        elif part.startswith("<<var"):
+            out += "(?:[^ ]+ )" + re.search(r"\{\d+,\d+\}", part)[0]
+        else:
+            out += "".join(f"{w} " for w in re.findall("[0-9a-z]+", part.lower()))
+    return f" {out}"
+
+
+def _phrase_places() -> str:
+    return " UNION ALL ".join(
+        f"""
+        SELECT doc_id, unnest(list_filter(range(len(words)), lambda i:
+               {" AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1))})) AS place,
+               '{label}' AS label FROM texts"""
+        for phrase, label in licenses.PHRASES.items()
+    )
+
+
+def _template_labels() -> str:
+    return " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label FROM texts WHERE regexp_matches(line, {_quoted(_pattern(t))})"
+        for label, t in licenses.TEMPLATES.items()
+    )
+
+
 SQL: dict[str, str] = {
+    "op3_license_templates": f"""
+        WITH lines AS (
+            SELECT doc_id, trim(regexp_replace(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' ') AS line
+            FROM documents
+        ),
+        texts AS (
+            SELECT doc_id, ' ' || line || ' ' AS line, list_filter(string_split(line, ' '), lambda w: w <> '') AS words
+            FROM lines
+        ),
+        base AS ({_phrase_places()}),
+        own AS ({_template_labels()}),
+        places AS (
+            SELECT doc_id, count(*) AS n, min(place) AS first, max(place) AS last,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id
+        ),
+        names AS (
+            SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, bool_or(whole) AS whole
+            FROM (SELECT doc_id, label, false AS whole FROM base UNION ALL SELECT doc_id, label, true FROM own)
+            GROUP BY doc_id
+        )
+        SELECT t.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first AS first_word, last AS last_word,
+               coalesce(p.labels, '') AS base_labels, coalesce(x.labels, '') AS labels,
+               CAST(CASE WHEN whole THEN 1 WHEN n > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+        FROM texts t LEFT JOIN places p USING (doc_id) LEFT JOIN names x USING (doc_id)
+    """,
     "op4_secret_ledger": f"""
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         matches AS ({_secret_spans()}),
