@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, fingerprints, licenses, lines, packing, secrets, simhash
+from hackney.llm import bpe, fingerprints, licenses, lines, packing, secrets, simhash, toxicity
 from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
@@ -55,6 +55,17 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     pieces = stored(packing.cut(_table(spark, sf_dir, "documents"), tokenizer), "pieces")
@@ -80,4 +91,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op6_toxic_segments, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
