@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, fingerprints, licenses, lines, packing, secrets, simhash, toxicity
+from hackney.llm import bpe, fingerprints, licenses, lines, packing, quality, secrets, simhash, toxicity
 from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
@@ -55,6 +55,10 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.filter_quality(_table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
 def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -91,4 +95,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op6_toxic_segments, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op5_adaptive_quality, op6_toxic_segments, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
