@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, fingerprints, licenses, lines, packing, quality, secrets, simhash, toxicity
+from hackney.llm import bpe, fingerprints, licenses, lines, lm, packing, quality, secrets, simhash, toxicity
 from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
@@ -78,6 +78,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, lm.fit(docs))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
@@ -95,4 +100,4 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op5_adaptive_quality, op6_toxic_segments, op7_best_fit_packing, op9_line_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op5_adaptive_quality, op6_toxic_segments, op7_best_fit_packing, op8_masked_lm, op9_line_dedup, op10_byte_bpe)}
