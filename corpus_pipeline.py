@@ -4,27 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import simhash
+from hackney.llm import lines, packing, secrets, simhash, toxicity
 from hackney.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one that names it."""
-    found = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+def _documents(df: DataFrame) -> DataFrame:
+    """The columns of documents, with the length that the text has now."""
+    return df.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates)]
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go; it learns from the labels of those that it may."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go; every document stays, if need be without a line."""
+    return _documents(lines.dedupe_lines(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest ``doc_id``."""
+    return simhash.one_of_each(docs).select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; every document stays."""
+    found, _ = secrets.find_secrets(docs)
+    return _documents(found.withColumn("text", secrets.redact(F.col("text"), F.col("spans"))))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the packed sequences."""
+    return packing.placements(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("secret_scans", redact_secrets),
+    ("best_fit_packing", pack_sequences),
+]
+#: SQL can express neither the classifier nor the packing.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is written and read as the next one's documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -11,13 +11,14 @@ from hackney.session import scratch
 
 #: Bytes that separate words: space, and tab to carriage return.
 SPACES = b" \t\n\x0b\x0c\r"
+#: Stands for a null ``doc_id`` where ids are compared; smaller than all others.
+NO_ID = -(2**63)
 
 
-def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: work done once, which outlives executors."""
     path = scratch(df.sparkSession, label)
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,13 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hackney.llm.common import SPACES, small, stored, texts_of
+from hackney.llm.common import NO_ID, SPACES, small, stored, texts_of
 
 #: A key of fewer code points is never dropped.
 SHORTEST = 10
 LINES = "doc_id bigint, row bigint, position int, high bigint, low bigint"
-#: Stands for a null doc_id.
-NO_ID = -(2**63)
 MARKS = "doc_id bigint, row bigint, position int, high bigint, low bigint, edge boolean"
 
 

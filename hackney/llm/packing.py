@@ -249,6 +249,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     return place(stored(cut(docs, tokenizer, capacity), "pieces"), capacity)
 
 
+def placements(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+    """As ``pack``, but with ``ids_crc32`` for the ids, which then need not move to be placed."""
+    pieces = stored(cut(docs, tokenizer, capacity), "pieces")
+    return place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity)
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The packed sequences themselves: ``sequence_id``, ``ids``, and the documents in them."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "ids")))

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hackney.llm import bpe, fingerprints, licenses, lines, lm, packing, quality, secrets, simhash, toxicity
-from hackney.llm.common import stored
 from hackney.llm.sql import SQL as SQL
 
 
@@ -72,9 +71,7 @@ def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = stored(packing.cut(_table(spark, sf_dir, "documents"), tokenizer), "pieces")
-    # The ids stay where they are; their places are found from what is below.
-    placed = packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    placed = packing.placements(_table(spark, sf_dir, "documents"), tokenizer)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import small, stored, texts_of
+from hackney.llm.common import NO_ID, small, stored, texts_of
 from hackney.llm.components import components
 
 SHINGLE = 3
@@ -49,15 +49,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed BIGINT."""
+    """``doc_id``, ``row``, a hash of the text, and ``fp``, the fingerprint as a signed BIGINT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small(whole):
                 found = np.array([fingerprint(t, shingle) for t in texts_of(batch)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+                columns = [batch.column(0), batch.column(1), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, row bigint, fp bigint")
 
 
 def plant(values: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,6 +185,13 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
     return rows.mapInArrow(_links(radius), "a bigint, b bigint")
 
 
+def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Each distinct ``fp`` and ``root``, the smallest one that it reaches over links of ``radius`` bits."""
+    roots = components(links(prints, radius)).select(F.col("node").alias("fp"), "root")
+    every = prints.select("fp").distinct().join(roots, "fp", "left")
+    return stored(every.select("fp", F.coalesce("root", "fp").alias("root")), "groups")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: ``doc_id``, ``fp``, ``component_id``.
 
@@ -192,12 +201,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     Repeated rows come back as often as they went in.
     """
     prints = stored(fingerprints(docs, shingle), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(prints, radius)).select(F.col("node").alias("fp"), "root")
-    classes = stored(
-        classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes"
-    )
-    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(names, "root").select("fp", "component_id")
+    found = groups(prints, radius)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(found, "fp")
+    names = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = found.join(names, "root").select("fp", "component_id")
     # A fingerprint with very many copies is a skewed join, which Spark splits.
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Of every group of near duplicates the row of ``docs`` that has the smallest ``doc_id``.
+
+    Of rows with the same ``doc_id`` the one whose text has the smallest hash stays, and of equal rows
+    one. A row without ``doc_id`` stays only if its whole group has none.
+    """
+    prints = stored(fingerprints(docs, shingle), "fingerprints")
+    least = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"))
+    chosen = least.join(groups(prints, radius), "fp").groupBy("root").agg(F.min("least").alias("least"))
+    number = lambda c: F.coalesce(c, F.lit(NO_ID))
+    chosen = chosen.select(number(F.col("least.doc_id")).alias("__id"), F.col("least.row").alias("__row"))
+    rows = docs.withColumns({"__id": number(F.col("doc_id")), "__row": F.xxhash64("text")})
+    # The rows are already together by these columns when equal ones are dropped.
+    return rows.join(chosen, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*docs.columns)
