@@ -1,10 +1,11 @@
 """Document fingerprints: one-permutation MinHash in packed low bits, by Spark's own functions.
 
 Each shingle is hashed once. The hash's upper bits name one of ``BINS`` bins and the lower bits are its
-value there; a bin keeps its smallest value. An empty bin copies one that is not, which it finds by going
-through all bins in an order of its own (optimal densification): that is the bin with the lowest hash of
-both bins' numbers, the same for all documents. Of each bin the ``BITS`` lowest bits are kept. Bins of
-different values agree by chance in one of ``2**BITS`` cases, which the likeness corrects.
+value there; a bin keeps its smallest value. An empty bin copies one that is not, which it finds by trying
+bins in a random order of its own, the same for all documents (optimal densification): first ``TRIES`` bins by
+hashes of its number, then those with a value by the hash of both numbers. Of each bin the ``BITS`` lowest
+bits are kept. Bins of different values agree by chance in one of ``2**BITS`` cases, which the likeness
+corrects.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ SHINGLE = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 BITS = 4
+TRIES = 8
 #: Ranges of ``doc_id`` per shuffle partition.
 RANGES = 8
 WORDS = "[\\x20\\x09-\\x0D]+"
@@ -30,16 +32,17 @@ def _let(value: Column, body) -> Column:
 
 def _hashes(text: Column, shingle: int) -> Column:
     """A hash per shingle of words; fewer words are one shingle, and none have none."""
-    words = F.filter(F.split(text, WORDS, -1), lambda w: w != "")
+    words = F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), WORDS, -1)
 
     def grams(codes: Column) -> Column:
         whole = F.array(F.aggregate(codes, F.lit(42).cast("bigint"), lambda a, c: F.xxhash64(a, c)))
-        starts = F.sequence(F.lit(0), F.size(codes) - shingle)
-        each = F.transform(starts, lambda i: F.xxhash64(*(F.get(codes, i + k) for k in range(shingle))))
-        none = F.array().cast("array<bigint>")
-        return F.when(F.size(codes) == 0, none).when(F.size(codes) <= shingle, whole).otherwise(each)
+        starts = F.slice(codes, F.lit(1), F.size(codes) - (shingle - 1))
+        each = F.transform(starts, lambda c, i: F.xxhash64(c, *(F.get(codes, i + k) for k in range(1, shingle))))
+        return F.when(F.size(codes) <= shingle, whole).otherwise(each)
 
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), grams)
+    none = F.array().cast("array<bigint>")
+    coded = lambda w: _let(F.transform(w, lambda x: F.xxhash64(x)), grams)
+    return _let(words, lambda w: F.when(F.get(w, 0) == "", none).otherwise(coded(w)))
 
 
 def _bins(hashes: Column) -> Column:
@@ -54,17 +57,30 @@ def _bins(hashes: Column) -> Column:
 def _packed(least: Column) -> Column:
     """The low bits of all bins, the empty ones filled, sixteen in a BIGINT."""
 
-    def value(full: Column, bins: Column, b: Column) -> Column:
-        at = F.array_position(bins, b).cast("int") - 1
-        # The bin with the lowest hash comes first; the hash's lowest bits make room for its place.
-        place = lambda n, i: F.xxhash64(b, n).bitwiseAND(F.lit(-BINS)).bitwiseOR(i.cast("bigint"))
-        other = F.array_min(F.transform(bins, place)).bitwiseAND(F.lit(BINS - 1)).cast("int")
-        return F.get(full, F.when(at >= 0, at).otherwise(other)).bitwiseAND(F.lit((1 << BITS) - 1))
+    number = lambda h: F.shiftright(h, 64 - BIN_BITS).cast("int") + BINS // 2
+
+    def places(full: Column) -> Column:
+        """For every bin the place of its value in ``full``, or -1: gaps between the bins that have one."""
+        gap = lambda h, i: number(h) - F.when(i == 0, F.lit(-1)).otherwise(number(F.get(full, i - 1))) - 1
+        some = F.transform(full, lambda h, i: F.concat(F.array_repeat(F.lit(-1), gap(h, i)), F.array(i)))
+        rest = F.array_repeat(F.lit(-1), BINS - 1 - number(F.element_at(full, -1)))
+        return F.concat(F.flatten(some), rest)
+
+    def value(full: Column, at: Column, place: Column, b: Column) -> Column:
+        def attempt(found: Column, k: Column) -> Column:
+            other = F.xxhash64(b, k).bitwiseAND(F.lit(BINS - 1)).cast("int")
+            return F.when(found >= 0, found).otherwise(F.get(at, other))
+
+        tried = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.lit(-1), attempt)
+        # After that the bin with the lowest hash; the hash's lowest bits make room for its place.
+        order = lambda h, i: F.xxhash64(b, number(h)).bitwiseAND(F.lit(-BINS)).bitwiseOR(i.cast("bigint"))
+        lowest = F.array_min(F.transform(full, order)).bitwiseAND(F.lit(BINS - 1)).cast("int")
+        filled = _let(tried, lambda t: F.when(t >= 0, t).otherwise(lowest))
+        chosen = F.when(place >= 0, place).otherwise(filled)
+        return F.get(full, chosen).bitwiseAND(F.lit((1 << BITS) - 1))
 
     def fill(full: Column) -> Column:
-        numbers = F.transform(full, lambda h: F.shiftright(h, 64 - BIN_BITS).cast("int"))
-        every = F.sequence(F.lit(-BINS // 2), F.lit(BINS // 2 - 1))
-        return _let(numbers, lambda bins: F.transform(every, lambda b: value(full, bins, b)))
+        return _let(places(full), lambda at: F.transform(at, lambda place, b: value(full, at, place, b)))
 
     def word(values: Column, w: Column) -> Column:
         part = F.slice(values, w * 16 + 1, F.lit(16))

@@ -71,21 +71,23 @@ def test_likeness_is_unbiased(spark):
 
 
 def plain_fingerprint(hashes, order):
-    """Bins and digits, one by one; ``order`` gives the hash of two bins."""
+    """Bins and digits, one by one; ``order`` gives the hash of two numbers."""
     least = {}
     for h in hashes:
-        least[h >> 56] = min(h, least.get(h >> 56, h))
+        b = (h >> 56) + 128
+        least[b] = min(h, least.get(b, h))
     digits = ""
-    for b in range(-128, 128):
-        source = b if b in least else min(least, key=lambda n: order[b, n])
-        digits += f"{least[source] & 15:x}"
+    for b in range(256):
+        tried = [b, *(order[b, k] & 255 for k in range(1, 9)), *sorted(least, key=lambda n: order[b, n] & -256)]
+        digits += f"{least[next(x for x in tried if x in least)] & 15:x}"
     return digits
 
 
 def test_empty_bins_follow_their_own_order(spark):
-    bins = spark.range(-128, 128).selectExpr("CAST(id AS INT) AS b")
-    order = {(r.b, r.n): r.h & -256 for r in bins.crossJoin(bins.withColumnRenamed("b", "n")).selectExpr("*", "xxhash64(b, n) AS h").collect()}
-    texts = spark.createDataFrame([(prose(n, n, 500),) for n in range(1, 60, 7)], "text string")
+    bins = spark.range(256).selectExpr("CAST(id AS INT) AS b")
+    pairs = bins.crossJoin(bins.withColumnRenamed("b", "n")).selectExpr("*", "xxhash64(b, n) AS h")
+    order = {(r.b, r.n): r.h for r in pairs.collect()}
+    texts = spark.createDataFrame([(prose(n, n, 500),) for n in [*range(1, 60, 7), 200, 1500]], "text string")
     rows = texts.select(fp._hashes(F.col("text"), 5).alias("h"), fp.digits(fp.fingerprint(F.col("text"))).alias("d")).collect()
     for r in rows:
         assert r.d == plain_fingerprint(r.h, order)
