@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +26,7 @@ from hackney.llm.common import small, stored, texts_of
 
 #: Labelled documents that the classifier is fitted on, at most; taken by a hash of their ids.
 LABELLED = 20_000
-#: Beginnings and words with a score of their own at most, the most frequent first.
+#: Beginnings and words with a score of their own at most: those in the most documents.
 TOKENS = 200_000
 #: Documents that a beginning must occur in.
 SUPPORT = 2
@@ -54,11 +54,6 @@ def words_of(text: bytes) -> list[str]:
     return " ".join(words).lower().split(" ") if words else []
 
 
-def _tokens(word: str) -> list[str]:
-    """The word's beginnings, and the word itself."""
-    return [word[:n] for n in _LENGTHS if len(word) >= n] + [word + _WHOLE]
-
-
 def held_out(doc_id: Column) -> Column:
     """Documents whose labels are not learnt from; none without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -68,27 +63,37 @@ def _fold(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
+def _longest(word: str, known: dict, other):
+    """What is known for the longest beginning of the word."""
+    for n in range(min(len(word), _LENGTHS[-1]), _LENGTHS[0] - 1, -1):
+        if (found := known.get(word[:n])) is not None:
+            return found
+    return other
+
+
+def log_odds(tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Of all tokens, from their occurrences in toxic and in all documents, by column; ``share`` is that of words."""
+    place = {t: i for i, t in enumerate(tokens)}
+    before = np.array([_longest(t[:-1], place, -1) for t in tokens], np.int64)
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    chance = np.empty((len(tokens) + 1, len(share)))
+    chance[-1] = share
+    # A beginning comes before what it begins.
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        chance[at] = (toxic[at] + PRIOR * chance[before[at]]) / (every[at] + PRIOR)
+    chance = chance[:-1]
+    return np.log(chance / (1 - chance)) - np.log(share / (1 - share))
+
+
 class Odds:
-    """Log-odds of words, from the occurrences of tokens in toxic and in all documents."""
-
-    def __init__(self, tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: float, kept: int = 500_000) -> None:
-        chance: dict[str, float] = {}
-        # A beginning comes before what it begins.
-        for i in sorted(range(len(tokens)), key=lambda i: len(tokens[i])):
-            prior = self._longest(tokens[i][:-1], chance, share)
-            chance[tokens[i]] = (toxic[i] + PRIOR * prior) / (every[i] + PRIOR)
-        base = math.log(share / (1 - share))
-        self._odds = {t: math.log(p / (1 - p)) - base for t, p in chance.items()}
+    """Scores of words: that of the whole word, else of its longest beginning, else 0."""
+
+    def __init__(self, tokens: list[str], scores: np.ndarray, kept: int = 500_000) -> None:
+        self._odds = dict(zip(tokens, scores.tolist()))
         self._words: dict[str, float] = {}
         self._kept = kept
 
-    @staticmethod
-    def _longest(word: str, known: dict[str, float], other: float) -> float:
-        for n in range(min(len(word), _LENGTHS[-1]), _LENGTHS[0] - 1, -1):
-            if (found := known.get(word[:n])) is not None:
-                return found
-        return other
-
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self._words) > self._kept:
             self._words = {}
@@ -98,7 +103,7 @@ class Odds:
             for i, word in enumerate(words):
                 if found[i] is None:
                     score = self._odds.get(word + _WHOLE)
-                    known[word] = found[i] = self._longest(word, self._odds, 0.0) if score is None else score
+                    known[word] = found[i] = _longest(word, self._odds, 0.0) if score is None else score
         return np.array(found, float)
 
 
@@ -131,17 +136,18 @@ def scored_segments(odds: Odds, text: bytes) -> tuple[int, list[tuple[float, int
     words = words_of(text)
     scores = odds(words)
     seen: Counter[str] = Counter()
-    for i in np.flatnonzero(scores > 0).tolist():
+    for i in np.flatnonzero(scores > DROP).tolist():
         seen[words[i]] += 1
         scores[i] /= seen[words[i]]
     return len(words), segments(scores - DROP)
 
 
-def _surprise(many: int, expected: float) -> float:
-    """Minus the logarithm of the chance of ``many`` or more where ``expected`` are (Poisson)."""
+def _surprise(many: int, log_expected: float) -> float:
+    """Minus the logarithm of the chance of ``many`` or more where so many are expected (Poisson)."""
     if many == 0:
         return 0.0
-    first = -expected + many * math.log(expected) - math.lgamma(many + 1)
+    expected = math.exp(log_expected)
+    first = -expected + many * log_expected - math.lgamma(many + 1)
     total = term = 1.0
     k = many
     while term > 1e-12 * total:
@@ -169,13 +175,14 @@ class Law:
         slope, at = np.polyfit(levels, np.log(rates), 1)
         return cls(max(0.05, float(-slope)), float(at))
 
-    def expected(self, words: int, score: float) -> float:
-        return (words + 20) * math.exp(self.log_rate - self.decay * score)
+    def log_expected(self, words: int, score: float) -> float:
+        return math.log(words + 20) + self.log_rate - self.decay * score
 
     def features(self, words: int, scores: list[float]) -> list[float]:
-        best = max((-math.log(self.expected(words, s)) for s in scores), default=-6.0)
+        best = -self.log_expected(words, max(scores)) if scores else -6.0
         beyond = math.log1p(sum(max(0.0, s - 2) for s in scores))
-        counts = (math.sqrt(_surprise(sum(s >= q for s in scores), self.expected(words, q))) for q in LEVELS)
+        many = [sum(s >= q for s in scores) for q in LEVELS]
+        counts = (math.sqrt(_surprise(n, self.log_expected(words, q))) for n, q in zip(many, LEVELS))
         size = math.log(words + 20)
         return [1.0, max(-6.0, best), *counts, beyond, 10 * math.expm1(beyond) / (words + 50), size, beyond * size / 6]
 
@@ -183,28 +190,23 @@ class Law:
 @dataclass
 class Model:
     tokens: list[str]
-    toxic: np.ndarray
-    """Occurrences in toxic documents, by token and fold."""
-    every: np.ndarray
-    words: np.ndarray
-    """Words by fold, in other and in toxic documents."""
+    scores: np.ndarray
+    """Log-odds of the tokens, learnt without each fold, and in the last column from all."""
     law: Law
     middle: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
 
-    def odds(self, without: int | None = None) -> Odds:
+    def odds(self, without: int = FOLDS) -> Odds:
         """The words' scores, learnt from all folds or from all but one."""
-        folds = [f for f in range(FOLDS) if f != without]
-        clean, toxic = self.words[folds].sum(axis=0)
-        share = min(max(toxic / max(clean + toxic, 1), 1e-6), 1 - 1e-6)
-        return Odds(self.tokens, self.toxic[:, folds].sum(axis=1), self.every[:, folds].sum(axis=1), float(share))
+        return Odds(self.tokens, self.scores[:, without])
 
     def probability(self, features: list[list[float]]) -> np.ndarray:
         if not len(self.weights):
             return np.zeros(len(features))
         x = (np.array(features) - self.middle) / self.spread
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -40, 40)))
+        # Row by row, so that equal texts have equal scores whatever else is in their batch.
+        return 1 / (1 + np.exp(-np.clip((x * self.weights).sum(axis=1), -40, 40)))
 
 
 def _regress(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,24 +222,28 @@ def _regress(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.nda
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of tokens by fold and label, added up per task; the empty token counts words."""
-    found: dict[str, np.ndarray] = defaultdict(lambda: np.zeros((FOLDS, 3), np.int64))
+    """Documents and occurrences by token, fold and label, added up per task; the empty token counts words."""
+    slots = 2 * FOLDS
+    held = [Counter() for _ in range(slots)]
+    more = [Counter() for _ in range(slots)]
     for whole in batches:
         for batch in small(whole):
-            folds, toxic = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for text, fold, label in zip(texts_of(batch), folds, toxic):
-                words, here = Counter(words_of(text)), Counter()
-                found[""][fold, label] += words.total()
-                for word, n in words.items():
-                    for token in _tokens(word):
-                        here[token] += n
-                for token, n in here.items():
-                    found[token][fold, label] += min(n, BURST)
-                    found[token][fold, 2] += 1
-    if found:
-        values = np.array(list(found.values())).reshape(len(found), -1)
-        columns = [pa.array(list(found), pa.string()), pa.FixedSizeListArray.from_arrays(values.ravel(), FOLDS * 3)]
-        yield pa.RecordBatch.from_arrays([columns[0], columns[1].cast(pa.list_(pa.int64()))], ["token", "counts"])
+            for text, fold, label in zip(texts_of(batch), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                slot, words = 2 * fold + label, words_of(text)
+                here = Counter(w + _WHOLE for w in words)
+                for n in _LENGTHS:
+                    here.update(w[:n] for w in words if len(w) >= n)
+                held[slot].update(here.keys())
+                more[slot].update({t: min(n, BURST) - 1 for t, n in here.items() if n > 1})
+                more[slot][""] += len(words)
+    for slot in range(slots):
+        tokens = list(held[slot].keys() | more[slot].keys())
+        for at in range(0, len(tokens), 100_000):
+            part = tokens[at : at + 100_000]
+            docs = np.fromiter(map(held[slot].__getitem__, part), np.int64, len(part))
+            seen = docs + np.fromiter(map(more[slot].__getitem__, part), np.int64, len(part))
+            columns = [pa.array(part, pa.string()), pa.array(np.full(len(part), slot, np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(docs), pa.array(seen)], ["token", "slot", "docs", "seen"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
@@ -247,23 +253,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
     has several labels, the largest counts. Without both labels the model gives every text 0.
     """
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # ``most`` rows at most
     texts = stored(texts.select("text", _fold(F.col("doc_id")).alias("fold"), "toxic"), "labelled")
-    schema = "token string, counts array<bigint>"
-    counts = texts.mapInArrow(_count, schema)
-    sums = counts.groupBy("token").agg(*(F.sum(F.get("counts", F.lit(i))).alias(f"c{i}") for i in range(3 * FOLDS)))
-    held = sum((F.col(f"c{3 * f + 2}") for f in range(FOLDS)), F.lit(0))
-    sums = sums.withColumn("held", F.when(F.col("token") == "", 2**62).otherwise(held)).filter(f"held >= {SUPPORT}")
-    rows = sums.orderBy(F.desc("held"), "token").limit(TOKENS + 1).drop("held").toPandas()
-    values = rows.drop(columns="token").to_numpy(np.int64).reshape(len(rows), FOLDS, 3)
-    tokens = rows["token"].tolist()
-    total = values[0, :, :2] if len(rows) else np.zeros((FOLDS, 2), np.int64)
-    nothing = np.zeros(0)
-    model = Model(
-        tokens[1:], values[1:, :, 1], values[1:, :, :2].sum(axis=2), total, Law(), nothing, nothing, nothing
-    )
+    counts = texts.mapInArrow(_count, "token string, slot int, docs bigint, seen bigint")
+    by_slot = [F.sum(F.when(F.col("slot") == k, F.col("seen")).otherwise(0)).alias(f"s{k}") for k in range(2 * FOLDS)]
+    sums = counts.groupBy("token").agg(F.sum("docs").alias("held"), *by_slot)
+    sums = stored(sums.filter((F.col("held") >= SUPPORT) | (F.col("token") == "")), "tokens")
+    # How many tokens occur in how many documents: ``most`` rows at most.
+    often = sorted(map(tuple, sums.filter("token <> ''").groupBy("held").count().collect()), reverse=True)
+    within = np.cumsum([n for _, n in often]) <= TOKENS
+    least = min((h for (h, _), fits in zip(often, within) if fits), default=2**62)
+    rows = sums.filter((F.col("held") >= least) | (F.col("token") == "")).drop("held").toPandas().sort_values("token")
+    values = rows.drop(columns="token").to_numpy(np.int64).reshape(len(rows), FOLDS, 2)
+    # Without each fold in turn, and with all. The empty token, which counts words, sorts first.
+    sums_of = np.stack([*(values.sum(axis=1) - values[:, f] for f in range(FOLDS)), values.sum(axis=1)], axis=1)
+    words = sums_of[0] if len(rows) else np.ones((FOLDS + 1, 2))
+    share = np.clip(words[:, 1] / np.maximum(words.sum(axis=1), 1), 1e-6, 1 - 1e-6)
+    tokens, nothing = rows["token"].tolist()[1:], np.zeros(0)
+    scores = log_odds(tokens, sums_of[1:, :, 1], sums_of[1:].sum(axis=2), share)
+    model = Model(tokens, scores, Law(), nothing, nothing, nothing)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_fold = [model.odds(without=f) for f in range(FOLDS)]
@@ -304,7 +314,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 for text in texts_of(batch):
                     size, found = scored_segments(odds, text)
                     features.append(law.features(size, [s for s, _, _ in found]))
-                    good = [x for x in found if law.expected(size, x[0]) <= SIGNIFICANT]
+                    good = [x for x in found if law.log_expected(size, x[0]) <= math.log(SIGNIFICANT)]
                     places = [m.span() for m in _WORD.finditer(text.decode())] if good else []
                     passages.append([{"start": places[a][0], "end": places[b][1], "score": s} for s, a, b in good])
                 columns = [pa.array(model.probability(features)), pa.array(passages, _PASSAGES)]
