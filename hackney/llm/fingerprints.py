@@ -161,9 +161,11 @@ def with_next(docs: DataFrame, id_column: str, columns: list[str], ranges: int |
     goes = F.array(F.struct(F.col("__range").alias("range"), F.lit(False).alias("guest")))
     guest = F.array(F.struct(host.alias("range"), F.lit(True).alias("guest")))
     rows = placed.withColumn("__goes", F.explode(F.when(own == head, F.concat(goes, guest)).otherwise(goes)))
-    order = [F.col("__goes.guest"), own.desc(), *(F.col(c) for c in columns)]
-    follows = F.lead(F.struct(id_column, *columns)).over(Window.partitionBy("__goes.range").orderBy(*order))
-    rows = rows.withColumn("next", follows).filter("NOT __goes.guest").drop("__goes", "__range")
+    rows = rows.withColumns({"__range": F.col("__goes.range"), "__guest": F.col("__goes.guest")}).drop("__goes")
+    window = Window.partitionBy("__range").orderBy("__guest", own.desc(), *columns)
+    # Column by column: a struct of them would be made, and shuffled, beside the columns themselves.
+    follows = F.struct(*(F.lead(c).over(window).alias(c) for c in (id_column, *columns)))
+    rows = rows.withColumn("next", follows).filter("NOT __guest").drop("__guest", "__range")
     return rows.unionByName(docs.filter(own.isNull()).withColumn("next", F.lit(None).cast(rows.schema["next"].dataType)))
 
 
