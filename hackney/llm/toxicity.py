@@ -33,6 +33,8 @@ SUPPORT = 2
 FOLDS = 4
 #: Weight of the prior, in occurrences.
 PRIOR = 3.0
+#: The least chance that a word speaks for the other side.
+DOUBT = 1e-4
 #: Taken off every word's score.
 DROP = 1.0
 #: Occurrences in a document that count at most.
@@ -81,7 +83,9 @@ def log_odds(tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.
     # A beginning comes before what it begins.
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        chance[at] = (toxic[at] + PRIOR * chance[before[at]]) / (every[at] + PRIOR)
+        found = (toxic[at] + PRIOR * chance[before[at]]) / (every[at] + PRIOR)
+        # Along a chain of beginnings that occur in one kind alone, doubt would shrink to nothing.
+        chance[at] = np.clip(found, DOUBT, 1 - DOUBT)
     chance = chance[:-1]
     return np.log(chance / (1 - chance)) - np.log(share / (1 - share))
 

@@ -84,6 +84,13 @@ def test_odd_rows(spark, fitted):
     assert toxicity.score(documents(spark, []), model).count() == 0
 
 
+def test_words_that_are_never_clean_have_finite_scores():
+    tokens = [*("vilest"[:n] for n in range(3, 7)), "vilest$", "fin", "fine$"]
+    toxic = np.array([[10**9]] * 5 + [[0]] * 2)
+    scores = toxicity.log_odds(tokens, toxic, np.full((7, 1), 10**9), np.array([0.1]))
+    assert np.isfinite(scores).all() and (scores[:5] > 5).all() and (scores[5:] < -5).all()
+
+
 def test_labels_of_one_kind_or_none(spark):
     docs = documents(spark, [(i, "some words") for i in range(20)])
     for labels in ([], [(i, 0) for i in range(20)], [(i, 1) for i in range(20)]):
