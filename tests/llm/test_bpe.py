@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -32,7 +33,7 @@ def test_ids_words_and_decoding(texts):
         assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode_ordinary(text)
         assert DECODER.decode(ids) == text.encode()
         words = regex.findall(public_tokenizers.PATTERN, text)
-        if regex.sub(r"\p{Cn}", "", text) == text:  # the library here may know younger characters
+        if all(unicodedata.category(c) != "Cn" for c in text):  # of those the two libraries here think differently
             assert len(offsets) == len(words)
             raw = offsets.astype("<u4").tobytes()
             assert [DECODER.words(ids, raw, i, i + 1).decode() for i in range(len(words))] == words
