@@ -5,7 +5,7 @@
     python -m hackney.app store --tenant acme --servers broker:9092 --checkpoints s3a://b/cp --tables s3a://b/t
 
 ``--topics <folder>`` in place of ``--servers`` uses folders as topics, and ``--once`` ends a job when
-it has caught up.
+it has caught up. On SIGTERM or SIGINT a job stops its queries and ends; the next start goes on from there.
 """
 
 from __future__ import annotations
@@ -17,15 +17,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.functions.records import parse, serialise
+from hackney.operators.alerts import Rule, alerts
+from hackney.operators.conform import create_table
 from hackney.operators.ingest import clean, stamp, to_wire, typed_trips
-from hackney.schemas import INGEST_TOPIC, RESULT_TOPICS, narrow, topic_name
+from hackney.operators.quality import quarantined, validate
+from hackney.operators.windows import fare_totals
+from hackney.schemas import INGEST_TOPIC, RESULT_KEYS, RESULT_TOPICS, narrow, topic_name
 from hackney.session import build_session
 from hackney.sources.files import read_trip_files
 from hackney.sources.wire import sasl
-from hackney.streaming.run import ALL_AVAILABLE, await_all, start, start_tenant
-from hackney.streaming.sinks import table_sink
+from hackney.streaming.progress import ProgressLog
+from hackney.streaming.run import ALL_AVAILABLE, MONEY, await_all, start, start_tenant, stop_on_signals
+from hackney.streaming.sinks import BATCH, RUN, Sink, emission, file_sink, latest, read_table, table_sink
 from hackney.streaming.topics import Broker, Folders, Topics
 
+ALERT_TOPIC = "alertStream"
+
+
 def ingested(raw: DataFrame) -> DataFrame:
     """Cells of trip files as records, complete rows only, stamped with the present time."""
     return to_wire(stamp(typed_trips(clean(raw))), key="trip_id")
@@ -57,31 +65,63 @@ def analyse(
     checkpoints: str,
     trigger: dict | None = None,
     state_partitions: int | None = None,
+    quarantine: str | None = None,
+    rules: Sequence[Rule] = (),
 ) -> list[StreamingQuery]:
-    """The four standing queries: from the tenant's trips to its result topics, as JSON."""
+    """The four standing queries: from the tenant's trips to its result topics, as JSON.
+
+    A result record says which run and batch has emitted it. With ``quarantine`` records that are not
+    valid are kept in that folder with their reasons; with ``rules`` fares that break one go to the alerts topic.
+    """
     records = topics.read(spark, topic_name(tenant, INGEST_TOPIC))
 
     def trips(fields: Sequence[str]) -> DataFrame:
         return parse(records, fields, keep=())
 
+    def sink(topic: str) -> Sink:
+        return topics.sink(topic, lambda emitted, run, batch: serialise(emission(emitted, run, batch)))
+
     options = {"trigger": trigger, "state_partitions": state_partitions}
-    return start_tenant(trips, tenant, topics.sink, checkpoints, prepare=serialise, **options)
+    queries = start_tenant(trips, tenant, sink, checkpoints, **options)
+    options |= {"checkpoints": checkpoints, "pool": tenant, "mode": "append"}
+    if quarantine:
+        bad = quarantined(validate(records), "timestamp")
+        into = file_sink(f"{quarantine}/{tenant}")
+        queries.append(start(bad, name=topic_name(tenant, "quarantine"), sink=into, **options))
+    if rules:
+        topic = topic_name(tenant, ALERT_TOPIC)
+        raised = alerts(fare_totals(trips(MONEY)), rules, keep=["window"])
+        queries.append(start(raised, name=topic, sink=sink(topic), **options))
+    return queries
 
 
 def store(
-    spark: SparkSession, topics: Topics, tenant: str, tables: str, checkpoints: str, trigger: dict | None = None
+    spark: SparkSession,
+    topics: Topics,
+    tenant: str,
+    tables: str,
+    checkpoints: str,
+    trigger: dict | None = None,
+    database: str | None = None,
+    files: int | None = 1,
 ) -> list[StreamingQuery]:
-    """From the result topics to the result tables, a row per result record."""
+    """From the result topics, from their beginning, to the result tables: a row per result record.
+
+    With ``database`` the tables are declared there. ``files`` are written per batch and table.
+    """
     queries = []
     for topic, table in RESULT_TOPICS.items():
         fields = narrow([name for name in table.schema.names if name != "id"], table.schema)
-        results = parse(topics.read(spark, topic_name(tenant, topic)), fields, keep=())
+        results = parse(topics.read(spark, topic_name(tenant, topic), "earliest"), fields, keep=())
+        path = f"{tables}/{tenant}/{table.name}"
+        if database:
+            create_table(spark, table, path, database)
         queries.append(
             start(
                 results,
                 name=f"{tenant}_{table.name}",
                 mode="append",
-                sink=table_sink(f"{tables}/{tenant}/{table.name}", table),
+                sink=table_sink(path, table, files),
                 checkpoints=checkpoints,
                 trigger=trigger,
                 pool=tenant,
@@ -90,6 +130,13 @@ def store(
     return queries
 
 
+def results_of(spark: SparkSession, tables: str, tenant: str, topic: str) -> DataFrame:
+    """The last emission of every result of a topic, from its table."""
+    table = RESULT_TOPICS[topic]
+    rows = read_table(spark, f"{tables}/{tenant}/{table.name}", table)
+    return latest(rows, RESULT_KEYS[topic], (RUN, BATCH, "id"))
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="hackney.app", description="Jobs of a tenant.")
     parser.add_argument("job", choices=["ingest", "analyse", "store"])
@@ -105,6 +152,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--files-per-trigger", type=int, help="ingest: files of a micro-batch")
     parser.add_argument("--tables", help="store: folder of the tables")
     parser.add_argument("--checkpoints", help="folder that all executors share")
+    parser.add_argument("--database", help="store: where the tables are declared; the tenant's name if not given")
+    parser.add_argument("--quarantine", help="analyse: folder for records that are not valid")
+    parser.add_argument("--alert", nargs=3, action="append", default=[], metavar=("NAME", "METRIC", "AT_LEAST"),
+                        help="analyse: raise NAME where METRIC of the fares is at least a number")
+    parser.add_argument("--progress", help="folder for the progress of all queries")
     parser.add_argument("--once", action="store_true", help="end when all there is has been processed")
     arguments = parser.parse_args(argv)
     needed = {"ingest": ["files"], "analyse": ["checkpoints"], "store": ["checkpoints", "tables"]}[arguments.job]
@@ -125,17 +177,30 @@ def _topics(arguments: argparse.Namespace) -> Topics:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     arguments = _arguments(argv)
+    own = spark is None
+    stop = stop_on_signals() if own else lambda: False
     spark = spark or build_session(f"hackney-{arguments.job}-{arguments.tenant}")
     topics, tenant = _topics(arguments), arguments.tenant
+    log = ProgressLog(spark, arguments.progress) if arguments.progress else None
+    if log:
+        spark.streams.addListener(log)
     options = {"checkpoints": arguments.checkpoints, "trigger": ALL_AVAILABLE if arguments.once else None}
     if arguments.job == "ingest":
         options["files_per_trigger"] = arguments.files_per_trigger
         queries = ingest(spark, topics, tenant, arguments.files, **options)
     elif arguments.job == "analyse":
-        queries = analyse(spark, topics, tenant, **options)
+        rules = [Rule(name, metric, float(least)) for name, metric, least in arguments.alert]
+        queries = analyse(spark, topics, tenant, quarantine=arguments.quarantine, rules=rules, **options)
     else:
-        queries = store(spark, topics, tenant, arguments.tables, **options)
-    await_all(queries)
+        queries = store(spark, topics, tenant, arguments.tables, database=arguments.database or tenant, **options)
+    try:
+        await_all(queries, stop=stop)
+    finally:
+        if log:
+            log.wait(queries)
+            spark.streams.removeListener(log)
+        if own:
+            spark.stop()
 
 
 if __name__ == "__main__":

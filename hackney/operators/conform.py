@@ -31,8 +31,10 @@ def create_table(spark: SparkSession, table: Table, location: str, database: str
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in table.schema)
+    # ``table_sink`` puts every batch into a folder of its own.
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{location}' "
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true') "
+        f"LOCATION '{location}' "
         f"TBLPROPERTIES ('key' = '{','.join(table.key)}')"
     )
     return name
@@ -63,3 +65,14 @@ def row_identity(*parts: str) -> Column:
     digest = F.sha2(F.to_json(F.struct(*parts)), 256)
     pieces = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat_ws("-", *pieces)
+
+
+def ascending_identity(second: Column, batch: Column, *parts: Column) -> Column:
+    """A uuid-shaped text: a time in seconds, the number of a batch, and 72 bits of the parts.
+
+    Sorted as text, ids are in the order of times and batches.
+    """
+    digits = [F.lpad(F.lower(F.hex(number)), width, "0") for number, width in ((second, 8), (batch, 6))]
+    text = F.concat(*digits, F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 18))
+    pieces = [F.substring(text, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat_ws("-", *pieces)

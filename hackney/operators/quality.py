@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,34 +85,27 @@ def quarantined(checked: DataFrame, *keep: str) -> DataFrame:
 def drift_report(records: DataFrame, schema: T.StructType = TRIP) -> DataFrame:
     """Per field: records that have it, lack it, hold an unusable value; and whether it is declared.
 
-    Records are first counted per set of field names, of which there are few, in one pass with
-    one shuffle. Only those counts are spread to fields, never the records.
+    Fields are counted per task before the shuffle, so it carries a row per task and field, whatever sets
+    of names the records have.
     """
     checked = _check(records, schema, ())
-    unusable = {f.name: F.col(f.name).isNull() & F.col(f"_raw.{f.name}").isNotNull() for f in schema}
     # json_object_keys knows no NaN; for such records a parse as a map does.
     as_map = F.from_json("_text", T.MapType(T.StringType(), T.StringType()))
-    names = F.coalesce(F.json_object_keys("_text"), F.map_keys(as_map))
-    by_shape = (
-        checked.withColumn("names", F.array_sort(names))
-        .groupBy("names")
-        .agg(
-            F.count("*").alias("records"),
-            F.array(*[F.struct(F.lit(n).alias("field"), F.count_if(c).alias("unusable")) for n, c in unusable.items()])
-            .alias("declared"),
-        )
-    )
-    declared = F.array(*[F.lit(name) for name in schema.names])
-    extra = F.array_except(F.coalesce("names", F.array().cast("array<string>")), declared)
-    rows = F.concat(
-        "declared",
-        F.transform(extra, lambda name: F.struct(name.alias("field"), F.lit(0).cast("bigint").alias("unusable"))),
-    )
-    spread = by_shape.select("names", "records", F.inline(rows))
-    has = F.coalesce(F.array_contains("names", F.col("field")), F.lit(False))
+    names = F.coalesce(F.json_object_keys("_text"), F.map_keys(as_map), F.array().cast("array<string>"))
+
+    def counted(field: Column, present: Column, unusable: Column) -> Column:
+        numbers = {"field": field, "present": present.cast("bigint"), "unusable": unusable.cast("bigint")}
+        return F.struct(*(value.alias(name) for name, value in numbers.items()))
+
+    declared = [
+        counted(F.lit(f.name), F.array_contains("names", f.name), F.col(f.name).isNull() & F.col(f"_raw.{f.name}").isNotNull())
+        for f in schema
+    ]
+    extra = F.array_except("names", F.array(*[F.lit(name) for name in schema.names]))
+    rows = F.concat(F.array(*declared), F.transform(extra, lambda name: counted(name, F.lit(1), F.lit(0))))
+    spread = checked.withColumn("names", names).select(F.inline(rows))
     report = spread.groupBy("field").agg(
-        F.sum(F.when(has, F.col("records")).otherwise(0)).alias("present"),
-        F.sum("unusable").alias("unusable"),
+        F.sum("present").alias("present"), F.sum(F.coalesce("unusable", F.lit(0))).alias("unusable")
     )
     return report.withColumn("declared", F.col("field").isin(schema.names))
 
@@ -138,6 +133,35 @@ def _combine_copies(trips: DataFrame, key: Sequence[str], event_time: str) -> Da
     return trips.mapInArrow(combine, trips.schema)
 
 
+#: Of all rows, the share from which on a key is heavy; so there are a thousand heavy keys at most.
+HEAVY = 0.001
+#: Number that tells rows without a key apart. They have no copies.
+_SOLE = "__sole"
+
+
+def _earliest(trips: DataFrame, key: Sequence[str], event_time: str) -> DataFrame:
+    """One row per key in batch; see ``dedupe``."""
+    rest = [name for name in trips.columns if name not in key]
+    order = sorted(rest, key=lambda name: name != event_time)
+    whole = reduce(and_, (F.col(name).isNotNull() for name in key))
+    keyed = trips.filter(whole)
+    code = F.xxhash64(*key)
+    # Hashes of the keys that have many copies: counted on the key alone, and few by their definition.
+    counts = keyed.groupBy(code.alias("code")).count().filter("count > 1")
+    many = keyed.agg(F.count("*").alias("total"))
+    heavy = [r["code"] for r in counts.join(F.broadcast(many)).filter(F.col("count") > HEAVY * F.col("total")).collect()]
+    first = F.min(F.struct(*order)).alias("_first")
+
+    def reduced(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*key).agg(first).select(*key, "_first.*").select(*trips.columns)
+
+    hot = code.isin(heavy) if heavy else F.lit(False)
+    by_key = Window.partitionBy(*key).orderBy(*order)
+    light = keyed.filter(~hot).withColumn(_SOLE, F.row_number().over(by_key)).filter(F.col(_SOLE) == 1).drop(_SOLE)
+    parts = [light, trips.filter(~whole)]
+    return reduce(DataFrame.unionByName, [reduced(keyed.filter(hot)), *parts] if heavy else parts)
+
+
 def dedupe(
     trips: DataFrame,
     key: Sequence[str] = ("trip_id",),
@@ -145,24 +169,25 @@ def dedupe(
     event_time: str = EVENT_TIME,
     hot_keys: bool = True,
 ) -> DataFrame:
-    """One row per key.
+    """One row per key. Rows without a key (or part of it) are no copies of each other and all stay.
 
     A batch keeps the earliest copy; ties go by the other columns, so the choice does not depend on
-    the order of the rows. The minimum is taken per task first: a key with very many copies still
-    reaches the shuffle as one row per task.
-
-    A stream drops copies that arrive within the watermark. Spark has no such step before the
-    shuffle of a stream, so copies are combined per Arrow batch there: of a key that is a third of
-    all rows one row per some thousand is left, without a second state store. ``hot_keys=False``
-    spares the way through Arrow where no key can have many copies.
+    the order of the rows. Of keys with very many copies the minimum is taken per task first, so that
+    they reach the shuffle as one row per task; all other rows are sorted once, behind the shuffle.
+    Which way a key goes makes no difference to the result.
+
+    A stream drops copies that arrive within the watermark of the first one to arrive; it cannot wait for
+    the earliest. Spark has no combining before the shuffle of a stream, so copies are combined per
+    Arrow batch there: of a key that is a third of all rows one row per some thousand is left, without a
+    second state store. ``hot_keys=False`` spares the way through Arrow where no key can have many copies.
+    A row without a key gets a number for its state, so it neither drops others nor piles up with them.
     """
     if trips.isStreaming:
-        few = _combine_copies(trips, key, event_time) if hot_keys else trips
-        return watermarked(few, delay, event_time).dropDuplicatesWithinWatermark(list(key))
-    rest = [name for name in trips.columns if name not in key]
-    order = sorted(rest, key=lambda name: name != event_time)
-    first = F.min(F.struct(*order)).alias("_first")
-    return trips.groupBy(*key).agg(first).select(*key, "_first.*").select(*trips.columns)
+        sole = F.when(~reduce(and_, (F.col(name).isNotNull() for name in key)), F.uuid())
+        numbered = trips.withColumn(_SOLE, sole)
+        few = _combine_copies(numbered, [*key, _SOLE], event_time) if hot_keys else numbered
+        return watermarked(few, delay, event_time).dropDuplicatesWithinWatermark([*key, _SOLE]).drop(_SOLE)
+    return _earliest(trips, key, event_time)
 
 
 def preprocess(

@@ -7,6 +7,8 @@ trips of a long history.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -125,10 +127,22 @@ def order_trips(orders: DataFrame) -> DataFrame:
     )
 
 
-def event_wire(events: DataFrame) -> DataFrame:
+def in_quarters(trips: DataFrame) -> DataFrame:
+    """Amounts in quarters, whose plain sums are exact in doubles, so they do not depend on the order."""
+    return trips.withColumns({name: F.floor(F.col(name) * 4) / 4 for name in ("fare", "tips", "trip_total")})
+
+
+QUARTERS = """
+SELECT * REPLACE (floor(cast(fare AS double) * 4) / 4 AS fare, floor(cast(tips AS double) * 4) / 4 AS tips,
+                  floor(cast(trip_total AS double) * 4) / 4 AS trip_total)
+FROM trips
+"""
+
+
+def event_wire(events: DataFrame, change: Callable[[DataFrame], DataFrame] = lambda trips: trips) -> DataFrame:
     """Good records: the trip as JSON, the event's id as key, its time as the broker's time."""
     timed = with_time_zone(events)
-    trips = event_trips(timed).withColumn("timestamp", F.col("event_timestamp"))
+    trips = change(event_trips(timed)).withColumn("timestamp", F.col("event_timestamp"))
     return to_wire(trips, key="trip_id", keep=("timestamp",))
 
 
@@ -190,8 +204,8 @@ def in_thirds(events: DataFrame) -> list[DataFrame]:
     return [events.filter(span) for span in spans]
 
 
-def trip_file_rows(events: DataFrame) -> DataFrame:
-    """Events as the 23 text columns of a trip file; the company is blank or N/A for two event types."""
+def trip_file_rows(events: DataFrame, *more: Column) -> DataFrame:
+    """Events as the 23 text columns of a trip file, and ``more``; the company is blank or N/A for two event types."""
     kind = F.col("event_type")
     value, user = F.col("value"), F.col("user_id")
     start = F.date_format("ts", TRIP_TIME_FORMAT)
@@ -220,7 +234,7 @@ def trip_file_rows(events: DataFrame) -> DataFrame:
         "dropoff_centroid_longitude": F.lit("-87.6"),
         "dropoff_centroid_location": F.lit("POINT (-87.6 41.9)"),
     }
-    return events.select(*[cells[name].cast("string").alias(name) for name in TRIP_FILE_COLUMNS])
+    return events.select(*[cells[name].cast("string").alias(name) for name in TRIP_FILE_COLUMNS], *more)
 
 
 # What is left of the trip file after cleaning.

@@ -26,6 +26,7 @@ from hackney.plans.windows import sql_fares
 from hackney.schemas import DOUBLE, TIME, TRIP, schema_of
 from hackney.session import scratch
 from hackney.sources.files import list_landing, read_landing, read_trip_files
+from hackney.sources.store import hadoop_files
 from hackney.sources.wire import read_wire
 from hackney.streaming.sinks import file_sink, write_records
 
@@ -189,12 +190,18 @@ def stream_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(spark: SparkSession, sf_dir: str) -> str:
-    """Every tenant (here: type of event) puts its trip file into its own folder."""
-    root = scratch(spark, "landing")
+    """Every tenant (here: type of event) has its trip file in its own folder."""
+    root, aside = scratch(spark, "landing"), scratch(spark, "aside")
     events = table(spark, sf_dir, "events")
-    for tenant in ("click", "error", "purchase", "signup", "view"):
-        rows = trip_file_rows(events.filter(F.col("event_type") == tenant))
-        rows.write.options(header=True, escape='"', emptyValue="").csv(f"{root}/{tenant}/in")
+    rows = trip_file_rows(events, F.col("event_type").alias("tenant"))
+    rows.write.partitionBy("tenant").options(header=True, escape='"', emptyValue="").csv(aside)
+    # Folders as they are found in a landing zone: <tenant>/in/<files>.
+    files, path = hadoop_files(spark, aside)
+    for status in files.listStatus(path(aside)):
+        if status.isDirectory():
+            tenant = status.getPath().getName().partition("=")[2]
+            files.mkdirs(path(f"{root}/{tenant}"))
+            files.rename(status.getPath(), path(f"{root}/{tenant}/in"))
     return root
 
 
@@ -211,8 +218,13 @@ def landing_by_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.groupBy("tenant_id").agg(F.count("*").alias("trips"), money.alias("fare_total"))
 
 
-@plan("SELECT DISTINCT event_type AS tenant_id, TRUE AS has_data FROM events")
+@plan("SELECT event_type AS tenant_id, count(*) AS trips FROM events GROUP BY event_type")
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = list_landing(spark, _land(spark, sf_dir))
-    data = files.filter(F.col("file_name").endswith(".csv"))
-    return data.groupBy("tenant_id").agg((F.sum("bytes") > 0).alias("has_data"))
+    """Trips in the files that the list names, where name and size agree with what was read."""
+    root = _land(spark, sf_dir)
+    listed = list_landing(spark, root).select("tenant_id", "file_name", "bytes")
+    read = read_landing(spark, root).select(
+        "tenant_id", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("bytes")
+    )
+    per_file = read.groupBy("tenant_id", "file_name", "bytes").agg(F.count("*").alias("trips"))
+    return per_file.join(listed, per_file.columns[:3]).groupBy("tenant_id").agg(F.sum("trips").alias("trips"))

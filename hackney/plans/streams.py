@@ -7,22 +7,28 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from hackney.app import analyse, store
+from hackney.app import analyse, results_of, store
 from hackney.functions.clock import flat_window
 from hackney.functions.records import parse
 from hackney.operators.alerts import alerts
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.history import persistent_hot_spots
-from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows, query_progress
+from hackney.operators.metrics import batch_health, error_rate, observed, progress_rows
+from hackney.operators.quality import dedupe
 from hackney.operators.windows import COMMUNITY, LOCATION, community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
+    QUARTERS,
     TRIPS,
+    batch_trips,
     cores,
     event_wire,
     faulty_wire,
     finish,
+    in_quarters,
     in_thirds,
+    lineitem_trips,
     sql_sliding,
     stream_trips,
     table,
@@ -31,21 +37,33 @@ from hackney.plans.fixtures import (
 from hackney.plans.registry import plan
 from hackney.plans.history import RULES, SQL_ALERTS
 from hackney.plans.windows import DAY, SQL_BY_DAY, sql_fares
-from hackney.schemas import INGEST_TOPIC, topic_name
+from hackney.schemas import (
+    HOTSPOT_COMMUNITY_TOPIC,
+    HOTSPOT_TOPIC,
+    INGEST_TOPIC,
+    RESULT_KEYS,
+    RESULT_TOPICS,
+    SUM_FARE_TOPIC,
+    TRIPS_TOTAL_TOPIC,
+    topic_name,
+)
 from hackney.session import scratch
 from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
-from hackney.streaming.progress import progress_table
-from hackney.streaming.run import ALL_AVAILABLE, MONEY, STANDING, await_all, start_tenant
+from hackney.streaming.progress import ProgressLog
+from hackney.streaming.run import ALL_AVAILABLE, MONEY, STANDING, await_all, run_to_end, start_tenant
 from hackney.streaming.sinks import (
     BATCH,
+    RUN,
     Sink,
     file_sink,
     fold_versions,
     latest,
     read_latest,
+    read_table,
     versioned_sink,
     write_records,
+    write_store,
 )
 from hackney.streaming.topics import Folders
 
@@ -120,8 +138,9 @@ def result_table_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     path, folded = scratch(spark, "days"), scratch(spark, "folded")
     versions = _deliver(spark, in_thirds(events), totals_by_day, "days", "update", path)
-    first = versions.agg(F.min(BATCH)).first()[0]
-    fold_versions(spark, path, folded, ["day"], last=first)
+    first, second = versions.select(RUN, BATCH).distinct().orderBy(RUN, BATCH).limit(2).collect()
+    for last in (first, second):  # the second fold goes on from the first
+        fold_versions(spark, path, folded, ["day"], last=tuple(last))
     return day_report(read_latest(spark, path, ["day"], folded), scale=None)
 
 
@@ -242,24 +261,54 @@ def stream_null_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode="update",
         sink=versioned_sink(path),
     )
-    return flat_window(spark.read.parquet(path).drop(BATCH))
+    return flat_window(spark.read.parquet(path).drop(RUN, BATCH))
 
 
-@plan(
-    f"""
-WITH trips AS ({TRIPS}), fares AS ({sql_fares()}),
-     community AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
-     places AS ({sql_sliding('pickup_centroid_location')})
-SELECT 'sumFareWindowStream' AS query, count(*) AS results FROM fares
-UNION ALL SELECT 'hotspotCommunityPickupWindowStream', count(*) FROM community
+SQL_DAYS = """
+SELECT strftime(event_timestamp, '%Y-%m-%d') AS day, count(*) AS trips_total, round(sum(fare), 0) AS fare_total,
+       round(sum(tips) / count(tips), 0) AS tips_avg, round(sum(trip_total) / count(trip_total), 0) AS trip_total_avg
+FROM quarters
+GROUP BY 1
+"""
+
+
+def _sql_standing() -> str:
+    """All results of the four standing queries over amounts in quarters."""
+    areas, places = sql_sliding("pickup_community_area", HAS_AREA), sql_sliding("pickup_centroid_location")
+    return f"""
+WITH trips AS ({TRIPS}), quarters AS ({QUARTERS}),
+     fares AS (SELECT time_bucket(INTERVAL '5 seconds', event_timestamp) AS w, round(sum(fare), 0) AS a,
+                      round(sum(tips), 0) AS b, round(sum(trip_total), 0) AS c FROM quarters GROUP BY 1),
+     days AS ({SQL_DAYS}), community AS ({areas}), places AS ({places})
+SELECT '{SUM_FARE_TOPIC}' AS query, strftime(w, '%Y-%m-%d %H:%M:%S') AS at, cast(NULL AS varchar) AS place,
+       cast(NULL AS bigint) AS n, a, b, c FROM fares
+UNION ALL SELECT '{TRIPS_TOTAL_TOPIC}', day, NULL, trips_total, fare_total, tips_avg, trip_total_avg FROM days
+UNION ALL SELECT '{HOTSPOT_COMMUNITY_TOPIC}', strftime(window_start, '%Y-%m-%d %H:%M:%S'),
+       cast(pickup_community_area AS varchar), "count", NULL, NULL, NULL FROM community
   WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA})
-UNION ALL SELECT 'hotspotWindowStream', count(*) FROM places WHERE window_end <= (SELECT {PASSED} FROM trips)
-UNION ALL SELECT 'tripsTotalStream', 1
+UNION ALL SELECT '{HOTSPOT_TOPIC}', strftime(window_start, '%Y-%m-%d %H:%M:%S'), pickup_centroid_location, "count",
+       NULL, NULL, NULL FROM places WHERE window_end <= (SELECT {PASSED} FROM trips)
 """
-)
+
+
+def _standing(topic: str, results: DataFrame, at: Column) -> DataFrame:
+    """Results of a standing query in the columns of ``_sql_standing``."""
+    names = {
+        SUM_FARE_TOPIC: (None, None, "total_fare", "tips_fare", "total_trip_total"),
+        TRIPS_TOTAL_TOPIC: (None, "trips_total", "fare_total", "tips_avg", "trip_total_avg"),
+        HOTSPOT_COMMUNITY_TOPIC: (COMMUNITY, "count", None, None, None),
+        HOTSPOT_TOPIC: (LOCATION, "count", None, None, None),
+    }[topic]
+    kinds = ("string", "bigint", "double", "double", "double")
+    values = [F.lit(None) if name is None else F.col(name) for name in names]
+    columns = [v.cast(kind).alias(as_) for v, kind, as_ in zip(values, kinds, ("place", "n", "a", "b", "c"))]
+    return results.select(F.lit(topic).alias("query"), at.alias("at"), *columns)
+
+
+@plan(_sql_standing())
 def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The standing queries of a tenant at once; counts of the results each has written."""
-    root, trips = scratch(spark, "results"), stream_trips(spark, sf_dir)
+    """The standing queries of a tenant at once, with plain sums, and all results each has written."""
+    root, trips = scratch(spark, "results"), in_quarters(stream_trips(spark, sf_dir))
 
     def sink(topic: str) -> Sink:
         return versioned_sink(f"{root}/{topic}")
@@ -268,62 +317,125 @@ def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     await_all(start_tenant(lambda fields: trips, "acme", sink, scratch(spark, "checkpoints"), **options))
 
     def results(topic: str) -> DataFrame:
-        versions = spark.read.parquet(f"{root}/{topic_name('acme', topic)}")
-        key = [name for name in versions.columns if name in ("window", COMMUNITY, LOCATION)]
-        return latest(versions, key).agg(F.lit(topic).alias("query"), F.count("*").alias("results"))
+        rows = read_latest(spark, f"{root}/{topic_name('acme', topic)}", RESULT_KEYS[topic])
+        start = F.date_format("window.start", "yyyy-MM-dd HH:mm:ss")
+        return _standing(topic, rows, F.col("day").cast("string") if "day" in rows.columns else start)
 
     return reduce(DataFrame.unionByName, [results(topic) for topic in STANDING])
 
 
 @plan(
     """
-SELECT 'progress_fares' AS query_name, count(*) AS input_rows, cast(0 AS bigint) AS late_rows, TRUE AS timed,
-       count(DISTINCT time_bucket(INTERVAL '1 hour', ts)) AS state_rows
+SELECT 'complete' AS mode, count(*) AS emitted, cast(sum(n) AS bigint) AS trips, cast(NULL AS double) AS fare_total
+FROM (SELECT 0 AS n FROM (SELECT count(*) AS c FROM events WHERE event_type IN ('view', 'error')) WHERE c > 0)
+UNION ALL SELECT 'update', 0, NULL, NULL FROM (SELECT count(*) FROM events)
+"""
+)
+def stream_bad_records_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a stream without a usable record the day total is one row of nothing, and there is no window."""
+    wire = faulty_wire(table_stream(spark, sf_dir, "events")).filter(F.col("topic").isin("view", "error"))
+    trips = parse(wire, MONEY, keep=())
+    kinds = {"complete": day_totals(trips, as_of=DAY), "update": fare_totals(trips)}
+    parts = []
+    for mode, results in kinds.items():
+        path = scratch(spark, mode)
+        finish(results, name=f"bad_{mode}", mode=mode, sink=versioned_sink(path))
+        rows = spark.read.schema(results.schema).option("recursiveFileLookup", True).parquet(path)
+        trips_total = F.sum("trips_total") if mode == "complete" else F.lit(None)
+        fares = F.sum("fare_total" if mode == "complete" else "total_fare")
+        parts.append(
+            rows.agg(
+                F.lit(mode).alias("mode"), F.count("*").alias("emitted"),
+                trips_total.cast("bigint").alias("trips"), fares.cast("double").alias("fare_total"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+# Files of a topic, each a micro-batch: more than the last hundred that Spark remembers the progress of.
+MANY = 104
+
+
+def _many_batches(spark: SparkSession, records: DataFrame) -> DataFrame:
+    topic = scratch(spark, "topic")
+    records.repartitionByRange(MANY, "timestamp").write.parquet(topic)
+    reader = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(topic)
+
+
+def _logged(spark: SparkSession, run: Callable[[], list[StreamingQuery]]) -> DataFrame:
+    """The complete progress of the queries that ``run`` runs to their end."""
+    log = ProgressLog(spark, scratch(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        queries = run()
+        log.wait(queries)
+    finally:
+        spark.streams.removeListener(log)
+    names = [query.name for query in queries]
+    return progress_rows(log.progress()).filter(F.col("query_name").isin(names))
+
+
+def _one_state(df: DataFrame, name: str) -> StreamingQuery:
+    """Small micro-batches: one state partition, and nothing kept of the results."""
+    spark = df.sparkSession
+    sink = versioned_sink(scratch(spark, name), files=1)
+    return run_to_end(
+        df, name=name, mode="update", sink=sink, checkpoints=scratch(spark, "checkpoints"), state_partitions=1
+    )
+
+
+@plan(
+    f"""
+SELECT 'progress_fares' AS query_name, count(*) AS input_rows, cast(0 AS bigint) AS late_rows,
+       cast({MANY} AS bigint) AS filled_batches, count(DISTINCT date_trunc('hour', ts)) AS state_rows
 FROM events
 """,
     name="query_progress",
 )
 def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = fare_totals(stream_trips(spark, sf_dir), size="1 hour", exact=True)
-    query = finish(
-        totals,
-        name="progress_fares",
-        mode="update",
-        sink=versioned_sink(scratch(spark, "fares")),
-    )
-    report = query_progress(progress_rows(progress_table(spark, [query])))
-    return report.groupBy("query_name").agg(
+    """Of a stream over more micro-batches than Spark remembers."""
+    records = _many_batches(spark, event_wire(table(spark, sf_dir, "events")))
+    totals = fare_totals(parse(records, MONEY, keep=()), size="1 hour", delay="1000 days", exact=True)
+    rows = _logged(spark, lambda: [_one_state(totals, "progress_fares")])
+    return rows.groupBy("query_name").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_rows").alias("late_rows"),
-        (F.sum("batch_ms") > 0).alias("timed"),
+        F.count_if(F.col("input_rows") > 0).alias("filled_batches"),
         F.max("state_rows").alias("state_rows"),
     )
 
 
 @plan(
-    """
+    f"""
 SELECT 'all_records' AS query_name, count(*) AS records,
-       count(*) FILTER (event_type NOT IN ('view', 'error')) AS valid, cast(0 AS bigint) AS late_rows, FALSE AS silent
+       count(*) FILTER (event_type NOT IN ('view', 'error')) AS valid, cast({MANY} AS bigint) AS batches,
+       cast(0 AS bigint) AS late_rows, cast(0 AS bigint) AS silent_batches
 FROM events
 UNION ALL
-SELECT 'bad_records', count(*), 0, 0, TRUE FROM events WHERE event_type IN ('view', 'error')
+SELECT 'bad_records', count(*), 0, {MANY}, 0, {MANY} FROM events WHERE event_type IN ('view', 'error')
 """
 )
 def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query over records of which none is usable ends well, and only its health shows it."""
-    records = faulty_wire(table_stream(spark, sf_dir, "events"))
+    records = faulty_wire(table(spark, sf_dir, "events"))
     inputs = {"all_records": records, "bad_records": records.filter(F.col("topic").isin("view", "error"))}
-    queries = [
-        finish(
-            fare_totals(observed(parse(wire, MONEY, keep=()))),
-            name=name,
-            mode="update",
-            sink=versioned_sink(scratch(spark, name)),
-        )
-        for name, wire in inputs.items()
-    ]
-    health = batch_health(progress_rows(progress_table(spark, queries)))
-    return health.select("query_name", "records", "valid", "late_rows", "silent")
+
+    def run() -> list[StreamingQuery]:
+        queries = []
+        for name, wire in inputs.items():
+            trips = observed(parse(_many_batches(spark, wire), MONEY, keep=()))
+            queries.append(_one_state(fare_totals(trips, delay="1000 days"), name))
+        return queries
+
+    health = batch_health(_logged(spark, run))
+    return health.groupBy("query_name").agg(
+        F.sum("records").alias("records"),
+        F.sum("valid").alias("valid"),
+        F.count("*").alias("batches"),
+        F.sum("late_rows").alias("late_rows"),
+        F.count_if("silent").alias("silent_batches"),
+    )
 
 
 @plan(
@@ -343,31 +455,74 @@ def stream_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_window(latest(spark.read.parquet(path), ["window"]))
 
 
-@plan(
-    f"""
-WITH trips AS ({TRIPS}), fares AS ({sql_fares()}),
-     community AS ({sql_sliding('pickup_community_area', HAS_AREA)}),
-     places AS ({sql_sliding('pickup_centroid_location')})
-SELECT 'sumfarewindow' AS result_table, count(*) AS results, cast(NULL AS bigint) AS pickups FROM fares
-UNION ALL SELECT 'hotspotcommunitywindow', count(*), cast(sum("count") AS bigint) FROM community
-  WHERE window_end <= (SELECT {PASSED} FROM trips WHERE {HAS_AREA})
-UNION ALL SELECT 'hotspotwindow', count(*), cast(sum("count") AS bigint) FROM places
-  WHERE window_end <= (SELECT {PASSED} FROM trips)
-"""
-)
+@plan(f"SELECT *, TRUE AS own_ids FROM ({_sql_standing()})")
 def results_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the records of a topic over the four standing queries and their topics to the result tables."""
+    """From the records of a topic over the four standing queries and their topics to the result tables.
+
+    The records come in thirds, so windows across a border and all days are emitted more than once, and the
+    tables get all emissions in one batch. What counts is the last one of each result; and every row of a
+    table has an id of its own.
+    """
     root, tables = scratch(spark, "topics"), scratch(spark, "tables")
     topics, trigger = Folders(root), ALL_AVAILABLE
-    topics.send(event_wire(table(spark, sf_dir, "events")), topic_name("acme", INGEST_TOPIC))
     settings = {"checkpoints": scratch(spark, "checkpoints"), "trigger": trigger, "state_partitions": cores(spark)}
-    await_all(analyse(spark, topics, "acme", **settings))
-    await_all(store(spark, topics, "acme", tables, settings["checkpoints"], trigger))
+    for part in in_thirds(table(spark, sf_dir, "events")):
+        topics.send(event_wire(part, in_quarters), topic_name("acme", INGEST_TOPIC))
+        await_all(analyse(spark, topics, "acme", **settings), poll_seconds=0.1)
+    await_all(store(spark, topics, "acme", tables, settings["checkpoints"], trigger), poll_seconds=0.1)
+
+    def results(topic: str) -> DataFrame:
+        kind = RESULT_TOPICS[topic]
+        start = F.date_format(F.get_json_object("window", "$.start").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+        rows = _standing(topic, results_of(spark, tables, "acme", topic), F.col("day") if topic == TRIPS_TOTAL_TOPIC else start)
+        ids = read_table(spark, f"{tables}/acme/{kind.name}", kind).agg((F.count_distinct("id") == F.count("*")).alias("own_ids"))
+        return rows.withColumn("own_ids", F.lit(ids.first()["own_ids"]))
+
+    return reduce(DataFrame.unionByName, [results(topic) for topic in STANDING])
+
+
+@plan(
+    """
+SELECT l_shipdate::date AS day, count(*) AS trips, cast(round(sum(cast(l_extendedprice AS decimal(18,2))) * 100) AS bigint) AS fare_cents
+FROM lineitem GROUP BY 1
+"""
+)
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day totals stored in two loads, the second one twice: no day is lost, and none is doubled."""
+    path = scratch(spark, "store")
+    trips = lineitem_trips(table(spark, sf_dir, "lineitem"))
+    early = trips.filter("year(event_timestamp) < 1995")
+    late = trips.filter("year(event_timestamp) >= 1995")
+    for load in (early, late, late):
+        write_store(totals_by_day(load).withColumn("month", F.date_format("day", "yyyy-MM")), path, ["month"])
+    return read_store(spark, path).select("day", "trips", "fare_cents")
+
+
+def _copies(trips: DataFrame) -> DataFrame:
+    """Views have no id, purchases arrive three times, and all errors have the same id."""
+    kind = F.col("payment_type")
+    again = trips.filter(kind == "purchase")
+    number = F.when(kind == "error", F.lit("same")).when(kind != "view", F.col("trip_id"))
+    return trips.unionByName(again).unionByName(again).withColumn("trip_id", number)
+
+
+SQL_COPIES = f"""
+WITH trips AS ({TRIPS})
+SELECT payment_type, cast(CASE WHEN payment_type = 'error' THEN 1 ELSE count(*) END AS bigint) AS trips
+FROM trips GROUP BY payment_type
+"""
+
+
+@plan(SQL_COPIES)
+def dedupe_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips without an id are no copies of each other; an id with a fifth of all trips leaves one."""
+    unique = dedupe(_copies(batch_trips(spark, sf_dir)))
+    return unique.groupBy("payment_type").agg(F.count("*").alias("trips"))
 
-    def stored(name: str, pickups: Column) -> DataFrame:
-        rows = spark.read.parquet(f"{tables}/acme/{name}")
-        return rows.agg(F.lit(name).alias("result_table"), F.count("*").alias("results"), pickups.alias("pickups"))
 
-    fares = stored("sumfarewindow", F.lit(None).cast("bigint"))
-    areas, places = (stored(name, F.sum("count")) for name in ("hotspotcommunitywindow", "hotspotwindow"))
-    return fares.unionByName(areas).unionByName(places)
+@plan(SQL_COPIES)
+def stream_dedupe_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "unique")
+    unique = dedupe(_copies(stream_trips(spark, sf_dir)), delay="1000 days")
+    finish(unique, name="dedupe_ids", mode="append", sink=file_sink(path))
+    return spark.read.parquet(path).groupBy("payment_type").agg(F.count("*").alias("trips"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.functions.records import parse, serialise
-from hackney.operators.conform import conform, mapped
+from hackney.operators.conform import conform, create_table, mapped
 from hackney.operators.daily import day_totals
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
 from hackney.plans.fixtures import (
@@ -27,12 +29,14 @@ from hackney.schemas import (
     DOUBLE,
     HOTSPOT_COMMUNITY_WINDOW,
     HOTSPOT_WINDOW,
+    RESULT_TOPICS,
+    SUM_FARE_TOPIC,
     SUM_FARE_WINDOW,
     TRIPS_TOTAL,
     schema_of,
 )
 from hackney.session import scratch
-from hackney.streaming.sinks import BATCH, table_sink
+from hackney.streaming.sinks import emission, read_table, table_sink
 
 
 @plan(
@@ -91,7 +95,7 @@ def result_table_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode="update",
         sink=table_sink(path, SUM_FARE_WINDOW),
     )
-    return spark.read.parquet(path).drop("id", BATCH)
+    return read_table(spark, path, SUM_FARE_WINDOW).drop("id")
 
 
 @plan(
@@ -136,3 +140,22 @@ def trips_total_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = serialise(day_totals(batch_trips(spark, sf_dir), as_of=DAY, exact=True))
     fields = schema_of(trips_total=T.LongType(), fare_total=DOUBLE, tips_avg=DOUBLE, trip_total_avg=DOUBLE)
     return mapped(parse(records, fields, keep=()), TRIPS_TOTAL).drop("id")
+
+
+@plan(
+    f"""
+WITH trips AS ({TRIPS}), totals AS ({sql_fares('1 hour', 2)})
+SELECT {_sql_window_text('')}, cast(total_fare AS float) AS total_fare, cast(tips_fare AS float) AS tips_fare,
+       cast(total_trip_total AS float) AS total_trip_total, cast(3 AS bigint) AS run, cast(7 AS bigint) AS batch_id
+FROM totals
+"""
+)
+def declared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream fills the folder of a table that is declared before; what it holds is asked of the table."""
+    path = scratch(spark, "declared")
+    table_ = RESULT_TOPICS[SUM_FARE_TOPIC]
+    name = create_table(spark, replace(table_, name=f"{table_.name}_{path[-32:]}"), path)
+    totals = fare_totals(stream_trips(spark, sf_dir), size="1 hour", scale=2, exact=True)
+    finish(emission(totals, 3, 7), name="declared", mode="update", sink=table_sink(path, table_))
+    spark.sql(f"REFRESH TABLE {name}")
+    return spark.table(name).drop("id")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hackney.functions.clock import flat_window
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.windows import community_hot_spots, fare_totals, location_hot_spots
-from hackney.plans.fixtures import TRIPS, batch_trips, sql_bucket, sql_sliding
+from hackney.plans.fixtures import QUARTERS, TRIPS, batch_trips, in_quarters, sql_bucket, sql_sliding
 from hackney.plans.registry import plan
 
 DAY = "2024-01-15"
@@ -58,6 +59,24 @@ def day_totals_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_totals(batch_trips(spark, sf_dir), as_of=DAY, exact=True)
 
 
+@plan(
+    f"""
+WITH trips AS ({TRIPS}), quarters AS ({QUARTERS}),
+     last AS (SELECT date_trunc('day', max(event_timestamp)) AS day FROM trips)
+SELECT count(*) AS trips_total, round(sum(fare), 0) AS fare_total, round(sum(tips) / count(tips), 0) AS tips_avg,
+       round(sum(trip_total) / count(trip_total), 0) AS trip_total_avg
+FROM quarters, last
+WHERE event_timestamp > day AND event_timestamp < day + INTERVAL '1 day'
+"""
+)
+def day_totals_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the present day, with plain sums and means, over trips moved so that their last day is today."""
+    trips = in_quarters(batch_trips(spark, sf_dir))
+    last = trips.agg(F.to_date(F.max("event_timestamp"))).first()[0]
+    behind = F.date_diff(F.current_date(), F.lit(last))
+    return day_totals(trips.withColumn("event_timestamp", F.col("event_timestamp") + F.make_dt_interval(behind)))
+
+
 @plan(
     f"""
 WITH trips AS ({TRIPS})

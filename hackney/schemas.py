@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -84,6 +84,10 @@ class Table:
     def schema(self) -> T.StructType:
         return schema_from_fields(self.fields)
 
+    def with_emission(self, *more: Field) -> Table:
+        """The table with further fields, and the run and batch that have emitted each row."""
+        return replace(self, fields=(*self.fields, *more, ("run", "long"), ("batch_id", "long")))
+
 
 def declared_type(declared: str | Sequence[str]) -> T.DataType:
     """Spark type of a declared type; of a union ``["null", x]`` it is that of ``x``."""
@@ -180,12 +184,23 @@ RESULT_TABLES = {
     for table in (ANALYTICS, TRIPS_TOTAL, SUM_FARE_WINDOW, HOTSPOT_WINDOW, HOTSPOT_COMMUNITY_WINDOW)
 }
 
-# The result topic that feeds each result table.
+# The names of the result topics.
+TRIPS_TOTAL_TOPIC = "tripsTotalStream"
+SUM_FARE_TOPIC = "sumFareWindowStream"
+HOTSPOT_TOPIC = "hotspotWindowStream"
+HOTSPOT_COMMUNITY_TOPIC = "hotspotCommunityPickupWindowStream"
+# The table that each topic feeds, as it is stored, and what tells its results apart.
 RESULT_TOPICS = {
-    "tripsTotalStream": TRIPS_TOTAL,
-    "sumFareWindowStream": SUM_FARE_WINDOW,
-    "hotspotWindowStream": HOTSPOT_WINDOW,
-    "hotspotCommunityPickupWindowStream": HOTSPOT_COMMUNITY_WINDOW,
+    TRIPS_TOTAL_TOPIC: TRIPS_TOTAL.with_emission(("day", "string")),
+    SUM_FARE_TOPIC: SUM_FARE_WINDOW.with_emission(),
+    HOTSPOT_TOPIC: HOTSPOT_WINDOW.with_emission(),
+    HOTSPOT_COMMUNITY_TOPIC: HOTSPOT_COMMUNITY_WINDOW.with_emission(),
+}
+RESULT_KEYS = {
+    TRIPS_TOTAL_TOPIC: ("day",),
+    SUM_FARE_TOPIC: ("window",),
+    HOTSPOT_TOPIC: ("window", "pickup_centroid_location"),
+    HOTSPOT_COMMUNITY_TOPIC: ("window", "pickup_community_area"),
 }
 INGEST_TOPIC = "ingestData"
 

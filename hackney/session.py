@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -58,7 +59,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder that ``spark.checkpoint.dir`` names."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

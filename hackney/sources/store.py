@@ -22,3 +22,9 @@ def read_store(
     if last_day is not None:
         stored = stored.filter(F.col(day) <= F.lit(last_day).cast("date"))
     return stored
+
+
+def hadoop_files(spark: SparkSession, path: str):
+    """The file system of a path, and what makes its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make

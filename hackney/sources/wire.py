@@ -9,15 +9,18 @@ from hackney.functions.records import wire_text
 from hackney.schemas import WIRE
 
 
-def broker_options(servers: str, topic: str, security: dict[str, str] | None = None) -> dict[str, str]:
+def broker_options(
+    servers: str, topic: str, security: dict[str, str] | None = None, starting_offsets: str = "latest"
+) -> dict[str, str]:
     """Options of a topic scan: start with new records, go on when old ones are gone.
 
-    ``security`` takes client settings such as ``security.protocol`` or ``sasl.mechanism``.
+    ``security`` takes client settings such as ``security.protocol`` or ``sasl.mechanism``;
+    ``starting_offsets`` may be ``earliest``, for all that the topic still holds.
     """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": "latest",
+        "startingOffsets": starting_offsets,
         "failOnDataLoss": "false",
         **client_options(security),
     }

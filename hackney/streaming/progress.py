@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from hackney.sources.store import hadoop_files
+
 SCHEMA = "progress STRING"
 
 
@@ -16,38 +21,64 @@ def _as_json(progress) -> str:
 
 
 def progress_table(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """Recent progress of the given queries: one JSON text per micro-batch.
+    """The last progress of the given queries: one JSON text per micro-batch.
 
-    Spark keeps a bounded number of them per query (``spark.sql.streaming.numRecentProgressUpdates``).
+    Spark keeps the last 100 per query (``spark.sql.streaming.numRecentProgressUpdates``); totals
+    need a ``ProgressLog``.
     """
     return spark.createDataFrame([(_as_json(p),) for query in queries for p in query.recentProgress], SCHEMA)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends progress records, and the failures of queries, to two folders."""
+    """Keeps every progress record, and how queries ended, in two folders.
+
+    Each record is a small file that is there before the next one comes, written without a Spark job.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, flush_every: int = 20) -> None:
-        self._spark, self._path, self._flush_every = spark, path, flush_every
-        self._waiting: list[tuple[str]] = []
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark, self._path = spark, path
+        self._ended: set[str] = set()
+
+    def _put(self, name: str, text: str) -> None:
+        files, make = hadoop_files(self._spark, self._path)
+        out = files.create(make(f"{self._path}/{name}"), True)
+        try:
+            out.write(bytearray((text + "\n").encode()))
+        finally:
+            out.close()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self._waiting.append((event.progress.json,))
-        if len(self._waiting) >= self._flush_every:
-            self.flush()
+        progress = event.progress
+        # Batches without input report under the number of the next one.
+        self._put(f"progress/{progress.runId}-{progress.batchId:012d}-{progress.timestamp.replace(':', '')}", progress.json)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.flush()
-        ended = [(str(event.id), str(event.runId), event.exception)]
-        schema = "id STRING, run_id STRING, failure STRING"
-        self._spark.createDataFrame(ended, schema).coalesce(1).write.mode("append").parquet(f"{self._path}/ended")
-
-    def flush(self) -> None:
-        rows, self._waiting = self._waiting, []
-        if rows:
-            self._spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{self._path}/progress")
+        ended = {"id": str(event.id), "run_id": str(event.runId), "failure": event.exception}
+        self._put(f"ended/{event.runId}", json.dumps(ended))
+        self._ended.add(str(event.runId))
+
+    def wait(self, queries: Iterable[StreamingQuery], seconds: float = 60) -> None:
+        """Until all that the ended queries have reported is kept."""
+        runs, until = {str(query.runId) for query in queries}, time.monotonic() + seconds
+        while not runs <= self._ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no end reported of {sorted(runs - self._ended)}")
+            time.sleep(0.05)
+
+    def progress(self) -> DataFrame:
+        """All progress records: one JSON text per micro-batch."""
+        return progress_log(self._spark, self._path)
+
+    def ended(self) -> DataFrame:
+        return self._spark.read.schema("id STRING, run_id STRING, failure STRING").json(f"{self._path}/ended")
+
+
+def progress_log(spark: SparkSession, path: str) -> DataFrame:
+    """The progress records that a ``ProgressLog`` has kept in a folder."""
+    return spark.read.text(f"{path}/progress").select(F.col("value").alias("progress"))

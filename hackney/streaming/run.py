@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import signal
 import time
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.functions.clock import EVENT_TIME
-from hackney.operators.daily import day_totals
+from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.windows import COMMUNITY, LOCATION, community_hot_spots, fare_totals, location_hot_spots
-from hackney.schemas import topic_name
-from hackney.streaming.sinks import Sink
+from hackney.schemas import HOTSPOT_COMMUNITY_TOPIC, HOTSPOT_TOPIC, SUM_FARE_TOPIC, TRIPS_TOTAL_TOPIC, topic_name
+from hackney.streaming.sinks import Sink, run_number
 
 ALL_AVAILABLE = {"availableNow": True}
 PARTITIONS = "spark.sql.shuffle.partitions"
+POOL = "spark.scheduler.pool"
 
 
 def start(
@@ -36,19 +38,22 @@ def start(
     very first start; the checkpoint keeps it. It defaults to the session's shuffle partitions.
     """
     spark = df.sparkSession
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-    writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoints}/{name}")
+    checkpoint = f"{checkpoints}/{name}"
+    run = run_number(spark, checkpoint)
+    writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    writer = sink(writer)
-    if state_partitions is None:
-        return writer.start()
-    # A query takes its own copy of the settings when it starts.
-    usual = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, state_partitions)
+    writer = sink(writer, run)
+    # A query takes its own copy of pool and settings when it starts; the caller keeps theirs.
+    context, usual = spark.sparkContext, spark.conf.get(PARTITIONS)
+    usual_pool = context.getLocalProperty(POOL)
+    context.setLocalProperty(POOL, pool)
+    if state_partitions is not None:
+        spark.conf.set(PARTITIONS, state_partitions)
     try:
         return writer.start()
     finally:
+        context.setLocalProperty(POOL, usual_pool)
         spark.conf.set(PARTITIONS, usual)
 
 
@@ -59,14 +64,21 @@ def run_to_end(df: DataFrame, **options) -> StreamingQuery:
     return query
 
 
+def days_so_far(trips: DataFrame) -> DataFrame:
+    """The totals of every day there are trips of; a day starts afresh at midnight."""
+    return day_report(totals_by_day(trips), scale=0)
+
+
 # The standing queries: result topic, query, output mode and the trip fields it reads.
 MONEY = (EVENT_TIME, "fare", "tips", "trip_total")
 STANDING = {
-    "sumFareWindowStream": (fare_totals, "update", MONEY),
-    "tripsTotalStream": (day_totals, "complete", MONEY),
-    "hotspotCommunityPickupWindowStream": (community_hot_spots, "append", (EVENT_TIME, COMMUNITY)),
-    "hotspotWindowStream": (location_hot_spots, "append", (EVENT_TIME, LOCATION)),
+    SUM_FARE_TOPIC: (fare_totals, "update", MONEY),
+    TRIPS_TOTAL_TOPIC: (days_so_far, "update", MONEY),
+    HOTSPOT_COMMUNITY_TOPIC: (community_hot_spots, "append", (EVENT_TIME, COMMUNITY)),
+    HOTSPOT_TOPIC: (location_hot_spots, "append", (EVENT_TIME, LOCATION)),
 }
+# The day total with one state that never starts anew: of the day of its start, and all that follow.
+ENDLESS_DAY = {TRIPS_TOTAL_TOPIC: (day_totals, "complete", MONEY)}
 
 
 def start_tenant(
@@ -74,17 +86,17 @@ def start_tenant(
     tenant: str,
     sink: Callable[[str], Sink],
     checkpoints: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda results: results,
+    standing: Mapping[str, tuple] = STANDING,
     **options,
 ) -> list[StreamingQuery]:
     """Start the standing queries of a tenant; names, checkpoints, sinks and pool are its own.
 
     ``trips`` gives the stream of trips with the fields a query asks for, ``sink`` the sink of a
-    result topic, ``prepare`` turns results into what the sinks take.
+    result topic.
     """
     return [
         start(
-            prepare(query(trips(fields))),
+            query(trips(fields)),
             name=topic_name(tenant, topic),
             mode=mode,
             sink=sink(topic_name(tenant, topic)),
@@ -92,16 +104,24 @@ def start_tenant(
             pool=tenant,
             **options,
         )
-        for topic, (query, mode, fields) in STANDING.items()
+        for topic, (query, mode, fields) in standing.items()
     ]
 
 
-def await_all(queries: Iterable[StreamingQuery], poll_seconds: float = 1.0) -> None:
-    """Wait until all have ended. The first failure stops the others and is raised."""
+def await_all(
+    queries: Iterable[StreamingQuery], poll_seconds: float = 1.0, stop: Callable[[], bool] = lambda: False
+) -> None:
+    """Wait until all have ended. The first failure stops the others and is raised.
+
+    When ``stop`` says so, all are stopped; what they have not finished they repeat at their next start.
+    """
     queries = list(queries)
     while any(query.isActive for query in queries):
         if any(query.exception() for query in queries):
             break
+        if stop():
+            stop_all(queries)
+            break
         time.sleep(poll_seconds)
     failed = [query for query in queries if query.exception()]
     if failed:
@@ -115,6 +135,14 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
             query.stop()
 
 
+def stop_on_signals(numbers: Iterable[int] = (signal.SIGTERM, signal.SIGINT)) -> Callable[[], bool]:
+    """Take note of signals instead of dying of them; gives the ``stop`` of ``await_all``. For the main thread."""
+    came: list[int] = []
+    for number in numbers:
+        signal.signal(number, lambda got, frame: came.append(got))
+    return lambda: bool(came)
+
+
 def stop_session_queries(spark: SparkSession) -> None:
     """Stop every query of the session; state and offsets stay in the checkpoints."""
     stop_all(spark.streams.active)

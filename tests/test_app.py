@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import json
+import os
+import signal
+import subprocess
+import sys
+import time
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from hackney import app
 from hackney.functions.records import parse
 from hackney.operators.ingest import to_wire
-from hackney.schemas import TRIP
+from hackney.operators.metrics import progress_rows
+from hackney.schemas import RESULT_TOPICS, TRIP
 from hackney.sources.wire import sasl
-from hackney.streaming.sinks import BATCH
+from hackney.streaming.progress import progress_log
+from hackney.streaming.run import ALL_AVAILABLE, await_all
+from hackney.streaming.sinks import BATCH, RUN, read_table
 from hackney.streaming.topics import Broker, Folders
 from tests.test_files import FULL, with_cell, write
 from tests.test_records import trips
@@ -24,26 +34,116 @@ def test_ingest_analyse_store(spark, folder):
     app.main(["analyse", *common], spark)
     app.main(["store", *common, "--tables", tables], spark)
 
-    fares = spark.read.parquet(f"{tables}/acme/sumfarewindow")
-    assert fares.columns == ["id", "window", "total_fare", "tips_fare", "total_trip_total", BATCH]
+    def table(name):
+        return next(read_table(spark, f"{tables}/acme/{name}", t) for t in RESULT_TOPICS.values() if t.name == name)
+
+    fares = table("sumfarewindow")
+    assert fares.columns == ["id", "window", "total_fare", "tips_fare", "total_trip_total", RUN, BATCH]
     row = fares.first()
-    assert (row["total_fare"], row["tips_fare"], row["total_trip_total"]) == (242.0, 47.0, 314.0)
-    assert json.loads(row["window"])["start"].startswith("2024-04-13T16:48:15.000")
-    total = spark.read.parquet(f"{tables}/acme/tripstotal").first()
-    assert (total["trips_total"], total["fare_total"]) == (0, None)
+    assert (row["total_fare"], row["tips_fare"], row["total_trip_total"]) == (88.0, 13.0, 102.0)
+    assert json.loads(row["window"])["start"].startswith("2024-05-02T09:15:20.000")
+    total = table("tripstotal").first()
+    assert (total["day"], total["trips_total"], total["fare_total"]) == ("2024-05-02", 2, 88.0)
+    # The job has declared the tables, over what it stores.
+    assert spark.table("acme.sumfarewindow").collect() == fares.collect()
 
     # The windows of the hot spots close when a later trip comes in.
     later = trips(spark).selectExpr("event_timestamp + INTERVAL 5 MINUTES AS event_timestamp", "* EXCEPT (event_timestamp)")
     Folders(topics).send(to_wire(later), "acme_ingestData")
     app.main(["analyse", *common], spark)
     app.main(["store", *common, "--tables", tables], spark)
-    areas = spark.read.parquet(f"{tables}/acme/hotspotcommunitywindow").collect()
-    assert [(r["pickup_community_area"], r["count"]) for r in areas] == [("28", 1)] * 2
-    places = spark.read.parquet(f"{tables}/acme/hotspotwindow").collect()
-    assert sorted(str(r["pickup_centroid_location"]) for r in places) == ["None"] * 2 + [
-        "POINT (-87.6266589003 41.9075200747)"
-    ] * 2
-    assert spark.read.parquet(f"{tables}/acme/sumfarewindow").count() == 2
+    areas = table("hotspotcommunitywindow").collect()
+    assert [(r["pickup_community_area"], r["count"]) for r in areas] == [("7", 1)] * 2
+    places = table("hotspotwindow").collect()
+    assert sorted(str(r["pickup_centroid_location"]) for r in places) == ["None"] * 2 + ["POINT (10.5 50.25)"] * 2
+    assert table("sumfarewindow").count() == 2
+
+
+def test_several_emissions_in_one_batch_of_the_store(spark, folder):
+    """A window is emitted three times before the store starts; its last emission counts."""
+    topics, tables = Folders(str(folder / "topics")), str(folder / "tables")
+    once = {"checkpoints": str(folder / "c"), "trigger": ALL_AVAILABLE}
+    for fare in (1.0, 4.0, 8.0):
+        row = trips(spark).limit(1).withColumn("fare", F.lit(fare))
+        topics.send(to_wire(row), "acme_ingestData")
+        await_all(app.analyse(spark, topics, "acme", **once), poll_seconds=0.1)
+    await_all(app.store(spark, topics, "acme", tables, **once), poll_seconds=0.1)
+    last = app.results_of(spark, tables, "acme", "sumFareWindowStream").collect()
+    assert [r["total_fare"] for r in last] == [13.0]
+    days = app.results_of(spark, tables, "acme", "tripsTotalStream").collect()
+    assert [(r["trips_total"], r["fare_total"]) for r in days] == [(3, 13.0)]
+    rows = read_table(spark, f"{tables}/acme/sumfarewindow", RESULT_TOPICS["sumFareWindowStream"])
+    assert [r["total_fare"] for r in rows.orderBy("id").collect()] == [1.0, 5.0, 13.0]
+
+    # An analysis that starts anew, with a checkpoint of its own, comes after all that was.
+    anew = {"checkpoints": str(folder / "c2"), "trigger": ALL_AVAILABLE}
+    topics.send(to_wire(trips(spark).limit(1).withColumn("fare", F.lit(16.0))), "acme_ingestData")
+    await_all(app.analyse(spark, topics, "acme", **anew), poll_seconds=0.1)
+    await_all(app.store(spark, topics, "acme", tables, **once), poll_seconds=0.1)
+    last = app.results_of(spark, tables, "acme", "sumFareWindowStream").collect()
+    assert [r["total_fare"] for r in last] == [29.0]
+    rows = read_table(spark, f"{tables}/acme/sumfarewindow", RESULT_TOPICS["sumFareWindowStream"])
+    assert rows.count() == 4
+    assert rows.select("id").distinct().count() == 4
+
+
+def test_quarantine_alerts_and_progress(spark, folder):
+    topics, bad, log = str(folder / "topics"), str(folder / "bad"), str(folder / "log")
+    wire = to_wire(trips(spark).withColumn("trip_id", F.lit("a"))).unionByName(
+        spark.createDataFrame([("oops",)], "value STRING").select(F.lit(None).cast("binary").alias("key"), F.encode("value", "utf-8").alias("value")),
+        allowMissingColumns=True,
+    )
+    Folders(topics).send(wire, "acme_ingestData")
+    later = trips(spark).selectExpr("event_timestamp + INTERVAL 5 MINUTES AS event_timestamp", "* EXCEPT (event_timestamp)")
+    common = ["analyse", "--tenant", "acme", "--topics", topics, "--checkpoints", str(folder / "c"), "--once"]
+    arguments = [*common, "--quarantine", bad, "--alert", "rich", "total_fare", "80", "--progress", log]
+    app.main(arguments, spark)
+    Folders(topics).send(to_wire(later.withColumn("trip_id", F.lit("b"))), "acme_ingestData")
+    app.main(arguments, spark)
+    assert [r["reasons"] for r in spark.read.parquet(f"{bad}/acme").collect()] == [["unreadable"]]
+    raised = Folders(topics).read(spark, "acme_alertStream", stream=False).collect()
+    assert [json.loads(r["value"])["rule"] for r in raised] == ["rich"]
+    rows = progress_rows(progress_log(spark, log)).groupBy("query_name").agg(F.sum("input_rows").alias("n")).collect()
+    assert {r["query_name"]: r["n"] for r in rows if r["n"]} == dict.fromkeys(
+        ["acme_quarantine", "acme_alertStream", *(f"acme_{topic}" for topic in RESULT_TOPICS)], 5
+    )
+
+
+JOB = """
+import sys
+from hackney import app
+app.main(sys.argv[1:])
+"""
+
+
+def test_a_signal_stops_a_job_that_later_goes_on(spark, folder):
+    topics, checkpoints = Folders(str(folder / "topics")), str(folder / "c")
+    topics.send(to_wire(trips(spark)), "acme_ingestData")
+    arguments = ["analyse", "--tenant", "acme", "--topics", topics.root, "--checkpoints", checkpoints]
+    env = os.environ | {"PYTHONPATH": os.getcwd(), "SPARK_LOCAL_IP": "127.0.0.1"}
+    command = [sys.executable, "-c", JOB, *arguments]
+    job = subprocess.Popen(command, env=env, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+
+    def emitted():
+        try:
+            rows = topics.read(spark, "acme_sumFareWindowStream", stream=False).collect()
+        except AnalysisException:
+            return []
+        return sorted(json.loads(r["value"])["total_fare"] for r in rows)
+
+    try:
+        for _ in range(600):
+            if emitted():
+                break
+            time.sleep(0.2)
+        job.send_signal(signal.SIGTERM)
+        assert job.wait(60) == 0
+    finally:
+        job.kill()
+    assert emitted() == [88.0]
+    topics.send(to_wire(trips(spark)), "acme_ingestData")
+    app.main([*arguments, "--once"], spark)
+    assert emitted() == [88.0, 176.0]
 
 
 def test_ingest_sends_complete_rows(spark, folder):
@@ -57,7 +157,7 @@ def test_ingest_sends_complete_rows(spark, folder):
     app.main(arguments, spark)
     assert sent().columns == TRIP.names
     row = sent().first()
-    assert row["trip_id"] == "0002044d" and row["event_timestamp"] is not None
+    assert row["trip_id"] == "trip-0001" and row["event_timestamp"] is not None
 
     watching = [*arguments, "--checkpoints", str(folder / "c"), "--once", "--files-per-trigger", "1"]
     for _ in range(2):  # a file is taken once, however often the job starts

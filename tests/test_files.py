@@ -19,9 +19,9 @@ from hackney.streaming.sinks import broker_sink, file_sink, write_records, write
 
 HEADER = ",".join(f"Some Name {n}" for n in range(23))
 FULL = (
-    '0002044d,476c001,01/22/2024 01:45:00 PM,01/22/2024 02:00:00 PM,841,2.2,17031081500,17031081500,8,28,10.25,'
-    '4.00,0.00,1.00,15.75,Credit Card,"Cabs, Ltd",41.899602111,-87.633308037,'
-    "POINT (-87.6333080367 41.899602111),41.874005383,-87.66351755,POINT (-87.6635175498 41.874005383)"
+    'trip-0001,cab-17,03/05/2024 01:30:00 PM,03/05/2024 01:45:05 PM,905,6.5,4711,4712,3,9,18.50,'
+    '2.25,0.50,0.75,22.00,Voucher,"Cabs, Ltd",47.5,8.25,'
+    "POINT (8.25 47.5),47.75,8.5,POINT (8.5 47.75)"
 )
 
 
@@ -43,9 +43,9 @@ def test_names_go_by_position_and_the_header_is_skipped(spark, folder):
     assert raw.columns == TRIP_FILE_COLUMNS and len(raw.columns) == 23
     row = typed_trips(raw).first()
     assert row["company"] == "Cabs, Ltd"
-    assert row["trip_start_timestamp"] == dt.datetime(2024, 1, 22, 13, 45)
-    assert (row["trip_seconds"], row["fare"], row["pickup_community_area"]) == (841, 10.25, 8)
-    assert row["pickup_census_tract"] == 17031081500.0
+    assert row["trip_start_timestamp"] == dt.datetime(2024, 3, 5, 13, 30)
+    assert (row["trip_seconds"], row["fare"], row["pickup_community_area"]) == (905, 18.5, 3)
+    assert row["pickup_census_tract"] == 4711.0
 
 
 def test_rows_with_a_missing_cell_are_dropped(spark, folder):
@@ -58,7 +58,7 @@ def test_rows_with_a_missing_cell_are_dropped(spark, folder):
 def test_a_cell_of_garbage_is_not_missing(spark, folder):
     raw = read_trip_files(spark, write(folder / "t.csv", with_cell("fare", "free"), with_cell("trip_start_timestamp", "soon")))
     rows = typed_trips(clean(raw)).collect()
-    assert [r["fare"] for r in rows] == [None, 10.25]
+    assert [r["fare"] for r in rows] == [None, 18.5]
     assert [r["trip_start_timestamp"] is None for r in rows] == [False, True]
 
 
@@ -112,7 +112,7 @@ def test_landing_folders_as_a_stream(spark, folder):
         sink=file_sink(str(folder / "out"), partition_by=["tenant_id"]),
         checkpoints=str(folder / "c"),
     )
-    assert [tuple(r) for r in spark.read.parquet(str(folder / "out")).collect()] == [("0002044d", "one")] * 2
+    assert [tuple(r) for r in spark.read.parquet(str(folder / "out")).collect()] == [("trip-0001", "one")] * 2
 
 
 def test_text_topic(spark, folder):
@@ -133,11 +133,25 @@ def test_store_opens_only_the_days_asked_for(spark, folder):
     assert "2024-01-03" in partitions and "2024-01-04" in partitions
 
 
+def test_storing_some_days_leaves_the_others(spark, folder):
+    path = str(folder / "store")
+
+    def days(*rows):
+        return spark.createDataFrame(rows, "day STRING, n INT")
+
+    write_store(days(("2024-01-01", 1), ("2024-01-02", 2)), path)
+    for _ in range(2):
+        write_store(days(("2024-01-02", 3), ("2024-01-03", 4)), path)
+    rows = {(str(r["day"]), r["n"]) for r in spark.read.parquet(path).collect()}
+    assert rows == {("2024-01-01", 1), ("2024-01-02", 3), ("2024-01-03", 4)}
+
+
 def test_broker_settings():
     login = sasl("user", "secret")
     options = broker_options("host:9092", topic_name("acme", "ingestData"), login)
     assert options["subscribe"] == "acme_ingestData"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("latest", "false")
+    assert broker_options("h:1", "t", None, "earliest")["startingOffsets"] == "earliest"
     assert options["kafka.security.protocol"] == "SASL_PLAINTEXT"
     assert options["kafka.sasl.mechanism"] == "PLAIN"
     assert 'username="user" password="secret"' in options["kafka.sasl.jaas.config"]
@@ -151,7 +165,7 @@ def test_broker_settings():
             self.update(options)
             return self
 
-    writer = broker_sink("host:9092", "t", login)(Writer())
+    writer = broker_sink("host:9092", "t", login)(Writer(), 1)
     assert writer["format"] == "kafka" and writer["topic"] == "t" and writer["kafka.sasl.mechanism"] == "PLAIN"
 
 
@@ -188,7 +202,11 @@ def test_scratch_is_new_each_time_and_in_the_named_folder():
 def test_scratch_on_a_cluster_is_never_a_local_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch(Settings(spark_master="yarn"), "x")
-    assert scratch(Settings(spark_master="local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Settings(), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Settings(spark_master="local-cluster[2,1,1024]"), "x")
+    assert scratch(Settings(spark_master="local[2]"), "x") and scratch(Settings(spark_master="local"), "x")
 
 
 def test_session_settings(spark):

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hackney.operators import scoring
+from hackney.operators import quality, scoring
 from hackney.operators.alerts import Rule, alerts
 from hackney.operators.metrics import error_rate, input_health, throughput
 from hackney.operators.quality import (
@@ -102,6 +102,7 @@ def test_dedupe_keeps_the_earliest_whatever_the_order(spark):
     for order in (rows, rows[::-1]):
         got = {tuple(r) for r in dedupe(spark.createDataFrame(order, schema)).select("trip_id", "fare").collect()}
         assert got == {("a", 1), ("b", 9), (None, 1)}
+        assert dedupe(spark.createDataFrame(order, schema)).count() == 4  # trips without an id all stay
 
 
 def test_dedupe_combines_copies_before_the_shuffle(spark):
@@ -114,6 +115,20 @@ def test_dedupe_combines_copies_before_the_shuffle(spark):
     assert "partial_min" in plan
 
 
+def test_dedupe_of_heavy_and_light_keys_is_the_same(spark, monkeypatch):
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 5000)).alias("trip_id"),
+        F.timestamp_seconds(F.col("id") * 7919 % 1009).alias("event_timestamp"), "id",
+    )
+    found = []
+    for share in (0.001, 2.0):
+        monkeypatch.setattr(quality, "HEAVY", share)
+        found.append(sorted(dedupe(rows).collect(), key=str))
+    assert found[0] == found[1]
+    keys = rows.filter("trip_id IS NOT NULL").select("trip_id").distinct().count()
+    assert len(found[0]) == keys + rows.filter("trip_id IS NULL").count()
+
+
 @pytest.mark.parametrize("zone", ["TIMESTAMP", "TIMESTAMP_NTZ"])
 def test_copies_in_a_task_are_combined_and_the_latest_stays(spark, zone):
     day = [dt.datetime(2024, 1, n) for n in range(1, 5)]

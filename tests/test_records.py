@@ -28,7 +28,7 @@ def parsed(spark, text, **options):
         ('{"pickup_community_area": 8, "fare": 1.5}', "pickup_community_area", 8),
         ('{"pickup_community_area": 8.0, "fare": 1.5}', "pickup_community_area", None),
         ('{"pickup_community_area": 8.0, "fare": 1.5}', "fare", 1.5),
-        ('{"trip_seconds": 841.0}', "trip_seconds", None),
+        ('{"trip_seconds": 905.0}', "trip_seconds", None),
         ('{"fare": 10}', "fare", 10.0),
         ('{"trip_start_timestamp": "01/22/2024 01:45:00 PM", "fare": 1}', "trip_start_timestamp", None),
         ('{"trip_start_timestamp": "01/22/2024 01:45:00 PM", "fare": 1}', "fare", 1.0),
@@ -66,10 +66,10 @@ def test_lenient_integers(spark, text, expected):
     assert row["pickup_community_area"] == expected
 
 
-@pytest.mark.parametrize("text", ["01/22/2024 01:45:00 PM", "2024-01-22 13:45:00"])
+@pytest.mark.parametrize("text", ["03/05/2024 07:30:00 AM", "2024-03-05 07:30:00"])
 def test_trip_times_in_the_format_of_the_file(spark, text):
     row = parsed(spark, f'{{"trip_start_timestamp": "{text}"}}', trip_times=True)
-    assert row["trip_start_timestamp"] == dt.datetime(2024, 1, 22, 13, 45)
+    assert row["trip_start_timestamp"] == dt.datetime(2024, 3, 5, 7, 30)
     assert parsed(spark, '{"trip_start_timestamp": "soon"}', trip_times=True)["trip_start_timestamp"] is None
 
 
@@ -108,23 +108,23 @@ def test_event_time_goes_out_without_zone(spark):
 
 def test_trip_survives_the_wire(spark):
     trip = {name: None for name in TRIP.names} | {
-        "trip_id": "0002044d",
-        "trip_start_timestamp": dt.datetime(2024, 1, 22, 13, 45),
-        "trip_seconds": 841,
-        "fare": 10.25,
-        "pickup_centroid_location": "POINT (-87.6333080367 41.899602111)",
+        "trip_id": "trip-0001",
+        "trip_start_timestamp": dt.datetime(2024, 3, 5, 7, 30),
+        "trip_seconds": 905,
+        "fare": 18.5,
+        "pickup_centroid_location": "POINT (8.25 47.5)",
         "event_timestamp": dt.datetime(2024, 4, 13, 19, 48, 15, 123456),
     }
     trips = spark.createDataFrame([tuple(trip[name] for name in TRIP.names)], TRIP)
     record = to_wire(trips, key="trip_id")
-    assert bytes(record.first()["key"]) == b"0002044d"
+    assert bytes(record.first()["key"]) == b"trip-0001"
     assert parse(record, keep=()).first().asDict() == trip
 
 
 def trips(spark):
     rows = [
-        (dt.datetime(2024, 4, 13, 16, 48, 16), 241.6, 46.6, 313.6, 28, "POINT (-87.6266589003 41.9075200747)"),
-        (dt.datetime(2024, 4, 13, 16, 48, 17), 0.4, None, None, None, None),
+        (dt.datetime(2024, 5, 2, 9, 15, 21), 87.3, 12.5, 101.9, 7, "POINT (10.5 50.25)"),
+        (dt.datetime(2024, 5, 2, 9, 15, 22), 0.7, None, None, None, None),
     ]
     schema = (
         "event_timestamp TIMESTAMP, fare DOUBLE, tips DOUBLE, trip_total DOUBLE, "
@@ -141,21 +141,21 @@ def test_shape_of_result_records(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "+03:00")
     try:
-        rows = trips(spark).withColumn("event_timestamp", F.lit("2024-04-13 19:48:16").cast("timestamp"))
-        window = {"start": "2024-04-13T19:48:15.000+03:00", "end": "2024-04-13T19:48:20.000+03:00"}
+        rows = trips(spark).withColumn("event_timestamp", F.lit("2024-05-02 12:15:21").cast("timestamp"))
+        window = {"start": "2024-05-02T12:15:20.000+03:00", "end": "2024-05-02T12:15:25.000+03:00"}
         assert results(fare_totals(rows, scale=2)) == [
-            {"window": window, "total_fare": 242.0, "tips_fare": 46.6, "total_trip_total": 313.6}
+            {"window": window, "total_fare": 88.0, "tips_fare": 12.5, "total_trip_total": 101.9}
         ]
-        early = {"start": "2024-04-13T19:47:30.000+03:00", "end": "2024-04-13T19:48:30.000+03:00"}
-        late = {"start": "2024-04-13T19:48:00.000+03:00", "end": "2024-04-13T19:49:00.000+03:00"}
+        early = {"start": "2024-05-02T12:14:30.000+03:00", "end": "2024-05-02T12:15:30.000+03:00"}
+        late = {"start": "2024-05-02T12:15:00.000+03:00", "end": "2024-05-02T12:16:00.000+03:00"}
         assert results(community_hot_spots(rows)) == [
-            {"window": w, "pickup_community_area": 28, "count": 1} for w in (early, late)
+            {"window": w, "pickup_community_area": 7, "count": 1} for w in (early, late)
         ]
         places = results(location_hot_spots(rows))
         assert {"window": late, "count": 1} in places and len(places) == 4
-        day = day_totals(rows, as_of="2024-04-13", scale=2)
+        day = day_totals(rows, as_of="2024-05-02", scale=2)
         assert results(day) == [
-            {"trips_total": 2, "fare_total": 242.0, "tips_avg": 46.6, "trip_total_avg": 313.6}
+            {"trips_total": 2, "fare_total": 88.0, "tips_avg": 12.5, "trip_total_avg": 101.9}
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 
 import pytest
 
@@ -13,9 +12,20 @@ from hackney.operators.metrics import batch_health, observed, operation_times, p
 from hackney.operators.quality import dedupe
 from hackney.operators.windows import community_hot_spots, fare_totals
 from hackney.schemas import RESULT_TOPICS, SUM_FARE_WINDOW
-from hackney.streaming.progress import ProgressLog, progress_table
+from hackney.streaming.progress import ProgressLog, progress_log, progress_table
 from hackney.streaming.run import STANDING, await_all, run_to_end, start, start_tenant, stop_session_queries
-from hackney.streaming.sinks import BATCH, file_sink, fold_versions, latest, read_latest, table_sink, versioned_sink
+from hackney.streaming.sinks import (
+    BATCH,
+    RUN,
+    file_sink,
+    fold_versions,
+    latest,
+    read_latest,
+    read_table,
+    table_sink,
+    versioned_sink,
+    versions_between,
+)
 
 
 def at(time, fare=1.0, **more):
@@ -115,6 +125,28 @@ def test_bad_records_give_a_zero_row_in_complete_mode_and_nothing_in_update_mode
     assert [(r["records"], r["valid"], r["silent"]) for r in health] == [(2, 0, True)]
 
 
+def test_standing_day_totals_start_afresh(spark, batches, folder):
+    query, mode, fields = STANDING["tripsTotalStream"]
+    for day, fare in (("2024-04-13", 10), ("2024-04-14", 5), ("2024-04-14", 1)):
+        batches.add(on(day, fare))
+        run(spark, query(parse(batches.stream(spark), fields)), folder, mode=mode)
+    days = latest(spark.read.parquet(str(folder / "out")), ["day"]).orderBy("day").collect()
+    assert [(r["trips_total"], r["fare_total"]) for r in days] == [(1, 10.0), (2, 6.0)]
+
+
+@pytest.mark.parametrize("hot_keys", [True, False])
+def test_trips_without_an_id_are_not_copies(spark, batches, folder, hot_keys):
+    batches.add(at("10:00:00"), at("10:00:00"), at("10:00:01", trip_id="a"), "bad")
+    batches.add(at("10:00:00"), at("10:00:01", trip_id="a"))
+    unique = dedupe(parse(batches.stream(spark)), hot_keys=hot_keys)
+    path = str(folder / "out")
+    run_to_end(unique, name="q", mode="append", sink=file_sink(path), checkpoints=str(folder / "c"))
+    rows = spark.read.parquet(path)
+    assert rows.columns == unique.columns and "__sole" not in rows.columns
+    assert rows.filter("trip_id = 'a'").count() == 1
+    assert rows.filter("trip_id IS NULL AND event_timestamp IS NOT NULL").count() == 3
+
+
 @pytest.mark.parametrize("hot_keys", [True, False])
 def test_dedupe_within_watermark(spark, batches, folder, hot_keys):
     first, second = at("10:00:00", trip_id="a"), at("10:00:01", trip_id="b")
@@ -144,11 +176,48 @@ def test_a_repeated_batch_does_not_count_twice(spark, folder):
             writers.append(write)
             return self
 
-    versioned_sink(path, files=1)(Writer())
+    versioned_sink(path, files=1)(Writer(), 5)
     rows = spark.createDataFrame([("w", 1)], "window STRING, total BIGINT")
     writers[0](rows, 3)
+    # Who reads the folder as a stream has taken the batch before it is repeated.
+    onward = spark.readStream.schema("window STRING, total BIGINT").option("recursiveFileLookup", True).parquet(path)
+    sink, checkpoints = file_sink(str(folder / "onward")), str(folder / "c")
+    run_to_end(onward, name="onward", mode="append", sink=sink, checkpoints=checkpoints)
     writers[0](rows, 3)
-    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("w", 1, 3)]
+    run_to_end(onward, name="onward", mode="append", sink=sink, checkpoints=checkpoints)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("w", 1, 5, 3)]
+    assert spark.read.parquet(str(folder / "onward")).count() == 1
+
+
+def test_a_new_checkpoint_leaves_what_is_there(spark, batches, folder):
+    batches.add(at("10:00:01"))
+    for checkpoints in ("one", "two"):
+        totals = fare_totals(parse(batches.stream(spark)))
+        sink = versioned_sink(str(folder / "out"))
+        run_to_end(totals, name="q", mode="update", sink=sink, checkpoints=str(folder / checkpoints))
+        batches.add(at("10:00:02"))
+    versions = spark.read.parquet(str(folder / "out"))
+    assert versions.select(RUN).distinct().count() == 2
+    assert latest(versions, ["window"]).first()["total_fare"] == 2.0
+
+
+def test_equal_rows_of_a_table_have_ids_of_their_own(spark, folder):
+    path, writers = str(folder / "t"), []
+
+    class Writer:
+        def foreachBatch(self, write):
+            writers.append(write)
+
+    rows = spark.createDataFrame([("w", 1.0)] * 3 + [("v", 2.0)], "window STRING, total_fare DOUBLE")
+    table_sink(path, SUM_FARE_WINDOW)(Writer(), 7 << 40)
+    for batch in (0, 1, 1):
+        writers[0](rows, batch)
+    found = [r["id"] for r in read_table(spark, path, SUM_FARE_WINDOW).collect()]
+    assert len(found) == 8 == len(set(found))
+    table_sink(str(folder / "again"), SUM_FARE_WINDOW)(Writer(), 7 << 40)
+    for batch in (0, 1):
+        writers[1](rows.orderBy("window"), batch)
+    assert sorted(found) == sorted(r["id"] for r in read_table(spark, str(folder / "again"), SUM_FARE_WINDOW).collect())
 
 
 def test_a_crash_after_the_write_neither_loses_nor_doubles(spark, batches, folder):
@@ -156,7 +225,7 @@ def test_a_crash_after_the_write_neither_loses_nor_doubles(spark, batches, folde
     batches.add(at("10:00:01"), at("10:00:01"))
     path, crashes = str(folder / "out"), [True]
 
-    def sink(writer):
+    def sink(writer, run):
         writes = []
 
         class Grab:
@@ -164,7 +233,7 @@ def test_a_crash_after_the_write_neither_loses_nor_doubles(spark, batches, folde
                 writes.append(write)
                 return self
 
-        versioned_sink(path)(Grab())
+        versioned_sink(path)(Grab(), run)
 
         def write_then_crash(rows, batch):
             writes[0](rows, batch)
@@ -194,9 +263,9 @@ def test_result_table_has_a_row_and_an_id_per_emission(spark, batches, folder):
     run_to_end(
         totals, name="q", mode="update", sink=table_sink(path, SUM_FARE_WINDOW), checkpoints=str(folder / "c")
     )
-    table = spark.read.parquet(path)
-    assert table.columns == [*SUM_FARE_WINDOW.schema.names, BATCH]
-    rows = table.orderBy(BATCH).collect()
+    table = read_table(spark, path, SUM_FARE_WINDOW)
+    assert table.columns == SUM_FARE_WINDOW.schema.names
+    rows = table.orderBy("id").collect()  # ids ascend with the batches
     assert [r["total_fare"] for r in rows] == [1.0, 2.0]
     assert len({r["id"] for r in rows}) == 2 and all(len(r["id"]) == 36 for r in rows)
     window = json.loads(rows[0]["window"])
@@ -207,15 +276,20 @@ def test_folded_versions(spark, folder):
     path, target = str(folder / "v"), str(folder / "folded")
     for batch, total in enumerate((1, 2, 3)):
         rows = spark.createDataFrame([("w", total), (f"only{batch}", 0)], "window STRING, total BIGINT")
-        rows.write.parquet(f"{path}/{BATCH}={batch}")
-    fold_versions(spark, path, target, ["window"], last=1)
+        rows.write.parquet(f"{path}/{RUN}=1/{BATCH}={batch}")
+    fold_versions(spark, path, target, ["window"], last=(1, 1))
     folded = spark.read.parquet(target)
     assert {(r["window"], r["total"], r[BATCH]) for r in folded.collect()} == {("w", 2, 1), ("only0", 0, 1), ("only1", 0, 1)}
     now = {("w", 3), ("only0", 0), ("only1", 0), ("only2", 0)}
     for folds in (target, None):
         assert {(r["window"], r["total"]) for r in read_latest(spark, path, ["window"], folds).collect()} == now
-    fold_versions(spark, path, target, ["window"], last=2)
+    recent = read_latest(spark, path, ["window"], target).inputFiles()
+    assert recent and all("batch_id=0" not in f for f in recent)
+    fold_versions(spark, path, target, ["window"])
     assert {(r["window"], r["total"]) for r in read_latest(spark, path, ["window"], target).collect()} == now
+    assert [v for v, _ in versions_between(spark, target)] == [(1, 1), (1, 2)]
+    fold_versions(spark, path, target, ["window"])  # nothing new
+    assert len(versions_between(spark, target)) == 2
 
 
 def test_two_tenants_do_not_double_results(spark, batches, folder):
@@ -247,7 +321,7 @@ def test_a_failed_query_is_seen_at_once_and_stops_the_others(spark, batches, fol
         fare_totals(trips), name="healthy", mode="update", sink=versioned_sink(str(folder / "a")), checkpoints=str(folder / "c")
     )
     broken = start(
-        fare_totals(trips), name="broken", mode="update", sink=lambda w: w.foreachBatch(fail), checkpoints=str(folder / "c")
+        fare_totals(trips), name="broken", mode="update", sink=lambda w, run: w.foreachBatch(fail), checkpoints=str(folder / "c")
     )
     with pytest.raises(Exception, match="sink is gone"):
         await_all([healthy, broken], poll_seconds=0.1)
@@ -272,19 +346,14 @@ def test_stop_keeps_the_checkpoint(spark, batches, folder):
 
 def test_progress_log_and_reports(spark, batches, folder):
     batches.add(at("10:00:01"))
-    log = ProgressLog(spark, str(folder / "log"), flush_every=1)
+    log = ProgressLog(spark, str(folder / "log"))
     spark.streams.addListener(log)
     try:
-        run(spark, fare_totals(parse(batches.stream(spark))), folder, name="logged")
-        path = folder / "log" / "ended"
-        for _ in range(100):
-            if (path / "_SUCCESS").exists():
-                break
-            time.sleep(0.1)
+        log.wait([run(spark, fare_totals(parse(batches.stream(spark))), folder, name="logged")])
     finally:
         spark.streams.removeListener(log)
-    rows = progress_rows(spark.read.parquet(str(folder / "log" / "progress")))
+    rows = progress_rows(progress_log(spark, str(folder / "log")))
     report = query_progress(rows).filter("query_name = 'logged'").first()
     assert report["input_rows"] == 1 and report["batches"] >= 1 and report["state_rows"] == 1
     assert "addBatch" in {r["operation"] for r in operation_times(rows).collect()}
-    assert spark.read.parquet(str(path)).first()["failure"] is None
+    assert log.ended().first()["failure"] is None
