@@ -33,7 +33,7 @@ SIZE = 16
 BATCH = 8192
 RATE = 0.15
 #: Copies that a task averages at most.
-FAN_IN = 64
+FAN_IN = 8
 
 
 def vocabulary(docs: DataFrame) -> list[tuple[str, int]]:
