@@ -30,7 +30,7 @@ SHARED = 512
 OUTSIDE = IDS
 PLACES = (-2, -1, 1, 2)
 SIZE = 16
-BATCH = 8192
+BATCH = 2048
 RATE = 0.15
 #: Copies that a task averages at most.
 FAN_IN = 8
