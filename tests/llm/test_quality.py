@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hackney.llm import quality, queries
 from tests.conftest import SF_DIR
-from tests.llm.helpers import ODD, SCHEMA, documents, prose
+from tests.llm.helpers import ODD, SCHEMA, documents
 
 
 def plain(text):
