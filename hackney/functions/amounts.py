@@ -4,7 +4,8 @@ The trip fields are doubles, so a plain sum depends on the order of the rows. Wi
 amounts are added as whole cents in a BIGINT: the same result whatever the partitioning or the
 retries, and still a fixed-width buffer that hash aggregation keeps in place. Amounts that are no
 number or do not fit become NULL there, and so does a sum that does not fit: a garbled amount must
-not end a stream. A plain sum lets them through.
+not end a stream. A plain sum lets them through. Each amount is rounded to a cent before it is added, half
+to even, so of amounts with parts of a cent the parts are lost; those need a plain sum.
 """
 
 from __future__ import annotations

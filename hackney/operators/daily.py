@@ -12,6 +12,10 @@ from hackney.functions.amounts import cents, cents_sum, mean, rounded, total
 from hackney.functions.clock import EVENT_TIME, within_day
 
 
+#: What ``totals_by_day`` keeps of a day.
+SUMS = ("trips", "fare_cents", "fare_count", "tips_cents", "tips_count", "trip_total_cents", "trip_total_count")
+
+
 def trip_totals(trips: DataFrame, scale: int | None = 0, by: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """Number of trips, sum of fares, mean tip and mean total; one row even without trips."""
     return trips.groupBy(*by).agg(
@@ -55,6 +59,7 @@ def totals_by_day(
         .agg(
             F.count("*").alias("trips"),
             cents_sum("fare").alias("fare_cents"),
+            F.count(cents("fare")).alias("fare_count"),
             cents_sum("tips").alias("tips_cents"),
             F.count(cents("tips")).alias("tips_count"),
             cents_sum("trip_total").alias("trip_total_cents"),
@@ -65,9 +70,8 @@ def totals_by_day(
 
 def day_report(daily: DataFrame, scale: int | None = 2) -> DataFrame:
     """``totals_by_day`` in the columns of ``day_totals``."""
-    sums = ("trips", "fare_cents", "tips_cents", "tips_count", "trip_total_cents", "trip_total_count")
     return daily.select(
-        *[name for name in daily.columns if name not in sums],
+        *[name for name in daily.columns if name not in SUMS],
         F.col("trips").alias("trips_total"),
         rounded(F.col("fare_cents") / F.lit(100.0), scale).alias("fare_total"),
         rounded(F.col("tips_cents") / F.lit(100.0) / F.col("tips_count"), scale).alias("tips_avg"),

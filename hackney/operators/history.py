@@ -2,6 +2,7 @@
 
 Day totals hold a row per day (and tenant), so everything here shuffles a few thousand rows
 whatever the number of trips. Means are never averaged again: sums and counts are carried along.
+Amounts are whole cents, see ``hackney.functions.amounts``.
 """
 
 from __future__ import annotations
@@ -11,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hackney.operators.daily import SUMS
 from hackney.operators.windows import LOCATION
 
 GRAINS = ("month", "quarter", "year")
 
 
 def _sums() -> list[Column]:
-    names = ("trips", "fare_cents", "tips_cents", "tips_count", "trip_total_cents", "trip_total_count")
-    return [F.try_sum(name).alias(name) for name in names]
+    return [F.try_sum(name).alias(name) for name in SUMS]
 
 
 def _amount(name: str) -> Column:
@@ -26,7 +27,7 @@ def _amount(name: str) -> Column:
 
 
 def trend(daily: DataFrame, grain: str = "month", by: Sequence[str] = ()) -> DataFrame:
-    """Fare distribution over months, quarters or years: total, and means per day and per trip."""
+    """Fare distribution over months, quarters or years: total, and means per day and per trip that has a fare."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     period = F.date_trunc(grain, "day").cast("timestamp_ntz").alias("period")
@@ -40,7 +41,7 @@ def trend(daily: DataFrame, grain: str = "month", by: Sequence[str] = ()) -> Dat
             "trips",
             _amount("fare_cents").alias("fare_total"),
             (_amount("fare_cents") / F.col("days")).alias("fare_per_day"),
-            (_amount("fare_cents") / F.col("trips")).alias("fare_per_trip"),
+            (_amount("fare_cents") / F.col("fare_count")).alias("fare_per_trip"),
         )
     )
 

@@ -146,20 +146,20 @@ def _earliest(trips: DataFrame, key: Sequence[str], event_time: str) -> DataFram
     whole = reduce(and_, (F.col(name).isNotNull() for name in key))
     keyed = trips.filter(whole)
     code = F.xxhash64(*key)
-    # Hashes of the keys that have many copies: counted on the key alone, and few by their definition.
-    counts = keyed.groupBy(code.alias("code")).count().filter("count > 1")
-    many = keyed.agg(F.count("*").alias("total"))
-    heavy = [r["code"] for r in counts.join(F.broadcast(many)).filter(F.col("count") > HEAVY * F.col("total")).collect()]
+    # Hashes of the keys that have many copies: counted on the key alone, and a thousand at most.
+    many = max(1, int(HEAVY * keyed.count()))
+    heavy = [r[0] for r in keyed.groupBy(code.alias("code")).count().filter(F.col("count") > many).select("code").collect()]
+    hot = whole & code.isin(heavy) if heavy else F.lit(False)
+    # A row without a key gets a number, so it is the only one of its kind.
+    numbered = trips.filter(~hot).withColumn(_SOLE, F.when(~whole, F.monotonically_increasing_id()))
+    nth = F.row_number().over(Window.partitionBy(*key, _SOLE).orderBy(*order))
+    light = numbered.withColumn(_SOLE, nth).filter(F.col(_SOLE) == 1).drop(_SOLE)
+    if not heavy:
+        return light
+    # Of the heavy keys a row per task goes into the shuffle.
     first = F.min(F.struct(*order)).alias("_first")
-
-    def reduced(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*key).agg(first).select(*key, "_first.*").select(*trips.columns)
-
-    hot = code.isin(heavy) if heavy else F.lit(False)
-    by_key = Window.partitionBy(*key).orderBy(*order)
-    light = keyed.filter(~hot).withColumn(_SOLE, F.row_number().over(by_key)).filter(F.col(_SOLE) == 1).drop(_SOLE)
-    parts = [light, trips.filter(~whole)]
-    return reduce(DataFrame.unionByName, [reduced(keyed.filter(hot)), *parts] if heavy else parts)
+    reduced = trips.filter(hot).groupBy(*key).agg(first).select(*key, "_first.*").select(*trips.columns)
+    return light.unionByName(reduced)
 
 
 def dedupe(

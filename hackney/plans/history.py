@@ -42,7 +42,7 @@ SELECT cast(date_trunc('{grain}', event_timestamp) AS timestamp) AS period,
        count(*) AS trips,
        cast(sum(fare) AS double) AS fare_total,
        cast(sum(fare) AS double) / count(DISTINCT cast(event_timestamp AS date)) AS fare_per_day,
-       cast(sum(fare) AS double) / count(*) AS fare_per_trip
+       cast(sum(fare) AS double) / count(fare) AS fare_per_trip
 FROM trips
 GROUP BY 1
 """

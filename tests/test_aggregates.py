@@ -174,6 +174,12 @@ def test_means_over_periods_come_from_sums_and_counts(spark):
     assert GRAINS == ("month", "quarter", "year")
 
 
+def test_fare_per_trip_leaves_out_trips_without_a_fare(spark):
+    rows = [trip(DAY, fare=10.0), trip(DAY, fare=None), trip(DAY, fare=5.0)]
+    row = trend(totals_by_day(frame(spark, rows)), "month").first()
+    assert (row["trips"], row["fare_total"], row["fare_per_trip"]) == (3, 15.0, 7.5)
+
+
 def test_persistent_hot_spots(spark):
     spots = community_hot_spots(frame(spark, [trip(DAY), trip(DAY), trip(DAY + dt.timedelta(minutes=9))]))
     row = persistent_hot_spots(spots, "pickup_community_area").first()
