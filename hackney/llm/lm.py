@@ -4,14 +4,17 @@ The vocabulary comes from word counts over the whole corpus. A small network is
 each partition of documents trains a copy in one pass, and the copies are averaged, by their words, in a
 tree of groups of bounded size. The network adds an embedding per place of the window, takes the hyperbolic
 tangent, and predicts a word in two steps, its class and then the word in its class, each a softmax.
+Rare words share ids; such a word's probability is that of its id times the word's share of the id's count.
 A document's score is the sum of the logarithms of all its words' probabilities.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,10 @@ CLASSES, MEMBERS = 32, 64
 IDS = CLASSES * MEMBERS
 #: Ids that rare words share, by a hash.
 SHARED = 512
+#: Rare words at most whose counts go to every task; those of all others are joined.
+NEAR = 65_536
+#: Different words that a task counts before it passes them on.
+HELD = 200_000
 #: Stands before the first and after the last word.
 OUTSIDE = IDS
 PLACES = (-2, -1, 1, 2)
@@ -36,35 +43,107 @@ RATE = 0.15
 FAN_IN = 8
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[bytes] = Counter()
+
+    def told() -> pa.RecordBatch:
+        columns = [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "count"])
+
+    for batch in batches:
+        for text in texts_of(batch):
+            counts.update(text.lower().split())
+            if len(counts) >= HELD:
+                yield told()
+                counts.clear()
+    yield told()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word`` and ``count`` of every word: lower-cased in A-Z and split at white space."""
+    counts = docs.select("text").mapInArrow(_count, "word string, count bigint")
+    return stored(counts.groupBy("word").agg(F.sum("count").alias("count")), "word-counts")
+
+
 def vocabulary(docs: DataFrame) -> list[tuple[str, int]]:
     """The most frequent words, and what all others are counted as; at most ``IDS`` rows in all.
 
-    Words are lower-cased in A-Z and split at white space. Every word of every text is counted.
+    Every word of every text is counted, see ``word_counts``.
     """
-    lowered = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.select(F.explode(F.split(lowered, "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
-    counts = stored(words.groupBy("word").count(), "word-counts")
+    return _most_frequent(word_counts(docs))
+
+
+def _most_frequent(counts: DataFrame) -> list[tuple[str, int]]:
     own = counts.orderBy(F.desc("count"), "word").limit(IDS - SHARED)
     rows = [(r["word"], r["count"]) for r in own.collect()]
     total = counts.agg(F.sum("count")).first()[0] or 0
     return [*rows, ("", total - sum(n for _, n in rows))]
 
 
+@dataclass
+class Rare:
+    """What tells the words of a shared id apart: their counts in the whole corpus.
+
+    An id's words divide its count and one more, which all words outside the corpus have together. Of these
+    as many are expected as there are others, and one besides.
+    """
+
+    counts: DataFrame
+    """Of all words, as ``word_counts`` gives them."""
+    near: dict[str, int]
+    """The most frequent of the rare words."""
+    tokens: np.ndarray
+    """An id's count, for each shared id."""
+    kinds: np.ndarray
+    """An id's different words."""
+
+    @classmethod
+    def of(cls, counts: DataFrame, own: list[tuple[str, int]]) -> Rare:
+        tokens, kinds = np.zeros(SHARED, np.int64), np.zeros(SHARED, np.int64)
+        by_id = counts.groupBy((F.crc32(F.col("word").cast("binary")) % SHARED).alias("slot"))
+        for r in by_id.agg(F.sum("count").alias("tokens"), F.count("*").alias("kinds")).collect():
+            tokens[r["slot"]], kinds[r["slot"]] = r["tokens"], r["kinds"]
+        for word, n in own:
+            slot = zlib.crc32(word.encode()) % SHARED
+            tokens[slot] -= n
+            kinds[slot] -= 1
+        # By levels of the count, of which there are few, so that no task sorts all words.
+        level = F.floor(F.log2("count") * 8)
+        least, many = None, 0
+        for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+            if (many := many + r["n"]) > NEAR + len(own):
+                break
+            least = r["level"]
+        frequent = [] if least is None else counts.filter(level >= least).collect()
+        near, known = {r["word"]: r["count"] for r in frequent}, {w for w, _ in own}
+        return cls(counts, {w: n for w, n in near.items() if w not in known}, tokens, kinds)
+
+
 class Numbers:
     """Ids of words. Neighbours in frequency share a class; rare words have an id by their hash."""
 
-    def __init__(self, words: list[str]) -> None:
-        self._known = {w.encode(): i for i, w in enumerate(words)}
+    def __init__(self, words: list[str], near: Iterable[str] = ()) -> None:
+        """The ids of rare words that are named in ``near`` are looked up, all others made."""
+        every = [*(w.encode() for w in words), *(w.encode() for w in near)]
+        self._known = {w: i for i, w in enumerate(every)}
+        self._ids = np.array([*range(len(words)), *map(self.shared, every[len(words) :])], np.int16)
 
-    def ids(self, text: bytes) -> np.ndarray:
+    @staticmethod
+    def shared(word: bytes) -> int:
+        return IDS - SHARED + zlib.crc32(word) % SHARED
+
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The words' ids, their places among all that are known (else -1), and the words that are not."""
         words = text.lower().split()
-        found = list(map(self._known.get, words))
-        if None in found:
-            first = IDS - SHARED
-            for i, word in enumerate(words):
-                if found[i] is None:
-                    found[i] = first + zlib.crc32(word) % SHARED
-        return np.array(found, np.int16)
+        found = np.fromiter(map(self._known.get, words, repeat(-1)), np.int32, len(words))
+        far = np.flatnonzero(found < 0)
+        ids = self._ids[found] if len(self._ids) else np.zeros(len(words), np.int16)
+        unknown = [words[i] for i in far.tolist()]
+        ids[far] = list(map(self.shared, unknown))
+        return ids, found, unknown
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return self.of(text)[0]
 
 
 @dataclass
@@ -176,9 +255,9 @@ def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], np.stack([line[at + place] for place in PLACES])
 
 
-def _train(words: list[str], start: Network):
+def _train(words: list[str], near: list[str], start: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, trainer, total = Numbers(words), Trainer(start.unpack(start.pack())), 0
+        numbers, trainer, total = Numbers(words, near), Trainer(start.unpack(start.pack())), 0
         for whole in batches:
             for batch in small(whole):
                 target, context = windows([numbers.ids(t) for t in texts_of(batch)])
@@ -211,47 +290,84 @@ COPIES = "slot bigint, words bigint, weights binary"
 class Model:
     words: list[str]
     network: Network
+    rare: Rare
 
 
 def fit(docs: DataFrame) -> Model:
     """Train on all words of ``docs``. Without words the model is its own start, all words alike."""
-    counted = vocabulary(docs)
+    every = word_counts(docs)
+    counted = _most_frequent(every)
+    rare = Rare.of(every, counted[:-1])
     words = [w for w, _ in counted[:-1]]
     counts = np.zeros(IDS)
     counts[: len(words)] = [n for _, n in counted[:-1]]
     counts[IDS - SHARED :] = counted[-1][1] / SHARED
     start = Network.start(counts)
-    copies = stored(docs.select("text").mapInArrow(_train(words, start), COPIES), "copies")
+    copies = stored(docs.select("text").mapInArrow(_train(words, list(rare.near), start), COPIES), "copies")
     while (many := copies.count()) > 1 or many and copies.first()["slot"]:
         copies = copies.groupBy(F.floor(F.col("slot") / FAN_IN)).applyInArrow(_average, COPIES)
         copies = stored(copies, "copies")
     merged = copies.first()
-    return Model(words, start.unpack(merged["weights"]) if merged else start)
+    return Model(words, start.unpack(merged["weights"]) if merged else start, rare)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """A row per document: ``doc_id``, ``n_tokens``, ``score`` and ``per_token``.
+SCORED = "key bigint, doc_id bigint, n_tokens bigint, score double, far array<struct<word: string, n: int>>"
 
-    ``score`` is the sum of the words' log-probabilities, ``per_token`` their mean. Null and empty texts have
-    no words, ``score`` 0 and ``per_token`` null. ``doc_id`` may be null; repeated rows come back as often.
-    """
+
+def _score(words: list[str], network: Network, rare: Rare):
+    """Scores that lack the counts of the words in ``far``."""
+    near, tokens = rare.near, np.log1p(rare.tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, network = Numbers(model.words), model.network
+        numbers, first = Numbers(words, near), IDS - SHARED
+        # By place; the last one is of those that are not known.
+        logs = np.r_[np.zeros(len(words)), np.log(np.array(list(near.values()), np.float64)), 0.0]
+        key = TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in small(whole):
-                ids = [numbers.ids(t) for t in texts_of(batch)]
+                ids, added, far, many, ends = [], [], [], [], [0]
+                for text in texts_of(batch):
+                    mine, found, unknown = numbers.of(text)
+                    ids.append(mine)
+                    added.append(logs[found].sum() - tokens[mine[mine >= first] - first].sum())
+                    counted = Counter(unknown)
+                    far.extend(counted)
+                    many.extend(counted.values())
+                    ends.append(len(far))
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids))
                 target, context = windows(ids)
                 found = [np.zeros(0, np.float32)]
                 for at in range(0, len(target), BATCH):
                     found.append(network.log_probability(context[:, at : at + BATCH], target[at : at + BATCH]))
                 sums = np.r_[0.0, np.cumsum(np.concatenate(found), dtype=np.float64)]
-                ends = np.cumsum(sizes)
-                scores = sums[ends] - sums[ends - sizes]
-                mean = pa.array(scores / np.maximum(sizes, 1), mask=sizes == 0)
-                columns = [batch.column(0), pa.array(sizes), pa.array(scores), mean]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "score", "per_token"])
-
-    schema = "doc_id bigint, n_tokens bigint, score double, per_token double"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+                last = np.cumsum(sizes)
+                scores = sums[last] - sums[last - sizes] + np.array(added, np.float64)
+                keys = pa.array(np.arange(key, key + len(ids)), pa.int64())
+                key += len(ids)
+                pairs = [pa.array(far, pa.binary()).cast(pa.string()), pa.array(many, pa.int32())]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "n"]))
+                columns = [keys, batch.column(0), pa.array(sizes), pa.array(scores), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "n_tokens", "score", "far"])
+
+    return run
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """A row per document: ``doc_id``, ``n_tokens``, ``score`` and ``per_token``.
+
+    ``score`` is the sum of the words' log-probabilities, ``per_token`` their mean. Null and empty texts have
+    no words, ``score`` 0 and ``per_token`` null. ``doc_id`` may be null; repeated rows come back as often.
+    """
+    run = _score(model.words, model.network, model.rare)
+    # Written, since the keys are those of this pass.
+    rows = stored(docs.select("doc_id", "text").mapInArrow(run, SCORED), "scores")
+    far = rows.select(F.col("key").alias("of"), F.explode("far").alias("far")).select("of", "far.*")
+    far = far.join(model.rare.counts, "word", "left")
+    slot = (F.crc32(F.col("word").cast("binary")) % SHARED).cast("int")
+    outside = F.get(F.array(*map(F.lit, (-np.log1p(model.rare.kinds)).tolist())), slot)
+    term = F.col("n") * F.coalesce(F.log(F.col("count").cast("double")), outside)
+    far = far.groupBy("of").agg(F.sum(term).alias("more"))
+    whole = F.col("score") + F.coalesce("more", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens"))
+    joined = rows.join(far, F.col("key") == F.col("of"), "left")
+    return joined.select("doc_id", "n_tokens", whole.alias("score"), mean.alias("per_token"))

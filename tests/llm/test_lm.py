@@ -103,6 +103,40 @@ def test_vocabulary_counts_the_whole_corpus(spark):
     assert found[:-1] == order and found[-1][1] == counts.total() - sum(n for _, n in order)
 
 
+@pytest.mark.parametrize("near", [lm.NEAR, 700, 0])
+def test_rare_words_have_their_own_probability(spark, monkeypatch, near):
+    """Whether a word's count is at hand or joined; words outside the corpus come behind all others of their id."""
+    monkeypatch.setattr(lm, "NEAR", near)
+    often = [f"a{n}" for n in range(lm.IDS - lm.SHARED)] * 6
+    rare = [f"r{n}" for n in range(1500) for _ in range(1 + n % 5)]
+    corpus = [(1, " ".join(often)), (2, " ".join(rare)), (2, " ".join(rare[:10]))]
+    model = lm.fit(documents(spark, corpus))
+    assert len(model.rare.near) <= near and bool(model.rare.near) == (near > 0)
+    counts = Counter(w for _, t in corpus for w in t.split())
+    shared = {w: lm.Numbers.shared(w.encode()) for w in counts if w[0] == "r"}
+    slots = {}
+    for word, slot in shared.items():
+        slots.setdefault(slot, []).append(word)
+
+    def share(word):
+        if word in model.words:
+            return 0.0
+        members = slots.get(lm.Numbers.shared(word.encode()), [])
+        all_of_it = 1 + sum(counts[w] for w in members)
+        return math.log(counts[word] / all_of_it if word in counts else 1 / all_of_it / (1 + len(members)))
+
+    gibberish = [next(f"zq{k}" for k in range(10**6) if lm.Numbers.shared(b"zq%d" % k) == shared[w]) for w in ("r0", "r5")]
+    rows = [(i, w) for i, w in enumerate(["r0", "r4", "R4 a1 r4", *gibberish, "r1 zq0 zq0 zq1 r5", "a0", ""])]
+    rows += [(None, "r3"), (None, "r3"), (50, " ".join(rare))]
+    found = Counter((r.doc_id, r.n_tokens, round(r.score, 2)) for r in lm.score(documents(spark, rows), model).collect())
+    want = [(i, len(t.split()), sum(plain_log_probabilities(model, t)) + sum(map(share, t.lower().split()))) for i, t in rows]
+    assert sum(found.values()) == len(want)
+    for i, n, total in want:
+        assert any(key[:2] == (i, n) and key[2] == pytest.approx(total, rel=1e-4, abs=0.01) for key in found)
+    alone = {r.doc_id: r.score for r in lm.score(documents(spark, [(0, "r0"), (1, gibberish[0])]), model).collect()}
+    assert alone[0] > alone[1] + 0.5
+
+
 def test_copies_are_averaged_in_a_tree(spark, fitted, monkeypatch):
     monkeypatch.setattr(lm, "FAN_IN", 2)
     docs = documents(spark, [(i, chain(i, 50)) for i in range(40)]).repartition(7)
