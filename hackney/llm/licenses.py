@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from hackney.llm.common import small, texts_of
+from hackney.llm.license_texts import APACHE
 
 #: Upper case to lower case, and everything but digits, letters and what is beyond ASCII to a space.
 _WORDS = bytes(
@@ -30,7 +31,8 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Customary wording of notices and short licenses, by label.
+# Customary wording of notices and whole licenses, by label. Those who disclaim in mit-text are not a
+# var region: it is by their name, and by what comes after the end, that X11 differs.
 TEMPLATES = {
     "gpl-3.0-notice": """
         This <<var;name="work";match=".{1,4}">> is <<beginOptional>>free software and is<<endOptional>> licensed under
@@ -57,11 +59,70 @@ TEMPLATES = {
         the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
         to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
         copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall
-        be included in all copies or substantial portions of the Software.""",
+        be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+        WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+        FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "isc-text": """
         Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose
         with or without fee is hereby granted, provided that the above copyright notice and this permission notice
-        appear in all copies.""",
+        appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<var;name="holder";match=".{1,20}">> DISCLAIMS
+        ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.
+        IN NO EVENT SHALL <<var;name="holder";match=".{1,20}">> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+        ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-clause-text": """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must
+        retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution. THIS SOFTWARE IS PROVIDED BY <<var;name="holder";match=".{1,20}">> "AS IS" AND ANY
+        EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;name="holder";match=".{1,20}">> BE
+        LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT
+        NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+        (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF
+        THE POSSIBILITY OF SUCH DAMAGE.""",
+    "bsd-3-clause-text": """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must
+        retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution. <<beginOptional>>3.<<endOptional>> Neither the name of
+        <<var;name="name";match=".{1,20}">> nor the names of <<var;name="its";match=".{1,6}">> contributors may be
+        used to endorse or promote products derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY <<var;name="holder";match=".{1,20}">> "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;name="holder";match=".{1,20}">> BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+        PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+        HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+        POSSIBILITY OF SUCH DAMAGE.""",
+    "apache-2.0-text": APACHE,
+    "gpl-3.0-or-later-notice": """
+        This <<var;name="work";match=".{1,6}">> is free software: you can redistribute it and/or modify it under the
+        terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of
+        the License, or (at your option) any later version. This <<var;name="work";match=".{1,6}">> is distributed
+        in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with
+        <<var;name="work";match=".{1,6}">> <<beginOptional>>If not, see <<beginOptional>>http<<endOptional>>
+        <<beginOptional>>https<<endOptional>> www.gnu.org/licenses<<endOptional>>.""",
+    "gpl-3.0-only-notice": """
+        This <<var;name="work";match=".{1,6}">> is free software: you can redistribute it and/or modify it under the
+        terms of the GNU General Public License as published by the Free Software Foundation, version 3
+        <<beginOptional>>of the License<<endOptional>>. This <<var;name="work";match=".{1,6}">> is distributed in
+        the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with
+        <<var;name="work";match=".{1,6}">> <<beginOptional>>If not, see <<beginOptional>>http<<endOptional>>
+        <<beginOptional>>https<<endOptional>> www.gnu.org/licenses<<endOptional>>.""",
 }
 
 

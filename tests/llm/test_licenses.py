@@ -97,5 +97,65 @@ def test_optional_regions_must_end():
         licenses.compile_template("a <<beginOptional>> b")
 
 
+def as_written(label):
+    """A license as its owners write it: every optional region there, and a name in every var region."""
+    text = licenses.TEMPLATES[label].replace("<<beginOptional>>http<<endOptional>>", "")
+    return " ".join(re.sub("<<var.*?>>", "Ann B. and others", re.sub("<<(begin|end)Optional>>", "", text)).split())
+
+
+WHOLE = {
+    "mit-text": "Permission is hereby granted", "isc-text": "Permission to use, copy", "apache-2.0-text": "TERMS AND CONDITIONS",
+    "bsd-2-clause-text": "Redistribution and use", "bsd-3-clause-text": "Redistribution and use",
+    "gpl-3.0-or-later-notice": "This Ann", "gpl-3.0-only-notice": "This Ann",
+}
+
+
+@pytest.mark.parametrize("label", WHOLE)
+def test_every_mandatory_sentence_counts(label):
+    scanner, text = licenses.Scanner({}, licenses.TEMPLATES), as_written(label)
+    labels = lambda t: {name for *_, name in scanner.scan(f"before it {t} after it".encode())[2]}
+    assert text.startswith(WHOLE[label]) and labels(text) == {label}
+    # Parts of some words, without what is optional at the end.
+    text = re.split(" If not, see| END OF TERMS", text)[0]
+    ends = [m.end() for m in re.finditer(r"[.;:,] ", text) if not re.search(r"\b(\d|B|v)\. $", text[: m.end()])]
+    parts = [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
+    for n, part in enumerate(parts[:-1]):
+        if len(part.split()) > 2 and "(including the next" not in part:
+            assert label not in labels("".join(parts[:n] + parts[n + 1 :]))
+            assert label not in labels("".join(parts[: n + 1]) + "It shall be used for Good, not Evil. " + "".join(parts[n + 1 :]))
+
+
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_whole_texts_and_what_resembles_them(spark):
+    mit = as_written("mit-text")
+    near = [
+        mit[: mit.index("THE SOFTWARE IS")],
+        mit.replace("THE SOFTWARE IS", "The Software shall be used for Good, not Evil. THE SOFTWARE IS"),
+        mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM") + " Except as contained in this notice, the name of the X",
+        as_written("isc-text").split(" THE SOFTWARE")[0],
+    ]
+    texts = [GPL, *map(as_written, WHOLE), *near]
+    found = {r.doc_id: r for r in licenses.scan_licenses(documents(spark, list(enumerate(texts)))).collect()}
+    wanted = ["gpl-3.0-or-later-notice", *WHOLE]
+    for n, text in enumerate(texts):
+        want = {wanted[n]} if n < len(wanted) else set()
+        assert plain_labels(plain(text)[0]) == want
+        assert set(found[n].labels.split(",")) - set(licenses.PHRASES.values()) == (want or {""})
+        assert found[n].score == (1.0 if want else 0.0)
+
+
 def test_no_documents(spark):
     assert licenses.scan_licenses(documents(spark, [])).count() == 0
