@@ -27,8 +27,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; every document stays, if need be without a line."""
-    return _documents(lines.dedupe_lines(docs))
+    """Lines that an earlier document holds go; every document stays, if need be without a line.
+
+    Lines that open or close a private key stay: by them ``redact_secrets`` knows what is between them.
+    """
+    return _documents(lines.dedupe_lines(docs, spared=secrets.MARKER))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ and edge. The result is a compressed bitmap for each document that loses a line,
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,19 +37,20 @@ def _long_enough(line: bytes, shortest: int) -> bool:
     return len(line) >= shortest and (len(line) >= 4 * shortest or len(line.decode()) >= shortest)
 
 
-def hashed(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+def hashed(docs: DataFrame, shortest: int = SHORTEST, spared: str | None = None) -> DataFrame:
     """A row per line that may be dropped: its place and the 128 bits of its key's hash.
 
     ``row`` is a hash of the text: it tells rows with the same ``doc_id`` apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stays = re.compile(spared.encode()).search if spared else lambda line: None
         for whole in batches:
             for batch in small(whole):
                 owner, place, digests = [], [], []
                 for i, text in enumerate(texts_of(batch)):
                     for n, line in enumerate(text.split(b"\n")):
-                        if len(line) >= shortest and _long_enough(k := key(line), shortest):
+                        if len(line) >= shortest and _long_enough(k := key(line), shortest) and not stays(line):
                             owner.append(i)
                             place.append(n)
                             digests.append(xxhash.xxh3_128_digest(k))
@@ -122,16 +124,17 @@ def _bitmap(positions: pd.Series) -> pd.Series:
     return positions.map(pack)
 
 
-def keep_bitmaps(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+def keep_bitmaps(docs: DataFrame, shortest: int = SHORTEST, spared: str | None = None) -> DataFrame:
     """``doc_id``, ``row`` and ``keep`` of each document that loses a line.
 
     ``keep`` is a zlib-compressed bitmap with a bit per line up to the last one that goes; later
     lines stay. A line goes if its key, the line without white space at its ends and with A-Z in
     lower case, has at least ``shortest`` code points and a smaller ``doc_id`` holds it. All its
     lines in the smallest one stay. A null ``doc_id`` counts as the smallest; rows with the same
-    ``doc_id`` are one document, in which each text has its own bitmap (``row``).
+    ``doc_id`` are one document, in which each text has its own bitmap (``row``). Lines in which the
+    expression ``spared`` matches stay everywhere.
     """
-    lines = stored(hashed(docs, shortest), "lines")
+    lines = stored(hashed(docs, shortest, spared), "lines")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["high", "low", "doc_id", "row", "position"]
     dealt = lines.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -179,6 +182,6 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_lines(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+def dedupe_lines(docs: DataFrame, shortest: int = SHORTEST, spared: str | None = None) -> DataFrame:
     """``docs`` without lines that an earlier document holds; see ``keep_bitmaps`` and ``apply_bitmaps``."""
-    return apply_bitmaps(docs, keep_bitmaps(docs, shortest))
+    return apply_bitmaps(docs, keep_bitmaps(docs, shortest, spared))

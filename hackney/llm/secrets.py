@@ -45,9 +45,27 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]{16,}"),
     Rule("hex", "[0-9a-f]{24,}"),
 )
+#: What ends the line that opens or closes a private key.
+NAMED = "[A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+#: In such a line.
+MARKER = f"-----(?:BEGIN|END) {NAMED}"
+_BASE64 = "[A-Za-z0-9+/]"
+#: Between two lines of a key that may be indented, quoted or have its line breaks escaped.
+_BREAK = r"""[\x00-\x20\\"',>|#*-]+"""
+#: From the opening line through the closing one, unless another opens before it. If there is none, to the
+#: end of the lines of base64, with headers before them. A line is of 16 characters or more (a count inside
+#: a count would exceed what DuckDB takes); a shorter one is the last if padded, on its own, or ending the text.
+PRIVATE_KEY = (
+    rf"-----BEGIN {NAMED}(?:"
+    rf"[^-]*(?:(?:-{{1,4}}[BE]|-+[^-BE])[^-]*){{0,200}}-{{5,}}END {NAMED}"
+    r"|(?:(?:[\r\n]|\\[rn])+[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*){0,10}"
+    rf"(?:{_BREAK}{_BASE64 * 16}{_BASE64}*=?=?){{1,500}}"
+    rf"(?:(?:{_BREAK}{_BASE64}*==?{_BASE64}*){{1,2}}|{_BREAK}{_BASE64}+[\x00-\x20]*\z|\r?\n[\x20\t]*{_BASE64}+[\r\n])?"
+    r")?"
+)
 #: Formats of keys that name themselves.
 OWN = (
-    Rule("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY, version=2),
     Rule("web_token", "eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}"),
     Rule("hosting", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),

@@ -87,6 +87,15 @@ def test_everything_is_packed(stages):
     test_packing.check(after.collect(), rows_of(before), library)
 
 
+def test_keys_that_share_lines_are_redacted(spark):
+    keys = [["-----BEGIN PRIVATE KEY-----", *test_secrets.body(n, 5), "-----END PRIVATE KEY-----"] for n in range(3)]
+    docs = documents(spark, [(n, prose(n, 50) + "\n" + "\n".join(key) + "\nend") for n, key in enumerate(keys)])
+    for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.redact_secrets):
+        docs = stage(spark, docs, "")
+    left = dict(rows_of(docs))
+    assert all("[SECRET]" in left[n] and not any(x in left[n] for x in key[:-2]) for n, key in enumerate(keys))
+
+
 def test_odd_rows_pass_through(spark):
     rows = ODD + [(60 + n, edited(prose(1, 300), n, 1)) for n in range(5)]
     docs = documents(spark, rows)
