@@ -68,11 +68,11 @@ def row_identity(*parts: str) -> Column:
 
 
 def ascending_identity(second: Column, batch: Column, *parts: Column) -> Column:
-    """A uuid-shaped text: a time in seconds, the number of a batch, and 72 bits of the parts.
+    """A uuid-shaped text: a time in seconds, the number of a batch, and 64 bits of the parts.
 
-    Sorted as text, ids are in the order of times and batches.
+    Sorted as text, ids are in the order of times and batches, for four billion batches.
     """
-    digits = [F.lpad(F.lower(F.hex(number)), width, "0") for number, width in ((second, 8), (batch, 6))]
-    text = F.concat(*digits, F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 18))
+    digits = [F.lpad(F.lower(F.hex(number)), 8, "0") for number in (second, batch)]
+    text = F.concat(*digits, F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 16))
     pieces = [F.substring(text, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat_ws("-", *pieces)

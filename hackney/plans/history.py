@@ -156,20 +156,10 @@ def store_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("day", "pickup_centroid_location", "fare")
 
 
-@plan(
-    f"""
-WITH trips AS ({HISTORY})
-SELECT cast(date_trunc('month', event_timestamp) AS timestamp) AS period,
-       count(*) AS trips_total,
-       cast(sum(fare) AS double) AS fare_total,
-       cast(sum(tips) AS double) AS tips_total,
-       cast(sum(trip_total) AS double) AS revenue,
-       cast(sum(tips) AS double) / count(tips) AS tips_avg,
-       cast(sum(trip_total) AS double) / count(trip_total) AS trip_total_avg
-FROM trips
-GROUP BY 1
-"""
-)
+SQL_REVENUE_MONTH = _sql_revenue("month")
+
+
+@plan(SQL_REVENUE_MONTH)
 def batch_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean the trips, store day totals by year, read them back, analyse, store, read the result."""
     daily, report = scratch(spark, "daily"), scratch(spark, "report")

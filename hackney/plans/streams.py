@@ -51,7 +51,7 @@ from hackney.session import scratch
 from hackney.sources.store import read_store
 from hackney.sources.wire import read_wire
 from hackney.streaming.progress import ProgressLog
-from hackney.streaming.run import ALL_AVAILABLE, MONEY, STANDING, await_all, run_to_end, start_tenant
+from hackney.streaming.run import ALL_AVAILABLE, MONEY, STANDING, await_all, start_tenant
 from hackney.streaming.sinks import (
     BATCH,
     RUN,
@@ -376,13 +376,9 @@ def _logged(spark: SparkSession, run: Callable[[], list[StreamingQuery]]) -> Dat
     return progress_rows(log.progress()).filter(F.col("query_name").isin(names))
 
 
-def _one_state(df: DataFrame, name: str) -> StreamingQuery:
-    """Small micro-batches: one state partition, and nothing kept of the results."""
-    spark = df.sparkSession
-    sink = versioned_sink(scratch(spark, name), files=1)
-    return run_to_end(
-        df, name=name, mode="update", sink=sink, checkpoints=scratch(spark, "checkpoints"), state_partitions=1
-    )
+def _one_file(df: DataFrame, name: str) -> StreamingQuery:
+    """Small micro-batches, of whose results nothing is kept but a file each."""
+    return finish(df, name=name, mode="update", sink=versioned_sink(scratch(df.sparkSession, name), files=1))
 
 
 @plan(
@@ -397,7 +393,7 @@ def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of a stream over more micro-batches than Spark remembers."""
     records = _many_batches(spark, event_wire(table(spark, sf_dir, "events")))
     totals = fare_totals(parse(records, MONEY, keep=()), size="1 hour", delay="1000 days", exact=True)
-    rows = _logged(spark, lambda: [_one_state(totals, "progress_fares")])
+    rows = _logged(spark, lambda: [_one_file(totals, "progress_fares")])
     return rows.groupBy("query_name").agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("late_rows").alias("late_rows"),
@@ -425,7 +421,7 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
         queries = []
         for name, wire in inputs.items():
             trips = observed(parse(_many_batches(spark, wire), MONEY, keep=()))
-            queries.append(_one_state(fare_totals(trips, delay="1000 days"), name))
+            queries.append(_one_file(fare_totals(trips, delay="1000 days"), name))
         return queries
 
     health = batch_health(_logged(spark, run))

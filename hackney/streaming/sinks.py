@@ -31,12 +31,14 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
     """The number of all starts from a checkpoint. Later checkpoints have larger ones."""
     kept = f"{checkpoint}.run"
     try:
-        return int(spark.read.text(kept).first()[0])
+        # Without a row the first start ended while it wrote its number, so before the stream began.
+        if (row := spark.read.text(kept).first()) is not None:
+            return int(row[0])
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
     number = (time.time_ns() // 1_000_000 << 20) + secrets.randbits(20)
-    spark.createDataFrame([(str(number),)], "value STRING").coalesce(1).write.text(kept)
+    spark.createDataFrame([(str(number),)], "value STRING").coalesce(1).write.mode("overwrite").text(kept)
     return number
 
 
