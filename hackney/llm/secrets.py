@@ -49,23 +49,30 @@ BASE = (
 NAMED = "[A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
 #: In such a line.
 MARKER = f"-----(?:BEGIN|END) {NAMED}"
-_BASE64 = "[A-Za-z0-9+/]"
-#: Between two lines of a key that may be indented, quoted or have its line breaks escaped.
-_BREAK = r"""[\x00-\x20\\"',>|#*-]+"""
-#: From the opening line through the closing one, unless another opens before it. If there is none, to the
-#: end of the lines of base64, with headers before them. A line is of 16 characters or more (a count inside
-#: a count would exceed what DuckDB takes); a shorter one is the last if padded, on its own, or ending the text.
-PRIVATE_KEY = (
-    rf"-----BEGIN {NAMED}(?:"
-    rf"[^-]*(?:(?:-{{1,4}}[BE]|-+[^-BE])[^-]*){{0,200}}-{{5,}}END {NAMED}"
-    r"|(?:(?:[\r\n]|\\[rn])+[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*){0,10}"
-    rf"(?:{_BREAK}{_BASE64 * 16}{_BASE64}*=?=?){{1,500}}"
-    rf"(?:(?:{_BREAK}{_BASE64}*==?{_BASE64}*){{1,2}}|{_BREAK}{_BASE64}+[\x00-\x20]*\z|\r?\n[\x20\t]*{_BASE64}+[\r\n])?"
-    r")?"
+OPENS, CLOSES = "-----BEGIN", "-----END"
+# A key's span goes from the line that opens it through the next marker, if that closes it. If it does not, or there is
+# none, it goes on over headers and what is base64. Every expression here is flat: loops are over single characters, so
+# none recurses, whatever the length of a key or of what is between its lines.
+_BASE64 = "A-Za-z0-9+/"
+#: Between two lines of a key, which may be indented, quoted or have its line breaks escaped.
+BREAKS = "".join(map(chr, range(1, 33))) + "\\\"',>|#*-"
+_BREAK = r"""\x01-\x20\\"',>|#*-"""
+#: Between the lines of a header; an escaped line break leaves its letter at the beginning of the next line.
+LINE_END = r"[\r\n\\]"
+HEADER = r"\A[A-Za-z][A-Za-z0-9-]*:"
+#: Where base64 ends: another character, a run of fewer than 16, padding within or of more than two.
+NOT_BASE64 = (
+    rf"[^{_BASE64}={_BREAK}]|(?:\A|[{_BREAK}])[{_BASE64}]{{1,15}}(?:[={_BREAK}]|\z)|(?:\A|[{_BREAK}])=|=[{_BASE64}]|==="
+)
+A_LINE = f"[{_BASE64}]{{16}}"
+#: After the last full line: one or two padded ones, or one that ends the text or is alone on its line.
+LAST_LINE = (
+    rf"\A(?:(?:[{_BREAK}]+[{_BASE64}]*==?[{_BASE64}]*){{1,2}}|[{_BREAK}]+[{_BASE64}]+[\x01-\x20]*\z"
+    rf"|\r?\n[\x20\t]*[{_BASE64}]+[\r\n])"
 )
 #: Formats of keys that name themselves.
 OWN = (
-    Rule("private_key", PRIVATE_KEY, version=2),
+    Rule("private_key", MARKER, version=3),
     Rule("web_token", "eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}"),
     Rule("hosting", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -73,31 +80,58 @@ OWN = (
 RULES = BASE + OWN
 
 
+def _body(after: Column) -> Column:
+    """How much of what follows an opening line belongs to its key."""
+    lines = F.split(after, LINE_END, -1)
+    inside = lambda line: F.btrim(line, F.lit(BREAKS))
+    header = F.transform(lines, lambda line: (inside(line) == "") | F.regexp_like(inside(line), F.lit(HEADER)))
+    # The first line that is neither empty nor a header; if there is none, there is no body either.
+    first = F.array_position(header, False).cast("int")
+    before = F.when(first > 1, F.char_length(F.array_join(F.slice(lines, 1, F.greatest(first - 1, F.lit(1))), "x")) + 1).otherwise(0)
+
+    def of(text: Column, skipped: Column) -> Column:
+        full = F.get(F.split(text, NOT_BASE64, 2), 0)
+        size = F.char_length(F.rtrim(full, F.lit(BREAKS)))
+        rest = F.substr(text, size + 1)
+        last = F.char_length(F.regexp_extract(rest, LAST_LINE, 0))
+        return F.when(F.regexp_like(full, F.lit(A_LINE)), skipped + size + last).otherwise(0)
+
+    one = F.array(F.struct(F.substr(after, before + 1).alias("text"), before.alias("skipped")))
+    return F.when(first > 0, F.get(F.transform(one, lambda x: of(x["text"], x["skipped"])), 0)).otherwise(0)
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """The rule's spans in code points: the text is split by the matches, and the lengths are added up."""
+    none = F.array().cast(f"array<{SPAN}>")
 
     def found(whole: Column, gaps: Column, values: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
 
         def add(state: Column, i: Column) -> Column:
             begin = state["at"] + F.char_length(F.get(gaps, i))
-            end = begin + F.char_length(F.get(whole, i))
-            span = F.struct(F.lit(rule.kind).alias("kind"), begin.alias("start"), end.alias("end"))
-            long_enough = F.char_length(F.get(values, i)) >= rule.least
-            kept = F.when(long_enough, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-            return F.struct(end.alias("at"), kept.alias("spans"))
+            after = begin + F.char_length(F.get(whole, i))
+            end, kept = after, F.char_length(F.get(values, i)) >= rule.least
+            if rule.pattern == MARKER:
+                gap, following = F.get(gaps, i + 1), F.get(whole, i + 1)
+                closed = F.coalesce(F.startswith(following, F.lit(CLOSES)), F.lit(False))
+                # Another opening line ends the key, not the text.
+                body = _body(F.concat(gap, F.when(following.isNull(), "").otherwise("-")))
+                end = after + F.when(closed, F.char_length(gap) + F.char_length(following)).otherwise(body)
+                kept = F.startswith(F.get(whole, i), F.lit(OPENS))
+            span = F.struct(F.lit(rule.kind).alias("kind"), begin.alias("start"), end.cast("bigint").alias("end"))
+            more = F.when(kept, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+            return F.struct(after.alias("at"), more.alias("spans"))
 
         every = F.sequence(F.lit(0), F.size(whole) - 1)
         return F.aggregate(every, start, add, lambda state: state["spans"])
 
-    # The three arrays are made once, bound by a transform over one element.
-    parts = F.struct(
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("whole"),
-        F.split(text, rule.pattern, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)).alias("values"),
-    )
-    some = F.get(F.transform(F.array(parts), lambda p: found(p["whole"], p["gaps"], p["values"])), 0)
-    return F.when(F.regexp_like(text, F.lit(rule.pattern)), some).otherwise(F.array().cast(f"array<{SPAN}>"))
+    # The arrays are made once, bound by a transform over one element.
+    parts = {"whole": F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), "gaps": F.split(text, rule.pattern, -1)}
+    if rule.group:
+        parts["values"] = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    bound = F.array(F.struct(*(c.alias(n) for n, c in parts.items())))
+    some = F.get(F.transform(bound, lambda p: found(p["whole"], p["gaps"], p["values" if rule.group else "whole"])), 0)
+    return F.when(F.regexp_like(text, F.lit(rule.pattern)), some).otherwise(none)
 
 
 def blobs(docs: DataFrame) -> DataFrame:

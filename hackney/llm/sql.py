@@ -24,6 +24,22 @@ def _secret_spans() -> str:
     )
 
 
+def _key_body() -> str:
+    """How many code points after an opening line, ``gap``, belong to its key."""
+    inside = f"trim(x, {_quoted(secrets.BREAKS)})"
+    header = f"list_position(list_transform(lines, lambda x: {inside} = '' OR regexp_matches({inside}, {_quoted(secrets.HEADER)})), false)"
+    return f"""
+        SELECT *, CASE WHEN first > 0 AND regexp_matches(full_lines, '{secrets.A_LINE}')
+                       THEN skipped + size + length(regexp_extract(rest[size + 1:], {_quoted(secrets.LAST_LINE)}, 0)) ELSE 0 END AS body
+        FROM (SELECT *, length(rtrim(full_lines, {_quoted(secrets.BREAKS)})) AS size
+              FROM (SELECT *, string_split_regex(rest, {_quoted(secrets.NOT_BASE64)})[1] AS full_lines
+                    FROM (SELECT *, gap[skipped + 1:] AS rest
+                          FROM (SELECT *, CASE WHEN first > 1 THEN length(array_to_string(lines[1:first - 1], 'x')) + 1 ELSE 0 END AS skipped
+                                FROM (SELECT *, coalesce({header}, 0) AS first
+                                      FROM (SELECT *, string_split_regex(gap, {_quoted(secrets.LINE_END)}) AS lines FROM opened))))))
+    """
+
+
 def _pattern(template: str) -> str:
     """A template as a regular expression over words that each end in a space."""
     out = ""
@@ -103,12 +119,24 @@ SQL: dict[str, str] = {
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         matches AS ({_secret_spans()}),
         places AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM matches),
-        spans AS (
-            SELECT doc_id, rank, kind, length(whole[i]) AS n,
-                   CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
-                        + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+        marked AS (
+            SELECT *, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                           + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
             FROM places WHERE length(parts[i]) >= least
         ),
+        opened AS (
+            SELECT doc_id, rank, kind, s, length(whole[i]) AS n, gaps[i + 1] || CASE WHEN i < len(whole) THEN '-' ELSE '' END AS gap,
+                   whole[i + 1] AS following
+            FROM marked WHERE kind = 'private_key' AND starts_with(whole[i], '{secrets.OPENS}')
+        ),
+        bodies AS ({_key_body()}),
+        spans AS (
+            SELECT doc_id, rank, kind, length(whole[i]) AS n, s FROM marked WHERE kind <> 'private_key'
+            UNION ALL
+            SELECT doc_id, rank, kind, n + CASE WHEN starts_with(following, '{secrets.CLOSES}') THEN length(gap) - 1 + length(following)
+                                                ELSE body END, s
+            FROM bodies
+        ),
         told AS (SELECT *, kind || ':' || s || ':' || (s + n) AS span FROM spans)
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
                count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 from dataclasses import replace
+from pathlib import Path
 
 import duckdb
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from hackney.llm import queries, secrets
 from tests.oracle import difference
 from tests.llm.helpers import ODD, documents, prose
 
+ROOT = str(Path(__file__).parents[2])
 PLAIN = {
     "assign": r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": "AKIA[A-Z0-9]+",
@@ -129,8 +133,43 @@ def test_whole_keys_are_redacted(spark):
     assert got == {n: (1, len(t)) for n, t in many} | {-1: (1, 27), -2: (5000, 27)}
 
 
+LONG = {
+    "line breaks": ("-----BEGIN PRIVATE KEY-----" + "\n" * 100_000, 27),
+    "lines without an end": ("-----BEGIN PRIVATE KEY-----\n" + "\n".join(body(1, 5000, "QUJD")), None),
+    "lines with dashes": ("-----BEGIN PRIVATE KEY-----" + "\nMIIE - x" * 5000 + "\n-----END PRIVATE KEY-----", None),
+    "headers": ("-----BEGIN PRIVATE KEY-----\n" + "Name: a value, of words\n" * 12 + "\n" + "\n".join(body(2, 9)), None),
+    "many headers": ("-----BEGIN PRIVATE KEY-----\n" + "Name: a value\n" * 9000 + "\n" + "\n".join(body(3, 9)), None),
+    "dashes": ("-----BEGIN PRIVATE KEY-----\n" + "-" * 1000 + "\n" + "- " * 1000 + "\n" + "\n".join(body(4, 9)), None),
+    "short words": ("-----BEGIN PRIVATE KEY-----\n" + "ab " * 200_000, 27),
+    "escaped": ("-----BEGIN PRIVATE KEY-----\\n" + "\\n".join(body(5, 3000)), None),
+    "one line": ("-----BEGIN PRIVATE KEY----- " + "A" * 1_000_000, None),
+    "padding": ("-----BEGIN PRIVATE KEY-----\n" + body(6, 1)[0] + "=" * 100_000, 27 + 1 + 64),
+    "names": ("-----BEGIN " * 50_000, 0),
+}
+
+
+def test_nothing_is_too_long(tmp_path):
+    """In a session of its own with the usual stack: no crash, and nothing of a key is left."""
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from hackney.llm import secrets
+from hackney.session import build_session
+from tests.llm.helpers import documents
+from tests.llm.test_secrets import LONG
+spark = build_session(master="local[2]", **{{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+found, _ = secrets.find_secrets(documents(spark, [(n, t) for n, (t, _) in enumerate(LONG.values())]), rules=secrets.OWN)
+print("ENDS", *(f"{{r.doc_id}}:{{r.spans[0].start}}:{{r.spans[-1].end}}" if r.spans else f"{{r.doc_id}}:0:0" for r in found.collect()))
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    got = dict(x.split(":", 1) for x in out.stdout.split("ENDS")[-1].split())
+    want = {str(n): f"0:{len(t) if end is None else end}" for n, (t, end) in enumerate(LONG.values())}
+    assert got == want, out.stderr[-2000:]
+
+
 def test_keys_have_the_same_spans_in_sql(spark, tmp_path):
-    docs = documents(spark, [(n, text) for n, (text, _) in enumerate(keys())])
+    short = [t for t, _ in LONG.values() if len(t) < 60_000]
+    docs = documents(spark, list(enumerate([*(text for text, _ in keys()), *short])))
     docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
