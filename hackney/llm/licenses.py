@@ -227,9 +227,10 @@ class Scanner:
         line = b" " + b" ".join(words) + b" "
         base, own = [], []
         for phrase, label in self._phrases:
-            wanted, at = b" " + b" ".join(phrase) + b" ", -1
+            wanted, at, first, counted = b" " + b" ".join(phrase) + b" ", -1, 0, 0
             while (at := line.find(wanted, at + 1)) >= 0:
-                first = line.count(b" ", 0, at)
+                # From the last match on, so that a text full of matches takes linear time.
+                first, counted = first + line.count(b" ", counted, at), at
                 base.append((first, first + len(phrase), label))
         for label, made in self._templates:
             if all(line.find(run) >= 0 for run in self._needs[label]):

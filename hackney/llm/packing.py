@@ -227,8 +227,15 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         list(steps.items()),
         "length bigint, steps array<struct<first: bigint, sequence: bigint, at: bigint, each: bigint>>",
     )
-    before = F.sum("many").over(Window.partitionBy("length").orderBy("block")) - F.col("many")
-    counts = counts.select("block", "length", before.alias("__before"))
+    # The running count of a length goes over tasks first, and then over the blocks of a task, so that no window
+    # has more rows than there are tasks, or blocks in one.
+    counts = counts.withColumn("task", F.shiftright("block", 32))
+    tasks = counts.groupBy("length", "task").agg(F.sum("many").alias("many"))
+    earlier = F.sum("many").over(Window.partitionBy("length").orderBy("task")) - F.col("many")
+    tasks = tasks.select("length", "task", earlier.alias("earlier"))
+    within = F.sum("many").over(Window.partitionBy("length", "task").orderBy("block")) - F.col("many")
+    counts = counts.withColumn("within", within).join(tasks, ["length", "task"])
+    counts = counts.select("block", "length", (F.col("earlier") + F.col("within")).alias("__before"))
     placed = pieces.join(counts, ["block", "length"]).join(F.broadcast(table), "length")
     placed = placed.withColumn("__rank", F.col("__before") + F.col("number"))
     placed = placed.withColumn("__step", F.expr("element_at(filter(steps, s -> s.first <= __rank), -1)"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -159,3 +160,11 @@ def test_whole_texts_and_what_resembles_them(spark):
 
 def test_no_documents(spark):
     assert licenses.scan_licenses(documents(spark, [])).count() == 0
+
+
+def test_a_text_full_of_matches_takes_linear_time():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    started = time.monotonic()
+    n, base, _ = scanner.scan(b"mit license " * 850_000)
+    assert n == 1_700_000 and [a for a, _, _ in base] == list(range(0, n, 2))
+    assert time.monotonic() - started < 20

@@ -22,9 +22,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def ids(library, text):
