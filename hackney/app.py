@@ -3,6 +3,8 @@
     python -m hackney.app ingest --tenant acme --servers broker:9092 --files 's3a://bucket/acme/in'
     python -m hackney.app analyse --tenant acme --servers broker:9092 --checkpoints s3a://bucket/cp
     python -m hackney.app store --tenant acme --servers broker:9092 --checkpoints s3a://b/cp --tables s3a://b/t
+    python -m hackney.app watch --tenant acme --servers broker:9092 --checkpoints s3a://b/cp --rule busy <topic> count 50
+    python -m hackney.app history --tenant acme --files 's3a://bucket/acme/trips' --tables s3a://b/t
 
 ``--topics <folder>`` in place of ``--servers`` uses folders as topics, and ``--once`` ends a job when
 it has caught up. On SIGTERM or SIGINT a job stops its queries and ends; the next start goes on from there.
@@ -11,13 +13,15 @@ it has caught up. On SIGTERM or SIGINT a job stops its queries and ends; the nex
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.functions.records import parse, serialise
-from hackney.operators.alerts import Rule, alerts
+from hackney.operators.alerts import Rule, alerts, conditions, episodes
 from hackney.operators.conform import create_table
 from hackney.operators.ingest import clean, stamp, to_wire, typed_trips
 from hackney.operators.quality import quarantined, validate
@@ -27,9 +31,10 @@ from hackney.session import build_session
 from hackney.sources.files import read_trip_files
 from hackney.sources.wire import sasl
 from hackney.streaming.progress import ProgressLog
-from hackney.streaming.run import ALL_AVAILABLE, MONEY, await_all, start, start_tenant, stop_on_signals
+from hackney.streaming.run import ALL_AVAILABLE, MONEY, ROCKSDB, await_all, decode, decoded, start, start_tenant, stop_on_signals
 from hackney.streaming.sinks import BATCH, RUN, Sink, emission, file_sink, latest, read_table, table_sink
 from hackney.streaming.topics import Broker, Folders, Topics
+from hackney.workflow import Workflow, from_parquet, from_trip_files
 
 ALERT_TOPIC = "alertStream"
 
@@ -67,22 +72,34 @@ def analyse(
     state_partitions: int | None = None,
     quarantine: str | None = None,
     rules: Sequence[Rule] = (),
+    decoded_at: str | None = None,
 ) -> list[StreamingQuery]:
     """The four standing queries: from the tenant's trips to its result topics, as JSON.
 
     A result record says which run and batch has emitted it. With ``quarantine`` records that are not
     valid are kept in that folder with their reasons; with ``rules`` fares that break one go to the alerts topic.
+    With ``decoded_at``, a folder, the records are parsed once, into columns there, and all queries read those.
     """
     records = topics.read(spark, topic_name(tenant, INGEST_TOPIC))
+    queries = []
 
     def trips(fields: Sequence[str]) -> DataFrame:
         return parse(records, fields, keep=())
 
+    if decoded_at:
+        path = f"{decoded_at}/{tenant}"
+        options = {"checkpoints": checkpoints, "trigger": trigger, "pool": tenant}
+        queries.append(decode(records, path, name=topic_name(tenant, "decoded"), **options))
+        if trigger == ALL_AVAILABLE:
+            # The others end when they have read what is there, so it must be there.
+            queries[0].awaitTermination()
+        trips = decoded(spark, path)
+
     def sink(topic: str) -> Sink:
         return topics.sink(topic, lambda emitted, run, batch: serialise(emission(emitted, run, batch)))
 
     options = {"trigger": trigger, "state_partitions": state_partitions}
-    queries = start_tenant(trips, tenant, sink, checkpoints, **options)
+    queries += start_tenant(trips, tenant, sink, checkpoints, **options)
     options |= {"checkpoints": checkpoints, "pool": tenant, "mode": "append"}
     if quarantine:
         bad = quarantined(validate(records), "timestamp")
@@ -111,8 +128,7 @@ def store(
     """
     queries = []
     for topic, table in RESULT_TOPICS.items():
-        fields = narrow([name for name in table.schema.names if name != "id"], table.schema)
-        results = parse(topics.read(spark, topic_name(tenant, topic), "earliest"), fields, keep=())
+        results = results_in(spark, topics, tenant, topic)
         path = f"{tables}/{tenant}/{table.name}"
         if database:
             create_table(spark, table, path, database)
@@ -130,6 +146,57 @@ def store(
     return queries
 
 
+def watch(
+    spark: SparkSession,
+    topics: Topics,
+    tenant: str,
+    checkpoints: str,
+    rules: Sequence[Rule],
+    gap: dt.timedelta = dt.timedelta(minutes=10),
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> list[StreamingQuery]:
+    """Alerts that remember, on any of the results: raised once, cleared after a ``gap``, see ``episodes``.
+
+    A query per result topic that has rules, from the topic's beginning to the alerts topic.
+    """
+    queries = []
+    for topic in dict.fromkeys(rule.topic for rule in rules):
+        broken = topic_conditions(results_in(spark, topics, tenant, topic), topic, [r for r in rules if r.topic == topic])
+        queries.append(
+            start(
+                serialise(episodes(broken, gap)),
+                name=topic_name(tenant, f"watch_{topic}"),
+                mode="append",
+                sink=topics.sink(topic_name(tenant, ALERT_TOPIC)),
+                checkpoints=checkpoints,
+                trigger=trigger,
+                pool=tenant,
+                state_partitions=state_partitions,
+                state_store=ROCKSDB,
+            )
+        )
+    return queries
+
+
+def results_in(spark: SparkSession, topics: Topics, tenant: str, topic: str) -> DataFrame:
+    """The records of a result topic, from its beginning, as columns of its table."""
+    table = RESULT_TOPICS[topic]
+    fields = narrow([name for name in table.schema.names if name != "id"], table.schema)
+    return parse(topics.read(spark, topic_name(tenant, topic), "earliest"), fields, keep=())
+
+
+def topic_conditions(results: DataFrame, topic: str, rules: Sequence[Rule]) -> DataFrame:
+    """Which results of a topic break a rule, by their window or day, and by their place if they have one."""
+    if "day" in results.columns:
+        day = F.col("day").cast("date")
+        start, end = day.cast("timestamp"), F.date_add(day, 1).cast("timestamp")
+    else:
+        start, end = (F.get_json_object("window", f"$.{edge}").cast("timestamp") for edge in ("start", "end"))
+    place = next((name for name in RESULT_KEYS[topic] if name not in ("window", "day")), None)
+    return conditions(results, rules, start, end, F.col(place) if place else None)
+
+
 def results_of(spark: SparkSession, tables: str, tenant: str, topic: str) -> DataFrame:
     """The last emission of every result of a topic, from its table."""
     table = RESULT_TOPICS[topic]
@@ -139,9 +206,9 @@ def results_of(spark: SparkSession, tables: str, tenant: str, topic: str) -> Dat
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="hackney.app", description="Jobs of a tenant.")
-    parser.add_argument("job", choices=["ingest", "analyse", "store"])
+    parser.add_argument("job", choices=["ingest", "analyse", "store", "watch", "history"])
     parser.add_argument("--tenant", required=True)
-    where = parser.add_mutually_exclusive_group(required=True)
+    where = parser.add_mutually_exclusive_group()
     where.add_argument("--servers", help="broker as host:port")
     where.add_argument("--topics", help="folder of topics instead of a broker")
     parser.add_argument("--sasl-username")
@@ -156,11 +223,24 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--quarantine", help="analyse: folder for records that are not valid")
     parser.add_argument("--alert", nargs=3, action="append", default=[], metavar=("NAME", "METRIC", "AT_LEAST"),
                         help="analyse: raise NAME where METRIC of the fares is at least a number")
+    parser.add_argument("--decoded", help="analyse: folder for the parsed records, which are then parsed once")
+    parser.add_argument("--rule", nargs=4, action="append", default=[], metavar=("NAME", "TOPIC", "METRIC", "AT_LEAST"),
+                        help="watch: raise NAME where METRIC of a result topic is at least a number")
+    parser.add_argument("--gap", type=float, default=600, help="watch: seconds after which an alert is cleared")
+    parser.add_argument("--trips", choices=["csv", "parquet"], default="csv", help="history: what the files are")
     parser.add_argument("--progress", help="folder for the progress of all queries")
     parser.add_argument("--once", action="store_true", help="end when all there is has been processed")
     arguments = parser.parse_args(argv)
-    needed = {"ingest": ["files"], "analyse": ["checkpoints"], "store": ["checkpoints", "tables"]}[arguments.job]
-    missing = [f"--{name}" for name in needed if getattr(arguments, name) is None]
+    needed = {
+        "ingest": ["files"],
+        "analyse": ["checkpoints"],
+        "store": ["checkpoints", "tables"],
+        "watch": ["checkpoints", "rule"],
+        "history": ["files", "tables"],
+    }[arguments.job]
+    if arguments.job != "history" and not (arguments.servers or arguments.topics):
+        parser.error("--servers or --topics is needed")
+    missing = [f"--{name}" for name in needed if not getattr(arguments, name)]
     if missing:
         parser.error(f"{arguments.job} needs {' and '.join(missing)}")
     return arguments
@@ -180,6 +260,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     own = spark is None
     stop = stop_on_signals() if own else lambda: False
     spark = spark or build_session(f"hackney-{arguments.job}-{arguments.tenant}")
+    if arguments.job == "history":
+        extract = from_trip_files if arguments.trips == "csv" else from_parquet
+        done = Workflow(spark, arguments.files, f"{arguments.tables}/{arguments.tenant}/history", extract).run()
+        print(f"run {done.number}: {len(done.taken)} files, months {', '.join(done.months) or 'none'}")
+        if own:
+            spark.stop()
+        return
     topics, tenant = _topics(arguments), arguments.tenant
     log = ProgressLog(spark, arguments.progress) if arguments.progress else None
     if log:
@@ -190,7 +277,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         queries = ingest(spark, topics, tenant, arguments.files, **options)
     elif arguments.job == "analyse":
         rules = [Rule(name, metric, float(least)) for name, metric, least in arguments.alert]
-        queries = analyse(spark, topics, tenant, quarantine=arguments.quarantine, rules=rules, **options)
+        more = {"quarantine": arguments.quarantine, "rules": rules, "decoded_at": arguments.decoded}
+        queries = analyse(spark, topics, tenant, **more, **options)
+    elif arguments.job == "watch":
+        rules = [Rule(name, metric, float(least), topic=topic) for name, topic, metric, least in arguments.rule]
+        queries = watch(spark, topics, tenant, rules=rules, gap=dt.timedelta(seconds=arguments.gap), **options)
     else:
         queries = store(spark, topics, tenant, arguments.tables, database=arguments.database or tenant, **options)
     try:

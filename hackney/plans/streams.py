@@ -272,7 +272,7 @@ GROUP BY 1
 """
 
 
-def _sql_standing() -> str:
+def sql_standing() -> str:
     """All results of the four standing queries over amounts in quarters."""
     areas, places = sql_sliding("pickup_community_area", HAS_AREA), sql_sliding("pickup_centroid_location")
     return f"""
@@ -291,8 +291,8 @@ UNION ALL SELECT '{HOTSPOT_TOPIC}', strftime(window_start, '%Y-%m-%d %H:%M:%S'),
 """
 
 
-def _standing(topic: str, results: DataFrame, at: Column) -> DataFrame:
-    """Results of a standing query in the columns of ``_sql_standing``."""
+def standing(topic: str, results: DataFrame, at: Column) -> DataFrame:
+    """Results of a standing query in the columns of ``sql_standing``."""
     names = {
         SUM_FARE_TOPIC: (None, None, "total_fare", "tips_fare", "total_trip_total"),
         TRIPS_TOTAL_TOPIC: (None, "trips_total", "fare_total", "tips_avg", "trip_total_avg"),
@@ -305,7 +305,7 @@ def _standing(topic: str, results: DataFrame, at: Column) -> DataFrame:
     return results.select(F.lit(topic).alias("query"), at.alias("at"), *columns)
 
 
-@plan(_sql_standing())
+@plan(sql_standing())
 def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The standing queries of a tenant at once, with plain sums, and all results each has written."""
     root, trips = scratch(spark, "results"), in_quarters(stream_trips(spark, sf_dir))
@@ -319,7 +319,7 @@ def stream_tenant_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     def results(topic: str) -> DataFrame:
         rows = read_latest(spark, f"{root}/{topic_name('acme', topic)}", RESULT_KEYS[topic])
         start = F.date_format("window.start", "yyyy-MM-dd HH:mm:ss")
-        return _standing(topic, rows, F.col("day").cast("string") if "day" in rows.columns else start)
+        return standing(topic, rows, F.col("day").cast("string") if "day" in rows.columns else start)
 
     return reduce(DataFrame.unionByName, [results(topic) for topic in STANDING])
 
@@ -451,7 +451,7 @@ def stream_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_window(latest(spark.read.parquet(path), ["window"]))
 
 
-@plan(f"SELECT *, TRUE AS own_ids FROM ({_sql_standing()})")
+@plan(f"SELECT *, TRUE AS own_ids FROM ({sql_standing()})")
 def results_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the records of a topic over the four standing queries and their topics to the result tables.
 
@@ -470,7 +470,7 @@ def results_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     def results(topic: str) -> DataFrame:
         kind = RESULT_TOPICS[topic]
         start = F.date_format(F.get_json_object("window", "$.start").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
-        rows = _standing(topic, results_of(spark, tables, "acme", topic), F.col("day") if topic == TRIPS_TOTAL_TOPIC else start)
+        rows = standing(topic, results_of(spark, tables, "acme", topic), F.col("day") if topic == TRIPS_TOTAL_TOPIC else start)
         ids = read_table(spark, f"{tables}/acme/{kind.name}", kind).agg((F.count_distinct("id") == F.count("*")).alias("own_ids"))
         return rows.withColumn("own_ids", F.lit(ids.first()["own_ids"]))
 

@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hackney.functions.clock import EVENT_TIME
+from hackney.functions.records import parse
 from hackney.operators.daily import day_report, day_totals, totals_by_day
 from hackney.operators.windows import COMMUNITY, LOCATION, community_hot_spots, fare_totals, location_hot_spots
-from hackney.schemas import HOTSPOT_COMMUNITY_TOPIC, HOTSPOT_TOPIC, SUM_FARE_TOPIC, TRIPS_TOTAL_TOPIC, topic_name
-from hackney.streaming.sinks import Sink, run_number
+from hackney.schemas import HOTSPOT_COMMUNITY_TOPIC, HOTSPOT_TOPIC, SUM_FARE_TOPIC, TRIPS_TOTAL_TOPIC, narrow, topic_name
+from hackney.session import DEFAULTS
+from hackney.sources.store import hadoop_files
+from hackney.streaming.sinks import Sink, file_sink, run_number
 
 ALL_AVAILABLE = {"availableNow": True}
 PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = DEFAULTS[STATE_STORE]
 POOL = "spark.scheduler.pool"
 
 
@@ -30,12 +35,13 @@ def start(
     trigger: dict | None = None,
     pool: str | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Start a named query with a checkpoint folder of its own.
 
     Without ``trigger`` a micro-batch starts as soon as the last one is done. Queries of one
-    ``pool`` get an equal share of the cores with those of any other. ``state_partitions`` is for the
-    very first start; the checkpoint keeps it. It defaults to the session's shuffle partitions.
+    ``pool`` get an equal share of the cores with those of any other. ``state_partitions`` and ``state_store`` are for
+    the very first start; the checkpoint keeps them. They default to the session's.
     """
     spark = df.sparkSession
     checkpoint = f"{checkpoints}/{name}"
@@ -45,16 +51,18 @@ def start(
         writer = writer.trigger(**trigger)
     writer = sink(writer, run)
     # A query takes its own copy of pool and settings when it starts; the caller keeps theirs.
-    context, usual = spark.sparkContext, spark.conf.get(PARTITIONS)
-    usual_pool = context.getLocalProperty(POOL)
+    context = spark.sparkContext
+    wanted = {name: value for name, value in ((PARTITIONS, state_partitions), (STATE_STORE, state_store)) if value is not None}
+    usual, usual_pool = {name: spark.conf.get(name) for name in wanted}, context.getLocalProperty(POOL)
     context.setLocalProperty(POOL, pool)
-    if state_partitions is not None:
-        spark.conf.set(PARTITIONS, state_partitions)
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         return writer.start()
     finally:
         context.setLocalProperty(POOL, usual_pool)
-        spark.conf.set(PARTITIONS, usual)
+        for name, value in usual.items():
+            spark.conf.set(name, value)
 
 
 def run_to_end(df: DataFrame, **options) -> StreamingQuery:
@@ -108,6 +116,28 @@ def start_tenant(
     ]
 
 
+def fields_of(standing: Mapping[str, tuple] = STANDING) -> list[str]:
+    """All trip fields that the queries read."""
+    return list(dict.fromkeys(name for _, _, fields in standing.values() for name in fields))
+
+
+def decode(records: DataFrame, path: str, *, name: str, fields: Sequence[str] | None = None, **options) -> StreamingQuery:
+    """Parse the records once, into columns of a folder that any number of queries then read.
+
+    Spark's own log of the folder says which of its files count, so that each record is there once.
+    """
+    trips = parse(records, fields or fields_of(), keep=())
+    return start(trips, name=name, mode="append", sink=file_sink(path), **options)
+
+
+def decoded(spark: SparkSession, path: str, fields: Sequence[str] | None = None) -> Callable[[Sequence[str]], DataFrame]:
+    """The trips that ``decode`` writes to the folder, as ``start_tenant`` asks for them: only the columns it names."""
+    files, make = hadoop_files(spark, path)
+    files.mkdirs(make(path))
+    trips = spark.readStream.schema(narrow(fields or fields_of())).parquet(path)
+    return lambda wanted: trips.select(*wanted)
+
+
 def await_all(
     queries: Iterable[StreamingQuery], poll_seconds: float = 1.0, stop: Callable[[], bool] = lambda: False
 ) -> None:
