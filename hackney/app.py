@@ -30,6 +30,8 @@ from hackney.schemas import INGEST_TOPIC, RESULT_KEYS, RESULT_TOPICS, narrow, to
 from hackney.session import build_session
 from hackney.sources.files import read_trip_files
 from hackney.sources.wire import sasl
+from hackney.streaming.commits import Commits
+from hackney.streaming.landing import Landing, Taken
 from hackney.streaming.progress import ProgressLog
 from hackney.streaming.run import ALL_AVAILABLE, MONEY, ROCKSDB, await_all, decode, decoded, start, start_tenant, stop_on_signals
 from hackney.streaming.sinks import BATCH, RUN, Sink, emission, file_sink, latest, read_table, table_sink
@@ -63,6 +65,37 @@ def ingest(
     return [start(ingested(raw), name=topic, mode="append", sink=sink, checkpoints=checkpoints, trigger=trigger)]
 
 
+def land(spark: SparkSession, topics: Topics, root: str, path: str, share: int = 100) -> list[Taken]:
+    """Take what waits in the landing folders of all tenants, batch by batch, and send it to their topics.
+
+    The records of a batch are kept below ``path`` before they are sent, and are sent again if a job ends in between.
+    """
+    landing = Landing(spark, root, path, ingested_by_tenant, share)
+    done = []
+    while True:
+        send_landed(spark, topics, landing)
+        taken = landing.take()
+        if taken is None:
+            return done
+        done.append(taken)
+
+
+def ingested_by_tenant(raw: DataFrame) -> DataFrame:
+    """As ``ingested``, with ``tenant_id`` beside the record."""
+    return to_wire(stamp(typed_trips(clean(raw))), key="trip_id", keep=("tenant_id",))
+
+
+def send_landed(spark: SparkSession, topics: Topics, landing: Landing) -> None:
+    """Send the records of the batches that are not sent yet to the topics of their tenants, and note it."""
+    sent = Commits(spark, f"{landing.path}/sent")
+    last = int((sent.last() or ("0", {}))[0])
+    for number, records in landing.batches(after=last):
+        tenants = [r["tenant_id"] for r in records.select("tenant_id").distinct().collect()]
+        for tenant in sorted(tenants):
+            topics.send(records.filter(F.col("tenant_id") == tenant).drop("tenant_id"), topic_name(tenant, INGEST_TOPIC))
+        sent.commit(f"{number:012d}", {"tenants": sorted(tenants)})
+
+
 def analyse(
     spark: SparkSession,
     topics: Topics,
@@ -206,8 +239,8 @@ def results_of(spark: SparkSession, tables: str, tenant: str, topic: str) -> Dat
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="hackney.app", description="Jobs of a tenant.")
-    parser.add_argument("job", choices=["ingest", "analyse", "store", "watch", "history"])
-    parser.add_argument("--tenant", required=True)
+    parser.add_argument("job", choices=["ingest", "land", "analyse", "store", "watch", "history"])
+    parser.add_argument("--tenant", help="needed by all jobs but land")
     where = parser.add_mutually_exclusive_group()
     where.add_argument("--servers", help="broker as host:port")
     where.add_argument("--topics", help="folder of topics instead of a broker")
@@ -217,7 +250,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--sasl-mechanism", default="PLAIN")
     parser.add_argument("--files", help="ingest: trip files")
     parser.add_argument("--files-per-trigger", type=int, help="ingest: files of a micro-batch")
-    parser.add_argument("--tables", help="store: folder of the tables")
+    parser.add_argument("--landing", help="land: folder with <tenant>/in of each tenant")
+    parser.add_argument("--share", type=int, default=100, help="land: files of a tenant that a batch takes at most")
+    parser.add_argument("--tables", help="store: folder of the tables; history, land: of the results")
     parser.add_argument("--checkpoints", help="folder that all executors share")
     parser.add_argument("--database", help="store: where the tables are declared; the tenant's name if not given")
     parser.add_argument("--quarantine", help="analyse: folder for records that are not valid")
@@ -237,7 +272,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "store": ["checkpoints", "tables"],
         "watch": ["checkpoints", "rule"],
         "history": ["files", "tables"],
+        "land": ["landing", "tables"],
     }[arguments.job]
+    if arguments.job != "land":
+        needed = ["tenant", *needed]
     if arguments.job != "history" and not (arguments.servers or arguments.topics):
         parser.error("--servers or --topics is needed")
     missing = [f"--{name}" for name in needed if not getattr(arguments, name)]
@@ -268,6 +306,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             spark.stop()
         return
     topics, tenant = _topics(arguments), arguments.tenant
+    if arguments.job == "land":
+        for taken in land(spark, topics, arguments.landing, f"{arguments.tables}/landed", arguments.share):
+            print(f"batch {taken.batch}: {', '.join(f'{n} of {t}' for t, n in sorted(taken.files.items()))}")
+        if own:
+            spark.stop()
+        return
     log = ProgressLog(spark, arguments.progress) if arguments.progress else None
     if log:
         spark.streams.addListener(log)

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hackney.functions.amounts import cents
 from hackney.functions.clock import EVENT_TIME, watermarked
 from hackney.functions.records import CORRUPT
+from hackney.operators.sketch import BITS, quantiles, sketch
 from hackney.operators.windows import DELAY
 from hackney.schemas import TRIP
 
@@ -208,3 +210,44 @@ def preprocess(
         sound = (F.col(name) >= 0) & (F.col(name) < float("inf"))
         numbers = numbers.filter(F.col(name).isNull() | sound)
     return numbers.fillna(dict(fill)) if fill else numbers
+
+
+QUARTILES = {"low_quarter": 0.25, "high_quarter": 0.75}
+
+
+def amount_sketch(trips: DataFrame, by: Sequence[str], amounts: Sequence[str] = ("fare", "trip_total")) -> DataFrame:
+    """How the amounts of each group are spread, in cents; see ``hackney.operators.sketch``."""
+    return sketch(trips, {name: cents(name) for name in amounts}, by)
+
+
+def amount_fences(made: DataFrame, by: Sequence[str], width: int = 3, least: int = 100) -> DataFrame:
+    """Per group and amount ``lowest`` and ``highest``, in cents: ``width`` times the quarters' distance beyond them.
+
+    The distance counts as ``least`` cents at least, and as what a level may be off, so that a group of all but equal
+    amounts has some room.
+    """
+    off = F.shiftright(F.abs("high_quarter"), BITS) + 1
+    wide = F.greatest(F.col("high_quarter") - F.col("low_quarter"), F.lit(least), off) * F.lit(width)
+    lowest, highest = F.col("low_quarter") - wide, F.col("high_quarter") + wide
+    return quantiles(made, QUARTILES, by).select(*by, "measure", lowest.alias("lowest"), highest.alias("highest"))
+
+
+def drop_outliers(
+    trips: DataFrame, by: Sequence[str], amounts: Sequence[str] = ("fare", "trip_total"), fences: DataFrame | None = None
+) -> DataFrame:
+    """Trips whose amounts lie within the fences of their group: those given (of earlier trips, say), or their own.
+
+    A missing amount is no outlier, and a group without fences has none. A NULL group is one like others. The fences
+    are a row per group; a hot group is a skewed join, which Spark splits where it does not broadcast them.
+    """
+    fences = amount_fences(amount_sketch(trips, by, amounts), by) if fences is None else fences
+    limits = fences.groupBy(*by).agg(
+        *[F.max(F.when(F.col("measure") == name, F.struct("lowest", "highest"))).alias(f"__{name}") for name in amounts]
+    )
+    limits = limits.withColumnsRenamed({name: f"__by_{name}" for name in by})
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"__by_{name}")) for name in by)) if by else F.lit(True)
+    joined = trips.join(limits, same, "left")
+    inside = [
+        F.coalesce(cents(name).between(F.col(f"__{name}.lowest"), F.col(f"__{name}.highest")), F.lit(True)) for name in amounts
+    ]
+    return joined.filter(reduce(and_, inside)).select(*trips.columns)

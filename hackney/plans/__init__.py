@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hackney.plans import history, ingest, quality, stored, streams, tables, watched, windows  # noqa: F401
+from hackney.plans import arrivals, history, ingest, quality, stored, streams, tables, watched, windows  # noqa: F401
 from hackney.plans.registry import PLANS
 
 __all__ = ["PLANS"]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hackney.functions.clock import flat_window
+from hackney.operators.compat import compatibility, field_types, merge_types, merged_class
 from hackney.operators.metrics import error_rate, input_health, throughput
-from hackney.operators.quality import dedupe, drift_report, preprocess, quarantined, valid, validate
+from hackney.operators.quality import dedupe, drift_report, drop_outliers, preprocess, quarantined, valid, validate
+from hackney.operators.windows import COMMUNITY
 from hackney.plans.fixtures import TRIPS, batch_trips, faulty_wire, finish, stream_trips, table, table_stream
 from hackney.plans.registry import plan
-from hackney.schemas import narrow
+from hackney.schemas import DOUBLE, TEXT, TIME, narrow, schema_of
 from hackney.session import scratch
 from hackney.streaming.sinks import file_sink
 
@@ -152,6 +155,107 @@ def preprocess_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ready.select("trip_id", "fare", "tips", "event_timestamp")
 
 
+#: Every so many trips have amounts a thousand times too high.
+ODD = 50
+
+
+def sql_levels(source: str) -> str:
+    """Numbers ``v`` of ``source`` cut to eight binary digits, as ``low``."""
+    return f"SELECT * EXCLUDE (cut), (v >> cut) << cut AS low FROM (SELECT *, greatest(length(bin(v)) - 8, 0) AS cut FROM {source})"
+
+
+@plan(
+    f"""
+WITH trips AS ({TRIPS}),
+     noisy AS (SELECT *, CASE WHEN cast(trip_id AS bigint) % {ODD} = 0 THEN 1000 ELSE 1 END AS times FROM trips),
+     amounts AS (SELECT trip_id, payment_type, pickup_community_area AS area, cast(fare * 100 AS bigint) * times AS fare,
+                        cast(trip_total * 100 AS bigint) * times AS trip_total FROM noisy),
+     each AS (SELECT area, 'fare' AS m, fare AS v FROM amounts UNION ALL SELECT area, 'trip_total', trip_total FROM amounts),
+     counted AS (SELECT area, m, low, count(*) AS n FROM ({sql_levels('each')}) GROUP BY ALL),
+     running AS (SELECT *, sum(n) OVER (PARTITION BY area, m ORDER BY low) AS up_to, sum(n) OVER (PARTITION BY area, m) AS every
+                 FROM counted),
+     quarters AS (SELECT area, m, min(low) FILTER (up_to >= ceil(every * 0.25)) AS q1,
+                         min(low) FILTER (up_to >= ceil(every * 0.75)) AS q3 FROM running GROUP BY ALL),
+     fences AS (SELECT area, m, q1 - 3 * greatest(q3 - q1, 100, (q3 >> 7) + 1) AS lo,
+                      q3 + 3 * greatest(q3 - q1, 100, (q3 >> 7) + 1) AS hi FROM quarters)
+SELECT trip_id, payment_type FROM amounts a
+WHERE NOT EXISTS (
+  SELECT 1 FROM fences f WHERE f.area IS NOT DISTINCT FROM a.area
+  AND CASE m WHEN 'fare' THEN fare ELSE trip_total END NOT BETWEEN lo AND hi)
+"""
+)
+def outliers_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips within the fences of their area; areas' fences come from their own trips."""
+    times = F.when(F.col("trip_id").cast("bigint") % ODD == 0, 1000).otherwise(1)
+    trips = batch_trips(spark, sf_dir)
+    noisy = trips.withColumns({name: F.col(name) * times for name in ("fare", "trip_total")})
+    return drop_outliers(noisy, [COMMUNITY]).select("trip_id", "payment_type")
+
+
+SQL_FOUND = """
+found AS (
+  SELECT field, count(*) AS present, 'text' AS found
+  FROM events, (VALUES ('trip_id'), ('taxi_id'), ('payment_type'), ('pickup_centroid_location')) names(field)
+  WHERE event_type IN ('click', 'purchase', 'signup') GROUP BY field
+  UNION ALL
+  SELECT field, count(*), 'number' FROM events, (VALUES ('fare'), ('tips'), ('trip_total')) names(field)
+  WHERE event_type IN ('click', 'purchase', 'signup') GROUP BY field
+  UNION ALL
+  SELECT 'event_timestamp', count(*), 'time' FROM events WHERE event_type IN ('click', 'purchase', 'signup') HAVING count(*) > 0
+  UNION ALL
+  SELECT 'pickup_community_area', count(*), CASE WHEN count(*) FILTER (event_type = 'signup') > 0 THEN 'number' ELSE 'small whole' END
+  FROM events WHERE event_type IN ('click', 'signup') HAVING count(*) > 0
+  UNION ALL
+  SELECT 'x', count(*), 'text' FROM events WHERE event_type = 'view' HAVING count(*) > 0
+)
+"""
+
+
+@plan(f"WITH {SQL_FOUND} SELECT * FROM found")
+def record_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fields of all records hold, from the reports of two halves."""
+    records = _records(spark, sf_dir)
+    halves = [field_types(records.filter(F.pmod(F.xxhash64("key"), F.lit(2)) == n)) for n in (0, 1)]
+    types = merge_types(halves[0].unionByName(halves[1]))
+    return types.select("field", "present", merged_class(F.col("mask")).alias("found"))
+
+
+#: Two versions of the schema: what the second adds, and what it takes for more or less than the first.
+VERSIONS = {
+    "1": schema_of(trip_id=TEXT, fare=DOUBLE, pickup_community_area=T.IntegerType(), event_timestamp=TIME, company=TEXT),
+    "2": schema_of(trip_id=T.LongType(), fare=TEXT, tips=DOUBLE, pickup_community_area=DOUBLE, event_timestamp=TEXT),
+}
+
+
+@plan(
+    f"""
+WITH {SQL_FOUND},
+     declared(version, field, declared) AS (VALUES
+       ('1', 'trip_id', 'text'), ('1', 'fare', 'number'), ('1', 'pickup_community_area', 'small whole'),
+       ('1', 'event_timestamp', 'time'), ('1', 'company', 'text'),
+       ('2', 'trip_id', 'whole'), ('2', 'fare', 'text'), ('2', 'tips', 'number'), ('2', 'pickup_community_area', 'number'),
+       ('2', 'event_timestamp', 'text')),
+     able(held, holder) AS (VALUES
+       ('text', 'text'), ('number', 'number'), ('number', 'text'), ('small whole', 'small whole'), ('small whole', 'whole'),
+       ('small whole', 'number'), ('small whole', 'text'), ('whole', 'whole'), ('whole', 'number'), ('whole', 'text'),
+       ('time', 'time'), ('time', 'text')),
+     wanted AS (SELECT version, field, found FROM found, (VALUES ('1'), ('2')) versions(version)),
+     paired AS (SELECT coalesce(w.version, d.version) AS version, coalesce(w.field, d.field) AS field, declared, found
+              FROM wanted w FULL JOIN declared d ON w.version = d.version AND w.field = d.field),
+     checked AS (SELECT *, EXISTS (SELECT 1 FROM able WHERE held = found AND holder = declared) AS down,
+                        EXISTS (SELECT 1 FROM able WHERE held = declared AND holder = found) AS up FROM paired)
+SELECT version, field, declared, found,
+       CASE WHEN declared IS NULL THEN 'added' WHEN found IS NULL THEN 'lost' WHEN declared = found THEN 'same'
+            WHEN down THEN 'narrowed' ELSE 'widened' END AS status,
+       declared IS NULL OR found IS NULL OR down AS old_reads_new, declared IS NULL OR (found IS NOT NULL AND up) AS new_reads_old
+FROM checked
+"""
+)
+def record_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records against two declared versions, in both directions."""
+    return compatibility(field_types(_records(spark, sf_dir)), VERSIONS)
+
+
 SQL_HOUR = "time_bucket(INTERVAL '1 hour', ts)"
 
 

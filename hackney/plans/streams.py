@@ -356,7 +356,7 @@ def stream_bad_records_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 MANY = 104
 
 
-def _many_batches(spark: SparkSession, records: DataFrame) -> DataFrame:
+def many_batches(spark: SparkSession, records: DataFrame) -> DataFrame:
     topic = scratch(spark, "topic")
     records.repartitionByRange(MANY, "timestamp").write.parquet(topic)
     reader = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1)
@@ -391,7 +391,7 @@ FROM events
 )
 def query_progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of a stream over more micro-batches than Spark remembers."""
-    records = _many_batches(spark, event_wire(table(spark, sf_dir, "events")))
+    records = many_batches(spark, event_wire(table(spark, sf_dir, "events")))
     totals = fare_totals(parse(records, MONEY, keep=()), size="1 hour", delay="1000 days", exact=True)
     rows = _logged(spark, lambda: [_one_file(totals, "progress_fares")])
     return rows.groupBy("query_name").agg(
@@ -420,7 +420,7 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> list[StreamingQuery]:
         queries = []
         for name, wire in inputs.items():
-            trips = observed(parse(_many_batches(spark, wire), MONEY, keep=()))
+            trips = observed(parse(many_batches(spark, wire), MONEY, keep=()))
             queries.append(_one_file(fare_totals(trips, delay="1000 days"), name))
         return queries
 

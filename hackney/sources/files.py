@@ -11,7 +11,7 @@ from hackney.schemas import TRIP_FILE_COLUMNS
 RAW_TRIP = T.StructType([T.StructField(name, T.StringType()) for name in TRIP_FILE_COLUMNS])
 
 
-def _tenant(path: str) -> Column:
+def tenant_of(path: str) -> Column:
     """The folder above ``in`` in ``…/<tenant>/in/<file>``."""
     return F.split_part(F.col(path), F.lit("/"), F.lit(-3))
 
@@ -37,14 +37,14 @@ def read_trip_files(
 def read_landing(spark: SparkSession, root: str, stream: bool = False, **options) -> DataFrame:
     """Trip files below ``root/<tenant>/in`` with the ``tenant_id`` they belong to."""
     raw = read_trip_files(spark, f"{root}/*/in", stream=stream, **options)
-    return raw.withColumn("tenant_id", _tenant("_metadata.file_path"))
+    return raw.withColumn("tenant_id", tenant_of("_metadata.file_path"))
 
 
 def list_landing(spark: SparkSession, root: str, tenant: str = "*") -> DataFrame:
     """Files of one tenant or of all of them; their content is not read."""
     found = spark.read.format("binaryFile").load(f"{root}/{tenant}/in")
     return found.select(
-        _tenant("path").alias("tenant_id"),
+        tenant_of("path").alias("tenant_id"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),

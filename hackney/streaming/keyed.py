@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +87,26 @@ class KeyedTable:
         more = {"buckets": self.buckets, "key": list(self.key)}
         return self._commits.put(batch_name(run, batch_id), dealt, BUCKET, **more)
 
+    def add(self, rows: DataFrame, run: int, batch_id: int, sums: Sequence[str]) -> bool:
+        """Let ``rows`` be added to those of the same keys: the columns ``sums`` add up. A repeated batch changes nothing.
+
+        Only the buckets of the rows' keys are read, as they were before the batch.
+        """
+        name = batch_name(run, batch_id)
+        if self._commits.load(name) is not None:
+            return False
+        mine = rows.select(F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("string").alias(BUCKET)).distinct()
+        buckets = {r[BUCKET] for r in mine.collect()}  # as many as there are buckets at most
+        state = self.state()
+        every = rows.select(*self.key, *sums)
+        if state.schema is not None and buckets:
+            files = [f for f in [*state.base, *state.deltas] if f.part in buckets]
+            old, wanted = self._last(files, state.schema), rows.select(*[F.col(name).alias(f"__{name}") for name in self.key])
+            same = reduce(and_, (old[name].eqNullSafe(wanted[f"__{name}"]) for name in self.key))
+            every = every.unionByName(old.join(wanted, same, "left_semi").select(*every.columns))
+        added = every.groupBy(*self.key).agg(*[F.sum(c).alias(c) for c in sums])
+        return self.put(added, run, batch_id)
+
     def sink(self, prepare: Prepare | None = None) -> Sink:
         """For ``update`` and ``complete`` mode."""
 
@@ -108,11 +130,15 @@ class KeyedTable:
         touched = state.touched
         quiet = [f for f in state.base if f.part not in touched and not only]
         busy = [f for f in [*state.base, *state.deltas] if f.part in touched]
-        names = state.schema.names
-        last = F.max_by(F.struct(*[n for n in names if n not in self.key]), F.struct(RUN, BATCH)).alias("__last")
-        merged = self._commits.read(busy, state.schema).groupBy(*self.key).agg(last).select(*self.key, "__last.*").select(*names)
+        merged = self._last(busy, state.schema)
         return self._commits.read(quiet, state.schema).unionByName(merged) if quiet else merged
 
+    def _last(self, files: list[File], schema: T.StructType) -> DataFrame:
+        """The last row of each key in some files."""
+        rest = F.struct(*[n for n in schema.names if n not in self.key])
+        last = F.max_by(rest, F.struct(RUN, BATCH)).alias("__last")
+        return self._commits.read(files, schema).groupBy(*self.key).agg(last).select(*self.key, "__last.*").select(*schema.names)
+
     def fold(self, last: tuple[int, int] | None = None) -> list[int]:
         """Bring the deltas up to the batch ``last`` (default: all there are) into the base; the buckets rewritten.
 
