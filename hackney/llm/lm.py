@@ -1,8 +1,9 @@
 """Masked pseudo-likelihood: every word is predicted from the words on both of its sides.
 
-The vocabulary comes from word counts over the whole corpus. A small network is trained on all of it:
-each partition of documents trains a copy in one pass, and the copies are averaged, by their words, in a
-tree of groups of bounded size. The network adds an embedding per place of the window, takes the hyperbolic
+The vocabulary comes from word counts over the whole corpus. Texts become numbers once, which are stored; a small network
+is trained on all of them, and scores them. The corpus is dealt over rounds, and a round's share over copies of some
+hundred thousand words, by hashes of the texts, so that the layout of the files does not matter. All copies of a round
+start from the average of the last one; they are averaged, by their words, in a tree of groups of bounded size. The network adds an embedding per place of the window, takes the hyperbolic
 tangent, and predicts a word in two steps, its class and then the word in its class, each a softmax.
 Rare words share ids; such a word's probability is that of its id times the word's share of the id's count.
 A document's score is the sum of the logarithms of all its words' probabilities.
@@ -10,6 +11,7 @@ A document's score is the sum of the logarithms of all its words' probabilities.
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hackney.llm.common import small, stored, texts_of
+from hackney.session import scratch
 
 #: Classes, and words in a class.
 CLASSES, MEMBERS = 32, 64
@@ -41,6 +44,25 @@ BATCH = 2048
 RATE = 0.15
 #: Copies that a task averages at most.
 FAN_IN = 8
+#: Rounds of training at most, each over its own share of the corpus, and words that a copy sees in one, about.
+ROUNDS, COPY = 8, 500_000
+
+
+def one_thread() -> None:
+    """Let matrix products of this process run in one thread, as a task has one core; more would wait for each other.
+
+    Only speed depends on it, so where the library is another one, nothing is done.
+    """
+    try:
+        with open("/proc/self/maps") as maps:
+            libraries = {line.split()[-1] for line in maps if "openblas" in line}
+    except OSError:
+        return
+    for path in libraries:
+        library = ctypes.CDLL(path)
+        for name in ("openblas_set_num_threads", "openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "scipy_openblas_set_num_threads64_"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +204,10 @@ class Network:
             at += part.size
         return Network(*out)
 
+    def filled(self, value: float) -> Network:
+        """Of this one's shape, with the same number everywhere."""
+        return Network(*(np.full(p.shape, value, np.float32) for p in self.parts()))
+
     def _forward(self, context: np.ndarray, target: np.ndarray) -> tuple:
         inside = self.around[0][context[0]]
         for place in range(1, len(PLACES)):
@@ -222,11 +248,14 @@ class Network:
 
 
 class Trainer:
-    """One pass of Adagrad over batches, in the order in which they come."""
+    """One pass of Adagrad over batches, in the order in which they come.
+
+    ``seen`` is what earlier passes have added up of the squared slopes, in the shape of the network.
+    """
 
-    def __init__(self, network: Network) -> None:
-        self.network = network
-        self._seen = [np.full(p.shape, 1e-2, np.float32) for p in network.parts()]
+    def __init__(self, network: Network, seen: Network) -> None:
+        self.network, self.seen = network, seen
+        self._seen = seen.parts()
 
     def _move(self, part: np.ndarray, seen: np.ndarray, where, slope: np.ndarray) -> None:
         seen[where] += slope * slope
@@ -255,20 +284,68 @@ def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], np.stack([line[at + place] for place in PLACES])
 
 
-def _train(words: list[str], near: list[str], start: Network):
+ENCODED = (
+    "key bigint, doc_id bigint, n_tokens bigint, ids binary, added double, far array<struct<word: string, n: int>>"
+)
+
+
+def _encode(words: list[str], rare: Rare):
+    """Texts as numbers; ``added`` is what known rare words add to the score, ``far`` are those whose counts are not at hand."""
+    near, tokens = rare.near, np.log1p(rare.tokens)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, trainer, total = Numbers(words, near), Trainer(start.unpack(start.pack())), 0
+        numbers, first = Numbers(words, near), IDS - SHARED
+        # By place; the last one is of those that are not known.
+        logs = np.r_[np.zeros(len(words)), np.log(np.array(list(near.values()), np.float64)), 0.0]
+        key = TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in small(whole):
-                target, context = windows([numbers.ids(t) for t in texts_of(batch)])
-                for at in range(0, len(target), BATCH):
-                    trainer.step(context[:, at : at + BATCH], target[at : at + BATCH])
-                total += len(target)
-        if total:
-            slot = TaskContext.get().partitionId()
-            columns = [pa.array([slot], pa.int64()), pa.array([total], pa.int64())]
-            packed = pa.array([trainer.network.pack()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*columns, packed], ["slot", "words", "weights"])
+                packed, sizes, added, far, many, ends = [], [], [], [], [], [0]
+                for text in texts_of(batch):
+                    mine, found, unknown = numbers.of(text)
+                    packed.append(mine.astype("<i2").tobytes())
+                    sizes.append(len(mine))
+                    added.append(logs[found].sum() - tokens[mine[mine >= first] - first].sum())
+                    counted = Counter(unknown)
+                    far.extend(counted)
+                    many.extend(counted.values())
+                    ends.append(len(far))
+                keys = pa.array(np.arange(key, key + len(sizes)), pa.int64())
+                key += len(sizes)
+                pairs = [pa.array(far, pa.binary()).cast(pa.string()), pa.array(many, pa.int32())]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "n"]))
+                columns = [keys, batch.column(0), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary()), pa.array(added, pa.float64()), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "n_tokens", "ids", "added", "far"])
+
+    return run
+
+
+def encoded(docs: DataFrame, words: list[str], rare: Rare) -> DataFrame:
+    """The texts of ``docs`` as numbers, stored, since the keys are those of this pass."""
+    return stored(docs.select("doc_id", "text").mapInArrow(_encode(words, rare), ENCODED), "encoded")
+
+
+def _train(start: Network, weights: bytes, seen: bytes):
+    def run(rows: pa.Table) -> pa.Table:
+        """A copy trained on a group of texts, in the order of their hashes."""
+        one_thread()
+        trainer, total = Trainer(start.unpack(weights), start.unpack(seen)), 0
+        order = np.lexsort((rows["key"].to_numpy(), rows["hash"].to_numpy()))
+        packed = rows["ids"]
+        texts = [np.frombuffer(packed[i].as_py(), "<i2").astype(np.int16) for i in order.tolist()]
+        held: list[np.ndarray] = []
+        for i, text in enumerate(texts):
+            held.append(text)
+            if sum(map(len, held)) < 16 * BATCH and i < len(texts) - 1:
+                continue
+            target, context = windows(held)
+            for at in range(0, len(target), BATCH):
+                trainer.step(context[:, at : at + BATCH], target[at : at + BATCH])
+            total += len(target)
+            held = []
+        columns = [pa.array([rows["copy"][0].as_py()], pa.int64()), pa.array([total], pa.int64())]
+        columns += [pa.array([net.pack()], pa.binary()) for net in (trainer.network, trainer.seen)]
+        return pa.Table.from_arrays(columns, ["slot", "words", "weights", "seen"])
 
     return run
 
@@ -276,14 +353,17 @@ def _train(words: list[str], near: list[str], start: Network):
 def _average(rows: pa.Table) -> pa.Table:
     """One copy for all of a group, weighted by words."""
     words = np.array(rows["words"].to_pylist(), np.float64)
-    total = sum(n * np.frombuffer(w.as_py(), "<f4").astype(np.float64) for n, w in zip(words, rows["weights"]))
-    packed = (total / words.sum()).astype("<f4").tobytes()
+
+    def mean(name: str) -> pa.Array:
+        total = sum(n * np.frombuffer(w.as_py(), "<f4").astype(np.float64) for n, w in zip(words, rows[name]))
+        return pa.array([(total / words.sum()).astype("<f4").tobytes()], pa.binary())
+
     slot = rows["slot"][0].as_py() // FAN_IN
-    columns = [pa.array([slot], pa.int64()), pa.array([int(words.sum())], pa.int64()), pa.array([packed], pa.binary())]
-    return pa.Table.from_arrays(columns, ["slot", "words", "weights"])
+    columns = [pa.array([slot], pa.int64()), pa.array([int(words.sum())], pa.int64()), mean("weights"), mean("seen")]
+    return pa.Table.from_arrays(columns, ["slot", "words", "weights", "seen"])
 
 
-COPIES = "slot bigint, words bigint, weights binary"
+COPIES = "slot bigint, words bigint, weights binary, seen binary"
 
 
 @dataclass
@@ -295,6 +375,11 @@ class Model:
 
 def fit(docs: DataFrame) -> Model:
     """Train on all words of ``docs``. Without words the model is its own start, all words alike."""
+    return _fit(docs)[0]
+
+
+def _vocabulary(docs: DataFrame) -> tuple[list[str], Rare, Network]:
+    """The words with an id, what tells others apart, and the network that makes each id as probable as it is frequent."""
     every = word_counts(docs)
     counted = _most_frequent(every)
     rare = Rare.of(every, counted[:-1])
@@ -302,38 +387,54 @@ def fit(docs: DataFrame) -> Model:
     counts = np.zeros(IDS)
     counts[: len(words)] = [n for _, n in counted[:-1]]
     counts[IDS - SHARED :] = counted[-1][1] / SHARED
-    start = Network.start(counts)
-    copies = stored(docs.select("text").mapInArrow(_train(words, list(rare.near), start), COPIES), "copies")
-    while (many := copies.count()) > 1 or many and copies.first()["slot"]:
-        copies = copies.groupBy(F.floor(F.col("slot") / FAN_IN)).applyInArrow(_average, COPIES)
-        copies = stored(copies, "copies")
-    merged = copies.first()
-    return Model(words, start.unpack(merged["weights"]) if merged else start, rare)
+    return words, rare, Network.start(counts)
+
+
+def _fit(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and ``docs`` as numbers."""
+    words, rare, start = _vocabulary(docs)
+    rows = encoded(docs, words, rare)
+    return Model(words, train(rows, start), rare), rows
+
+
+def train(rows: DataFrame, start: Network) -> Network:
+    """The network trained on all words of ``rows``, texts as numbers."""
+    total = rows.agg(F.sum("n_tokens")).first()[0] or 0
+    rounds = max(1, min(ROUNDS, round(total / COPY)))
+    copies = max(1, round(total / (rounds * COPY)))
+    texts = rows.filter("n_tokens > 0").select("key", "ids", "n_tokens", F.xxhash64("ids", "doc_id").alias("hash"))
+    # A hash with much of a copy's words, of a row that is there very often, is dealt by the rows' keys.
+    often = texts.groupBy("hash").agg(F.sum("n_tokens").alias("all"), F.count("*").alias("rows"))
+    often = often.filter((F.col("all") > COPY // 4) & (F.col("rows") > 1)).select(F.col("hash").alias("__often"))
+    texts = texts.join(often, F.col("hash") == F.col("__often"), "left")
+    texts = texts.withColumn("hash", F.when(F.col("__often").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", "key")))
+    dealt = F.pmod(F.col("hash"), F.lit(rounds * copies))
+    texts = texts.select("key", "ids", "hash", F.floor(dealt / rounds).alias("copy"), (dealt % rounds).cast("int").alias("round"))
+    path = scratch(rows.sparkSession, "rounds")
+    texts.write.partitionBy("round").parquet(path)
+    texts = rows.sparkSession.read.schema(texts.schema).parquet(path)
+    weights, seen = start.pack(), start.filled(1e-2).pack()
+    for n in range(rounds):
+        share = texts.filter(F.col("round") == n).drop("round")
+        made = stored(share.groupBy("copy").applyInArrow(_train(start, weights, seen), COPIES), "copies")
+        while (many := made.count()) > 1 or many and made.first()["slot"]:
+            made = stored(made.groupBy(F.floor(F.col("slot") / FAN_IN)).applyInArrow(_average, COPIES), "copies")
+        if (merged := made.first()) is not None:
+            weights, seen = merged["weights"], merged["seen"]
+    return start.unpack(weights)
 
 
 SCORED = "key bigint, doc_id bigint, n_tokens bigint, score double, far array<struct<word: string, n: int>>"
 
 
-def _score(words: list[str], network: Network, rare: Rare):
+def _score(network: Network):
     """Scores that lack the counts of the words in ``far``."""
-    near, tokens = rare.near, np.log1p(rare.tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, first = Numbers(words, near), IDS - SHARED
-        # By place; the last one is of those that are not known.
-        logs = np.r_[np.zeros(len(words)), np.log(np.array(list(near.values()), np.float64)), 0.0]
-        key = TaskContext.get().partitionId() << 40
+        one_thread()
         for whole in batches:
             for batch in small(whole):
-                ids, added, far, many, ends = [], [], [], [], [0]
-                for text in texts_of(batch):
-                    mine, found, unknown = numbers.of(text)
-                    ids.append(mine)
-                    added.append(logs[found].sum() - tokens[mine[mine >= first] - first].sum())
-                    counted = Counter(unknown)
-                    far.extend(counted)
-                    many.extend(counted.values())
-                    ends.append(len(far))
+                ids = [np.frombuffer(x.as_py(), "<i2").astype(np.int16) for x in batch.column(3)]
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids))
                 target, context = windows(ids)
                 found = [np.zeros(0, np.float32)]
@@ -341,12 +442,8 @@ def _score(words: list[str], network: Network, rare: Rare):
                     found.append(network.log_probability(context[:, at : at + BATCH], target[at : at + BATCH]))
                 sums = np.r_[0.0, np.cumsum(np.concatenate(found), dtype=np.float64)]
                 last = np.cumsum(sizes)
-                scores = sums[last] - sums[last - sizes] + np.array(added, np.float64)
-                keys = pa.array(np.arange(key, key + len(ids)), pa.int64())
-                key += len(ids)
-                pairs = [pa.array(far, pa.binary()).cast(pa.string()), pa.array(many, pa.int32())]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "n"]))
-                columns = [keys, batch.column(0), pa.array(sizes), pa.array(scores), lists]
+                scores = sums[last] - sums[last - sizes] + batch.column(4).to_numpy()
+                columns = [*batch.columns[:3], pa.array(scores), batch.column(5)]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "n_tokens", "score", "far"])
 
     return run
@@ -358,9 +455,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     ``score`` is the sum of the words' log-probabilities, ``per_token`` their mean. Null and empty texts have
     no words, ``score`` 0 and ``per_token`` null. ``doc_id`` may be null; repeated rows come back as often.
     """
-    run = _score(model.words, model.network, model.rare)
-    # Written, since the keys are those of this pass.
-    rows = stored(docs.select("doc_id", "text").mapInArrow(run, SCORED), "scores")
+    return _scored(encoded(docs, model.words, model.rare), model)
+
+
+def fit_and_score(docs: DataFrame) -> DataFrame:
+    """``score`` by a model of the documents themselves, which become numbers once."""
+    model, rows = _fit(docs)
+    return _scored(rows, model)
+
+
+def _scored(texts: DataFrame, model: Model) -> DataFrame:
+    rows = texts.mapInArrow(_score(model.network), SCORED)
+    rows = stored(rows, "scores")
     far = rows.select(F.col("key").alias("of"), F.explode("far").alias("far")).select("of", "far.*")
     far = far.join(model.rare.counts, "word", "left")
     slot = (F.crc32(F.col("word").cast("binary")) % SHARED).cast("int")

@@ -76,8 +76,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score(docs, lm.fit(docs))
+    return lm.fit_and_score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hackney.llm import lm, queries
 from tests.conftest import SF_DIR
@@ -137,8 +138,38 @@ def test_rare_words_have_their_own_probability(spark, monkeypatch, near):
     assert alone[0] > alone[1] + 0.5
 
 
+def mean_score(spark, docs, model):
+    rows = lm.score(docs, model).agg(F.sum("score").alias("score"), F.sum("n_tokens").alias("n")).first()
+    return rows["score"] / rows["n"]
+
+
+def test_training_helps_whatever_the_layout(spark, monkeypatch):
+    """On texts that were not learnt from, better than the start, with 1, 8 and 64 partitions all but the same."""
+    monkeypatch.setattr(lm, "COPY", 10_000)
+    docs = documents(spark, [(i, chain(i, 200)) for i in range(1200)])
+    new = documents(spark, [(i, chain(10**6 + i, 200)) for i in range(100)])
+    words, rare, start = lm._vocabulary(docs)
+    first = mean_score(spark, new, lm.Model(words, start, rare))
+    found = [mean_score(spark, new, lm.fit(docs.repartition(n))) for n in (1, 8, 64)]
+    # 240,000 words are 8 rounds of 3 copies.
+    assert min(found) > first + 1
+    assert max(found) - min(found) < 1e-3
+
+
+def test_a_row_that_is_a_third_of_all_is_dealt_over_copies(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COPY", 4000)
+    rows = [(1, chain(1, 100))] * 200 + [(i, chain(i, 100)) for i in range(2, 400)]
+    paths, written = [], lm.scratch
+    monkeypatch.setattr(lm, "scratch", lambda s, label: paths.append(written(s, label)) or paths[-1])
+    lm.fit(documents(spark, rows).repartition(5))
+    texts = spark.read.parquet(next(p for p in paths if "/rounds-" in p))
+    sizes = [r["n"] for r in texts.groupBy("round", "copy").agg(F.sum(F.octet_length("ids") / 2).alias("n")).collect()]
+    assert sum(sizes) == 598 * 100 and max(sizes) < 2.5 * 4000
+
+
 def test_copies_are_averaged_in_a_tree(spark, fitted, monkeypatch):
     monkeypatch.setattr(lm, "FAN_IN", 2)
+    monkeypatch.setattr(lm, "COPY", 100)
     docs = documents(spark, [(i, chain(i, 50)) for i in range(40)]).repartition(7)
     model = lm.fit(docs)
     assert model.network.around.shape == fitted.network.around.shape
