@@ -1,7 +1,7 @@
 """Quality rules with thresholds that follow each language and source.
 
-Measures of every whole text go into quantile sketches (KLL) per language and source, which merge over
-tasks and over loads; each group's fences come from its quartiles, shrunk to those of its language where
+Measures of every whole text go into quantile sketches per language and source, counts by level, which add up over
+tasks and over loads and are the same in every run; each group's fences come from its quartiles, shrunk to those of its language where
 the group is small, and the documents are joined with them. Fences lie far outside the middle half, so
 a group without junk loses next to nothing, and in a group of nothing but junk the fixed rules and the
 language's own fences still hold.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackney.llm.common import SPACES, small, stored, texts_of
+from hackney.operators.sketch import quantiles, sketch
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -84,8 +85,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < FEWEST_WORDS) | repeated
 
 
-#: Accuracy of the sketches: quantiles are off by about 0.4 % of the rows of a group.
-SKETCH = 800
+#: Shares are whole millionths in the sketches, whose levels are 0.8 % apart.
+MILLIONTHS = 1_000_000
 #: Documents whose weight the language has in a group's quartiles.
 SHRINK = 100
 #: Fences are so many distances between the quartiles away from them.
@@ -120,8 +121,8 @@ def sketches(rows: DataFrame) -> DataFrame:
     Sketches of several loads can be put together (``unionByName``) and give the fences of all.
     """
     known = shares(rows.filter("n_words > 0"))
-    made = (F.kll_sketch_agg_double(name, F.lit(SKETCH)).alias(name) for name in SLACK)
-    return known.groupBy("lang", "source").agg(F.count("*").alias("many"), *made)
+    measures = {name: F.floor(F.col(name) * MILLIONTHS).cast("bigint") for name in SLACK}
+    return sketch(known, measures, ["lang", "source"])
 
 
 def fences(made: DataFrame) -> DataFrame:
@@ -132,16 +133,14 @@ def fences(made: DataFrame) -> DataFrame:
     language's own fence, so a source full of junk does not make its own rules.
     """
 
-    def merged(*keys: str) -> DataFrame:
-        parts = (F.kll_merge_agg_double(name, F.lit(SKETCH)).alias(name) for name in SLACK)
-        return made.groupBy(*keys).agg(F.sum("many").alias("many"), *parts)
+    def quartiles(prefix: str, *keys: str) -> DataFrame:
+        found = quantiles(made, {f"q{i}": q for i, q in enumerate(_QUARTILES)}, keys)
+        at = lambda name, i: F.max(F.when(F.col("measure") == name, F.col(f"q{i}") / MILLIONTHS))
+        columns = [at(name, i).alias(f"{prefix}{name}_{i}") for name in SLACK for i in range(len(_QUARTILES))]
+        return found.groupBy(*keys).agg(F.max("many").alias(f"{prefix}many"), *columns)
 
-    def quartiles(df: DataFrame, prefix: str, *keys: str) -> DataFrame:
-        found = {f"{prefix}{n}_{i}": F.kll_sketch_get_quantile_double(n, F.lit(q)) for n in SLACK for i, q in enumerate(_QUARTILES)}
-        return df.select(*keys, F.col("many").alias(f"{prefix}many"), *(c.alias(k) for k, c in found.items()))
-
-    groups = quartiles(merged("lang", "source"), "g_", "lang", "source")
-    languages = quartiles(merged("lang"), "l_", "lang").withColumnRenamed("lang", "__lang")
+    groups = quartiles("g_", "lang", "source")
+    languages = quartiles("l_", "lang").withColumnRenamed("lang", "__lang")
     both = groups.join(languages, F.col("lang").eqNullSafe(F.col("__lang"))).drop("__lang")
     own = F.col("g_many") / (F.col("g_many") + SHRINK)
     bounds = []
@@ -176,8 +175,8 @@ def judge(rows: DataFrame, bounds: DataFrame) -> DataFrame:
 def filter_quality(docs: DataFrame) -> DataFrame:
     """A row per document: ``doc_id``, ``lang``, ``source``, the measures, ``base_failed`` and ``kept``.
 
-    Null and empty texts have no words and fail. Null languages and sources are groups like others; rows
+    Two runs give the same rows. Null and empty texts have no words and fail. Null languages and sources are groups like others; rows
     without ``doc_id`` and repeated ones are judged as any other.
     """
     rows = stored(measured(docs), "measures")
-    return judge(rows, stored(fences(sketches(rows)), "fences"))
+    return judge(rows, stored(fences(stored(sketches(rows), "sketches")), "fences"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -76,7 +77,62 @@ def test_sketches_merge(spark):
     merged = quality.fences(halves[0].unionByName(halves[1]))
     key = lambda r: (r.lang, r.source)
     a, b = sorted(whole.collect(), key=key), sorted(merged.collect(), key=key)
-    assert a == b  # so few documents are kept exactly
+    assert a == b
+
+
+def plain_level(number):
+    cut = max(0, number.bit_length() - 8)
+    return number >> cut << cut
+
+
+def plain_quartiles(numbers):
+    ranked = sorted(map(plain_level, numbers))
+    return [ranked[max(0, math.ceil(len(ranked) * q) - 1)] / 1e6 for q in (0.25, 0.5, 0.75)]
+
+
+def plain_kept(rows):
+    """The verdict on (doc_id, text, lang, source), from the definition of fences."""
+    slack = quality.SLACK
+    measures, groups, languages = [], {}, {}
+    for _, text, lang, source in rows:
+        n, chars, symbols, lines, repeated = plain(text)
+        m = max(n, 1)
+        measures.append((n, dict(zip(slack, (chars / m, symbols / m, repeated / m, lines / m))), repeated))
+        if n:
+            groups.setdefault((lang, source), []).append(measures[-1][1])
+            languages.setdefault(lang, []).append(measures[-1][1])
+    out = []
+    for (_, _, lang, source), (n, shares, repeated) in zip(rows, measures):
+        kept = not (n < 20 or 100 * repeated > 30 * n)
+        for name, (least, more) in slack.items() if n else ():
+            g, l = ([plain_quartiles([math.floor(x[name] * 1_000_000) for x in some]) for some in (groups[lang, source], languages[lang])])
+            own = len(groups[lang, source]) / (len(groups[lang, source]) + 100)
+            wide = max(3 * (l[2] - l[0]), least)
+            low, high = (own * g[i] + (1 - own) * l[i] for i in (0, 2))
+            g_wide = max(3 * (high - low), least)
+            low, high = max(low - g_wide, l[1] - 2 * (l[1] - l[0] + wide)), min(high + g_wide, l[1] + 2 * (l[2] - l[1] + wide))
+            kept &= low - more / math.sqrt(n) <= shares[name] <= high + more / math.sqrt(n)
+        out.append(kept)
+    return out
+
+
+def test_the_whole_query_against_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs]
+    want = dict(zip((r[0] for r in rows), plain_kept(rows)))
+    runs = [queries.QUERIES["op5_adaptive_quality"](spark, SF_DIR).collect() for _ in range(2)]
+    assert {r.doc_id: r.kept for r in runs[0]} == want and 0 < sum(want.values()) < len(want)
+    assert sorted(runs[0]) == sorted(runs[1])
+
+
+def test_two_runs_agree_on_large_groups(spark):
+    """Beyond the size at which sampling sketches begin to draw lots, and dealt in another way."""
+    rows = spark.range(120_000).selectExpr(
+        "id AS doc_id", "'en' AS lang", "'a' AS source", "50 + id % 100 AS n_words", "300 + (id * 7919) % 500 AS word_chars",
+        "(id * 31) % 3 AS n_symbols", "id % 2 AS n_dup_lines", "(id * 17) % 15 AS n_repeat_words",
+    )
+    found = [quality.fences(quality.sketches(x)).collect() for x in (rows, rows.repartition(13, "word_chars"))]
+    assert found[0] == found[1]
 
 
 def test_query_keeps_clean_documents_and_drops_junk(spark):
