@@ -26,8 +26,8 @@ from hackney.llm.common import small, stored, texts_of
 
 #: Labelled documents that the classifier is fitted on, at most; taken by a hash of their ids.
 LABELLED = 20_000
-#: Beginnings and words with a score of their own at most: those in the most documents.
-TOKENS = 200_000
+#: A token whose score is this close to that of its longest kept beginning is left out, as that stands for it then.
+SAME = 0.1
 #: Documents that a beginning must occur in.
 SUPPORT = 2
 FOLDS = 4
@@ -90,6 +90,24 @@ def log_odds(tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.
     return np.log(chance / (1 - chance)) - np.log(share / (1 - share))
 
 
+def telling(tokens: list[str], scores: np.ndarray, same: float = SAME) -> np.ndarray:
+    """Places of the tokens that say something else than their beginnings do, in any of the columns.
+
+    A word's score without the other tokens is off by less than ``same``. How many are left goes by what they
+    say, not by how many there are.
+    """
+    known: dict[str, list[float]] = {}
+    nothing, kept = [0.0] * scores.shape[1], []
+    # A beginning comes before what it begins.
+    for i in np.argsort([len(t) for t in tokens], kind="stable").tolist():
+        mine, token = scores[i].tolist(), tokens[i]
+        base = _longest(token[:-1], known, nothing)
+        if any(abs(a - b) >= same for a, b in zip(mine, base)):
+            known[token] = mine
+            kept.append(i)
+    return np.sort(np.array(kept, np.int64))
+
+
 class Odds:
     """Scores of words: that of the whole word, else of its longest beginning, else 0."""
 
@@ -253,8 +271,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
     """Learn from the ``toxic`` labels (0 or 1; null: none) of documents that are not held out.
 
-    ``most`` bounds the labelled documents used, which is the only bound on what is looked at. If a document
-    has several labels, the largest counts. Without both labels the model gives every text 0.
+    ``most`` bounds the labelled documents used, which is the only bound on what is looked at: all their tokens that
+    occur in ``SUPPORT`` documents are scored. If a document has several labels, the largest counts. Without both
+    labels the model gives every text 0.
     """
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -265,11 +284,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
     by_slot = [F.sum(F.when(F.col("slot") == k, F.col("seen")).otherwise(0)).alias(f"s{k}") for k in range(2 * FOLDS)]
     sums = counts.groupBy("token").agg(F.sum("docs").alias("held"), *by_slot)
     sums = stored(sums.filter((F.col("held") >= SUPPORT) | (F.col("token") == "")), "tokens")
-    # How many tokens occur in how many documents: ``most`` rows at most.
-    often = sorted(map(tuple, sums.filter("token <> ''").groupBy("held").count().collect()), reverse=True)
-    within = np.cumsum([n for _, n in often]) <= TOKENS
-    least = min((h for (h, _), fits in zip(often, within) if fits), default=2**62)
-    rows = sums.filter((F.col("held") >= least) | (F.col("token") == "")).drop("held").toPandas().sort_values("token")
+    # Tokens of ``most`` documents.
+    rows = sums.drop("held").toPandas().sort_values("token")
     values = rows.drop(columns="token").to_numpy(np.int64).reshape(len(rows), FOLDS, 2)
     # Without each fold in turn, and with all. The empty token, which counts words, sorts first.
     sums_of = np.stack([*(values.sum(axis=1) - values[:, f] for f in range(FOLDS)), values.sum(axis=1)], axis=1)
@@ -277,19 +293,25 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
     share = np.clip(words[:, 1] / np.maximum(words.sum(axis=1), 1), 1e-6, 1 - 1e-6)
     tokens, nothing = rows["token"].tolist()[1:], np.zeros(0)
     scores = log_odds(tokens, sums_of[1:, :, 1], sums_of[1:].sum(axis=2), share)
-    model = Model(tokens, scores, Law(), nothing, nothing, nothing)
+    kept = telling(tokens, scores) if tokens else np.zeros(0, np.int64)
+    model = Model([tokens[i] for i in kept.tolist()], scores[kept], Law(), nothing, nothing, nothing)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_fold = [model.odds(without=f) for f in range(FOLDS)]
+        fold, odds = None, None
         for whole in batches:
             for batch in small(whole):
-                found = [scored_segments(by_fold[f], t) for f, t in zip(batch.column(1).to_pylist(), texts_of(batch))]
+                found = []
+                for f, text in zip(batch.column(1).to_pylist(), texts_of(batch)):
+                    # One fold's scores at a time; the rows come by fold.
+                    if f != fold:
+                        fold, odds = f, model.odds(without=f)
+                    found.append(scored_segments(odds, text))
                 sizes = pa.array([n for n, _ in found], pa.int64())
                 scores = pa.array([[s for s, _, _ in some] for _, some in found], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch.column(2), sizes, scores], ["toxic", "words", "scores"])
 
     # By folds, of the labelled sample.
-    sample = texts.mapInArrow(score, "toxic int, words bigint, scores array<double>").toPandas()
+    sample = texts.sortWithinPartitions("fold").mapInArrow(score, "toxic int, words bigint, scores array<double>").toPandas()
     toxic = sample["toxic"].to_numpy()
     if 0 < toxic.sum() < len(toxic):
         clean = sample[toxic == 0]

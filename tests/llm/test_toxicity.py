@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -91,6 +94,72 @@ def test_words_that_are_never_clean_have_finite_scores():
     assert np.isfinite(scores).all() and (scores[:5] > 5).all() and (scores[5:] < -5).all()
 
 
+def test_tokens_left_out_change_no_score_by_much():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcd", k=rng.randrange(3, 11))) for _ in range(800)]
+    tokens = sorted({w[:n] for w in words for n in range(3, 9) if len(w) >= n} | {w + "$" for w in words})
+    every = np.array([[rng.randrange(2, 60)] * 2 for _ in tokens])
+    scores = toxicity.log_odds(tokens, np.array([[rng.randrange(0, n + 1) if rng.random() < 0.3 else 0] * 2 for n, _ in every]), every, np.array([0.1, 0.1]))
+    kept = toxicity.telling(tokens, scores)
+    assert 0 < len(kept) < len(tokens)
+    whole, some = toxicity.Odds(tokens, scores[:, 0]), toxicity.Odds([tokens[i] for i in kept], scores[kept, 0])
+    more = words + ["".join(rng.choices("abcd", k=8)) for _ in range(500)]
+    assert np.abs(whole(more) - some(more)).max() < toxicity.SAME
+
+
+def test_recall_with_and_without_the_tokens_that_say_nothing_new(spark, fitted, monkeypatch):
+    rows, labels, model = fitted
+    monkeypatch.setattr(toxicity, "telling", lambda tokens, scores: np.arange(len(tokens)))
+    known = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
+    full = toxicity.fit(documents(spark, rows), known)
+    assert len(model.tokens) < len(full.tokens)
+    caught = []
+    for m in (model, full):
+        found = toxicity.score(documents(spark, rows), m).collect()
+        caught.append({r.doc_id for r in found if r.score >= toxicity.THRESHOLD and zlib.crc32(str(r.doc_id).encode()) % 3 == 1})
+    assert caught[0] == caught[1]
+
+
+def plain_score(model, text):
+    """Features and probability of a text, from the definitions."""
+    words = re.findall(r"\w+", (text or ""))
+    words = [w.lower() for w in words]
+    odds = dict(zip(model.tokens, model.scores[:, -1].tolist()))
+    scores, seen = [], Counter()
+    for w in words:
+        known = [odds.get(w + "$")] + [odds.get(w[:n]) for n in range(min(8, len(w)), 2, -1)]
+        s = next((x for x in known if x is not None), 0.0)
+        if s > toxicity.DROP:
+            seen[w] += 1
+            s /= seen[w]
+        scores.append(s - toxicity.DROP)
+    best = [s for s, _, _ in plain_segments(scores)]
+    law, n = model.law, len(words)
+    expected = lambda s: (n + 20) * math.exp(law.log_rate - law.decay * s)
+
+    def surprise(many, mean):
+        if not many:
+            return 0.0
+        below = sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(many))
+        return max(0.0, -math.log(max(1e-300, 1 - below)))
+
+    beyond = math.log1p(sum(max(0.0, s - 2) for s in best))
+    x = [1.0, max(-6.0, -math.log(expected(max(best)))) if best else -6.0]
+    x += [math.sqrt(surprise(sum(s >= q for s in best), expected(q))) for q in toxicity.LEVELS]
+    size = math.log(n + 20)
+    x += [beyond, 10 * math.expm1(beyond) / (n + 50), size, beyond * size / 6]
+    z = ((np.array(x) - model.middle) / model.spread) @ model.weights
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_are_those_of_a_plain_version(spark, fitted):
+    rows, _, model = fitted
+    some = [r for r in rows if len(r[1]) < 1200][:60] + [(7, None), (8, ""), (9, "vilest"), (10, "Nastyish, ROTTEN vilest vilest.")]
+    found = {(r.doc_id, r.text): r.score for r in toxicity.score(documents(spark, some), model).collect()}
+    for i, text in some:
+        assert found[i, text] == pytest.approx(plain_score(model, text), rel=1e-4, abs=1e-6)
+
+
 def test_labels_of_one_kind_or_none(spark):
     docs = documents(spark, [(i, "some words") for i in range(20)])
     for labels in ([], [(i, 0) for i in range(20)], [(i, 1) for i in range(20)]):
