@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hackney.functions.clock import flat_window
 from hackney.functions.records import parse, serialise
 from hackney.operators.alerts import Rule, alerts, conditions, episodes
 from hackney.operators.conform import create_table
 from hackney.operators.ingest import clean, stamp, to_wire, typed_trips
+from hackney.operators.metrics import error_rate, throughput
 from hackney.operators.quality import quarantined, validate
 from hackney.operators.windows import fare_totals
 from hackney.schemas import INGEST_TOPIC, RESULT_KEYS, RESULT_TOPICS, narrow, topic_name
@@ -31,6 +33,7 @@ from hackney.session import build_session
 from hackney.sources.files import read_trip_files
 from hackney.sources.wire import sasl
 from hackney.streaming.commits import Commits
+from hackney.streaming.keyed import KeyedTable
 from hackney.streaming.landing import Landing, Taken
 from hackney.streaming.progress import ProgressLog
 from hackney.streaming.run import ALL_AVAILABLE, MONEY, ROCKSDB, await_all, decode, decoded, start, start_tenant, stop_on_signals
@@ -179,6 +182,53 @@ def store(
     return queries
 
 
+#: What ``monitor`` keeps of a topic, and what tells its rows apart.
+MONITORED = {"throughput": ("window", "topic"), "errors": ("window",)}
+
+
+def monitor(
+    spark: SparkSession,
+    topics: Topics,
+    tenant: str,
+    path: str,
+    checkpoints: str,
+    interval: str = "1 minute",
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> list[StreamingQuery]:
+    """Messages, bytes and unusable records of the tenant's topic per interval, in keyed tables that ``monitored`` reads."""
+    topic = topic_name(tenant, INGEST_TOPIC)
+    records = topics.read(spark, topic)
+    results = {
+        "throughput": throughput(records.withColumn("topic", F.lit(topic)), interval),
+        "errors": error_rate(records, interval),
+    }
+    return [
+        start(
+            rows,
+            name=topic_name(tenant, f"monitor_{kind}"),
+            mode="update",
+            sink=_monitor_table(spark, path, tenant, kind).sink(fold_every=100),
+            checkpoints=checkpoints,
+            trigger=trigger,
+            pool=tenant,
+            state_partitions=state_partitions,
+        )
+        for kind, rows in results.items()
+    ]
+
+
+def _monitor_table(spark: SparkSession, path: str, tenant: str, kind: str) -> KeyedTable:
+    return KeyedTable(spark, f"{path}/{tenant}/{kind}", MONITORED[kind], buckets=8)
+
+
+def monitored(spark: SparkSession, path: str, tenant: str) -> DataFrame:
+    """Per interval what came in and how much of it was unusable; ``silent`` is input of which nothing was usable."""
+    came, bad = (_monitor_table(spark, path, tenant, kind).read().drop(RUN, BATCH) for kind in MONITORED)
+    both = flat_window(came).join(flat_window(bad), ["window_start", "window_end"], "full")
+    return both.withColumn("silent", (F.col("records") > 0) & (F.col("malformed") == F.col("records")))
+
+
 def watch(
     spark: SparkSession,
     topics: Topics,
@@ -239,7 +289,7 @@ def results_of(spark: SparkSession, tables: str, tenant: str, topic: str) -> Dat
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="hackney.app", description="Jobs of a tenant.")
-    parser.add_argument("job", choices=["ingest", "land", "analyse", "store", "watch", "history"])
+    parser.add_argument("job", choices=["ingest", "land", "analyse", "store", "monitor", "watch", "history"])
     parser.add_argument("--tenant", help="needed by all jobs but land")
     where = parser.add_mutually_exclusive_group()
     where.add_argument("--servers", help="broker as host:port")
@@ -252,7 +302,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--files-per-trigger", type=int, help="ingest: files of a micro-batch")
     parser.add_argument("--landing", help="land: folder with <tenant>/in of each tenant")
     parser.add_argument("--share", type=int, default=100, help="land: files of a tenant that a batch takes at most")
-    parser.add_argument("--tables", help="store: folder of the tables; history, land: of the results")
+    parser.add_argument("--tables", help="folder of the tables of store, monitor, history and land")
     parser.add_argument("--checkpoints", help="folder that all executors share")
     parser.add_argument("--database", help="store: where the tables are declared; the tenant's name if not given")
     parser.add_argument("--quarantine", help="analyse: folder for records that are not valid")
@@ -261,6 +311,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--decoded", help="analyse: folder for the parsed records, which are then parsed once")
     parser.add_argument("--rule", nargs=4, action="append", default=[], metavar=("NAME", "TOPIC", "METRIC", "AT_LEAST"),
                         help="watch: raise NAME where METRIC of a result topic is at least a number")
+    parser.add_argument("--interval", default="1 minute", help="monitor: of the counts")
     parser.add_argument("--gap", type=float, default=600, help="watch: seconds after which an alert is cleared")
     parser.add_argument("--trips", choices=["csv", "parquet"], default="csv", help="history: what the files are")
     parser.add_argument("--progress", help="folder for the progress of all queries")
@@ -270,6 +321,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "ingest": ["files"],
         "analyse": ["checkpoints"],
         "store": ["checkpoints", "tables"],
+        "monitor": ["checkpoints", "tables"],
         "watch": ["checkpoints", "rule"],
         "history": ["files", "tables"],
         "land": ["landing", "tables"],
@@ -323,6 +375,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         rules = [Rule(name, metric, float(least)) for name, metric, least in arguments.alert]
         more = {"quarantine": arguments.quarantine, "rules": rules, "decoded_at": arguments.decoded}
         queries = analyse(spark, topics, tenant, **more, **options)
+    elif arguments.job == "monitor":
+        queries = monitor(spark, topics, tenant, arguments.tables, interval=arguments.interval, **options)
     elif arguments.job == "watch":
         rules = [Rule(name, metric, float(least), topic=topic) for name, topic, metric, least in arguments.rule]
         queries = watch(spark, topics, tenant, rules=rules, gap=dt.timedelta(seconds=arguments.gap), **options)

@@ -107,12 +107,14 @@ class KeyedTable:
         added = every.groupBy(*self.key).agg(*[F.sum(c).alias(c) for c in sums])
         return self.put(added, run, batch_id)
 
-    def sink(self, prepare: Prepare | None = None) -> Sink:
-        """For ``update`` and ``complete`` mode."""
+    def sink(self, prepare: Prepare | None = None, fold_every: int | None = None) -> Sink:
+        """For ``update`` and ``complete`` mode. Folds after every so many batches, so that readers merge few deltas."""
 
         def complete(writer: DataStreamWriter, run: int) -> DataStreamWriter:
             def write(emitted: DataFrame, batch_id: int) -> None:
                 self.put(prepare(emitted, run, batch_id) if prepare else emitted, run, batch_id)
+                if fold_every and batch_id % fold_every == fold_every - 1:
+                    self.fold()
 
             return writer.foreachBatch(write)
 

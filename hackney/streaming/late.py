@@ -67,7 +67,8 @@ class CorrectedTotals:
         mark = self.passed(name)
         timed = trips.filter(F.col(EVENT_TIME).isNotNull()).withColumn("__window", F.window(F.col(EVENT_TIME).cast("timestamp"), self.size))
         late = F.lit(False) if mark is None else F.unix_millis("__window.end") <= F.lit(mark)
-        timed = timed.withColumn("__late", late)
+        # Read twice: for what is late, and for the sums.
+        timed = timed.withColumn("__late", late).persist()
         listed = self._late.write(timed.filter("__late").drop("__late", "__window"))
         sums = self._sums(timed).persist()
         try:
@@ -78,6 +79,7 @@ class CorrectedTotals:
             self._table.add(sums.drop("__newest"), run, batch_id, [*COUNTS, *(f"{a}_{p}" for a in AMOUNTS for p in ("cents", "count"))])
         finally:
             sums.unpersist()
+            timed.unpersist()
         marks = [m for m in (mark, reached) if m is not None]
         schema = trips.schema.jsonValue()
         self._late.commit(name, {"files": [[f.path, f.part] for f in listed], "schema": schema, "passed": max(marks, default=None)})

@@ -83,7 +83,17 @@ class UniqueTrips:
             return False
         schema = trips.schema
         day = F.coalesce(F.date_format(self.event_time, "yyyy-MM-dd"), F.lit(NO_DAY))
-        dated = trips.withColumn(DAY, day)
+        # Looked at for its days, for copies, and to be written.
+        dated = trips.withColumn(DAY, day).persist()
+        try:
+            written, made = self._write(dated)
+        finally:
+            dated.unpersist()
+        return commits.commit(name, {"files": listed(written), "sketch": listed(made), "schema": schema.jsonValue(), "bits": self.bits})
+
+    def _write(self, dated: DataFrame) -> tuple[list[File], list[File]]:
+        """Files of the trips that are no copies, and of the sketch of their keys."""
+        commits, schema = self._commits, dated.schema
         whole = reduce(and_, (F.col(n).isNotNull() for n in self.key))
         # Of copies within the batch one stays; they are combined before the shuffle.
         single = dated.filter(whole).dropDuplicates([DAY, *self.key])
@@ -93,14 +103,12 @@ class UniqueTrips:
         if known:
             single = self._fresh(single, state, known)
         written = commits.write(single.unionByName(dated.filter(~whole)), DAY)
-        stored = commits.read(written, T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])) if written else None
-        made: list[File] = []
-        if stored is not None:
-            slots = stored.filter(whole).withColumn("__slot", self._slot())
-            page = F.floor(F.col("__slot") / PAGE).cast("bigint").alias("page")
-            bitmap = F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("bitmap")
-            made = commits.write(slots.groupBy(DAY, page).agg(bitmap), DAY)
-        return commits.commit(name, {"files": listed(written), "sketch": listed(made), "schema": schema.jsonValue(), "bits": self.bits})
+        if not written:
+            return [], []
+        slots = commits.read(written, schema).filter(whole).withColumn("__slot", self._slot())
+        page = F.floor(F.col("__slot") / PAGE).cast("bigint").alias("page")
+        bitmap = F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("bitmap")
+        return written, commits.write(slots.groupBy(DAY, page).agg(bitmap), DAY)
 
     def _fresh(self, single: DataFrame, state: dict, known: list[File]) -> DataFrame:
         """Trips of which no copy is stored."""

@@ -109,6 +109,23 @@ def test_quarantine_alerts_and_progress(spark, folder):
     )
 
 
+def test_monitor(spark, folder):
+    topics, tables = str(folder / "topics"), str(folder / "tables")
+    good = to_wire(trips(spark).withColumn("trip_id", F.lit("a")).withColumn("timestamp", F.col("event_timestamp")), keep=["timestamp"])
+    day = F.lit("2024-05-02 20:00:00").cast("timestamp")
+    bad = good.limit(1).withColumns({"value": F.encode(F.lit("oops"), "utf-8"), "timestamp": day})
+    arguments = ["monitor", "--tenant", "acme", "--topics", topics, "--checkpoints", str(folder / "c"), "--tables", tables, "--interval", "1 hour", "--once"]
+    for wire in (good, bad):
+        Folders(topics).send(wire, "acme_ingestData")
+        app.main(arguments, spark)
+    rows = {str(r["window_start"]): r for r in app.monitored(spark, tables, "acme").collect()}
+    assert rows["2024-05-02 20:00:00"]["silent"] and rows["2024-05-02 20:00:00"]["bytes"] == 4
+    others = [r for start, r in rows.items() if start != "2024-05-02 20:00:00"]
+    known = good.filter("timestamp IS NOT NULL").count()
+    assert sum(r["messages"] for r in others) == sum(r["records"] for r in others) == known
+    assert not any(r["silent"] or r["malformed"] for r in others)
+
+
 JOB = """
 import sys
 from hackney import app
