@@ -1,8 +1,8 @@
 """Near duplicates by SimHash: BK-trees over shards of fingerprints.
 
-Texts become 64-bit fingerprints. Two fingerprints that differ in ``radius`` bits agree in one of
-``radius + 1`` bands of bits, so the fingerprints that share a band's value form a shard, and every
-link lies within a shard. A shard is a BK-tree, its children keyed by their distance to the parent;
+Texts become 64-bit fingerprints. Two fingerprints that differ in ``radius`` bits agree in all but
+``radius`` of their bands of bits, so the fingerprints that share the values of such a choice of bands form a shard,
+and every link lies within a shard. The more fingerprints, the more bands, so that shards stay small. A shard is a BK-tree, its children keyed by their distance to the parent;
 a search follows only the edges within the radius. A shard above ``SHARD`` fingerprints becomes
 several trees, each sent to all blocks of the shard's fingerprints that search it. Trees travel with
 the shuffle by shard, not to every executor, as all of them together grow with the data.
@@ -11,11 +11,12 @@ the shuffle by shard, not to every executor, as all of them together grow with t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackney.llm.common import NO_ID, small, stored, texts_of
@@ -164,23 +165,49 @@ def _links(radius: int):
     return run
 
 
-def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Links ``(a, b)`` that connect all fingerprints ``fp`` within the radius, and no others."""
+def bands_for(many: int, radius: int = RADIUS, shard: int = SHARD) -> int:
+    """In how many bands to cut fingerprints, so that ``many`` random ones make shards of ``shard`` at most.
+
+    A link leaves all bands but ``radius`` as they are, so a key is any choice of the others. More bands make more
+    and longer keys: with a radius of 3, four bands 4 keys of 16 bits, six bands 20 keys of 32.
+    """
     bands = radius + 1
+    while bands < 2 * radius + 2 and many >> (64 * (bands - radius) // bands) > shard // 2:
+        bands += 1
+    return bands
+
+
+def _keys(bands: int, radius: int) -> Column:
+    """The shards of a fingerprint: a hash per choice of bands."""
     edges = [64 * i // bands for i in range(bands + 1)]
     value = [
         F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:])
     ]
-    keys = F.array(*(F.xxhash64(F.lit(i), v) for i, v in enumerate(value)))
-    rows = prints.select("fp").distinct().select("fp", F.explode(keys).alias("shard"))
+    chosen = combinations(range(bands), bands - radius)
+    return F.array(*(F.xxhash64(F.lit(n), *(value[i] for i in some)) for n, some in enumerate(chosen)))
+
+
+def dealt(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD, bands: int | None = None) -> DataFrame:
+    """The fingerprints ``fp`` of each shard, once per pair (i, j) of its blocks that their own ``block`` is in."""
+    every = stored(prints.select("fp").distinct(), "distinct")
+    bands = bands or bands_for(every.count(), radius, shard)
+    rows = every.select("fp", F.explode(_keys(bands, radius)).alias("shard"))
     sizes = rows.groupBy("shard").count().filter("count > 1")
     blocks = F.ceil(F.col("count") / shard).cast("int")
     rows = rows.join(sizes, "shard").select("shard", "fp", blocks.alias("blocks"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("shard", "fp", "block", other.alias("other")).select(
+    return rows.select("shard", "fp", "block", other.alias("other")).select(
         "shard", "fp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
+
+
+def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD, bands: int | None = None) -> DataFrame:
+    """Links ``(a, b)`` that connect all fingerprints ``fp`` within the radius, and no others.
+
+    The number of ``bands`` follows the number of fingerprints unless it is given; the links do not depend on it.
+    """
+    rows = dealt(prints, radius, shard, bands)
     rows = rows.repartition("shard", "i", "j").sortWithinPartitions("shard", "i", "j")
     return rows.mapInArrow(_links(radius), "a bigint, b bigint")
 
