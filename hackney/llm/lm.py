@@ -33,7 +33,7 @@ IDS = CLASSES * MEMBERS
 #: Ids that rare words share, by a hash.
 SHARED = 512
 #: Rare words at most whose counts go to every task; those of all others are joined.
-NEAR = 65_536
+NEAR = 262_144
 #: Different words that a task counts before it passes them on.
 HELD = 200_000
 #: Stands before the first and after the last word.
@@ -209,21 +209,25 @@ class Network:
         return Network(*(np.full(p.shape, value, np.float32) for p in self.parts()))
 
     def _forward(self, context: np.ndarray, target: np.ndarray) -> tuple:
-        inside = self.around[0][context[0]]
+        inside = self.around[0].take(context[0], axis=0)
         for place in range(1, len(PLACES)):
-            inside += self.around[place][context[place]]
+            inside += self.around[place].take(context[place], axis=0)
         np.tanh(inside, out=inside)
         group, member = target // MEMBERS, target % MEMBERS
         rows = np.arange(len(target))
         out = []
-        for scores, right in (
-            (inside @ self.to_class + self.class_bias, group),
-            (inside @ self.to_member + self.member_bias[group], member),
+        for weights, bias, right in (
+            (self.to_class, self.class_bias, group),
+            (self.to_member, self.member_bias.take(group, axis=0), member),
         ):
-            scores -= scores.max(axis=1, keepdims=True)
+            scores = inside @ weights
+            scores += bias
+            # What is within the hyperbolic tangent's bounds needs no shift to be within those of the exponential.
+            if np.abs(weights).sum(axis=0).max() + np.abs(bias).max(initial=0) > 60:
+                scores -= scores.max(axis=1, keepdims=True)
             chosen = scores[rows, right]
             np.exp(scores, out=scores)
-            total = scores.sum(axis=1)
+            total = scores @ np.ones(scores.shape[1], scores.dtype)
             out.append((scores, total, chosen - np.log(total)))
         return inside, group, member, rows, out
 
@@ -405,9 +409,10 @@ def train(rows: DataFrame, start: Network) -> Network:
     texts = rows.filter("n_tokens > 0").select("key", "ids", "n_tokens", F.xxhash64("ids", "doc_id").alias("hash"))
     # A hash with much of a copy's words, of a row that is there very often, is dealt by the rows' keys.
     often = texts.groupBy("hash").agg(F.sum("n_tokens").alias("all"), F.count("*").alias("rows"))
-    often = often.filter((F.col("all") > COPY // 4) & (F.col("rows") > 1)).select(F.col("hash").alias("__often"))
-    texts = texts.join(often, F.col("hash") == F.col("__often"), "left")
-    texts = texts.withColumn("hash", F.when(F.col("__often").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", "key")))
+    often = stored(often.filter((F.col("all") > COPY // 4) & (F.col("rows") > 1)).select(F.col("hash").alias("__often")), "often")
+    if not often.isEmpty():
+        texts = texts.join(often, F.col("hash") == F.col("__often"), "left")
+        texts = texts.withColumn("hash", F.when(F.col("__often").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", "key")))
     dealt = F.pmod(F.col("hash"), F.lit(rounds * copies))
     texts = texts.select("key", "ids", "hash", F.floor(dealt / rounds).alias("copy"), (dealt % rounds).cast("int").alias("round"))
     path = scratch(rows.sparkSession, "rounds")

@@ -90,6 +90,16 @@ def test_gradients_by_differences():
             assert (up - down) / 2e-5 == pytest.approx(slope[at], rel=1e-3, abs=1e-4)
 
 
+def test_large_weights_do_not_overflow():
+    rng = np.random.default_rng(2)
+    net = lm.Network.start(rng.integers(1, 50, lm.IDS))
+    net.to_class *= 1e4
+    net.member_bias[:] -= 500
+    target, context = rng.integers(0, lm.IDS, 50).astype(np.int16), rng.integers(0, 30, (4, 50)).astype(np.int16)
+    wide = lm.Network(*(p.astype(np.float64) for p in net.parts()))
+    assert np.allclose(net.log_probability(context, target), wide.log_probability(context, target), rtol=1e-3, atol=1e-2)
+
+
 def test_probabilities_add_up_to_one(fitted):
     target = np.arange(lm.IDS, dtype=np.int16)
     context = np.tile(np.array([[3], [70], [1999], [lm.OUTSIDE]], np.int16), lm.IDS)
