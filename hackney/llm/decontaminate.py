@@ -216,15 +216,17 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _slices(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > SHARD:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, size = i, 0
-        size += len(text)
-    if texts:
-        yield batch.slice(start), texts[start:]
+def _slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows of a shard's texts, one shard at a time."""
+    start, size, held = 0, 0, []
+    for i, one in enumerate(texts_of(batch, text)):
+        if held and size + len(one) > SHARD:
+            yield batch.slice(start, i - start), held
+            start, size, held = i, 0, []
+        held.append(one)
+        size += len(one)
+    if held:
+        yield batch.slice(start), held
 
 
 def _search(items: list[tuple[str, bytes]], window: int, text: str, keep: list[str], again: bool):
@@ -233,7 +235,7 @@ def _search(items: list[tuple[str, bytes]], window: int, text: str, keep: list[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = Suffixes(items, window)
         for whole in batches:
-            for batch, texts in _slices(whole, list(texts_of(whole, text))):
+            for batch, texts in _slices(whole, text):
                 found = search(texts, tests)
                 if again:
                     for i, old in enumerate(batch.column(batch.schema.get_field_index("found")).to_pylist()):
