@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackney.llm.common import small, stored, texts_of
+from hackney.operators.sketch import quantiles, sketch
 
 #: Labelled documents that the classifier is fitted on, at most; taken by a hash of their ids.
 LABELLED = 20_000
@@ -35,6 +36,8 @@ FOLDS = 4
 PRIOR = 3.0
 #: The least chance that a word speaks for the other side.
 DOUBT = 1e-4
+#: The least score of a word.
+LEAST = -1.0
 #: Taken off every word's score.
 DROP = 1.0
 #: Occurrences in a document that count at most.
@@ -73,16 +76,27 @@ def _longest(word: str, known: dict, other):
     return other
 
 
-def log_odds(tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Of all tokens, from their occurrences in toxic and in all documents, by column; ``share`` is that of words."""
+def beginnings(tokens: list[str]) -> np.ndarray:
+    """The place of each token's longest beginning that is a token too, or -1."""
     place = {t: i for i, t in enumerate(tokens)}
-    before = np.array([_longest(t[:-1], place, -1) for t in tokens], np.int64)
-    sizes = np.array([len(t) for t in tokens], np.int64)
+    return np.fromiter((_longest(t[:-1], place, -1) for t in tokens), np.int64, len(tokens))
+
+
+def _by_length(tokens: list[str]) -> Iterator[np.ndarray]:
+    """Places of tokens of equal length; a beginning comes before what it begins."""
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    for size in np.unique(sizes):
+        yield np.flatnonzero(sizes == size)
+
+
+def log_odds(
+    tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.ndarray, before: np.ndarray | None = None
+) -> np.ndarray:
+    """Of all tokens, from their occurrences in toxic and in all documents, by column; ``share`` is that of words."""
+    before = beginnings(tokens) if before is None else before
     chance = np.empty((len(tokens) + 1, len(share)))
     chance[-1] = share
-    # A beginning comes before what it begins.
-    for size in np.unique(sizes):
-        at = np.flatnonzero(sizes == size)
+    for at in _by_length(tokens):
         found = (toxic[at] + PRIOR * chance[before[at]]) / (every[at] + PRIOR)
         # Along a chain of beginnings that occur in one kind alone, doubt would shrink to nothing.
         chance[at] = np.clip(found, DOUBT, 1 - DOUBT)
@@ -90,22 +104,21 @@ def log_odds(tokens: list[str], toxic: np.ndarray, every: np.ndarray, share: np.
     return np.log(chance / (1 - chance)) - np.log(share / (1 - share))
 
 
-def telling(tokens: list[str], scores: np.ndarray, same: float = SAME) -> np.ndarray:
+def telling(tokens: list[str], scores: np.ndarray, same: float = SAME, before: np.ndarray | None = None) -> np.ndarray:
     """Places of the tokens that say something else than their beginnings do, in any of the columns.
 
     A word's score without the other tokens is off by less than ``same``. How many are left goes by what they
     say, not by how many there are.
     """
-    known: dict[str, list[float]] = {}
-    nothing, kept = [0.0] * scores.shape[1], []
-    # A beginning comes before what it begins.
-    for i in np.argsort([len(t) for t in tokens], kind="stable").tolist():
-        mine, token = scores[i].tolist(), tokens[i]
-        base = _longest(token[:-1], known, nothing)
-        if any(abs(a - b) >= same for a, b in zip(mine, base)):
-            known[token] = mine
-            kept.append(i)
-    return np.sort(np.array(kept, np.int64))
+    before = beginnings(tokens) if before is None else before
+    # The longest kept beginning of each token, itself included; nothing, which comes last, scores 0.
+    kept = np.full(len(tokens) + 1, len(tokens))
+    known = np.vstack([scores, np.zeros((1, scores.shape[1]))])
+    for at in _by_length(tokens):
+        base = kept[before[at]]
+        new = (np.abs(known[at] - known[base]) >= same).any(axis=1)
+        kept[at] = np.where(new, at, base)
+    return np.flatnonzero(kept[:-1] == np.arange(len(tokens)))
 
 
 class Odds:
@@ -187,14 +200,12 @@ class Law:
     log_rate: float = -3.0
 
     @classmethod
-    def fit(cls, words: int, scores: np.ndarray) -> Law:
-        if len(scores) < 50:
-            return cls()
-        levels = np.unique(np.quantile(scores, [0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99]))
-        rates = np.array([(scores >= s).sum() / words for s in levels])
-        if len(levels) < 2:
+    def fit(cls, words: int, levels: list[float], many: list[int]) -> Law:
+        """From how ``many`` segments of clean texts score each of the ``levels`` or more."""
+        some = sorted({level: n for level, n in zip(levels, many) if n}.items())
+        if len(some) < 2:
             return cls()
-        slope, at = np.polyfit(levels, np.log(rates), 1)
+        slope, at = np.polyfit([level for level, _ in some], np.log([n / words for _, n in some]), 1)
         return cls(max(0.05, float(-slope)), float(at))
 
     def log_expected(self, words: int, score: float) -> float:
@@ -284,17 +295,30 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
     by_slot = [F.sum(F.when(F.col("slot") == k, F.col("seen")).otherwise(0)).alias(f"s{k}") for k in range(2 * FOLDS)]
     sums = counts.groupBy("token").agg(F.sum("docs").alias("held"), *by_slot)
     sums = stored(sums.filter((F.col("held") >= SUPPORT) | (F.col("token") == "")), "tokens")
-    # Tokens of ``most`` documents.
-    rows = sums.drop("held").toPandas().sort_values("token")
-    values = rows.drop(columns="token").to_numpy(np.int64).reshape(len(rows), FOLDS, 2)
-    # Without each fold in turn, and with all. The empty token, which counts words, sorts first.
-    sums_of = np.stack([*(values.sum(axis=1) - values[:, f] for f in range(FOLDS)), values.sum(axis=1)], axis=1)
-    words = sums_of[0] if len(rows) else np.ones((FOLDS + 1, 2))
-    share = np.clip(words[:, 1] / np.maximum(words.sum(axis=1), 1), 1e-6, 1 - 1e-6)
-    tokens, nothing = rows["token"].tolist()[1:], np.zeros(0)
-    scores = log_odds(tokens, sums_of[1:, :, 1], sums_of[1:].sum(axis=2), share)
-    kept = telling(tokens, scores) if tokens else np.zeros(0, np.int64)
+    slots = [f"s{k}" for k in range(2 * FOLDS)]
+    words = sums.filter("token = ''").select(*slots).first()
+    words = np.array(words or [1] * len(slots), np.int64).reshape(FOLDS, 2)
+    # Tokens of ``most`` documents. A document has a token ``BURST`` times at most, so counts are small numbers.
+    rows = sums.filter("token <> ''").select("token", *[F.col(c).cast("int").alias(c) for c in slots]).toArrow()
+    tokens, nothing = rows["token"].to_pylist(), np.zeros(0)
+    counts = np.stack([rows[c].to_numpy() for c in slots], axis=1).reshape(len(tokens), FOLDS, 2)
+    del rows
+
+    def without_each(values: np.ndarray) -> np.ndarray:
+        """Sums without each fold in turn, and of all; folds are on the last axis."""
+        whole = values.sum(axis=-1, keepdims=True)
+        return np.concatenate([whole - values, whole], axis=-1)
+
+    toxic_words, all_words = without_each(words[:, 1]), without_each(words.sum(axis=1))
+    share = np.clip(toxic_words / np.maximum(all_words, 1), 1e-6, 1 - 1e-6)
+    before = beginnings(tokens)
+    scores = log_odds(tokens, without_each(counts[:, :, 1]), without_each(counts.sum(axis=2)), share, before)
+    # How clean a clean word is says little.
+    np.maximum(scores, LEAST, out=scores)
+    del counts
+    kept = telling(tokens, scores, before=before)
     model = Model([tokens[i] for i in kept.tolist()], scores[kept], Law(), nothing, nothing, nothing)
+    del tokens, scores, before
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold, odds = None, None
@@ -311,16 +335,36 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Model:
                 yield pa.RecordBatch.from_arrays([batch.column(2), sizes, scores], ["toxic", "words", "scores"])
 
     # By folds, of the labelled sample.
-    sample = texts.sortWithinPartitions("fold").mapInArrow(score, "toxic int, words bigint, scores array<double>").toPandas()
-    toxic = sample["toxic"].to_numpy()
-    if 0 < toxic.sum() < len(toxic):
-        clean = sample[toxic == 0]
-        model.law = Law.fit(int(clean["words"].sum()), np.concatenate([*clean["scores"], nothing]))
-        x = np.array([model.law.features(n, list(s)) for n, s in zip(sample["words"], sample["scores"])])
-        model.middle, model.spread, model.weights = _regress(x, toxic)
+    sample = texts.sortWithinPartitions("fold").mapInArrow(score, "toxic int, words bigint, scores array<double>")
+    sample = stored(sample, "segments")
+    labelled = dict(map(tuple, sample.groupBy("toxic").agg(F.sum("words")).collect()))
+    if len(labelled) == 2:
+        model.law = _law(sample.filter("toxic = 0"), labelled[0])
+        law = model.law
+
+        def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [law.features(n, list(s)) for n, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["toxic", "x"])
+
+        # A few numbers for each of ``most`` documents, in an order of their own.
+        found = sorted((tuple(r["x"]), r["toxic"]) for r in sample.mapInArrow(features, "toxic int, x array<double>").collect())
+        model.middle, model.spread, model.weights = _regress(np.array([x for x, _ in found]), np.array([y for _, y in found]))
     return model
 
 
+def _law(clean: DataFrame, words: int) -> Law:
+    """The law of the segments of clean texts, by their number above some quantiles of their scores."""
+    scores = clean.select(F.explode("scores").alias("score"))
+    shares = {f"q{i}": q for i, q in enumerate((0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99))}
+    found = quantiles(sketch(scores, {"score": F.floor(F.col("score") * 1_000_000).cast("bigint")}), shares).first()
+    if found is None or found["many"] < 50:
+        return Law()
+    levels = [found[name] / 1_000_000 for name in shares]
+    many = scores.agg(*[F.count_if(F.col("score") >= level).alias(f"n{i}") for i, level in enumerate(levels)]).first()
+    return Law.fit(words, levels, list(many))
+
+
 _PASSAGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
 

@@ -109,7 +109,7 @@ def test_tokens_left_out_change_no_score_by_much():
 
 def test_recall_with_and_without_the_tokens_that_say_nothing_new(spark, fitted, monkeypatch):
     rows, labels, model = fitted
-    monkeypatch.setattr(toxicity, "telling", lambda tokens, scores: np.arange(len(tokens)))
+    monkeypatch.setattr(toxicity, "telling", lambda tokens, scores, before: np.arange(len(tokens)))
     known = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
     full = toxicity.fit(documents(spark, rows), known)
     assert len(model.tokens) < len(full.tokens)
