@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
@@ -126,6 +126,18 @@ def _numbers(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
+def _keys_of_partitions(spark: SparkSession, parts: int) -> list[int]:
+    """For each of so many partitions a number that Spark's hash puts there."""
+    found: dict[int, int] = {}
+    tried = 0
+    while len(found) < parts:
+        more = spark.range(tried, tried + 16 * parts, 1, 1).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part"))
+        for r in more.groupBy("part").agg(F.min("id").alias("id")).collect():  # a row per partition
+            found.setdefault(r["part"], r["id"])
+        tried += 16 * parts
+    return [found[i] for i in range(parts)]
+
+
 def with_next(docs: DataFrame, id_column: str, columns: list[str], ranges: int | None = None) -> DataFrame:
     """``docs`` with ``next``, a struct of the id and ``columns`` of the row that follows by descending id, round.
 
@@ -162,10 +174,14 @@ def with_next(docs: DataFrame, id_column: str, columns: list[str], ranges: int |
     guest = F.array(F.struct(host.alias("range"), F.lit(True).alias("guest")))
     rows = placed.withColumn("__goes", F.explode(F.when(own == head, F.concat(goes, guest)).otherwise(goes)))
     rows = rows.withColumns({"__range": F.col("__goes.range"), "__guest": F.col("__goes.guest")}).drop("__goes")
-    window = Window.partitionBy("__range").orderBy("__guest", own.desc(), *columns)
+    # Range after range to partition after partition, so that each has as many; a hash of the number would deal unevenly.
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), used[-1] + 1)
+    keys = _numbers(_keys_of_partitions(spark, parts))
+    rows = rows.withColumn("__part", F.get(keys, (F.col("__range") % parts).cast("int"))).repartition(parts, "__part")
+    window = Window.partitionBy("__part", "__range").orderBy("__guest", own.desc(), *columns)
     # Column by column: a struct of them would be made, and shuffled, beside the columns themselves.
     follows = F.struct(*(F.lead(c).over(window).alias(c) for c in (id_column, *columns)))
-    rows = rows.withColumn("next", follows).filter("NOT __guest").drop("__guest", "__range")
+    rows = rows.withColumn("next", follows).filter("NOT __guest").drop("__guest", "__range", "__part")
     return rows.unionByName(docs.filter(own.isNull()).withColumn("next", F.lit(None).cast(rows.schema["next"].dataType)))
 
 

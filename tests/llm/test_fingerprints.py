@@ -121,6 +121,21 @@ def test_ranges_do_not_change_what_follows(spark):
         assert {r.doc_id: r.next.text for r in found} == want and len(found) == len(ids)
 
 
+def test_partitions_get_as_many_rows(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 13)
+    try:
+        df = spark.range(0, 52_000, 1, 4).selectExpr("id * 7 AS doc_id", "concat('t', id) AS text")
+        found = fp.with_next(df, "doc_id", ["text"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(sizes) == 13 and max(sizes) < 1.2 * sum(sizes) / 13
+    # The rows move once.
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_one_and_no_documents(spark):
     one = fp.compare_with_edited(documents(spark, [(5, "abcdef")])).collect()
     assert [r.edited for r in one] == ["abcabc"] and one[0].near_next == 1
