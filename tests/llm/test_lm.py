@@ -199,3 +199,21 @@ def test_query_scores_every_document(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
     assert {r.doc_id: r.n_tokens for r in found} == {r.doc_id: len(r.text.encode().split()) for r in docs}
     assert all(r.score < 0 for r in found)
+
+
+def test_query_scores_are_those_of_a_plain_version(spark):
+    """All documents of the table, word by word, with the counts of rare words."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = lm.fit(docs)
+    counts = Counter(w for t in texts.values() for w in t.encode().lower().split())
+    known, slots = {w.encode() for w in model.words}, Counter()
+    for w, n in counts.items():
+        if w not in known:
+            slots[lm.Numbers.shared(w)] += n
+    found = {r.doc_id: r for r in queries.QUERIES["op8_masked_lm"](spark, SF_DIR).collect()}
+    for doc_id, text in list(texts.items())[::7]:
+        words = text.encode().lower().split()
+        rare = sum(math.log(counts[w] / (1 + slots[lm.Numbers.shared(w)])) for w in words if w not in known)
+        want = sum(plain_log_probabilities(model, text)) + rare
+        assert found[doc_id].score == pytest.approx(want, rel=1e-3)
