@@ -35,10 +35,12 @@ from hackney.sources.wire import sasl
 from hackney.streaming.commits import Commits
 from hackney.streaming.keyed import KeyedTable
 from hackney.streaming.landing import Landing, Taken
+from hackney.streaming.late import CorrectedTotals
 from hackney.streaming.progress import ProgressLog
 from hackney.streaming.run import ALL_AVAILABLE, MONEY, ROCKSDB, await_all, decode, decoded, start, start_tenant, stop_on_signals
 from hackney.streaming.sinks import BATCH, RUN, Sink, emission, file_sink, latest, read_table, table_sink
 from hackney.streaming.topics import Broker, Folders, Topics
+from hackney.streaming.unique import UniqueTrips
 from hackney.workflow import Workflow, from_parquet, from_trip_files
 
 ALERT_TOPIC = "alertStream"
@@ -109,12 +111,16 @@ def analyse(
     quarantine: str | None = None,
     rules: Sequence[Rule] = (),
     decoded_at: str | None = None,
+    corrected_at: str | None = None,
+    unique_at: str | None = None,
 ) -> list[StreamingQuery]:
     """The four standing queries: from the tenant's trips to its result topics, as JSON.
 
     A result record says which run and batch has emitted it. With ``quarantine`` records that are not
     valid are kept in that folder with their reasons; with ``rules`` fares that break one go to the alerts topic.
-    With ``decoded_at``, a folder, the records are parsed once, into columns there, and all queries read those.
+    With ``decoded_at``, a folder, the records are parsed once, into columns there, and all queries read those. With
+    ``corrected_at`` fares per window are also kept there with late trips added, which are listed, see ``CorrectedTotals``;
+    with ``unique_at`` the trips themselves, each once, see ``UniqueTrips``.
     """
     records = topics.read(spark, topic_name(tenant, INGEST_TOPIC))
     queries = []
@@ -145,6 +151,12 @@ def analyse(
         topic = topic_name(tenant, ALERT_TOPIC)
         raised = alerts(fare_totals(trips(MONEY)), rules, keep=["window"])
         queries.append(start(raised, name=topic, sink=sink(topic), **options))
+    if corrected_at:
+        into = CorrectedTotals(spark, f"{corrected_at}/{tenant}").sink()
+        queries.append(start(trips(MONEY), name=topic_name(tenant, "corrected"), sink=into, **options))
+    if unique_at:
+        into = UniqueTrips(spark, f"{unique_at}/{tenant}").sink()
+        queries.append(start(parse(records, keep=()), name=topic_name(tenant, "unique"), sink=into, **options))
     return queries
 
 
@@ -309,6 +321,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--alert", nargs=3, action="append", default=[], metavar=("NAME", "METRIC", "AT_LEAST"),
                         help="analyse: raise NAME where METRIC of the fares is at least a number")
     parser.add_argument("--decoded", help="analyse: folder for the parsed records, which are then parsed once")
+    parser.add_argument("--corrected", help="analyse: folder for fares per window with late trips added")
+    parser.add_argument("--unique", help="analyse: folder for the trips, each once however late a copy comes")
     parser.add_argument("--rule", nargs=4, action="append", default=[], metavar=("NAME", "TOPIC", "METRIC", "AT_LEAST"),
                         help="watch: raise NAME where METRIC of a result topic is at least a number")
     parser.add_argument("--interval", default="1 minute", help="monitor: of the counts")
@@ -374,6 +388,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif arguments.job == "analyse":
         rules = [Rule(name, metric, float(least)) for name, metric, least in arguments.alert]
         more = {"quarantine": arguments.quarantine, "rules": rules, "decoded_at": arguments.decoded}
+        more |= {"corrected_at": arguments.corrected, "unique_at": arguments.unique}
         queries = analyse(spark, topics, tenant, **more, **options)
     elif arguments.job == "monitor":
         queries = monitor(spark, topics, tenant, arguments.tables, interval=arguments.interval, **options)

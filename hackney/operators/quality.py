@@ -137,6 +137,8 @@ def _combine_copies(trips: DataFrame, key: Sequence[str], event_time: str) -> Da
 
 #: Of all rows, the share from which on a key is heavy; so there are a thousand heavy keys at most.
 HEAVY = 0.001
+#: Keys that are counted at once to find those; more than enough for their counts to be close.
+TRACKED = 16_384
 #: Number that tells rows without a key apart. They have no copies.
 _SOLE = "__sole"
 
@@ -148,9 +150,12 @@ def _earliest(trips: DataFrame, key: Sequence[str], event_time: str) -> DataFram
     whole = reduce(and_, (F.col(name).isNotNull() for name in key))
     keyed = trips.filter(whole)
     code = F.xxhash64(*key)
-    # Hashes of the keys that have many copies: counted on the key alone, and a thousand at most.
-    many = max(1, int(HEAVY * keyed.count()))
-    heavy = [r[0] for r in keyed.groupBy(code.alias("code")).count().filter(F.col("count") > many).select("code").collect()]
+    # Hashes of the keys that have many copies, from one look at the keys and without a shuffle of them: a sketch of
+    # the frequent ones. It is close, and need not be more, as either way gives the same rows.
+    frequent = F.call_function("approx_top_k", code, F.lit(min(TRACKED, max(1, round(1 / HEAVY)))), F.lit(TRACKED)).alias("frequent")
+    seen = keyed.agg(F.count("*").alias("rows"), frequent).first()
+    many = max(1, int(HEAVY * seen["rows"]))
+    heavy = [item["item"] for item in seen["frequent"] or [] if item["count"] > many]
     hot = whole & code.isin(heavy) if heavy else F.lit(False)
     # A row without a key gets a number, so it is the only one of its kind.
     numbered = trips.filter(~hot).withColumn(_SOLE, F.when(~whole, F.monotonically_increasing_id()))
@@ -174,7 +179,7 @@ def dedupe(
     """One row per key. Rows without a key (or part of it) are no copies of each other and all stay.
 
     A batch keeps the earliest copy; ties go by the other columns, so the choice does not depend on
-    the order of the rows. Of keys with very many copies the minimum is taken per task first, so that
+    the order of the rows. Of keys with very many copies, which a sketch finds, the minimum is taken per task first, so that
     they reach the shuffle as one row per task; all other rows are sorted once, behind the shuffle.
     Which way a key goes makes no difference to the result.
 

@@ -55,11 +55,30 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="hackney-")
 
 
+# The folders that ``scratch`` has named in this process, by application.
+_named: dict[str, list[str]] = {}
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the shared folder that ``spark.checkpoint.dir`` names."""
+    """A new, unused folder below the shared folder that ``spark.checkpoint.dir`` names; see ``discard_scratch``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _named.setdefault(spark.conf.get("spark.app.id", ""), []).append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete what this run has written on the way; how many folders it was.
+
+    For when results are stored: a result that is not yet written reads some of those folders.
+    """
+    gone = 0
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _named.pop(spark.conf.get("spark.app.id", ""), []):
+        place = make(path)
+        gone += bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True))
+    return gone

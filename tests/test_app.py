@@ -109,6 +109,25 @@ def test_quarantine_alerts_and_progress(spark, folder):
     )
 
 
+def test_corrected_totals_and_unique_trips(spark, folder):
+    topics, fixed, unique = str(folder / "topics"), str(folder / "fixed"), str(folder / "unique")
+    arguments = ["analyse", "--tenant", "acme", "--topics", topics, "--checkpoints", str(folder / "c"), "--once"]
+    first = trips(spark).withColumn("trip_id", F.concat(F.lit("a"), F.monotonically_increasing_id()))
+    later = first.selectExpr("event_timestamp + INTERVAL 5 MINUTES AS event_timestamp", "* EXCEPT (event_timestamp)").withColumn("trip_id", F.lit("b"))
+    late = first.limit(1).withColumn("trip_id", F.lit("c"))
+    for rows in (first, later.limit(1), late.unionByName(first)):
+        Folders(topics).send(to_wire(rows), "acme_ingestData")
+        app.main([*arguments, "--corrected", fixed, "--unique", unique], spark)
+    made = app.CorrectedTotals(spark, f"{fixed}/acme")
+    got = sorted((r["trips"], r["late_trips"], r["total_fare"], r["closed"]) for r in made.totals().collect())
+    # The late trip and both copies are late; copies are another matter, which the unique trips settle.
+    assert got == [(1, 0, 87.0, False), (5, 3, 263.0, True)]
+    assert made.late().count() == 3
+    kept = app.UniqueTrips(spark, f"{unique}/acme").read()
+    assert sorted(r["trip_id"] for r in kept.collect()) == sorted([*(r["trip_id"] for r in first.collect()), "b", "c"])
+    assert kept.columns == TRIP.names
+
+
 def test_monitor(spark, folder):
     topics, tables = str(folder / "topics"), str(folder / "tables")
     good = to_wire(trips(spark).withColumn("trip_id", F.lit("a")).withColumn("timestamp", F.col("event_timestamp")), keep=["timestamp"])

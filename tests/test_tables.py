@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from hackney import session
 from hackney.operators.conform import conform, create_table, mapped, row_identity
 from hackney.schemas import (
     ANALYTICS,
@@ -81,3 +82,16 @@ def test_random_and_repeatable_identities(spark):
     assert ids.collect() == ids.collect() and ids.distinct().count() == 2
     empty = {"count": "n"}
     assert mapped(rows, HOTSPOT_COMMUNITY_WINDOW, empty).select("id").distinct().count() == 2
+
+
+def test_what_a_run_has_written_on_the_way_can_go(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "_named", {})
+    monkeypatch.setattr(session, "_local_root", lambda: str(folder))
+    others = folder / "of-others"
+    others.mkdir()
+    paths = [session.scratch(spark, "rows") for _ in range(3)]
+    for path in paths[:2]:
+        spark.range(3).write.parquet(path)
+    assert session.discard_scratch(spark) == 2
+    assert sorted(p.name for p in folder.iterdir()) == ["of-others"]
+    assert session.discard_scratch(spark) == 0
