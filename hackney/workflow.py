@@ -8,6 +8,7 @@ files, and the next one does. Rows that come late are new rows of an old month.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -72,7 +73,7 @@ class Workflow:
         return Commits(self.spark, self.root)
 
     def _last(self) -> tuple[int, dict]:
-        name, body = self._commits.last() or ("0", {"inputs": [], "totals": [], "report": [], "bounds": []})
+        name, body = self._commits.last() or ("0", {"inputs": [], "totals": [], "report": [], "bounds": {}})
         return int(name), body
 
     def waiting(self) -> DataFrame:
@@ -105,18 +106,21 @@ class Workflow:
             return Run(number - 1)
         month = F.date_format("day", "yyyy-MM")
         fresh = totals_by_day(self.prepare(self.extract(self.spark, paths))).withColumn("month", month)
-        # Rows of a few thousand days; written, so that their months are known by their files.
-        added = commits.write(fresh, "month")
-        months = sorted({f.part for f in added})
+        # A row per day; written, so that the input is read once.
+        added = commits.write(fresh)
+        months = sorted(r["month"] for r in commits.read(added, fresh.schema).select("month").distinct().collect())
         totals = commits.write(self._merged(body, added, fresh.schema, months), "month")
         merged = commits.read(totals, fresh.schema)
         report = commits.write(accumulated_revenue(merged.drop("month"), "month").withColumn("month", F.date_format("period", "yyyy-MM")), "month")
         bounds = merged.groupBy("month").agg(
             F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("days"), F.sum("trips").alias("trips")
         )
-        parts = {"totals": totals, "report": report, "bounds": commits.write(bounds, "month")}
+        parts = {"totals": totals, "report": report}
         others = {name: [f for f in files_of(body, name) if f.part not in months] for name in parts}
         snapshot = {name: listed([*others[name], *files]) for name, files in parts.items()}
+        # A row per touched month.
+        touched = {r["month"]: [str(r["first_day"]), str(r["last_day"]), r["days"], r["trips"]] for r in bounds.collect()}
+        snapshot["bounds"] = body["bounds"] | touched
         snapshot["inputs"] = listed([*files_of(body, "inputs"), *inputs])
         snapshot["schemas"] = {"totals": fresh.schema.jsonValue(), "report": commits.read(report, self._schema(report)).schema.jsonValue()}
         if not commits.commit(f"{number:012d}", snapshot):
@@ -148,7 +152,9 @@ class Workflow:
 
     def bounds(self) -> DataFrame:
         """Per month its first and last day, and how many days and trips it has."""
-        return self._rows(self._last()[1], "bounds", BOUNDS)
+        kept = self._last()[1]["bounds"]
+        rows = [(month, dt.date.fromisoformat(first), dt.date.fromisoformat(last), *more) for month, (first, last, *more) in kept.items()]
+        return self.spark.createDataFrame(rows, BOUNDS)
 
     def inputs(self) -> DataFrame:
         """The input files that have been taken, and by which run."""
