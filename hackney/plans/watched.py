@@ -18,7 +18,7 @@ from hackney.plans.streams import sql_standing, standing
 from hackney.plans.windows import SQL_BY_DAY, sql_fares
 from hackney.schemas import INGEST_TOPIC, RESULT_KEYS, topic_name
 from hackney.session import scratch
-from hackney.streaming.run import ALL_AVAILABLE, ROCKSDB, STANDING, await_all, decode, decoded, run_to_end, start_tenant
+from hackney.streaming.run import ALL_AVAILABLE, ROCKSDB, STANDING, await_all, decode, decoded, start, start_tenant
 from hackney.streaming.sinks import file_sink, read_latest, versioned_sink
 from hackney.streaming.topics import Folders
 
@@ -78,31 +78,39 @@ def stream_alert_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "days": day_report(totals_by_day(trips), scale=None),
         "areas": flat_window(community_hot_spots(trips)),
     }
-    raised = []
+    checkpoints, thirds, topics, paths = scratch(spark, "checkpoints"), {}, {}, {}
     for kind, rows in results.items():
-        start = F.col("day").cast("timestamp_ntz") if kind == "days" else F.col("window_start")
-        end = F.date_add("day", 1).cast("timestamp_ntz") if kind == "days" else F.col("window_end")
-        topic, path, checkpoints = (scratch(spark, label) for label in ("results", "alerts", "checkpoints"))
-        bounds = rows.agg(F.min(start).alias("a"), F.max(start).alias("b")).first()
-        third = F.least(F.floor(3 * F.timestamp_diff("SECOND", F.lit(bounds["a"]), start) / max(1, (bounds["b"] - bounds["a"]).total_seconds())), F.lit(2))
-        rows = rows.withColumns({"third": third, "__first": start.cast("timestamp"), "__last": end.cast("timestamp")})
-        rows.write.partitionBy("third").parquet(scratch_rows := scratch(spark, "rows"))
-        for n in range(3):
-            part = spark.read.parquet(scratch_rows).filter(F.col("third") == n).drop("third")
-            part.write.mode("append").parquet(topic)
-            arriving = spark.readStream.schema(part.schema).parquet(topic)
+        start_of = F.col("day").cast("timestamp_ntz") if kind == "days" else F.col("window_start")
+        end_of = F.date_add("day", 1).cast("timestamp_ntz") if kind == "days" else F.col("window_end")
+        bounds = rows.agg(F.min(start_of).alias("a"), F.max(start_of).alias("b")).first()
+        whole = max(1, (bounds["b"] - bounds["a"]).total_seconds())
+        third = F.least(F.floor(3 * F.timestamp_diff("SECOND", F.lit(bounds["a"]), start_of) / whole), F.lit(2))
+        rows = rows.withColumns({"third": third, "__first": start_of.cast("timestamp"), "__last": end_of.cast("timestamp")})
+        thirds[kind], topics[kind], paths[kind] = (scratch(spark, label) for label in ("thirds", "results", "alerts"))
+        rows.write.partitionBy("third").parquet(thirds[kind])
+    for n in range(3):
+        queries = []
+        for kind in results:
+            part = spark.read.parquet(thirds[kind]).filter(F.col("third") == n).drop("third")
+            part.write.mode("append").parquet(topics[kind])
+            arriving = spark.readStream.schema(part.schema).parquet(topics[kind])
             subject = F.col(COMMUNITY) if kind == "areas" else None
             broken = conditions(arriving, WATCHED[kind], F.col("__first"), F.col("__last"), subject)
-            run_to_end(
-                episodes(broken, GAPS[kind]),
-                name=f"episodes_{kind}",
-                mode="append",
-                sink=file_sink(path),
-                checkpoints=checkpoints,
-                state_partitions=cores(spark),
-                state_store=ROCKSDB,
+            queries.append(
+                start(
+                    episodes(broken, GAPS[kind]),
+                    name=f"episodes_{kind}",
+                    mode="append",
+                    sink=file_sink(paths[kind]),
+                    checkpoints=checkpoints,
+                    trigger=ALL_AVAILABLE,
+                    # Few rows break a rule, and every task of such a state starts a Python process.
+                    state_partitions=2,
+                    state_store=ROCKSDB,
+                )
             )
-        raised.append(spark.read.parquet(path))
+        await_all(queries, poll_seconds=0.1)
+    raised = [spark.read.parquet(path) for path in paths.values()]
     every = reduce(DataFrame.unionByName, raised)
     return every.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("at", "first", "last")})
 
