@@ -13,18 +13,17 @@ from __future__ import annotations
 
 import ctypes
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from itertools import repeat
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hackney.llm.common import small, stored, texts_of
+from hackney.llm.common import small, stored
 from hackney.session import scratch
 
 #: Classes, and words in a class.
@@ -35,7 +34,9 @@ SHARED = 512
 #: Rare words at most whose counts go to every task; those of all others are joined.
 NEAR = 262_144
 #: Different words that a task counts before it passes them on.
-HELD = 200_000
+HELD = 500_000
+#: Bytes of texts that are split into words at once, about.
+PORTION = 4 << 20
 #: Stands before the first and after the last word.
 OUTSIDE = IDS
 PLACES = (-2, -1, 1, 2)
@@ -65,20 +66,46 @@ def one_thread() -> None:
                 getattr(library, name)(1)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``PORTION`` bytes of texts, or a single longer one."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PORTION, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
 
-    def told() -> pa.RecordBatch:
-        columns = [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "count"])
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, lower-cased in A-Z and split at white space, and where each text's begin and the last one's end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.values
+    # White space at an end leaves an empty word.
+    real = pc.greater(pc.binary_length(words), 0)
+    ends = np.r_[0, np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return words.filter(real), ends[lists.offsets.to_numpy()]
 
-    for batch in batches:
-        for text in texts_of(batch):
-            counts.update(text.lower().split())
-            if len(counts) >= HELD:
-                yield told()
-                counts.clear()
-    yield told()
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
+
+    def merged() -> pa.Table:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("count", "sum")])
+        return pa.table({"word": sums["word"], "count": sums["count_sum"]})
+
+    for whole in batches:
+        for batch in portions(whole):
+            found = words_of(batch["text"])[0].dictionary_encode()
+            many = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+            held.append(pa.table({"word": found.dictionary.cast(pa.string()), "count": pa.array(many, pa.int64())}))
+            if sum(map(len, held)) >= 2 * HELD:
+                held = [merged()]
+                if len(held[0]) >= HELD:
+                    yield from held[0].to_batches()
+                    held = []
+    if held:
+        yield from merged().to_batches()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -146,26 +173,28 @@ class Numbers:
 
     def __init__(self, words: list[str], near: Iterable[str] = ()) -> None:
         """The ids of rare words that are named in ``near`` are looked up, all others made."""
-        every = [*(w.encode() for w in words), *(w.encode() for w in near)]
-        self._known = {w: i for i, w in enumerate(every)}
-        self._ids = np.array([*range(len(words)), *map(self.shared, every[len(words) :])], np.int16)
+        every = [*words, *near]
+        self._known = pa.array(every, pa.string())
+        rare = [self.shared(w.encode()) for w in every[len(words) :]]
+        # The last one is of words that are not known.
+        self._ids = np.array([*range(len(words)), *rare, -1], np.int16)
 
     @staticmethod
     def shared(word: bytes) -> int:
         return IDS - SHARED + zlib.crc32(word) % SHARED
 
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """The words' ids, their places among all that are known (else -1), and the words that are not."""
-        words = text.lower().split()
-        found = np.fromiter(map(self._known.get, words, repeat(-1)), np.int32, len(words))
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
+        """The words' ids, their places among all that are known (else -1), which words are not, and those words."""
+        found = pc.fill_null(pc.index_in(words, value_set=self._known.cast(words.type)), -1).to_numpy()
         far = np.flatnonzero(found < 0)
-        ids = self._ids[found] if len(self._ids) else np.zeros(len(words), np.int16)
-        unknown = [words[i] for i in far.tolist()]
-        ids[far] = list(map(self.shared, unknown))
-        return ids, found, unknown
+        ids = self._ids[found]
+        unknown = words.take(pa.array(far)).dictionary_encode()
+        made = np.array([self.shared(w) for w in unknown.dictionary.cast(pa.large_binary()).to_pylist()], np.int16)
+        ids[far] = made[unknown.indices.to_numpy()]
+        return ids, found, far, unknown
 
     def ids(self, text: bytes) -> np.ndarray:
-        return self.of(text)[0]
+        return self.of(words_of(pa.array([text], pa.binary()).cast(pa.string()))[0])[0]
 
 
 @dataclass
@@ -176,6 +205,8 @@ class Network:
     to_member: np.ndarray
     class_bias: np.ndarray
     member_bias: np.ndarray
+    _room: dict[int, list[np.ndarray]] = field(default_factory=dict, repr=False, compare=False)
+    """Arrays that batches of a size share, as to get new ones takes as long as to fill them."""
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Network:
@@ -208,22 +239,31 @@ class Network:
         """Of this one's shape, with the same number everywhere."""
         return Network(*(np.full(p.shape, value, np.float32) for p in self.parts()))
 
+    def _arrays(self, many: int) -> list[np.ndarray]:
+        """Of a row per target: what is inside, what is added to it, scores of classes and members, biases, and a class's mark."""
+        if many not in self._room:
+            widths = (SIZE, SIZE, CLASSES, MEMBERS, MEMBERS, CLASSES)
+            self._room = {many: [np.empty((many, width), self.around.dtype) for width in widths]}
+        return self._room[many]
+
     def _forward(self, context: np.ndarray, target: np.ndarray) -> tuple:
-        inside = self.around[0].take(context[0], axis=0)
+        inside, added, by_class, by_member, bias, _ = self._arrays(len(target))
+        self.around[0].take(context[0], axis=0, out=inside, mode="clip")
         for place in range(1, len(PLACES)):
-            inside += self.around[place].take(context[place], axis=0)
+            inside += self.around[place].take(context[place], axis=0, out=added, mode="clip")
         np.tanh(inside, out=inside)
         group, member = target // MEMBERS, target % MEMBERS
         rows = np.arange(len(target))
+        self.member_bias.take(group, axis=0, out=bias, mode="clip")
         out = []
-        for weights, bias, right in (
-            (self.to_class, self.class_bias, group),
-            (self.to_member, self.member_bias.take(group, axis=0), member),
+        for weights, own, more, scores, right in (
+            (self.to_class, self.class_bias, self.class_bias, by_class, group),
+            (self.to_member, self.member_bias, bias, by_member, member),
         ):
-            scores = inside @ weights
-            scores += bias
+            np.matmul(inside, weights, out=scores)
+            scores += more
             # What is within the hyperbolic tangent's bounds needs no shift to be within those of the exponential.
-            if np.abs(weights).sum(axis=0).max() + np.abs(bias).max(initial=0) > 60:
+            if np.abs(weights).sum(axis=0).max() + np.abs(own).max() > 60:
                 scores -= scores.max(axis=1, keepdims=True)
             chosen = scores[rows, right]
             np.exp(scores, out=scores)
@@ -237,18 +277,22 @@ class Network:
         return first + second
 
     def gradients(self, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Of the summed loss: by what the embeddings add up to, and by all parts but the embeddings."""
+        """Of the summed loss: by what the embeddings add up to (valid until the next call), and by all parts but the embeddings."""
         inside, group, member, rows, out = self._forward(context, target)
-        errors = []
-        for (scores, total, _), right in zip(out, (group, member)):
-            scores /= total[:, None]
+        _, back, *errors, _, one_hot = self._arrays(len(target))
+        for scores, (_, total, _), right in zip(errors, out, (group, member)):
+            scores *= (1 / total)[:, None]
             scores[rows, right] -= 1
-            errors.append(scores)
-        one_hot = np.zeros((len(target), CLASSES), np.float32)
+        one_hot.fill(0)
         one_hot[rows, group] = 1
-        back = errors[0] @ self.to_class.T + errors[1] @ self.to_member.T
-        back *= 1 - inside * inside
-        return back, [inside.T @ errors[0], inside.T @ errors[1], errors[0].sum(axis=0), one_hot.T @ errors[1]]
+        by_class = np.ones(len(target), back.dtype) @ errors[0]
+        slopes = [inside.T @ errors[0], inside.T @ errors[1], by_class, one_hot.T @ errors[1]]
+        np.matmul(errors[0], self.to_class.T, out=back)
+        back += errors[1] @ self.to_member.T
+        inside *= inside
+        np.subtract(1, inside, out=inside)
+        back *= inside
+        return back, slopes
 
 
 class Trainer:
@@ -259,24 +303,34 @@ class Trainer:
 
     def __init__(self, network: Network, seen: Network) -> None:
         self.network, self.seen = network, seen
-        self._seen = seen.parts()
-
-    def _move(self, part: np.ndarray, seen: np.ndarray, where, slope: np.ndarray) -> None:
-        seen[where] += slope * slope
-        part[where] -= RATE * slope / np.sqrt(seen[where])
+        self._firsts = (np.arange(len(PLACES)) * (IDS + 1)).astype(np.int16)[:, None]
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        net = self.network
+        net, many = self.network, len(target)
         back, slopes = net.gradients(context, target)
-        scale = np.float32(1 / np.sqrt(len(target)))
-        for part, seen, slope in zip(net.parts()[1:], self._seen[1:], slopes):
-            self._move(part, seen, ..., slope * scale)
-        for place in range(len(PLACES)):
-            order = np.argsort(context[place], kind="stable")
-            ids = context[place][order]
-            first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            slope = np.add.reduceat(back[order], first, axis=0)
-            self._move(net.around[place], self._seen[0][place], ids[first], slope * scale)
+        scale = np.float32(1 / np.sqrt(many))
+        for part, seen, slope in zip(net.parts()[1:], self.seen.parts()[1:], slopes):
+            slope = slope * scale
+            seen += slope * slope
+            part -= RATE * slope / np.sqrt(seen)
+        # Rows of the embeddings of all places, those of the same row one after the other.
+        row = (context + self._firsts).ravel()
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        row = row[first].astype(np.intp)
+        # As pairs of numbers, of which half as many are to be added up.
+        pairs = back.take(order % many, axis=0).view(np.result_type(back, np.complex64))
+        slope = np.add.reduceat(pairs, first, axis=0).view(back.dtype)
+        slope *= scale
+        around, seen = (part.reshape(-1, SIZE) for part in (net.around, self.seen.around))
+        sums = seen.take(row, axis=0)
+        sums += slope * slope
+        seen[row] = sums
+        np.sqrt(sums, out=sums)
+        slope *= np.float32(RATE)
+        slope /= sums
+        around[row] = around.take(row, axis=0) - slope
 
 
 def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -298,27 +352,29 @@ def _encode(words: list[str], rare: Rare):
     near, tokens = rare.near, np.log1p(rare.tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, first = Numbers(words, near), IDS - SHARED
+        numbers = Numbers(words, near)
         # By place; the last one is of those that are not known.
         logs = np.r_[np.zeros(len(words)), np.log(np.array(list(near.values()), np.float64)), 0.0]
+        lost = np.r_[np.zeros(IDS - SHARED), tokens]
         key = TaskContext.get().partitionId() << 40
         for whole in batches:
-            for batch in small(whole):
-                packed, sizes, added, far, many, ends = [], [], [], [], [], [0]
-                for text in texts_of(batch):
-                    mine, found, unknown = numbers.of(text)
-                    packed.append(mine.astype("<i2").tobytes())
-                    sizes.append(len(mine))
-                    added.append(logs[found].sum() - tokens[mine[mine >= first] - first].sum())
-                    counted = Counter(unknown)
-                    far.extend(counted)
-                    many.extend(counted.values())
-                    ends.append(len(far))
-                keys = pa.array(np.arange(key, key + len(sizes)), pa.int64())
-                key += len(sizes)
-                pairs = [pa.array(far, pa.binary()).cast(pa.string()), pa.array(many, pa.int32())]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "n"]))
-                columns = [keys, batch.column(0), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary()), pa.array(added, pa.float64()), lists]
+            for batch in portions(whole):
+                every, ends = words_of(batch["text"])
+                sizes, many = np.diff(ends), batch.num_rows
+                ids, found, far, unknown = numbers.of(every)
+                text = np.repeat(np.arange(many), sizes)
+                added = np.bincount(text, logs[found] - lost[ids], many)
+                # The unknown words of each text, and how often they are there.
+                kinds = max(1, len(unknown.dictionary))
+                pairs, often = np.unique(text[far] * kinds + unknown.indices.to_numpy(), return_counts=True)
+                starts = pa.array(np.searchsorted(pairs, np.arange(many + 1) * kinds), pa.int32())
+                named = unknown.dictionary.take(pa.array(pairs % kinds)).cast(pa.string())
+                lists = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays([named, pa.array(often, pa.int32())], ["word", "n"]))
+                buffers = [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(ids.astype("<i2"))]
+                packed = pa.Array.from_buffers(pa.binary(), many, buffers)
+                keys = pa.array(np.arange(key, key + many), pa.int64())
+                key += many
+                columns = [keys, batch["doc_id"], pa.array(sizes, pa.int64()), packed, pa.array(added, pa.float64()), lists]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "n_tokens", "ids", "added", "far"])
 
     return run

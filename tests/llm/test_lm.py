@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,44 @@ def test_large_weights_do_not_overflow():
     assert np.allclose(net.log_probability(context, target), wide.log_probability(context, target), rtol=1e-3, atol=1e-2)
 
 
+def test_words_of_many_texts_are_those_of_each(monkeypatch):
+    """In portions of any size; a rare word has its id made once, however often it is there."""
+    texts = [t for _, t in ODD] + [" \x0b a\x0cB\rc\x1cd\x85e\xa0f \n", "", " \t", None, "ÄB ßc", "x" * 300, chain(3, 200)]
+    plain = [(t or "").encode().lower().split() for t in texts]
+    for size in (1, 100, 1 << 20):
+        monkeypatch.setattr(lm, "PORTION", size)
+        found = []
+        for part in lm.portions(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})):
+            words, ends = lm.words_of(part["text"])
+            words = words.cast(pa.binary()).to_pylist()
+            found += [words[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        assert found == plain
+    made, shared = [], lm.Numbers.shared
+    monkeypatch.setattr(lm.Numbers, "shared", staticmethod(lambda word: made.append(word) or shared(word)))
+    ids = lm.Numbers(["a"]).ids(b"zq A zr " * 500)
+    assert ids.tolist() == [shared(b"zq"), 0, shared(b"zr")] * 500 and sorted(made) == [b"zq", b"zr"]
+
+
+def test_a_step_moves_every_embedding_by_the_sum_of_its_slopes():
+    """As one place after the other and one word after the other would; batches of a size share their arrays."""
+    rng = np.random.default_rng(4)
+    start = lm.Network.start(rng.integers(1, 50, lm.IDS))
+    trainer = lm.Trainer(start.unpack(start.pack()), start.filled(1e-2))
+    target, context = rng.integers(0, lm.IDS, 300).astype(np.int16), rng.integers(0, 90, (4, 300)).astype(np.int16)
+    context[:, ::7] = lm.OUTSIDE
+    back, slopes = start.gradients(context, target)
+    around = np.zeros_like(start.around)
+    for place in range(4):
+        np.add.at(around[place], context[place], back)
+    trainer.step(context, target)
+    for before, part, seen, slope in zip(start.parts(), trainer.network.parts(), trainer.seen.parts(), [around, *slopes]):
+        slope = slope / np.sqrt(300)
+        assert np.allclose(seen, 1e-2 + slope**2, rtol=1e-4)
+        assert np.allclose(part, before - lm.RATE * slope / np.sqrt(1e-2 + slope**2), rtol=1e-4, atol=1e-6)
+    inside = start._forward(context, target)[0]
+    assert np.shares_memory(inside, start._forward(context, target)[0])
+
+
 def test_probabilities_add_up_to_one(fitted):
     target = np.arange(lm.IDS, dtype=np.int16)
     context = np.tile(np.array([[3], [70], [1999], [lm.OUTSIDE]], np.int16), lm.IDS)
