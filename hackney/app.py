@@ -168,11 +168,12 @@ def store(
     checkpoints: str,
     trigger: dict | None = None,
     database: str | None = None,
-    files: int | None = 1,
+    files: int | None = None,
 ) -> list[StreamingQuery]:
     """From the result topics, from their beginning, to the result tables: a row per result record.
 
-    With ``database`` the tables are declared there. ``files`` are written per batch and table.
+    With ``database`` the tables are declared there. A batch of a table is written in as many files as its size
+    needs, a small one in one, by AQE; with ``files`` in that many, whatever its size.
     """
     queries = []
     for topic, table in RESULT_TOPICS.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import signal
@@ -9,6 +10,7 @@ import subprocess
 import sys
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -87,6 +89,33 @@ def test_several_emissions_in_one_batch_of_the_store(spark, folder):
     assert rows.select("id").distinct().count() == 4
 
 
+def test_a_large_batch_of_the_store_is_written_by_many_tasks(spark, folder):
+    """Files grow in number with the batch, and none has most of its rows; a small batch is one file."""
+    topics, tables, topic = Folders(str(folder / "topics")), str(folder / "tables"), "sumFareWindowStream"
+    table = RESULT_TOPICS[topic]
+    once = {"checkpoints": str(folder / "c"), "trigger": ALL_AVAILABLE}
+    for name in RESULT_TOPICS:
+        os.makedirs(topics.path(f"acme_{name}"))
+
+    def batch(number, rows):
+        """How many rows the files of the table's batch have."""
+        text = "named_struct('window', '{\"start\":\"' || id || '\"}', 'total_fare', id, 'run', 1, 'batch_id', 2)"
+        topics.send(spark.range(rows).selectExpr(f"encode(to_json({text}), 'utf-8') AS value"), f"acme_{topic}")
+        await_all(app.store(spark, topics, "acme", tables, **once), poll_seconds=0.1)
+        return [pq.read_metadata(f).num_rows for f in glob.glob(f"{tables}/acme/{table.name}/*-batch-{number:012d}/*.parquet")]
+
+    size = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    usual = spark.conf.get(size)
+    try:
+        assert batch(0, 20) == [20]
+        spark.conf.set(size, "16KB")
+        large = batch(1, 20_000)
+    finally:
+        spark.conf.set(size, usual)
+    assert sum(large) == 20_000 and max(large) < 10_000
+    assert read_table(spark, f"{tables}/acme/{table.name}", table).select("id").distinct().count() == 20_020
+
+
 def test_quarantine_alerts_and_progress(spark, folder):
     topics, bad, log = str(folder / "topics"), str(folder / "bad"), str(folder / "log")
     wire = to_wire(trips(spark).withColumn("trip_id", F.lit("a"))).unionByName(
