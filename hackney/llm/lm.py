@@ -281,12 +281,11 @@ class Network:
         inside, group, member, rows, out = self._forward(context, target)
         _, back, *errors, _, one_hot = self._arrays(len(target))
         for scores, (_, total, _), right in zip(errors, out, (group, member)):
-            scores *= (1 / total)[:, None]
+            scores /= total[:, None]
             scores[rows, right] -= 1
         one_hot.fill(0)
         one_hot[rows, group] = 1
-        by_class = np.ones(len(target), back.dtype) @ errors[0]
-        slopes = [inside.T @ errors[0], inside.T @ errors[1], by_class, one_hot.T @ errors[1]]
+        slopes = [inside.T @ errors[0], inside.T @ errors[1], errors[0].sum(axis=0), one_hot.T @ errors[1]]
         np.matmul(errors[0], self.to_class.T, out=back)
         back += errors[1] @ self.to_member.T
         inside *= inside
@@ -319,9 +318,7 @@ class Trainer:
         row = row[order]
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         row = row[first].astype(np.intp)
-        # As pairs of numbers, of which half as many are to be added up.
-        pairs = back.take(order % many, axis=0).view(np.result_type(back, np.complex64))
-        slope = np.add.reduceat(pairs, first, axis=0).view(back.dtype)
+        slope = np.add.reduceat(back.take(order % many, axis=0), first, axis=0)
         slope *= scale
         around, seen = (part.reshape(-1, SIZE) for part in (net.around, self.seen.around))
         sums = seen.take(row, axis=0)
